@@ -118,15 +118,7 @@ def extract_and_stage(source: DataFrame, points: DataFrame, as_of: dt.date,
                                max_rows_per_task=max_rows_per_task)
     new_rows = numbered.select(*STAGED_COLUMNS)
 
-    counts = new.groupBy("point").agg(F.count(F.lit(1)).alias("_n"))
-    batch_state = (join_small(ctl.join(counts, "point", "left"), pts, "point", "inner",
-                              points_rows)
-                   .select("point",
-                           F.lit(as_of).cast(T.DateType()).alias("last_run_date"),
-                           F.lit(run_ts.isoformat(sep=" ")).cast(T.TimestampNTZType())
-                           .alias("last_run_timestamp"),
-                           (F.col("base_id") + F.coalesce("_n", F.lit(0))).cast("long")
-                           .alias("last_used_id")))
+    batch_state = make_batch_state(ctl, new, as_of, run_ts)
     state_out = upsert_state(state, batch_state)
 
     appended = new_rows if staged is None else staged.select(*STAGED_COLUMNS).unionByName(new_rows)
@@ -134,6 +126,22 @@ def extract_and_stage(source: DataFrame, points: DataFrame, as_of: dt.date,
     return ExtractResult(new_rows, batch_state, state_out, ret.kept, ret.purged, ctl)
 
 
+def make_batch_state(ctl: DataFrame, batch_rows: DataFrame, as_of: dt.date,
+                     run_ts: dt.datetime) -> DataFrame:
+    """One state row per manifest point (also without new rows):
+    ``last_used_id = base_id + rows of the batch``.  ``batch_rows`` is the
+    batch (or the batch as written back), counted per point with a partial
+    aggregate."""
+    counts = batch_rows.groupBy("point").agg(F.count(F.lit(1)).alias("_n"))
+    return (ctl.join(counts, "point", "left")
+            .select("point",
+                    F.lit(as_of).cast(T.DateType()).alias("last_run_date"),
+                    F.lit(run_ts.isoformat(sep=" ")).cast(T.TimestampNTZType())
+                    .alias("last_run_timestamp"),
+                    (F.col("base_id") + F.coalesce("_n", F.lit(0))).cast("long")
+                    .alias("last_used_id")))
+
+
 def late_rows(source: DataFrame, staged: DataFrame, points: DataFrame, first_as_of: dt.date,
               last_as_of: dt.date, window_days: int = config.ROLLING_WINDOW_DAYS) -> DataFrame:
     """Audit of dropped late data: per point, source rows inside the pulled

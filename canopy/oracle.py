@@ -124,6 +124,34 @@ s2 AS (SELECT pb.point, coalesce(s1.last_used_id, 0) + count(r2.ts) AS last_used
        GROUP BY pb.point, s1.last_used_id)"""
 
 
+def stream_sql() -> str:
+    lb = _ts(R.STREAM_AS_OF - dt.timedelta(days=30))
+    end = _ts(R.STREAM_AS_OF + dt.timedelta(days=1))
+    a, b = (_ts(dt.date.fromisoformat(x)) for x in R.STREAM_SLICES)
+    order = _nf("e.ts, e.event_id")
+    buf = f"INTERVAL {R.AUDIT_BUFFER_SECONDS} SECOND"
+
+    def batch(k, prev):
+        base = "0" if prev is None else f"{prev}.n"
+        start = lb if prev is None else f"coalesce({prev}.hwm + {buf}, {lb})"
+        join = "" if prev is None else f"JOIN {prev} USING (point)"
+        return (f"SELECT e.point, {base} + row_number() OVER (PARTITION BY e.point ORDER BY "
+                f"{order}) AS unique_id, e.ts, {rnd('e.value')} AS value FROM e {join} "
+                f"WHERE e.slice = {k} AND e.ts > {start} AND e.ts < {end}")
+
+    return f"""WITH e AS (SELECT event_type AS point, ts, event_id, value,
+    CASE WHEN ts < {a} THEN 1 WHEN ts < {b} THEN 2 ELSE 3 END AS slice FROM events),
+pts AS (SELECT DISTINCT point FROM e),
+b1 AS ({batch(1, None)}),
+h1 AS (SELECT pts.point, max(b1.ts) AS hwm, count(b1.ts) AS n FROM pts LEFT JOIN b1 USING (point)
+       GROUP BY pts.point),
+b2 AS ({batch(2, 'h1')}),
+h2 AS (SELECT h1.point, coalesce(max(b2.ts), h1.hwm) AS hwm, h1.n + count(b2.ts) AS n
+       FROM h1 LEFT JOIN b2 USING (point) GROUP BY h1.point, h1.hwm, h1.n),
+b3 AS ({batch(3, 'h2')})
+SELECT * FROM b1 UNION ALL SELECT * FROM b2 UNION ALL SELECT * FROM b3"""
+
+
 def _sql() -> dict[str, str]:
     page_lo, page_hi = R.PAGE_START, R.PAGE_END
     cut = _ts(R.PURGE_AS_OF - dt.timedelta(days=30))
@@ -309,6 +337,8 @@ FROM events""",
         "data_freshness": f"""SELECT count(*) FILTER (WHERE m > {since}) AS fresh_tables,
   count(*) FILTER (WHERE m > {since}) > 0 AS is_fresh
 FROM (SELECT user_id, max(ts) AS m FROM events GROUP BY user_id)""",
+
+        "stream_extract": stream_sql(),
     }
 
 

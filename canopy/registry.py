@@ -24,7 +24,10 @@ from .operators.sequence import assign_sequence
 from .operators.state import (apply_retention, high_water_marks, last_ids,
                               state_from_staged)
 from .operators.wide import build_wide
+from .plans.runner import open_stores
+from .session import scratch_path
 from .sources import testdata as td
+from .streaming.extract_stream import start_extract_stream
 
 # --- fixed values: query parameters ---
 FIRST_AS_OF = dt.date(2024, 1, 15)       # events: first run reads ts < 2024-01-16
@@ -45,6 +48,8 @@ PAGE_ID = 2010
 TOTAL_LIMIT, TOTAL_OFFSET = 100, 100
 ID_LIMIT = 1000
 FRESH_AS_OF = dt.datetime(2024, 1, 30, 12, 0, 0)
+STREAM_AS_OF = dt.date(2024, 1, 31)
+STREAM_SLICES = ["2024-01-11", "2024-01-21"]   # file arrivals split by time
 # --- end of fixed values ---
 
 
@@ -321,6 +326,29 @@ def q_data_freshness(spark, sf):
     return M.data_freshness(_many_state(spark, sf), FRESH_AS_OF)
 
 
+# ---------------------------------------------------------------- step 8
+def q_stream_extract(spark, sf):
+    """Events arrive as three time-ordered file drops; after each drop the
+    stream runs ``availableNow`` (one micro-batch per drop)."""
+    root = scratch_path(spark, "stream-extract")
+    src_dir, ckpt = f"{root}/source", f"{root}/checkpoint"
+    stores = open_stores(spark, f"{root}/store")
+    ev = td.events_five(spark, sf)
+    pts = ev.select("point").distinct()
+    bounds = [None] + STREAM_SLICES + [None]
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        sl = ev
+        if lo:
+            sl = sl.filter(F.col("ts") >= F.lit(lo).cast(ev.schema["ts"].dataType))
+        if hi:
+            sl = sl.filter(F.col("ts") < F.lit(hi).cast(ev.schema["ts"].dataType))
+        sl.write.mode("append").parquet(src_dir)
+        q = start_extract_stream(spark, src_dir, ev.schema, stores, pts, STREAM_AS_OF, ckpt,
+                                 tiebreak=["event_id"], buffer_seconds=AUDIT_BUFFER_SECONDS)
+        q.awaitTermination()
+    return stores.staged.read()
+
+
 QUERIES = {
     "page_aligned": q_page_aligned,
     "assign_sequence": q_assign_sequence,
@@ -353,4 +381,5 @@ QUERIES = {
     "table_inventory": q_table_inventory,
     "wide_inventory": q_wide_inventory,
     "data_freshness": q_data_freshness,
+    "stream_extract": q_stream_extract,
 }
