@@ -26,7 +26,8 @@ def plan_summary(df: DataFrame) -> dict:
         "hash_exchanges": len(re.findall(r"Exchange hashpartitioning", text)),
         "broadcasts": len(re.findall(r"BroadcastExchange", text)),
         "scans": len(re.findall(r"FileScan|Scan parquet|Scan ExistingRDD|Scan JDBC", text)),
-        "pushed_filters": re.findall(r"PushedFilters: \[([^\]]*)\]", text),
+        # (the metadata string may be cut by spark.sql.maxMetadataStringLength)
+        "pushed_filters": re.findall(r"PushedFilters: \[([^\]]*)", text),
         "read_schemas": re.findall(r"ReadSchema: (struct<[^>]*>)", text),
         "top_k": "TakeOrderedAndProject" in text,
         "window": "Window" in text,

@@ -22,6 +22,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "8g")
+         .config("spark.sql.maxMetadataStringLength", "1000")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
         b = b.config("spark.checkpoint.dir",
