@@ -36,6 +36,9 @@ from ..functions.temporal import to_micros
 from ..session import checkpoint_dir
 
 
+HOT_ROWS_TO_DRIVER = 10_000
+
+
 def _order(ts: str, tiebreak, descending: bool) -> list[Column]:
     first = F.col(ts).desc_nulls_last() if descending else F.col(ts).asc_nulls_first()
     return [first] + [F.col(c).asc_nulls_first() for c in tiebreak]
@@ -65,13 +68,19 @@ def assign_sequence(df: DataFrame, keys, ts: str, tiebreak=(), out: str = "uniqu
     order = _order(ts, tiebreak, descending)
     tsu = to_micros(ts)
 
-    # 1. hot keys: size-bounded (<= N / limit rows), materialised once.
+    # 1. hot keys: size-bounded (<= N / limit rows), computed by one job.  A
+    #    handful comes back as rows; more than HOT_ROWS_TO_DRIVER is written
+    #    to the shared checkpoint folder instead of passing the driver.
     stats = (df.groupBy(*keys)
              .agg(F.count(F.lit(1)).alias("_seq_n"), F.min(tsu).alias("_seq_lo"),
                   F.max(tsu).alias("_seq_hi"))
              .filter(F.col("_seq_n") > limit))
-    hot = stats.checkpoint(eager=True)
-    if hot.isEmpty():
+    found = stats.limit(HOT_ROWS_TO_DRIVER + 1).collect()
+    if len(found) > HOT_ROWS_TO_DRIVER:
+        hot = stats.checkpoint(eager=True)
+    elif found:
+        hot = df.sparkSession.createDataFrame(found, stats.schema)
+    if not found:
         w = Window.partitionBy(*keys).orderBy(*order)
         res = df.withColumn(out, (F.row_number().over(w) + base_col).cast("long"))
         return res.drop("_seq_k") if whole else res

@@ -92,15 +92,16 @@ def resolve_points(telemetry: DataFrame, manifest: DataFrame, category: str,
     """
     m = (manifest.filter(F.col("category") == F.lit(category))
          .select(normalise_point("point").alias("point"), "ord"))
-    listed = [(r["point"], r["ord"]) for r in m.orderBy("ord", "point").collect()]
+    src = known_points if known_points is not None else telemetry
+    existing = (src.select("point").join(m.select("point"), "point", "left_semi")
+                .distinct().select("point", value_column_name("point").alias("name")))
+    # one job: the category's manifest rows (manifest-sized) with the derived
+    # name of each point that exists
+    rows = m.join(existing, "point", "left").orderBy("ord", "point").collect()
+    listed = [(r["point"], r["ord"]) for r in rows]
     if not listed:
         return [], []
-    src = known_points if known_points is not None else telemetry
-    existing = (src.select("point")
-                .join(F.broadcast(m.select("point")), "point", "left_semi")
-                .distinct())
-    named = existing.select("point", value_column_name("point").alias("name"))
-    found = {r["point"]: r["name"] for r in named.collect()}
+    found = {r["point"]: r["name"] for r in rows if r["name"] is not None}
     order, seen = [], set()
     for p, _ in listed:
         if p not in seen:
@@ -128,8 +129,14 @@ def build_wide(telemetry: DataFrame, manifest: DataFrame, category: str,
 
 
 def pivot_points(telemetry: DataFrame, points: list[str], names: list[str], kind: str,
-                 check_unique: bool = True) -> DataFrame:
-    """W-AGG: one shuffle on ``unique_id`` + pivot over the given points."""
+                 check_unique: bool = True,
+                 block_points: int = config.WIDE_BLOCK_POINTS) -> DataFrame:
+    """W-AGG: rows hash-partitioned on ``unique_id`` and pivoted over the given
+    points.  Up to ``block_points`` points the checks ride in the same
+    aggregate (per-point counts); beyond that they move to a narrow side
+    aggregate (see ``_pivot_many``) so that generated code stays small."""
+    if len(points) > block_points:
+        return _pivot_many(telemetry, points, names, kind, check_unique)
     ts_type = telemetry.schema["ts"].dataType
     # staged points are normalised on ingest, so the filter reaches the scan
     long = (telemetry.filter(F.col("point").isin(points))
@@ -145,22 +152,64 @@ def pivot_points(telemetry: DataFrame, points: list[str], names: list[str], kind
     conds: list[Column] = []
     if check_unique:
         most = ccol[points[0]] if len(points) == 1 else F.greatest(*ccol.values())
-        conds.append(F.when(most > 1, F.raise_error(F.lit(
-            "wide alignment: (point, unique_id) is not unique"))).otherwise(F.lit(True)))
+        conds.append(F.when(most > 1, F.raise_error(F.lit(_DUP))).otherwise(F.lit(True)))
     if kind == "aligned":
         conds.extend(c.isNotNull() for c in ccol.values())
     if conds:
         g = g.filter(reduce(lambda a, b: a & b, conds))
+    return g.select(*_wide_columns(points, names, kind, vcol, tcol, ts_type))
+
+
+_DUP = "wide alignment: (point, unique_id) is not unique"
+
 
+def _wide_columns(points, names, kind, vcol, tcol, ts_type) -> list[Column]:
+    if kind == "aligned":
+        cols = [F.col("unique_id"), from_micros(tcol[points[0]], ts_type).alias("timestamp")]
+        return cols + [vcol[p].alias(n) for p, n in zip(points, names)]
+    cols = [F.col("unique_id")]
+    for p, n in zip(points, names):
+        cols += [from_micros(tcol[p], ts_type).alias(f"timestamp_{n}"), vcol[p].alias(n)]
+    return cols
+
+
+def _pivot_many(telemetry, points, names, kind, check_unique) -> DataFrame:
+    """Many points: the pivot carries only values and times; the uniqueness
+    guard and the inner-kind completeness are computed on the narrow long
+    rows (per ``unique_id``) and applied as a semi join, so no per-row
+    expression spans all points.  Both sides read the same ``unique_id``
+    shuffle (one exchange, reused), and the semi join needs no other."""
+    ts_type = telemetry.schema["ts"].dataType
+    long = (telemetry.filter(F.col("point").isin(points))
+            .select("point", "unique_id", "value", to_micros("ts").alias("_t"))
+            .repartition("unique_id"))
+    g = (long.groupBy("unique_id").pivot("point", points)
+         .agg(F.first("value").alias("v"), F.first("_t").alias("t")))
+    if check_unique or kind == "aligned":
+        per = long.groupBy("unique_id", "point").agg(F.count(F.lit(1)).alias("_c"))
+        ids = per.groupBy("unique_id").agg(F.count(F.lit(1)).alias("_n"),
+                                           F.max("_c").alias("_m"))
+        conds: list[Column] = []
+        if check_unique:
+            conds.append(F.when(F.col("_m") > 1, F.raise_error(F.lit(_DUP)))
+                         .otherwise(F.lit(True)))
+        if kind == "aligned":
+            conds.append(F.col("_n") == F.lit(len(points)))
+        ids = ids.filter(reduce(lambda a, b: a & b, conds)).select("unique_id")
+        g = g.join(ids, "unique_id", "left_semi")
+    # thousands of columns: one selectExpr call (parsed JVM-side) instead of
+    # several py4j round trips per Column object
+    ts_sql = ts_type.simpleString()
     if kind == "aligned":
-        cols = [F.col("unique_id"),
-                from_micros(tcol[points[0]], ts_type).alias("timestamp")]
-        cols += [vcol[p].alias(n) for p, n in zip(points, names)]
+        exprs = ["unique_id", f"CAST(timestamp_micros({q(points[0] + '_t')}) AS {ts_sql}) "
+                              f"AS `timestamp`"]
+        exprs += [f"{q(p + '_v')} AS {q(n)}" for p, n in zip(points, names)]
     else:
-        cols = [F.col("unique_id")]
+        exprs = ["unique_id"]
         for p, n in zip(points, names):
-            cols += [from_micros(tcol[p], ts_type).alias(f"timestamp_{n}"), vcol[p].alias(n)]
-    return g.select(*cols)
+            exprs += [f"CAST(timestamp_micros({q(p + '_t')}) AS {ts_sql}) AS {q('timestamp_' + n)}",
+                      f"{q(p + '_v')} AS {q(n)}"]
+    return g.selectExpr(*exprs)
 
 
 def build_wide_join_chain(telemetry: DataFrame, points: list[str], names: list[str],

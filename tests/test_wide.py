@@ -99,3 +99,23 @@ def test_duplicate_ids_raise(spark):
     man = manifest_from_rows(spark, [("other", "a_t", 1), ("other", "b_h", 2)])
     with pytest.raises(Exception, match="not unique"):
         build_wide(st, man, "other").df.collect()
+
+
+@pytest.mark.parametrize("kind", ["aligned", "ragged"])
+def test_many_point_path_equals_single_pivot(spark, kind):
+    from canopy.operators.wide import pivot_points
+    st = td.staged(td.events_five(spark, SF01))
+    pts = ["click", "error", "purchase", "signup", "view"]
+    a = pivot_points(st, pts, pts, kind)
+    b = pivot_points(st, pts, pts, kind, block_points=2)
+    assert a.columns == b.columns and a.schema == b.schema
+    assert rows_of(a) == rows_of(b)
+
+
+def test_many_point_path_guard(spark):
+    from canopy.operators.wide import pivot_points
+    rows = [("a_t", 1, T0, 1.0), ("a_t", 1, T0, 2.0), ("b_h", 1, T0, 2.0), ("c_x", 1, T0, 1.0)]
+    st = spark.createDataFrame(rows, STAGED)
+    with pytest.raises(Exception, match="not unique"):
+        pivot_points(st, ["a_t", "b_h", "c_x"], ["t", "h", "x"], "ragged",
+                     block_points=1).collect()
