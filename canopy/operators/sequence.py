@@ -69,13 +69,13 @@ def assign_sequence(df: DataFrame, keys, ts: str, tiebreak=(), out: str = "uniqu
     tsu = to_micros(ts)
 
     # 1. hot keys: size-bounded (<= N / limit rows), computed by one job.  A
-    #    handful comes back as rows; more than HOT_ROWS_TO_DRIVER is written
-    #    to the shared checkpoint folder instead of passing the driver.
+    #    handful comes back as rows; more than HOT_ROWS_TO_DRIVER are
+    #    materialised in the shared checkpoint folder and read from there.
     stats = (df.groupBy(*keys)
              .agg(F.count(F.lit(1)).alias("_seq_n"), F.min(tsu).alias("_seq_lo"),
                   F.max(tsu).alias("_seq_hi"))
              .filter(F.col("_seq_n") > limit))
-    found = stats.limit(HOT_ROWS_TO_DRIVER + 1).collect()
+    found = stats.collect()                       # <= N / limit rows (bounded)
     if len(found) > HOT_ROWS_TO_DRIVER:
         hot = stats.checkpoint(eager=True)
     elif found:
