@@ -30,15 +30,48 @@ def day(c) -> Column:
     return F.to_date(_c(c))
 
 
-def to_micros(c) -> Column:
-    """Microseconds since the epoch of a TIMESTAMP or TIMESTAMP_NTZ column
-    (the session time zone is UTC, so both kinds map the same way)."""
-    return F.unix_micros(_c(c).cast(T.TimestampType()))
+_DAY_US = 86_400_000_000
+
+
+def to_micros_sql(name: str, data_type: T.DataType) -> str:
+    """Microseconds since the epoch as SQL text, independent of the session
+    time zone.  TIMESTAMP_NTZ uses wall-clock fields only (day number, hour,
+    minute, second), so readings inside a DST gap keep their order."""
+    c = f"`{name}`" if not name.startswith("`") else name
+    if isinstance(data_type, T.TimestampNTZType):
+        return (f"(CAST(unix_date(to_date({c})) AS BIGINT) * {_DAY_US}L + hour({c}) * 3600000000L"
+                f" + minute({c}) * 60000000L"
+                f" + CAST(date_part('SECOND', {c}) * 1000000L AS BIGINT))")
+    return f"unix_micros(CAST({c} AS TIMESTAMP))"
+
+
+def from_micros_sql(expr: str, data_type: T.DataType) -> str:
+    """Inverse of :func:`to_micros_sql` (wall-clock arithmetic for NTZ)."""
+    if isinstance(data_type, T.TimestampNTZType):
+        rem = f"pmod({expr}, {_DAY_US})"
+        return (f"(CAST(date_from_unix_date(CAST(({expr} - {rem}) div {_DAY_US} AS INT))"
+                f" AS TIMESTAMP_NTZ) + make_dt_interval(0, 0, 0,"
+                f" CAST({rem} / 1000000 AS DECIMAL(18, 6))))")
+    return f"CAST(timestamp_micros({expr}) AS {data_type.simpleString()})"
+
+
+def to_micros(c, data_type: T.DataType | None = None) -> Column:
+    """Column form of :func:`to_micros_sql` (``c`` is a column name)."""
+    return F.expr(to_micros_sql(c, data_type or T.TimestampType()))
 
 
 def from_micros(c, data_type: T.DataType) -> Column:
-    """Inverse of :func:`to_micros`, cast back to the original type."""
-    return F.timestamp_micros(_c(c)).cast(data_type)
+    """Column form of :func:`from_micros_sql` for a column or expression."""
+    if isinstance(c, str):
+        return F.expr(from_micros_sql(f"`{c}`", data_type))
+    if isinstance(data_type, T.TimestampNTZType):
+        day = F.lit(_DAY_US)
+        rem = F.pmod(c, day)
+        days = ((c - rem) / day).cast("int")
+        return (F.date_from_unix_date(days).cast(T.TimestampNTZType())
+                + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
+                                     (rem / F.lit(1_000_000)).cast(T.DecimalType(18, 6))))
+    return F.timestamp_micros(c).cast(data_type)
 
 
 def midnight(d: dt.date) -> dt.datetime:

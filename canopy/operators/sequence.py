@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.temporal import to_micros
+from ..functions.temporal import to_micros, to_micros_sql
 from ..session import checkpoint_dir
 
 
@@ -66,7 +66,8 @@ def assign_sequence(df: DataFrame, keys, ts: str, tiebreak=(), out: str = "uniqu
     base_col = (F.lit(0) if base is None else
                 (F.col(base) if isinstance(base, str) else base))
     order = _order(ts, tiebreak, descending)
-    tsu = to_micros(ts)
+    ts_type = df.schema[ts].dataType
+    tsu = to_micros(ts, ts_type)
 
     # 1. hot keys: size-bounded (<= N / limit rows), computed by one job.  A
     #    handful comes back as rows; more than HOT_ROWS_TO_DRIVER are
@@ -95,10 +96,10 @@ def assign_sequence(df: DataFrame, keys, ts: str, tiebreak=(), out: str = "uniqu
                   [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
     d = df.join(hotb, cond, "left").drop(*[f"_h_{k}" for k in keys])
     if descending:
-        idx = F.expr("(_seq_hi - unix_micros(cast(`%s` as timestamp))) div _seq_w" % ts)
+        idx = F.expr(f"(_seq_hi - {to_micros_sql(ts, ts_type)}) div _seq_w")
         null_bucket = F.col("_seq_nb")          # nulls last
     else:
-        idx = F.expr("(unix_micros(cast(`%s` as timestamp)) - _seq_lo) div _seq_w" % ts)
+        idx = F.expr(f"({to_micros_sql(ts, ts_type)} - _seq_lo) div _seq_w")
         null_bucket = F.lit(-1).cast("long")    # nulls first
     bucket = (F.when(F.col("_seq_nb").isNull(), F.lit(0).cast("long"))
               .when(F.col(ts).isNull(), null_bucket)

@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from .. import config
 from ..functions.names import normalise_point, value_column_name
-from ..functions.temporal import from_micros, to_micros
+from ..functions.temporal import from_micros, from_micros_sql, to_micros
 
 
 def q(name: str) -> str:
@@ -140,7 +140,7 @@ def pivot_points(telemetry: DataFrame, points: list[str], names: list[str], kind
     ts_type = telemetry.schema["ts"].dataType
     # staged points are normalised on ingest, so the filter reaches the scan
     long = (telemetry.filter(F.col("point").isin(points))
-            .select("point", "unique_id", "value", to_micros("ts").alias("_t")))
+            .select("point", "unique_id", "value", to_micros("ts", ts_type).alias("_t")))
     g = (long.repartition("unique_id")
          .groupBy("unique_id").pivot("point", points)
          .agg(F.first("value").alias("v"), F.first("_t").alias("t"),
@@ -181,7 +181,7 @@ def _pivot_many(telemetry, points, names, kind, check_unique) -> DataFrame:
     shuffle (one exchange, reused), and the semi join needs no other."""
     ts_type = telemetry.schema["ts"].dataType
     long = (telemetry.filter(F.col("point").isin(points))
-            .select("point", "unique_id", "value", to_micros("ts").alias("_t"))
+            .select("point", "unique_id", "value", to_micros("ts", ts_type).alias("_t"))
             .repartition("unique_id"))
     g = (long.groupBy("unique_id").pivot("point", points)
          .agg(F.first("value").alias("v"), F.first("_t").alias("t")))
@@ -199,15 +199,14 @@ def _pivot_many(telemetry, points, names, kind, check_unique) -> DataFrame:
         g = g.join(ids, "unique_id", "left_semi")
     # thousands of columns: one selectExpr call (parsed JVM-side) instead of
     # several py4j round trips per Column object
-    ts_sql = ts_type.simpleString()
     if kind == "aligned":
-        exprs = ["unique_id", f"CAST(timestamp_micros({q(points[0] + '_t')}) AS {ts_sql}) "
-                              f"AS `timestamp`"]
+        exprs = ["unique_id",
+                 f"{from_micros_sql(q(points[0] + '_t'), ts_type)} AS `timestamp`"]
         exprs += [f"{q(p + '_v')} AS {q(n)}" for p, n in zip(points, names)]
     else:
         exprs = ["unique_id"]
         for p, n in zip(points, names):
-            exprs += [f"CAST(timestamp_micros({q(p + '_t')}) AS {ts_sql}) AS {q('timestamp_' + n)}",
+            exprs += [f"{from_micros_sql(q(p + '_t'), ts_type)} AS {q('timestamp_' + n)}",
                       f"{q(p + '_v')} AS {q(n)}"]
     return g.selectExpr(*exprs)
 

@@ -14,7 +14,7 @@ so every query's work grows with the tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sequence import assign_sequence
@@ -60,12 +60,12 @@ def staged(source: DataFrame, tiebreak=("event_id",),
 
 
 def ordered_manifest(points: DataFrame, categories: list[str]) -> DataFrame:
-    """``category, point, ord``: the distinct points, in name order, listed under
-    each of ``categories``."""
+    """``category, point, ord``: the distinct points listed under each of
+    ``categories``; all share ``ord = 1``, and ties in ``ord`` resolve by point
+    name, so the order is the name order (no global ranking pass)."""
     dist = points.select("point").distinct()
-    ordered = dist.withColumn("ord", F.row_number().over(Window.orderBy("point")).cast("int"))
     cats = F.array(*[F.lit(c) for c in categories])
-    return ordered.select(F.explode(cats).alias("category"), "point", "ord")
+    return dist.select(F.explode(cats).alias("category"), "point", F.lit(1).alias("ord"))
 
 
 def bucket_manifest(staged_many: DataFrame) -> DataFrame:
@@ -75,10 +75,9 @@ def bucket_manifest(staged_many: DataFrame) -> DataFrame:
     counts = staged_many.groupBy("point").agg(F.count(F.lit(1)).alias("n"))
     cat = (F.when(F.col("n") < LESS_THAN, "less50")
            .when(F.col("n") <= UP_TO, "between50and100").otherwise("other"))
-    w = Window.partitionBy("category").orderBy(F.col("point").cast("long"), "point")
-    return (counts.withColumn("category", cat)
-            .withColumn("ord", F.row_number().over(w).cast("int"))
-            .select("category", "point", "ord"))
+    # ord = the numeric id itself (ties and non-numeric ids order by name)
+    return counts.select(cat.alias("category"), "point",
+                         F.coalesce(F.col("point").try_cast("int"), F.lit(0)).alias("ord"))
 
 
 def nation_points(spark: SparkSession, sf_dir: str, nation: str | None = None) -> DataFrame:
