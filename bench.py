@@ -14,8 +14,9 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from canopy import registry as R  # noqa: E402
-from canopy.operators.wide import build_wide_join_chain  # noqa: E402
-from canopy.session import local_session  # noqa: E402
+from canopy.operators.wide import build_wide, build_wide_join_chain  # noqa: E402
+from canopy.plans.inspect import plan_summary  # noqa: E402
+from canopy.session import local_session, scratch_path  # noqa: E402
 from canopy.sources import testdata as td  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -51,6 +52,29 @@ def run_once(spark, fn) -> float:
     return time.perf_counter() - t0
 
 
+def plan_counts(spark) -> dict:
+    """Exchanges and scans of the wide tables, pivot vs join chain, over the
+    five-point staging stored as Parquet (broadcast off, so every join shows
+    its shuffle as it would at scale)."""
+    path = scratch_path(spark, "bench-staged")
+    R.five_staged(spark, SF_DIR).write.parquet(path)
+    st = spark.read.parquet(path)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    out = {}
+    try:
+        for cat in ("type1", "other"):
+            w = build_wide(st, td.ordered_manifest(st, [cat]), cat)
+            for form, df in (("pivot", w.df),
+                             ("join_chain", build_wide_join_chain(st, w.points, w.names, w.kind))):
+                s = plan_summary(df)
+                out[f"{w.kind}_{form}"] = {"hash_exchanges": s["hash_exchanges"],
+                                           "scans": s["scans"]}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    return out
+
+
 def main():
     spark = local_session(CPUS, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")),
                           app="canopy-bench")
@@ -61,8 +85,8 @@ def main():
             table[name] = round(statistics.median(run_once(spark, fn) for _ in range(REPS)), 3)
     sf = os.path.basename(SF_DIR.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "sum_of_median_query_seconds", "value": round(sum(out.values()), 3),
-                      "unit": "sec", "queries": out, "compare": extra, "sf": sf,
-                      "cpus": CPUS}))
+                      "unit": "sec", "queries": out, "compare": extra,
+                      "plans": plan_counts(spark), "sf": sf, "cpus": CPUS}))
 
 
 if __name__ == "__main__":

@@ -57,6 +57,16 @@ def _run_ts(d: dt.date) -> dt.datetime:
     return dt.datetime.combine(d, dt.time(RUN_HOUR, 0))
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """What a run leaves behind is a stored table: write it (Parquet) below
+    the shared checkpoint folder, so the next run reads it instead of
+    recomputing the previous run's lineage."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "run-output")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 # ---------------------------------------------------------------- fixtures
 def five_staged(spark, sf):
     return td.staged(td.events_five(spark, sf))
@@ -81,9 +91,9 @@ def _events_runs(spark, sf, buffer_seconds=config.TIMESTAMP_BUFFER_SECONDS):
     pts = src.select("point").distinct()
     r1 = extract_and_stage(src, pts, FIRST_AS_OF, run_ts=_run_ts(FIRST_AS_OF),
                            tiebreak=["event_id"], buffer_seconds=buffer_seconds)
-    r2 = extract_and_stage(src, pts, SECOND_AS_OF, staged=r1.staged, state=r1.state,
-                           run_ts=_run_ts(SECOND_AS_OF), tiebreak=["event_id"],
-                           buffer_seconds=buffer_seconds)
+    r2 = extract_and_stage(src, pts, SECOND_AS_OF, staged=_written(r1.staged),
+                           state=_written(r1.state), run_ts=_run_ts(SECOND_AS_OF),
+                           tiebreak=["event_id"], buffer_seconds=buffer_seconds)
     return src, pts, r1, r2
 
 
@@ -95,9 +105,9 @@ def _lineitem_runs(spark, sf, first_biomes=None, second_biomes=None):
     p2 = man if second_biomes is None else man.filter(F.col("biome").isin(second_biomes))
     r1 = extract_and_stage(src, p1, LI_FIRST_AS_OF, run_ts=_run_ts(LI_FIRST_AS_OF),
                            tiebreak=tb, window_days=LI_WINDOW_DAYS)
-    r2 = extract_and_stage(src, p2, LI_SECOND_AS_OF, staged=r1.staged, state=r1.state,
-                           run_ts=_run_ts(LI_SECOND_AS_OF), tiebreak=tb,
-                           window_days=LI_WINDOW_DAYS)
+    r2 = extract_and_stage(src, p2, LI_SECOND_AS_OF, staged=_written(r1.staged),
+                           state=_written(r1.state), run_ts=_run_ts(LI_SECOND_AS_OF),
+                           tiebreak=tb, window_days=LI_WINDOW_DAYS)
     return r1, r2
 
 
