@@ -7,6 +7,9 @@
   are unioned into the long form, so the rest is one job.
 * :func:`long_source` -- an already long table (Parquet, a catalog table):
   column renames only; filters and pruning reach the scan.
+* :func:`staged_tables_to_long` -- per-point *staged* tables in the original
+  layout (``unique_id, timestamp, <value name>``), e.g. read over JDBC, into
+  the long staged form (migration of existing staging tables).
 """
 
 from __future__ import annotations
@@ -55,3 +58,39 @@ def jdbc_source(spark: SparkSession, url: str, tables: list[str], schema: str |
     if not frames:
         return spark.createDataFrame([], "point string, ts timestamp, value double")
     return reduce(DataFrame.unionByName, frames)
+
+
+EXCLUDED = ("timestamp", "unique_id")
+
+
+def value_column(columns: list[str]) -> str | None:
+    """The first column whose lower-cased name is neither ``timestamp`` nor
+    ``unique_id``; ``None`` when there is none."""
+    for c in columns:
+        if c.lower() not in EXCLUDED:
+            return c
+    return None
+
+
+def staged_tables_to_long(frames: dict[str, DataFrame]) -> tuple[DataFrame | None, list[str]]:
+    """Union per-point staged tables into ``point, unique_id, ts, value``.
+
+    A table without a value column, or with fewer than three columns, is
+    skipped (returned in the second element), as the alignment step of the
+    original skipped it.  Point names are normalised (trim, lower case).
+    """
+    from ..functions.names import normalise_point
+    parts, skipped = [], []
+    for point, df in frames.items():
+        cols = {c.lower(): c for c in df.columns}
+        v = value_column(df.columns)
+        if v is None or len(df.columns) < 3 or "unique_id" not in cols or "timestamp" not in cols:
+            skipped.append(point)
+            continue
+        parts.append(df.select(normalise_point(F.lit(point)).alias("point"),
+                               F.col(cols["unique_id"]).cast("long").alias("unique_id"),
+                               F.col(cols["timestamp"]).alias("ts"),
+                               F.col(v).cast("double").alias("value")))
+    if not parts:
+        return None, skipped
+    return reduce(lambda a, b: a.unionByName(b), parts), skipped

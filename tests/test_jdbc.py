@@ -43,3 +43,25 @@ def test_extract_from_jdbc(spark, derby):
     assert got == {"rf_air_temp": 40, "rf_soil_1": 25}
     v = r.new_rows.filter(F.col("unique_id") == 1).select("value").first()[0]
     assert v == 0.13                                  # ROUND(0.125, 2) half up
+
+
+def test_staged_tables_over_jdbc_to_long(spark, derby):
+    """Existing per-point staging tables (unique_id, timestamp, <value>) -> long form."""
+    from canopy.sources.telemetry import staged_tables_to_long, value_column
+    url, props = derby
+    t0 = dt.datetime(2024, 1, 1)
+    for name, col, n in (("STG_A_TEMP", "temp", 3), ("STG_B_RH", "rh", 2)):
+        df = spark.createDataFrame([(i + 1, t0 + dt.timedelta(hours=i), float(i)) for i in range(n)],
+                                   f"unique_id long, timestamp timestamp, {col} double")
+        (df.write.format("jdbc").option("url", url).option("dbtable", name)
+         .option("driver", props["driver"]).mode("overwrite").save())
+    frames = {t: spark.read.format("jdbc").option("url", url).option("dbtable", t)
+              .option("driver", props["driver"]).load() for t in ("STG_A_TEMP", "STG_B_RH")}
+    frames["EMPTY_ONE"] = spark.createDataFrame([], "unique_id long, timestamp timestamp")
+    long, skipped = staged_tables_to_long(frames)
+    assert skipped == ["EMPTY_ONE"]
+    got = sorted((r.point, r.unique_id) for r in long.collect())
+    assert got == [("stg_a_temp", 1), ("stg_a_temp", 2), ("stg_a_temp", 3),
+                   ("stg_b_rh", 1), ("stg_b_rh", 2)]
+    assert value_column(["UNIQUE_ID", "TimeStamp", "x", "y"]) == "x"
+    assert value_column(["unique_id", "timestamp"]) is None
