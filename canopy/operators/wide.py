@@ -32,7 +32,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import config
 from ..functions.names import normalise_point, value_column_name
