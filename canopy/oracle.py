@@ -307,6 +307,11 @@ SELECT 'other', point, min(value), max(value),
   CAST(round(CAST(avg(value) AS DECIMAL(38,12)), 6) AS DOUBLE), count(value)
 FROM {S5} s GROUP BY point""",
 
+        "column_stats_many_points": f"""SELECT point AS "column", min(value) AS min_value,
+  max(value) AS max_value, CAST(round(CAST(avg(value) AS DECIMAL(38,12)), 6) AS DOUBLE) AS avg_value,
+  count(value) AS non_null_count
+FROM {many_between} m GROUP BY point""",
+
         "unique_ids": f"""SELECT DISTINCT unique_id FROM {S5} s ORDER BY unique_id LIMIT {R.ID_LIMIT}""",
 
         "time_range": f"""SELECT 'type1' AS category, min("timestamp") AS start_time,

@@ -275,6 +275,14 @@ def q_column_stats(spark, sf):
                           .cast("double"))
 
 
+def q_column_stats_many_points(spark, sf):
+    """Column statistics of a wide table with more columns than one aggregate
+    should carry (the unpivot path)."""
+    out = Q.column_stats(many_wide(spark, sf, "between50and100").df)
+    return out.withColumn("avg_value", F.round(F.col("avg_value").cast("decimal(38,12)"), 6)
+                          .cast("double"))
+
+
 def q_unique_ids(spark, sf):
     w = five_wide(spark, sf, "other")
     return Q.unique_ids(w.df, "other", ID_LIMIT)
@@ -385,6 +393,7 @@ QUERIES = {
     "page_total": q_page_total,
     "table_stats": q_table_stats,
     "column_stats": q_column_stats,
+    "column_stats_many_points": q_column_stats_many_points,
     "unique_ids": q_unique_ids,
     "time_range": q_time_range,
     "tables_overview": q_tables_overview,

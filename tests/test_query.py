@@ -110,3 +110,13 @@ def test_tables_overview(spark, wide):
     assert ov["type1"].row_count == 1981
     assert [c.name for c in ov["type1"].columns][:2] == ["unique_id", "timestamp"]
     assert ov["type1"].columns[2].type == "double"
+
+
+def test_column_stats_many_columns_path(spark, monkeypatch):
+    df = spark.createDataFrame([(1, None, 1.0, 5), (2, None, 3.0, 7)],
+                               "unique_id long, a double, b double, c int")
+    wide = sorted(tuple(r) for r in Q.column_stats(df).collect())
+    monkeypatch.setattr(config, "WIDE_BLOCK_POINTS", 1)
+    assert sorted(tuple(r) for r in Q.column_stats(df).collect()) == wide
+    empty = Q.column_stats(df.limit(0)).collect()
+    assert sorted((r.column, r.non_null_count) for r in empty) == [("a", 0), ("b", 0), ("c", 0)]
