@@ -63,10 +63,14 @@ def control_table(points: DataFrame, as_of: dt.date, staged: DataFrame | None,
                   state: DataFrame | None,
                   buffer_seconds: float = config.TIMESTAMP_BUFFER_SECONDS,
                   window_days: int = config.ROLLING_WINDOW_DAYS,
-                  ts_type: T.DataType = T.TimestampType()) -> DataFrame:
-    """``point, start, base_id`` for every manifest point."""
+                  ts_type: T.DataType = T.TimestampType(),
+                  marks: DataFrame | None = None) -> DataFrame:
+    """``point, start, base_id`` for every manifest point.  ``marks``
+    (``point, _hwm, _max_id``) replaces the aggregation over ``staged``."""
     ctl = points
-    if staged is not None:
+    if marks is not None:
+        ctl = ctl.join(marks.select("point", "_hwm", "_max_id"), "point", "left")
+    elif staged is not None:
         marks = staged.groupBy("point").agg(F.max("ts").alias("_hwm"),
                                             F.max("unique_id").alias("_max_id"))
         ctl = ctl.join(marks, "point", "left")
@@ -92,7 +96,8 @@ def extract_and_stage(source: DataFrame, points: DataFrame, as_of: dt.date,
                       buffer_seconds: float = config.TIMESTAMP_BUFFER_SECONDS,
                       window_days: int = config.ROLLING_WINDOW_DAYS,
                       points_rows: int | None = None,
-                      max_rows_per_task: int | None = None) -> ExtractResult:
+                      max_rows_per_task: int | None = None,
+                      marks: DataFrame | None = None) -> ExtractResult:
     """One incremental run over all manifest points.
 
     ``source``: long source ``(point, ts, value, *tiebreak)`` (JDBC / Parquet).
@@ -100,13 +105,15 @@ def extract_and_stage(source: DataFrame, points: DataFrame, as_of: dt.date,
     e.g. by biome).  ``staged`` / ``state``: what earlier runs left (``None``
     on the first run).  ``points_rows``: number of manifest points if known
     (counted here otherwise -- the manifest is small) for the broadcast check.
+    ``marks``: per-point ``point, _hwm, _max_id`` known without scanning
+    ``staged`` (see ``plans.runner``); then ``staged`` may be ``None``.
     """
     ts_type = source.schema["ts"].dataType
     run_ts = run_ts or dt.datetime.combine(as_of, dt.time(0, 0))
     pts = manifest_points(points)
     if points_rows is None:
         points_rows = pts.count()
-    ctl = control_table(pts, as_of, staged, state, buffer_seconds, window_days, ts_type)
+    ctl = control_table(pts, as_of, staged, state, buffer_seconds, window_days, ts_type, marks)
 
     end = ts_literal(run_end(as_of), ts_type)
     src = (source.withColumn("point", normalise_point("point"))

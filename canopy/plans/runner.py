@@ -2,9 +2,12 @@
 tables, CSV export), against the stores of one root folder.
 
 Write order per extract run: the batch's rows first, then the state computed
-from the rows as written, then the retention drop -- so a failure in between
-never lets a later run reuse committed ids (the durable counter also takes
-``max(unique_id)`` of the data into account).  Every run has an id; a replayed
+from the rows as written, then the high-water marks, then the retention drop
+-- so a failure in between never lets a later run reuse committed ids (the
+durable counter also takes ``max(unique_id)`` of the data into account), and
+a later run reads the rows of a run whose marks are missing.  High-water
+marks come from the marks snapshot, not from a scan of the staged table, so
+the cost of a run follows its new rows, not the retained window.  Every run has an id; a replayed
 run (same id) reads only what earlier runs wrote and rewrites its own output,
 giving the same ids.
 
@@ -21,11 +24,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.temporal import retention_cutoff
+from ..functions.temporal import retention_cutoff, ts_literal
 from ..operators.extract import extract_and_stage, make_batch_state, manifest_points
 from ..operators.state import upsert_state
 from ..operators.wide import build_wide
-from ..sources.store import StagedStore, StateStore, WideStore
+from ..sources.store import MarksStore, StagedStore, StateStore, WideStore
 from .inspect import explain_text
 
 
@@ -34,10 +37,33 @@ class Stores:
     staged: StagedStore
     state: StateStore
     wide: WideStore
+    marks: MarksStore
 
 
 def open_stores(spark: SparkSession, root: str) -> Stores:
-    return Stores(StagedStore(spark, root), StateStore(spark, root), WideStore(spark, root))
+    return Stores(StagedStore(spark, root), StateStore(spark, root), WideStore(spark, root),
+                  MarksStore(spark, root))
+
+
+def _start_marks(stores: Stores, run_id: int):
+    """Per-point ``point, _hwm, _max_id`` of the staged rows before ``run_id``
+    without scanning the whole staged table: the last marks snapshot (valid
+    while ``last_ts >= retained_from``) combined with the rows of any later
+    runs that never wrote marks (a crash between data and marks).  ``None``
+    when no snapshot exists yet -- then the staged table is aggregated."""
+    prev, version = stores.marks.latest(run_id)
+    if prev is None:
+        return None
+    m = prev.select("point",
+                    F.when(F.col("last_ts") >= F.col("retained_from"), F.col("last_ts"))
+                    .alias("_hwm"),
+                    F.lit(None).cast("long").alias("_max_id"))
+    recent = stores.staged.read_runs_between(version, run_id)
+    if recent is not None:
+        m = m.unionByName(recent.groupBy("point").agg(
+            F.max("ts").cast(prev.schema["last_ts"].dataType).alias("_hwm"),
+            F.max("unique_id").alias("_max_id")))
+    return m.groupBy("point").agg(F.max("_hwm").alias("_hwm"), F.max("_max_id").alias("_max_id"))
 
 
 def run_extract(spark: SparkSession, source: DataFrame, points: DataFrame, stores: Stores,
@@ -48,22 +74,55 @@ def run_extract(spark: SparkSession, source: DataFrame, points: DataFrame, store
     """One extract run; returns a per-point status frame
     ``point, new_rows, last_used_id`` (or the plan text when ``dry_run``)."""
     run_ts = run_ts or dt.datetime.combine(as_of, dt.time(0, 0))
-    staged = stores.staged.read(before_run=run_id)
     state = stores.state.read(before_run=run_id)
-    res = extract_and_stage(source, points, as_of, staged, state, run_ts, tiebreak,
-                            buffer_seconds, window_days, max_rows_per_task=max_rows_per_task)
+    marks = _start_marks(stores, run_id)
+    staged = stores.staged.read(before_run=run_id) if marks is None else None
+    if marks is None and staged is not None:
+        marks = staged.groupBy("point").agg(F.max("ts").alias("_hwm"),
+                                            F.max("unique_id").alias("_max_id"))
+    res = extract_and_stage(source, points, as_of, None, state, run_ts, tiebreak,
+                            buffer_seconds, window_days, max_rows_per_task=max_rows_per_task,
+                            marks=marks)
     if dry_run:
         return explain_text(res.new_rows)
     stores.staged.write_run(res.new_rows, run_id)                     # 1. data
-    written = stores.staged.read_run(run_id)
+    written = (stores.staged.read_run(run_id) if run_id in stores.staged.runs()
+               else res.new_rows.limit(0))                          # the run added nothing
     batch_state = make_batch_state(res.control, written, as_of, run_ts)
     stores.state.write(upsert_state(state, batch_state), run_id)      # 2. state
-    stores.staged.purge_before(retention_cutoff(as_of, window_days).date())  # 3. retention
+    cutoff = retention_cutoff(as_of, window_days)
+    _write_marks(stores, marks, written, cutoff, run_id)              # 3. marks
+    stores.staged.purge_before(cutoff.date())                         # 4. retention
     counts = written.groupBy("point").agg(F.count(F.lit(1)).alias("new_rows"))
     return (batch_state.join(counts, "point", "left")
             .select("point", F.coalesce("new_rows", F.lit(0)).alias("new_rows"), "last_used_id"))
 
 
+def _write_marks(stores: Stores, marks, written: DataFrame, cutoff: dt.datetime,
+                 run_id: int) -> None:
+    """New snapshot: ``last_ts`` = newest reading ever staged per point (the
+    previous marks and this run's rows), ``retained_from`` = the retention
+    cutoff the store honours after this run (the purge is table-wide)."""
+    ts_type = written.schema["ts"].dataType
+    prev, _ = stores.marks.latest(run_id)
+    parts = [written.groupBy("point").agg(F.max("ts").alias("last_ts"))]
+    if marks is not None:
+        parts.append(marks.select("point", F.col("_hwm").cast(ts_type).alias("last_ts")))
+    if prev is not None:
+        parts.append(prev.select("point", F.col("last_ts").cast(ts_type)))
+    last = parts[0]
+    for p in parts[1:]:
+        last = last.unionByName(p)
+    retained = ts_literal(cutoff, ts_type)
+    if prev is not None:
+        old = prev.agg(F.max("retained_from").alias("r")).first()["r"]
+        if old is not None and old > cutoff:
+            retained = ts_literal(old, ts_type)
+    snap = (last.groupBy("point").agg(F.max("last_ts").alias("last_ts"))
+            .withColumn("retained_from", retained))
+    stores.marks.write(snap, run_id)
+
+
 def run_transform(spark: SparkSession, stores: Stores, manifest: DataFrame, run_id: int,
                   categories=None, export_root: str | None = None,
                   when: dt.datetime | None = None, dry_run: bool = False):

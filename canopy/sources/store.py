@@ -70,7 +70,9 @@ class StagedStore:
         self.fs = _FS(spark, root)
 
     def runs(self) -> list[int]:
-        return _runs(self.fs, self.path)
+        """Runs that still hold at least one day partition."""
+        return [r for r in _runs(self.fs, self.path)
+                if any(n.startswith("day=") for n in self.fs.children(f"{self.path}/run={r}"))]
 
     def read(self, before_run: int | None = None) -> DataFrame | None:
         """Staged rows (of runs ``< before_run`` if given); ``None`` if empty."""
@@ -82,6 +84,15 @@ class StagedStore:
             df = df.filter(F.col("run") < F.lit(before_run))
         return df.select(*STAGED_COLUMNS)
 
+    def read_runs_between(self, after: int, before: int) -> DataFrame | None:
+        """Rows of runs ``after < run < before`` (partition-pruned); ``None``
+        when there are none."""
+        if not [r for r in self.runs() if after < r < before]:
+            return None
+        return (self.spark.read.option("basePath", self.path).parquet(self.path)
+                .filter((F.col("run") > F.lit(after)) & (F.col("run") < F.lit(before)))
+                .select(*STAGED_COLUMNS))
+
     def read_run(self, run_id: int) -> DataFrame:
         return (self.spark.read.option("basePath", self.path).parquet(self.path)
                 .filter(F.col("run") == F.lit(run_id)).select(*STAGED_COLUMNS))
@@ -102,10 +113,13 @@ class StagedStore:
         n = 0
         for r in self.runs():
             run_dir = f"{self.path}/run={r}"
-            for name in self.fs.children(run_dir):
-                if name.startswith("day=") and name[4:] < cutoff.isoformat():
-                    self.fs.delete(f"{run_dir}/{name}")
-                    n += 1
+            days = [d for d in self.fs.children(run_dir) if d.startswith("day=")]
+            old = [d for d in days if d[4:] < cutoff.isoformat()]
+            for name in old:
+                self.fs.delete(f"{run_dir}/{name}")
+                n += 1
+            if old and len(old) == len(days):
+                self.fs.delete(run_dir)             # nothing of this run is left
         return n
 
 
@@ -128,6 +142,24 @@ class StateStore:
         state.write.mode("overwrite").parquet(f"{self.path}/run={run_id}")
 
 
+class MarksStore(StateStore):
+    """Per-point high-water marks ``point, last_ts, retained_from`` (one
+    snapshot per run): the newest reading ever staged for the point and the
+    retention cutoff applied to the store.  The high-water mark of the staged
+    rows is then ``last_ts`` when ``last_ts >= retained_from`` (else every row
+    of the point was purged) -- exact, without scanning the staged table."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        super().__init__(spark, root)
+        self.path = root.rstrip("/") + "/marks"
+
+    def latest(self, before_run: int) -> tuple[DataFrame | None, int | None]:
+        vs = [v for v in self.versions() if v < before_run]
+        if not vs:
+            return None, None
+        return self.spark.read.parquet(f"{self.path}/run={vs[-1]}"), vs[-1]
+
+
 class WideStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.path = spark, root.rstrip("/") + "/wide"
