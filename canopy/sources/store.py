@@ -12,6 +12,9 @@ Layouts (all below one root folder):
 * ``state/run=<id>/`` -- one full snapshot of the per-point run state per
   run; the newest complete snapshot is current.  A new snapshot never
   overwrites the folder it was computed from.
+* ``marks/run=<id>/`` -- per-point ``last_ts`` (newest reading ever staged)
+  and ``retained_from`` (retention cutoff honoured by the store), so a run
+  knows every point's high-water mark without scanning the staged table.
 * ``wide/<table>/run=<id>/`` -- one version per transform run; versions that
   came out empty are removed again, so the previous table stays current
   (skip-on-empty).
