@@ -175,15 +175,13 @@ def _wide_columns(points, names, kind, vcol, tcol, ts_type) -> list[Column]:
 def _pivot_many(telemetry, points, names, kind, check_unique) -> DataFrame:
     """Many points: the pivot carries only values and times; the uniqueness
     guard and the inner-kind completeness are computed on the narrow long
-    rows (per ``unique_id``) and applied as a semi join, so no per-row
-    expression spans all points.  Both sides read the same ``unique_id``
-    shuffle (one exchange, reused), and the semi join needs no other."""
+    rows (per ``unique_id``) and applied to them as a semi join before the
+    pivot, so no per-row expression or join spans all points.  Everything
+    reads the same ``unique_id`` shuffle (one exchange, reused)."""
     ts_type = telemetry.schema["ts"].dataType
     long = (telemetry.filter(F.col("point").isin(points))
             .select("point", "unique_id", "value", to_micros("ts", ts_type).alias("_t"))
             .repartition("unique_id"))
-    g = (long.groupBy("unique_id").pivot("point", points)
-         .agg(F.first("value").alias("v"), F.first("_t").alias("t")))
     if check_unique or kind == "aligned":
         per = long.groupBy("unique_id", "point").agg(F.count(F.lit(1)).alias("_c"))
         ids = per.groupBy("unique_id").agg(F.count(F.lit(1)).alias("_n"),
@@ -195,7 +193,11 @@ def _pivot_many(telemetry, points, names, kind, check_unique) -> DataFrame:
         if kind == "aligned":
             conds.append(F.col("_n") == F.lit(len(points)))
         ids = ids.filter(reduce(lambda a, b: a & b, conds)).select("unique_id")
-        g = g.join(ids, "unique_id", "left_semi")
+        # the semi join runs on the narrow long rows (not on thousands of
+        # pivoted columns); both sides keep the unique_id partitioning
+        long = long.join(ids, "unique_id", "left_semi")
+    g = (long.groupBy("unique_id").pivot("point", points)
+         .agg(F.first("value").alias("v"), F.first("_t").alias("t")))
     # thousands of columns: one selectExpr call (parsed JVM-side) instead of
     # several py4j round trips per Column object
     if kind == "aligned":
