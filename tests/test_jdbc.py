@@ -15,7 +15,7 @@ def derby(spark):
     url = f"jdbc:derby:memory:src{uuid.uuid4().hex[:8]};create=true"
     props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
     t0 = dt.datetime(2024, 1, 1)
-    for name, n in (("RF_AIR_TEMP", 40), ("RF_SOIL_1", 25)):
+    for name, n in (("SX_AIR_TEMP", 40), ("SX_SOIL_1", 25)):
         rows = [(t0 + dt.timedelta(hours=i), float(i) + 0.125) for i in range(n)]
         df = spark.createDataFrame(rows, "timestamp timestamp, value double")
         (df.write.format("jdbc").option("url", url).option("dbtable", name)
@@ -25,7 +25,7 @@ def derby(spark):
 
 def test_partitioned_read_and_pushdown(spark, derby):
     url, props = derby
-    src = jdbc_source(spark, url, ["RF_AIR_TEMP", "RF_SOIL_1"], ts_col="timestamp",
+    src = jdbc_source(spark, url, ["SX_AIR_TEMP", "SX_SOIL_1"], ts_col="timestamp",
                       lower=dt.datetime(2024, 1, 1), upper=dt.datetime(2024, 1, 3),
                       num_partitions=4, properties=props)
     assert src.count() == 65
@@ -36,11 +36,11 @@ def test_partitioned_read_and_pushdown(spark, derby):
 
 def test_extract_from_jdbc(spark, derby):
     url, props = derby
-    src = jdbc_source(spark, url, ["RF_AIR_TEMP", "RF_SOIL_1"], properties=props)
-    pts = spark.createDataFrame([("RF_AIR_TEMP",), ("RF_SOIL_1",)], "point string")
+    src = jdbc_source(spark, url, ["SX_AIR_TEMP", "SX_SOIL_1"], properties=props)
+    pts = spark.createDataFrame([("SX_AIR_TEMP",), ("SX_SOIL_1",)], "point string")
     r = extract_and_stage(src, pts, dt.date(2024, 1, 2))
     got = {x.point: x.n for x in r.new_rows.groupBy("point").agg(F.count("*").alias("n")).collect()}
-    assert got == {"rf_air_temp": 40, "rf_soil_1": 25}
+    assert got == {"sx_air_temp": 40, "sx_soil_1": 25}
     v = r.new_rows.filter(F.col("unique_id") == 1).select("value").first()[0]
     assert v == 0.13                                  # ROUND(0.125, 2) half up
 

@@ -6,20 +6,20 @@ from canopy.sources.manifest import category_manifest, point_manifest
 def test_point_manifest(spark, tmp_root):
     p = os.path.join(tmp_root, "points.csv")
     with open(p, "w") as f:
-        f.write("BIOMNAME,TABLE_NAME,OTHER\nRainforest,RF_AIR_TEMP,x\nDesert,DS_SOIL_1,y\n"
-                "Rainforest,RF_AHUR_2-b,z\n")
-    got = [r.point for r in point_manifest(spark, p, "Rainforest").collect()]
-    assert got == ["RF_AIR_TEMP", "RF_AHUR_2-b"]
-    assert point_manifest(spark, os.path.join(tmp_root, "missing.csv"), "Rainforest").count() == 0
+        f.write("BIOMNAME,TABLE_NAME,OTHER\nWetland,WL_AIR_TEMP,x\nDesert,DS_SOIL_1,y\n"
+                "Wetland,WL_AHUR_2-b,z\n")
+    got = [r.point for r in point_manifest(spark, p, "Wetland").collect()]
+    assert got == ["WL_AIR_TEMP", "WL_AHUR_2-b"]
+    assert point_manifest(spark, os.path.join(tmp_root, "missing.csv"), "Wetland").count() == 0
     bad = os.path.join(tmp_root, "bad.csv")
     with open(bad, "w") as f:
         f.write("A,B\n1,2\n")
-    assert point_manifest(spark, bad, "Rainforest").count() == 0
+    assert point_manifest(spark, bad, "Wetland").count() == 0
 
 
 def test_category_manifest_keeps_row_order(spark, tmp_root):
     p = os.path.join(tmp_root, "cats.csv")
     with open(p, "w") as f:
-        f.write("Id,Table Name,Rows\ntype1,RF_B_TEMP,10\nother, RF_Z_1 ,3\ntype1,RF_A_RH,10\n")
+        f.write("Id,Table Name,Rows\ntype1,SX_B_TEMP,10\nother, SX_Z_1 ,3\ntype1,SX_A_RH,10\n")
     rows = sorted((r.category, r.ord, r.point) for r in category_manifest(spark, p).collect())
-    assert rows == [("other", 1, "rf_z_1"), ("type1", 1, "rf_b_temp"), ("type1", 2, "rf_a_rh")]
+    assert rows == [("other", 1, "sx_z_1"), ("type1", 1, "sx_b_temp"), ("type1", 2, "sx_a_rh")]

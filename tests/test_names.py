@@ -8,7 +8,7 @@ from canopy.operators.wide import resolve_names
 CASES = [
     ("A_B_TEMP", "temp"), ("A_TEMP_1", "temp_1"), ("X_AHUR_2-b", "ahur_2_b"),
     ("Z_xAhur_T_1", "ahur_t_1"), ("NOSEP", "nosep"), ("B_7", "b_7"), ("ahur", "ahur"),
-    ("A_", "a_"), ("7", "7"), ("a-b c.d", "a_b_c_d"), ("RF_CO2_PPM", "ppm"),
+    ("A_", "a_"), ("7", "7"), ("a-b c.d", "a_b_c_d"), ("SX_CO2_PPM", "ppm"),
 ]
 
 
@@ -24,8 +24,8 @@ def test_null_name(spark):
 
 
 def test_normalise_point(spark):
-    df = spark.createDataFrame([("  RF_Temp_1 \t",)], "p string")
-    assert df.select(normalise_point("p").alias("n")).first()["n"] == "rf_temp_1"
+    df = spark.createDataFrame([("  SX_Temp_1 \t",)], "p string")
+    assert df.select(normalise_point("p").alias("n")).first()["n"] == "sx_temp_1"
 
 
 def test_round_reading_decimal_semantics(spark):
