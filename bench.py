@@ -76,7 +76,8 @@ def plan_counts(spark) -> dict:
 
 
 def main():
-    spark = local_session(CPUS, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")),
+    # local mode: one shuffle partition per core (AQE coalesces further)
+    spark = local_session(CPUS, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", CPUS)),
                           app="canopy-bench")
     out, extra = {}, {}
     for table, fns in ((out, HEADLINE), (extra, COMPARE)):
@@ -86,7 +87,8 @@ def main():
     sf = os.path.basename(SF_DIR.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "sum_of_median_query_seconds", "value": round(sum(out.values()), 3),
                       "unit": "sec", "queries": out, "compare": extra,
-                      "plans": plan_counts(spark), "sf": sf, "cpus": CPUS}))
+                      "plans": plan_counts(spark), "sf": sf, "cpus": CPUS,
+                      "shuffle_partitions": spark.conf.get("spark.sql.shuffle.partitions")}))
 
 
 if __name__ == "__main__":
