@@ -114,3 +114,20 @@ def test_upsert(spark):
                                  ("c", dt.date(2024, 1, 2), dt.datetime(2024, 1, 2), 1)], STATE)
     got = {r.point: r.last_used_id for r in upsert_state(old, new).collect()}
     assert got == {"a": 1, "b": 5, "c": 1}
+
+
+def test_extract_plan_pushdown_and_broadcast(spark, tmp_root):
+    """The run's upper bound reaches the Parquet scan, only the needed columns
+    are read, and the per-point control table is broadcast (its row count is
+    known from the manifest)."""
+    from canopy.plans.inspect import plan_summary
+    from canopy.sources import testdata as td
+    from conftest import SF001
+    src = td.events_five(spark, SF001)          # the full events table: 6 columns
+    r = extract_and_stage(src, pts(spark, "click", "view"), AS_OF, tiebreak=["event_id"])
+    s = plan_summary(r.new_rows)
+    scan_filters = " ".join(s["pushed_filters"])
+    assert "LessThan(ts," in scan_filters
+    assert s["broadcasts"] >= 1
+    assert s["read_schemas"] and all("props" not in rs and "user_id" not in rs
+                                     for rs in s["read_schemas"])
