@@ -150,7 +150,8 @@ def make_batch_state(ctl: DataFrame, batch_rows: DataFrame, as_of: dt.date,
 
 
 def late_rows(source: DataFrame, staged: DataFrame, points: DataFrame, first_as_of: dt.date,
-              last_as_of: dt.date, window_days: int = config.ROLLING_WINDOW_DAYS) -> DataFrame:
+              last_as_of: dt.date, window_days: int = config.ROLLING_WINDOW_DAYS,
+              points_rows: int | None = None) -> DataFrame:
     """Audit of dropped late data: per point, source rows inside the pulled
     window (after the first run's lookback, before the end of the last run
     day) that are missing from staging.  Matched on ``(point, ts)``."""
@@ -158,9 +159,9 @@ def late_rows(source: DataFrame, staged: DataFrame, points: DataFrame, first_as_
     lo = ts_literal(lookback_start(first_as_of, window_days), ts_type)
     hi = ts_literal(run_end(last_as_of), ts_type)
     pts = manifest_points(points)
-    src = (source.withColumn("point", normalise_point("point"))
-           .filter((F.col("ts") > lo) & (F.col("ts") < hi))
-           .join(pts, "point", "left_semi"))
+    src = join_small(source.withColumn("point", normalise_point("point"))
+                     .filter((F.col("ts") > lo) & (F.col("ts") < hi)),
+                     pts, "point", "left_semi", points_rows)
     missing = src.join(staged.select("point", "ts"), ["point", "ts"], "left_anti")
     return missing.groupBy("point").agg(F.count(F.lit(1)).alias("late_rows"),
                                         F.min("ts").alias("first_late_ts"),
