@@ -8,7 +8,8 @@ it all.  We therefore number in two levels:
    the shuffle) finds the *hot* keys -- keys with more rows than
    ``max_rows_per_task`` -- together with their time range.  There are at most
    ``N / max_rows_per_task`` of them, so this table has a proven size bound;
-   it is checkpointed to the shared folder and broadcast.
+   up to 10,000 rows come back in the same job and are broadcast, a larger
+   table is checkpointed to the shared folder first.
 2. rows of a hot key are cut into ``ceil(n / max_rows_per_task)`` equal-width
    time buckets.  Because the bucket is a monotone function of the sort key
    (ts), ordering by ``(bucket, ts, tie-break)`` equals ordering by
