@@ -30,6 +30,7 @@ from ..operators.state import upsert_state
 from ..operators.query import timestamp_column
 from ..operators.wide import build_wide
 from ..sources.store import MarksStore, StagedStore, StateStore, WideStore
+from ..session import scratch_path
 from .inspect import explain_text
 
 
@@ -56,7 +57,8 @@ def _start_marks(stores: Stores, run_id: int):
     if prev is None:
         return None
     m = prev.select("point",
-                    F.when(F.col("last_ts") >= F.col("retained_from"), F.col("last_ts"))
+                    F.when(F.col("retained_from").isNull()
+                           | (F.col("last_ts") >= F.col("retained_from")), F.col("last_ts"))
                     .alias("_hwm"),
                     F.lit(None).cast("long").alias("_max_id"))
     recent = stores.staged.read_runs_between(version, run_id)
@@ -92,35 +94,44 @@ def run_extract(spark: SparkSession, source: DataFrame, points: DataFrame, store
     batch_state = make_batch_state(res.control, written, as_of, run_ts)
     stores.state.write(upsert_state(state, batch_state), run_id)      # 2. state
     cutoff = retention_cutoff(as_of, window_days)
-    _write_marks(stores, marks, written, cutoff, run_id)              # 3. marks
-    stores.staged.purge_before(cutoff.date())                         # 4. retention
+    pts = manifest_points(points)
+    _write_marks(stores, marks, written, cutoff, run_id, pts)         # 3. marks
+    stores.staged.purge_before(cutoff.date(), pts,                    # 4. retention
+                               scratch=scratch_path(spark, "purge"))  #    (run's points only)
     counts = written.groupBy("point").agg(F.count(F.lit(1)).alias("new_rows"))
     return (batch_state.join(counts, "point", "left")
             .select("point", F.coalesce("new_rows", F.lit(0)).alias("new_rows"), "last_used_id"))
 
 
 def _write_marks(stores: Stores, marks, written: DataFrame, cutoff: dt.datetime,
-                 run_id: int) -> None:
+                 run_id: int, pts: DataFrame) -> None:
     """New snapshot: ``last_ts`` = newest reading ever staged per point (the
-    previous marks and this run's rows), ``retained_from`` = the retention
-    cutoff the store honours after this run (the purge is table-wide)."""
+    previous marks and this run's rows); ``retained_from`` = the retention
+    cutoff honoured for the point -- raised to this run's cutoff for the
+    run's manifest points (the ones it purges), kept for the others."""
     ts_type = written.schema["ts"].dataType
     prev, _ = stores.marks.latest(run_id)
-    parts = [written.groupBy("point").agg(F.max("ts").alias("last_ts"))]
+    null_ts = F.lit(None).cast(ts_type)
+    parts = [written.groupBy("point").agg(F.max("ts").alias("last_ts"))
+             .withColumn("retained_from", null_ts)]
     if marks is not None:
-        parts.append(marks.select("point", F.col("_hwm").cast(ts_type).alias("last_ts")))
+        parts.append(marks.select("point", F.col("_hwm").cast(ts_type).alias("last_ts"),
+                                  null_ts.alias("retained_from")))
     if prev is not None:
-        parts.append(prev.select("point", F.col("last_ts").cast(ts_type)))
+        parts.append(prev.select("point", F.col("last_ts").cast(ts_type),
+                                 F.col("retained_from").cast(ts_type)))
     last = parts[0]
     for p in parts[1:]:
         last = last.unionByName(p)
-    retained = ts_literal(cutoff, ts_type)
-    if prev is not None:
-        old = prev.agg(F.max("retained_from").alias("r")).first()["r"]
-        if old is not None and old > cutoff:
-            retained = ts_literal(old, ts_type)
-    snap = (last.groupBy("point").agg(F.max("last_ts").alias("last_ts"))
-            .withColumn("retained_from", retained))
+    snap = last.groupBy("point").agg(F.max("last_ts").alias("last_ts"),
+                                     F.max("retained_from").alias("retained_from"))
+    in_run = pts.select("point").distinct().withColumn("_in_run", F.lit(True))
+    snap = (snap.join(in_run, "point", "left")
+            .withColumn("retained_from",
+                        F.when(F.col("_in_run"),
+                               F.greatest("retained_from", ts_literal(cutoff, ts_type)))
+                        .otherwise(F.col("retained_from")))
+            .drop("_in_run"))
     stores.marks.write(snap, run_id)
 
 

@@ -8,7 +8,8 @@ Layouts (all below one root folder):
   own files (idempotent).  Readers can ask for the rows of runs before a given
   id, which is what makes a replayed micro-batch number its rows the same way.
   Retention drops whole ``day`` partitions older than the cutoff -- a
-  metadata operation, no rewrite (the cutoff is always a midnight).
+  metadata operation, no rewrite (the cutoff is always a midnight); only a
+  day folder that also holds points outside the run's manifest is rewritten.
 * ``state/run=<id>/`` -- one full snapshot of the per-point run state per
   run; the newest complete snapshot is current.  A new snapshot never
   overwrites the folder it was computed from.
@@ -55,6 +56,13 @@ class _FS:
     def delete(self, path: str) -> None:
         self.fs.delete(self._Path(path), True)
 
+    def rename(self, src: str, dst: str) -> None:
+        parent = self._Path(dst).getParent()
+        if not self.fs.exists(parent):
+            self.fs.mkdirs(parent)
+        if not self.fs.rename(self._Path(src), self._Path(dst)):
+            raise OSError(f"rename failed: {src} -> {dst}")
+
 
 def _runs(fs: _FS, path: str) -> list[int]:
     out = []
@@ -110,20 +118,49 @@ class StagedStore:
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("run", "day").parquet(self.path))
 
-    def purge_before(self, cutoff: dt.date) -> int:
-        """Drop every ``day`` partition before ``cutoff``; returns the number
-        of partition folders removed."""
-        n = 0
+    def purge_before(self, cutoff: dt.date, points: DataFrame | None = None,
+                     scratch: str | None = None) -> int:
+        """Retention: remove rows with ``day < cutoff``.  Without ``points``
+        every old ``day`` folder is dropped (metadata only).  With ``points``
+        (the run's manifest) only those points are purged: an old folder that
+        holds nothing else is dropped; one that also holds other points is
+        rewritten with just their rows (written to ``scratch`` by one Spark
+        job, then moved in place; the old folder is moved aside first, so a
+        failure loses nothing).  Returns the number of folders removed or
+        rewritten."""
+        old = []
         for r in self.runs():
             run_dir = f"{self.path}/run={r}"
-            days = [d for d in self.fs.children(run_dir) if d.startswith("day=")]
-            old = [d for d in days if d[4:] < cutoff.isoformat()]
-            for name in old:
-                self.fs.delete(f"{run_dir}/{name}")
-                n += 1
-            if old and len(old) == len(days):
-                self.fs.delete(run_dir)             # nothing of this run is left
-        return n
+            old += [(r, d[4:]) for d in self.fs.children(run_dir)
+                    if d.startswith("day=") and d[4:] < cutoff.isoformat()]
+        if not old:
+            return 0
+        keep_parts: set[tuple[int, str]] = set()
+        if points is not None:
+            rows = (self.spark.read.option("basePath", self.path).parquet(self.path)
+                    .filter(F.col("day") < F.lit(cutoff)))
+            keep = rows.join(points.select("point").distinct(), "point", "left_anti")
+            found = keep.groupBy("run", "day").count().collect()   # <= number of old folders
+            keep_parts = {(int(x["run"]), x["day"].isoformat()) for x in found}
+            if keep_parts:
+                if scratch is None:
+                    raise ValueError("a scratch folder is needed to rewrite partitions")
+                (keep.select(*STAGED_COLUMNS, "run", "day").sortWithinPartitions("day", "point", "ts")
+                 .write.partitionBy("run", "day").parquet(scratch))
+        for r, d in old:
+            target = f"{self.path}/run={r}/day={d}"
+            if (r, d) in keep_parts:
+                aside = f"{self.path}/run={r}/_purging_day={d}"
+                self.fs.rename(target, aside)
+                self.fs.rename(f"{scratch}/run={r}/day={d}", target)
+                self.fs.delete(aside)
+            else:
+                self.fs.delete(target)
+        for r in _runs(self.fs, self.path):              # runs with nothing left
+            run_dir = f"{self.path}/run={r}"
+            if not any(n.startswith("day=") for n in self.fs.children(run_dir)):
+                self.fs.delete(run_dir)
+        return len(old)
 
 
 class StateStore:

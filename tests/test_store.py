@@ -129,3 +129,29 @@ def test_purged_point_restarts_from_lookback(spark, tmp_root):
               run_extract(spark, src, pts, st, dt.date(2024, 3, 20), run_id=3,
                           tiebreak=["event_id"]).collect()}
     assert status == {p: (0, n) for p, n in n1.items()}
+
+
+def test_purge_only_the_runs_points(spark, tmp_root):
+    """Retention purges only the run's manifest points (as the original,
+    which purged only the tables it processed); day folders holding other
+    points are rewritten with just those points' rows."""
+    src = td.events_five(spark, SF001)
+    every = src.select("point").distinct()
+    st = open_stores(spark, tmp_root)
+    run_extract(spark, src, every, st, dt.date(2024, 1, 30), run_id=1, tiebreak=["event_id"])
+    before = {r.point: r.n for r in st.staged.read().groupBy("point")
+              .agg(F.count("*").alias("n")).collect()}
+    only_click = spark.createDataFrame([("click",)], "point string")
+    run_extract(spark, src, only_click, st, dt.date(2024, 2, 10), run_id=2, tiebreak=["event_id"])
+    cutoff = dt.datetime(2024, 1, 11)
+    rows_ = st.staged.read()
+    click = rows_.filter(F.col("point") == "click")
+    assert click.agg(F.min("ts")).first()[0] >= cutoff
+    others = {r.point: r.n for r in rows_.filter(F.col("point") != "click").groupBy("point")
+              .agg(F.count("*").alias("n")).collect()}
+    assert others == {p: n for p, n in before.items() if p != "click"}   # untouched
+    marks = {r.point: r.retained_from for r in st.marks.read().collect()}
+    assert marks["click"] == cutoff and marks["view"] < cutoff
+    # a later run over every point continues ids and purges everyone
+    run_extract(spark, src, every, st, dt.date(2024, 2, 12), run_id=3, tiebreak=["event_id"])
+    assert st.staged.read().agg(F.min("ts")).first()[0] >= dt.datetime(2024, 1, 13)
