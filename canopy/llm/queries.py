@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing, token_counts, url_filters
+from . import bpe, exact_dedup, packing, pii, quality, token_counts, url_filters
 from .common import read_table, ship, text_or_empty
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -20,6 +20,12 @@ def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.digests(packing.pack(read_table(spark, sf, "documents")))
 
 
+def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.assess(read_table(spark, sf, "documents")).select(
+        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
 def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
     ship(spark)
     docs = read_table(spark, sf, "documents")
@@ -34,6 +40,15 @@ def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.find(read_table(spark, sf, "documents"))
+    count = [F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}")
+             for k in pii.KINDS]
+    return found.select(F.col("id").alias("doc_id"), *count,
+                        F.sha2(pii.written(F.col("spans"), only_base=True), 256).alias("base_sha256"),
+                        pii.written(F.col("spans")).alias("spans"))
+
+
 def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -45,8 +60,10 @@ def op9_url_filters(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_quality": op2_quality,
     "op3_bpe": op3_bpe,
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_pii": op7_pii,
     "op8_token_counts": op8_token_counts,
     "op9_url_filters": op9_url_filters,
 }
