@@ -6,13 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing, pii, quality, token_counts, url_filters
+from . import bpe, exact_dedup, packing, pii, quality, token_counts, toxicity, url_filters
 from .common import read_table, ship, text_or_empty
 from .oracle import ORACLE_SQL  # noqa: F401
 
 # --- fixed values: the URL rules of the query ---
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
              ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+TOXIC_FROM = 0.7
 # --- end of fixed values ---
 
 
@@ -40,6 +41,12 @@ def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    rated = toxicity.rate(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+    return rated.select(F.col("id").alias("doc_id"), "held_out", "score",
+                        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
 def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
     found = pii.find(read_table(spark, sf, "documents"))
     count = [pii.base_count(F.col("spans"), k).alias(f"n_{k}") for k in pii.KINDS]
@@ -62,6 +69,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_bpe": op3_bpe,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_toxicity": op5_toxicity,
     "op7_pii": op7_pii,
     "op8_token_counts": op8_token_counts,
     "op9_url_filters": op9_url_filters,
