@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing, pii, quality, token_counts, toxicity, url_filters
+from . import bpe, exact_dedup, minhash, packing, pii, quality, token_counts, toxicity, url_filters
 from .common import read_table, ship, text_or_empty
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -47,6 +47,10 @@ def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
                         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
+def op6_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf, "documents"), words=2).withColumnRenamed("id", "doc_id")
+
+
 def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
     found = pii.find(read_table(spark, sf, "documents"))
     count = [pii.base_count(F.col("spans"), k).alias(f"n_{k}") for k in pii.KINDS]
@@ -70,6 +74,7 @@ QUERIES = {
     "op3_bpe": op3_bpe,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
+    "op6_minhash": op6_minhash,
     "op7_pii": op7_pii,
     "op8_token_counts": op8_token_counts,
     "op9_url_filters": op9_url_filters,
