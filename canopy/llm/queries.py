@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, minhash, packing, pii, quality, token_counts, toxicity, url_filters
+from . import (bpe, exact_dedup, minhash, packing, pii, quality, suffix_dedup, token_counts, toxicity,
+               url_filters)
 from .common import read_table, ship, text_or_empty
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -68,6 +69,12 @@ def op9_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     return url_filters.judge(read_table(spark, sf, "pages"), rules).withColumnRenamed("id", "page_id")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    left = suffix_dedup.remove_repeats(read_table(spark, sf, "documents"))
+    return left.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans",
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
@@ -78,4 +85,5 @@ QUERIES = {
     "op7_pii": op7_pii,
     "op8_token_counts": op8_token_counts,
     "op9_url_filters": op9_url_filters,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
