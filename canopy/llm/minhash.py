@@ -128,22 +128,28 @@ def bands(low: np.ndarray) -> np.ndarray:
 
 
 def signatures(df: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """``id, n, node, bands`` per row; ``node`` is a digest of the set."""
+    """``id, text_hash, n, node, bands`` per row; ``node`` is a digest of the set."""
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = strings(batch.column(1))
+            texts = strings(batch.column(2))
             for a, b in slices(texts):
                 sets = shingle_sets(texts.slice(a, b - a), words)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
+                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
+                     pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                      pa.array([bands(signature(s)) if len(s) else [] for s in sets], pa.list_(pa.int64()))],
-                    names=["id", "n", "node", "bands"])
+                    names=["id", "text_hash", "n", "node", "bands"])
 
+    return (_docs(df, id_col, text_col)
+            .mapInArrow(run, f"id {kind}, text_hash long, n long, node binary, bands array<long>"))
+
+
+def _docs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return (df.select(F.col(quoted(id_col)).alias("id"), text_or_empty(text_col).alias("text"))
-            .mapInArrow(run, f"id {kind}, n long, node binary, bands array<long>"))
+            .select("id", F.xxhash64("text").alias("text_hash"), "text"))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, least_percent: int) -> DataFrame:
@@ -207,8 +213,16 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words: int = SHINGLE_WORDS, least_percent: int = LEAST_PERCENT) -> DataFrame:
     """``id, n_shingles, component_id, kept`` for every row."""
-    spark = df.sparkSession
-    ship(spark)
+    classes = near_duplicate_classes(df, id_col, text_col, words, least_percent)
+    return classes.select("id", F.col("n").alias("n_shingles"), "component_id",
+                          F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                           words: int = SHINGLE_WORDS, least_percent: int = LEAST_PERCENT) -> DataFrame:
+    """``id, text_hash, n, component, component_id`` for every row; ``component``
+    is null for a text without words."""
+    ship(df.sparkSession)
     rows = written(signatures(df, id_col, text_col, words), "signatures")
     nodes = written(rows.filter("n > 0").groupBy("node").agg(
         F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "nodes")
@@ -218,7 +232,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     # texts of the nodes that share a bucket, found by the text's own set
     needed = buckets.select("node").distinct()
-    keyed = rows.select("id", "node").groupBy("node").agg(F.min("id").alias("id")).join(needed, "node", "left_semi")
+    keyed = rows.groupBy("node").agg(F.min("text_hash").alias("text_hash")).join(needed, "node", "left_semi")
     texts = written(_texts(df, id_col, text_col, words, keyed), "texts")
 
     center = buckets.filter("node > center").groupBy("node").agg(F.min("center").alias("center"))
@@ -247,15 +261,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     of_node = nodes.select("node", "id").join(joined, "node", "left").select(
         "node", "id", F.coalesce("component", "node").alias("component"))
     least = of_node.groupBy("component").agg(F.min("id").alias("component_id"))
-    named = of_node.join(least, "component").select("node", "component_id")
+    named = of_node.join(least, "component").select("node", "component", "component_id")
     return rows.join(named, "node", "left").select(
-        "id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")).select(
-        "id", "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+        "id", "text_hash", "n", "component",
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
 def _texts(df: DataFrame, id_col: str, text_col: str, words: int, keyed: DataFrame) -> DataFrame:
-    """``node, text`` of the ``node, id`` rows in ``keyed``."""
+    """``node, text`` of the ``node, text_hash`` rows in ``keyed``."""
 
     @F.arrow_udf("binary")
     def node_of(texts: pa.Array) -> pa.Array:
@@ -265,17 +278,20 @@ def _texts(df: DataFrame, id_col: str, text_col: str, words: int, keyed: DataFra
                     for s in shingle_sets(texts.slice(a, b - a), words)]
         return pa.array(out, pa.binary())
 
-    docs = df.select(F.col(quoted(id_col)).alias("id"), text_or_empty(text_col).alias("text"))
-    # an id may repeat with other texts, or be null: the text's own node decides
-    match = docs["id"].eqNullSafe(keyed["id"])
-    own = docs.join(keyed, match).select("node", "text").withColumn("own", node_of(F.col("text")))
+    # the hash only finds the rows; the text's own node decides
+    own = _docs(df, id_col, text_col).join(keyed, "text_hash").select("node", "text").withColumn("own", node_of(F.col("text")))
     return own.filter("own = node").groupBy("node").agg(F.min("text").alias("text"))
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          words: int = SHINGLE_WORDS, least_percent: int = LEAST_PERCENT) -> DataFrame:
-    """One row of every class, with all columns of ``df``: the row whose id
-    names the component. Rows of that id which repeat the text leave once."""
-    kept = near_duplicates(df, id_col, text_col, words, least_percent).filter("kept").select(
-        F.col("id").alias("_kept")).distinct()
-    return df.join(kept, F.col(quoted(id_col)).eqNullSafe(kept["_kept"]), "left_semi")
+    """The documents of ``df`` that stay, with all columns: of every class the
+    row whose id names the component (of repeated ids the least text hash), and
+    each row without words. Rows that repeat id and text are one document."""
+    classes = near_duplicate_classes(df, id_col, text_col, words, least_percent)
+    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("best")
+    kept = (classes.filter("component is not null").groupBy("component").agg(best).select("best.id", "best.text_hash")
+            .unionByName(classes.filter("component is null").select("id", "text_hash").distinct()))
+    kept = kept.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"))
+    match = F.col(quoted(id_col)).eqNullSafe(kept["_id"]) & (F.xxhash64(text_or_empty(text_col)) == kept["_hash"])
+    return df.join(kept, match, "left_semi")

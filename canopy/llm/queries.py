@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpus_pipeline import run as pipeline
+
 from . import (bpe, exact_dedup, minhash, packing, pii, quality, suffix_dedup, token_counts, toxicity,
                url_filters)
 from .common import read_table, ship, text_or_empty
@@ -86,4 +88,5 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_url_filters": op9_url_filters,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "pipeline": pipeline,
 }
