@@ -1,10 +1,11 @@
 """DuckDB statements that state the result of every registered query
-independently of Spark (row numbering by window, wide tables by PIVOT, the
-incremental runs as chained CTEs).  Column names equal the Spark results'.
+independently of Spark (row numbering by window, wide tables by one filtered
+aggregate per column, the incremental runs as chained CTEs).  Column names
+equal the Spark results'.
 
 Views ``region nation customer supplier part orders lineitem events ...`` are
-registered by the caller.  Dynamic PIVOT cannot see CTE names, so numbered
-inputs appear as inline subqueries.
+registered by the caller.  Every statement can itself be stored as a view: the
+columns of a wide table are written out, none depends on the data.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 
 from . import registry as R
+from .sources.testdata import LESS50_SLOTS, SLOTS
 
 
 def _nf(cols: str) -> str:
@@ -36,6 +38,10 @@ def value_name_sql(x: str) -> str:
 EV_ORDER = _nf("ts, event_id")
 S5 = (f"(SELECT event_type AS point, row_number() OVER (PARTITION BY event_type ORDER BY "
       f"{EV_ORDER}) AS unique_id, ts, value FROM events)")
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+SLOT_POINTS = [f"{e}_{k}" for e in EVENT_TYPES for k in range(SLOTS)]
+SS = (f"(SELECT event_type || '_' || (event_id % {SLOTS}) AS point, row_number() OVER (PARTITION BY "
+      f"event_type, event_id % {SLOTS} ORDER BY {EV_ORDER}) AS unique_id, ts, value FROM events)")
 SM = (f"(SELECT CAST(user_id AS VARCHAR) AS point, row_number() OVER (PARTITION BY user_id "
       f"ORDER BY {EV_ORDER}) AS unique_id, ts, value FROM events)")
 LI_TB = "l_orderkey, l_linenumber, l_partkey, l_quantity, l_discount, l_tax, " \
@@ -49,20 +55,23 @@ def _ts(d) -> str:
     return f"TIMESTAMP '{d.isoformat(sep=' ')}'"
 
 
+def spread(source: str, points: list[str], key: str = "point", value: str | None = "value",
+           ts: str | None = None) -> str:
+    """One row per id with a column per point: its value and, if asked, its time."""
+    cols = [f"max({value}) FILTER (WHERE {key} = '{p}') AS \"{p}\"" for p in points if value]
+    cols += [f"max({ts}) FILTER (WHERE {key} = '{p}') AS \"timestamp_{p}\"" for p in points if ts]
+    return f"(SELECT unique_id, {', '.join(cols)} FROM {source} GROUP BY unique_id)"
+
+
 # --- wide tables over the five-point staging ----------------------------------------
 ALIGNED5 = f"""(WITH s AS {S5},
 ids AS (SELECT unique_id FROM s GROUP BY unique_id
         HAVING count(*) = (SELECT count(DISTINCT point) FROM s)),
 base AS (SELECT unique_id, ts AS "timestamp" FROM s WHERE point = (SELECT min(point) FROM s)),
-pv AS (PIVOT (SELECT unique_id, point, value FROM {S5}) ON point USING first(value)
-       GROUP BY unique_id)
+pv AS {spread(S5, EVENT_TYPES)}
 SELECT pv.*, base."timestamp" FROM pv JOIN ids USING (unique_id) JOIN base USING (unique_id))"""
 
-RAGGED5 = f"""(WITH pv AS (PIVOT (SELECT unique_id, point, value FROM {S5}) ON point
-       USING first(value) GROUP BY unique_id),
-pt AS (PIVOT (SELECT unique_id, 'timestamp_' || point AS tp, ts FROM {S5}) ON tp
-       USING first(ts) GROUP BY unique_id)
-SELECT * FROM pv JOIN pt USING (unique_id))"""
+RAGGED5 = spread(S5, EVENT_TYPES, ts="ts")
 
 # ragged rows with the base point's time as ``bts`` (the resolved time column)
 RAGGED5_BTS = f"""(SELECT r.*, b.ts AS bts FROM {RAGGED5} r LEFT JOIN
@@ -182,24 +191,25 @@ UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier"""
                   f"AS k FROM (SELECT DISTINCT point, {value_name_sql('point')} AS name "
                   f"FROM {coll_s})) nm USING (point))")
 
-    many_between = f"""(SELECT * FROM {SM} WHERE point IN
-  (SELECT CAST(user_id AS VARCHAR) FROM events GROUP BY user_id HAVING count(*) BETWEEN 50 AND 100))"""
-    lp = "(SELECT CAST(user_id AS VARCHAR) AS point FROM events GROUP BY user_id HAVING count(*) < 50)"
-    bp = ("(SELECT CAST(user_id AS VARCHAR) AS point FROM events GROUP BY user_id "
-          "HAVING count(*) BETWEEN 50 AND 100)")
+    # value names: click_temp, error_temp, view_temp -> temp; purchase_rh_1, signup_rh_1 -> rh_1
+    coll_columns = [f"temp__{e}_temp" for e in EVENT_TYPES if len(e) <= 5]
+    coll_columns += [f"rh_1__{e}_rh_1" for e in EVENT_TYPES if len(e) > 5]
+    slot_points = (f"SELECT DISTINCT event_type || '_' || (event_id % {SLOTS}) AS point FROM events "
+                   f"WHERE event_id % {SLOTS}")
+    lp, bp = f"({slot_points} < {LESS50_SLOTS})", f"({slot_points} >= {LESS50_SLOTS})"
 
     def bucket_row(cat, pts):
         return (f"SELECT '{cat}' AS category, 'wide_{cat}' AS table_name, "
-                f"(SELECT count(DISTINCT unique_id) FROM {SM} WHERE point IN {pts}) AS row_count, "
+                f"(SELECT count(DISTINCT unique_id) FROM {SS} WHERE point IN {pts}) AS row_count, "
                 f"(SELECT count(*) FROM {pts}) > 0 AS available, "
                 f"CAST(CASE WHEN (SELECT count(*) FROM {pts}) > 0 "
                 f"THEN 1 + 2 * (SELECT count(*) FROM {pts}) ELSE 0 END AS INTEGER) AS column_count")
 
     inventory = f"""(SELECT point AS table_name, count(*) AS row_count FROM {SM} GROUP BY point
 UNION ALL SELECT 'staging_metadata', count(DISTINCT user_id) FROM events
-UNION ALL SELECT 'wide_less50', count(DISTINCT unique_id) FROM {SM} WHERE point IN {lp}
+UNION ALL SELECT 'wide_less50', count(DISTINCT unique_id) FROM {SS} WHERE point IN {lp}
   HAVING count(*) > 0
-UNION ALL SELECT 'wide_between50and100', count(DISTINCT unique_id) FROM {SM} WHERE point IN {bp}
+UNION ALL SELECT 'wide_between50and100', count(DISTINCT unique_id) FROM {SS} WHERE point IN {bp}
   HAVING count(*) > 0)"""
 
     return {
@@ -270,15 +280,10 @@ FROM {S5} GROUP BY point""",
    HAVING count(*) = (SELECT count(DISTINCT event_type) FROM events)),
 base AS (SELECT unique_id, ts AS "timestamp" FROM {coll_s}
    WHERE point = (SELECT min({coll_point}) FROM events)),
-pv AS (PIVOT (SELECT unique_id, colname, value FROM {coll_named}) ON colname
-   USING first(value) GROUP BY unique_id)
+pv AS {spread(coll_named, coll_columns, key="colname")}
 SELECT pv.*, base."timestamp" FROM pv JOIN ids USING (unique_id) JOIN base USING (unique_id)""",
 
-        "wide_many_points": f"""WITH pv AS (PIVOT (SELECT unique_id, point, value FROM {many_between})
-   ON point USING first(value) GROUP BY unique_id),
-pt AS (PIVOT (SELECT unique_id, 'timestamp_' || point AS tp, ts FROM {many_between})
-   ON tp USING first(ts) GROUP BY unique_id)
-SELECT * FROM pv JOIN pt USING (unique_id)""",
+        "wide_many_points": spread(SS, SLOT_POINTS, ts="ts")[1:-1],
 
         "page_ragged": f"""SELECT * EXCLUDE (bts) FROM {RAGGED5_BTS} r
 WHERE CAST(bts AS DATE) >= DATE '{R.RAGGED_PAGE_START}'
@@ -310,7 +315,7 @@ FROM {S5} s GROUP BY point""",
         "column_stats_many_points": f"""SELECT point AS "column", min(value) AS min_value,
   max(value) AS max_value, CAST(round(CAST(avg(value) AS DECIMAL(38,12)), 6) AS DOUBLE) AS avg_value,
   count(value) AS non_null_count
-FROM {many_between} m GROUP BY point""",
+FROM {SS} m GROUP BY point""",
 
         "unique_ids": f"""SELECT DISTINCT unique_id FROM {S5} s ORDER BY unique_id LIMIT {R.ID_LIMIT}""",
 

@@ -81,9 +81,13 @@ def five_wide(spark, sf, category: str):
     return build_wide(st, td.ordered_manifest(st, [category]), category)
 
 
-def many_wide(spark, sf, category: str):
-    st = many_staged(spark, sf)
-    return build_wide(st, td.bucket_manifest(st), category)
+def slots_staged(spark, sf):
+    return td.staged(td.events_slots(spark, sf))
+
+
+def slots_wide(spark, sf, category: str):
+    st = slots_staged(spark, sf)
+    return build_wide(st, td.slot_manifest(st), category)
 
 
 def _events_runs(spark, sf, buffer_seconds=config.TIMESTAMP_BUFFER_SECONDS):
@@ -236,7 +240,8 @@ def q_wide_name_collisions(spark, sf):
 
 
 def q_wide_many_points(spark, sf):
-    return many_wide(spark, sf, "between50and100").df
+    st = slots_staged(spark, sf)
+    return build_wide(st, td.ordered_manifest(st, ["other"]), "other").df
 
 
 # ---------------------------------------------------------------- step 6
@@ -278,7 +283,7 @@ def q_column_stats(spark, sf):
 def q_column_stats_many_points(spark, sf):
     """Column statistics of a wide table with more columns than one aggregate
     should carry (the unpivot path)."""
-    out = Q.column_stats(many_wide(spark, sf, "between50and100").df)
+    out = Q.column_stats(q_wide_many_points(spark, sf))
     return out.withColumn("avg_value", F.round(F.col("avg_value").cast("decimal(38,12)"), 6)
                           .cast("double"))
 
@@ -295,8 +300,8 @@ def q_time_range(spark, sf):
 def _warehouse(spark, sf) -> dict:
     st5 = five_staged(spark, sf)
     man5 = td.ordered_manifest(st5, ["type1", "other"])
-    stm = many_staged(spark, sf)
-    manm = td.bucket_manifest(stm)
+    stm = slots_staged(spark, sf)
+    manm = td.slot_manifest(stm)
     out = {}
     for cat, st, man in (("type1", st5, man5), ("other", st5, man5),
                          ("less50", stm, manm), ("between50and100", stm, manm)):
@@ -326,10 +331,9 @@ def q_run_summary(spark, sf):
 
 def _inventory(spark, sf):
     stm = many_staged(spark, sf)
-    manm = td.bucket_manifest(stm)
     wides = {}
     for cat in ("less50", "between50and100"):
-        w = build_wide(stm, manm, cat)
+        w = slots_wide(spark, sf, cat)
         wides[cat] = None if w is None else w.df
     return M.inventory(stm, wides, state_from_staged(stm))
 

@@ -2,13 +2,16 @@
 
 * five-point telemetry: ``events`` with ``point = event_type`` (tie-break
   ``event_id``; ``ts`` is TIMESTAMP_NTZ there);
-* many-point telemetry: ``events`` with ``point = user_id``;
+* many-point telemetry: ``events`` with ``point = user_id`` (rows per point
+  stay alike, the number of points grows with the data);
+* slot telemetry: ``events`` with ``point = <event type>_<event id mod 14>``
+  (70 points at every size, so wide tables keep their columns);
 * bench telemetry: ``lineitem`` with ``point = l_suppkey``,
   ``ts = l_shipdate``, ``value = l_extendedprice`` (ties broken by all other
   columns -- ``(l_orderkey, l_linenumber)`` is not unique);
 * point manifest: ``supplier`` x ``nation``, the nation name is the biome.
 
-Manifests are derived from the data (distinct points, or row-count buckets),
+Manifests are derived from the data (its distinct points),
 so every query's work grows with the tables.
 """
 
@@ -22,9 +25,9 @@ from ..operators.sequence import assign_sequence
 LINEITEM_TIEBREAK = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount",
                      "l_tax", "l_returnflag", "l_linestatus"]
 
-# --- fixed values: thresholds of the row-count bucket manifest ---
-LESS_THAN = 50        # fewer rows -> less50
-UP_TO = 100           # 50..100 rows -> between50and100, more -> other
+# --- fixed values: points of the many-column wide tables ---
+SLOTS = 14            # each event type is dealt to this many points by event id
+LESS50_SLOTS = 7      # the first of them form less50, the rest between50and100
 # --- end of fixed values ---
 
 
@@ -68,16 +71,20 @@ def ordered_manifest(points: DataFrame, categories: list[str]) -> DataFrame:
     return dist.select(F.explode(cats).alias("category"), "point", F.lit(1).alias("ord"))
 
 
-def bucket_manifest(staged_many: DataFrame) -> DataFrame:
-    """``category, point, ord`` from per-point row counts: fewer than 50 rows
-    -> ``less50``, 50..100 -> ``between50and100``, more -> ``other``; ordered
-    by the numeric point id."""
-    counts = staged_many.groupBy("point").agg(F.count(F.lit(1)).alias("n"))
-    cat = (F.when(F.col("n") < LESS_THAN, "less50")
-           .when(F.col("n") <= UP_TO, "between50and100").otherwise("other"))
-    # ord = the numeric id itself (ties and non-numeric ids order by name)
-    return counts.select(cat.alias("category"), "point",
-                         F.coalesce(F.col("point").try_cast("int"), F.lit(0)).alias("ord"))
+def events_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``point, ts, value, event_id`` with a fixed number of points per event type."""
+    slot = F.pmod("event_id", F.lit(SLOTS)).cast("string")
+    return table(spark, sf_dir, "events").select(
+        F.concat_ws("_", "event_type", slot).alias("point"), "ts", "value", "event_id")
+
+
+def slot_manifest(staged_slots: DataFrame) -> DataFrame:
+    """``category, point, ord``: the lower slots form ``less50``, the others
+    ``between50and100``; ordered by slot, then name."""
+    slot = F.substring_index("point", "_", -1).cast("int")
+    return staged_slots.select("point").distinct().select(
+        F.when(slot < LESS50_SLOTS, "less50").otherwise("between50and100").alias("category"),
+        "point", slot.alias("ord"))
 
 
 def nation_points(spark: SparkSession, sf_dir: str, nation: str | None = None) -> DataFrame:

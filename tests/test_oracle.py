@@ -29,6 +29,7 @@ def duck():
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF001)
     mine = OC.canon(df.columns, [tuple(r) for r in df.collect()])
-    r = duck.sql(E.oracle_sql()[key])
+    r = OC.as_view(duck, key, E.oracle_sql()[key])
     assert sorted(df.columns) == sorted(r.columns)
+    assert not OC.type_differences(df, r)
     assert mine == OC.canon(r.columns, r.fetchall())
