@@ -52,9 +52,11 @@ def test_query_against_all_pairs(spark):
     compare(QUERIES["op6_minhash"](spark, sf).withColumnRenamed("doc_id", "id").collect(), docs, 2)
 
 
-@pytest.mark.parametrize("words", [2, 5])
-def test_near_copies_around_the_threshold(spark, words):
-    """Chains and groups of edited copies, many close to 0.8."""
+@pytest.mark.parametrize("words, listed, block", [(2, 32, 512), (5, 32, 512), (2, 1, 4)])
+def test_near_copies_around_the_threshold(spark, monkeypatch, words, listed, block):
+    """Chains and groups of edited copies, many close to 0.8; by pairs and by blocks."""
+    monkeypatch.setattr(minhash, "PAIRED_BUCKET", listed)
+    monkeypatch.setattr(minhash, "BLOCK_NODES", block)
     rng = random.Random(words)
     docs = []
     for g in range(6):
