@@ -15,14 +15,13 @@ def _c(c) -> Column:
 
 
 def round_reading(c, scale: int = 2) -> Column:
-    """``ROUND(value, 2)`` with decimal semantics.
+    """``ROUND(value, 2)``, half up on the decimal digits of the reading.
 
-    The reading is cast to ``decimal(18,6)`` before rounding so that the
-    result does not depend on the binary representation of the double
-    (``round(0.125*x, 2)`` on doubles differs between engines); the result is
-    a double again.
+    Spark rounds a double through its shortest decimal form, once, whatever its
+    size: 0.0049999996 gives 0.00, 0.285 gives 0.29, 2e12 stays 2e12, and
+    infinities and NaN pass unchanged.
     """
-    return F.round(_c(c).cast(T.DecimalType(18, 6)), scale).cast(T.DoubleType())
+    return F.round(_c(c).cast(T.DoubleType()), scale)
 
 
 def day(c) -> Column:

@@ -1,28 +1,26 @@
 """Per-key sequence numbering (``row_number`` by time), safe for hot keys.
 
 ``row_number() OVER (PARTITION BY point ORDER BY ts, ...)`` sorts every point
-in one task.  When one point holds a large share of all rows that task gets
-it all.  We therefore number in two levels:
-
-1. one narrow aggregation (partial aggregation, so a hot key costs nothing in
-   the shuffle) finds the *hot* keys -- keys with more rows than
-   ``max_rows_per_task`` -- together with their time range.  There are at most
-   ``N / max_rows_per_task`` of them, so this table has a proven size bound;
-   up to 10,000 rows come back in the same job and are broadcast, a larger
-   table is checkpointed to the shared folder first.
-2. rows of a hot key are cut into ``ceil(n / max_rows_per_task)`` equal-width
-   time buckets.  Because the bucket is a monotone function of the sort key
-   (ts), ordering by ``(bucket, ts, tie-break)`` equals ordering by
-   ``(ts, tie-break)``.  Per-(key, bucket) counts (again a partial aggregate,
-   at most ``2 N / max_rows_per_task`` rows) give each bucket its offset via
-   a running sum over the tiny table.
-3. the window runs over ``(key, bucket)`` -- one shuffle of the data -- and
-   the number is ``row_number + bucket offset + base``.
-
-When no key is hot (the usual case) step 2 is skipped and the plan is the
-plain single window.  Everything is deterministic: the number depends only
-on the data, never on partitioning, so a re-run task after an executor loss
-reproduces it.
+in one task. When one point holds a large share of all rows that task gets it
+all. Keys with more than ``max_rows_per_task`` rows (found by a partial
+aggregate, which costs a hot key nothing in the shuffle) are numbered by a
+distributed sort instead:
+
+1. their rows are range-partitioned by key, time and tie-break columns, into
+   parts of about half of ``max_rows_per_task`` rows, and written with the
+   number of their part to the shared scratch folder. The bounds of the parts
+   come from a sample of the rows, so a burst, a clock that is years off, many
+   equal times (split by the tie-break) or many missing ones (split likewise)
+   give parts of the same size;
+2. a count per key and part, and its running sum, give each part its offset (a
+   key has about ``2 n / max_rows_per_task`` parts);
+3. within a key and part, ``row_number`` plus that offset is the number.
+
+Because the parts are written once, their counts and their rows are the same
+rows, whatever happens to an executor. Nothing is collected, and joins with
+the hot keys and the offsets are planned by measured size.
+
+When no key is hot (the usual case) the plan is the plain single window.
 """
 
 from __future__ import annotations
@@ -33,11 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.temporal import to_micros, to_micros_sql
-from ..session import checkpoint_dir
-
-
-HOT_ROWS_TO_DRIVER = 10_000
+from ..session import scratch_path
 
 
 def _order(ts: str, tiebreak, descending: bool) -> list[Column]:
@@ -57,71 +51,56 @@ def assign_sequence(df: DataFrame, keys, ts: str, tiebreak=(), out: str = "uniqu
     (nulls last) instead of asc (nulls first).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    tiebreak = list(tiebreak)
     whole = not keys
     if whole:  # number the whole frame: one constant key
         df = df.withColumn("_seq_k", F.lit(0))
         keys = ["_seq_k"]
-    checkpoint_dir(df.sparkSession)
     limit = max_rows_per_task or config.MAX_ROWS_PER_SEQUENCE_TASK
     base_col = (F.lit(0) if base is None else
                 (F.col(base) if isinstance(base, str) else base))
-    order = _order(ts, tiebreak, descending)
-    ts_type = df.schema[ts].dataType
-    tsu = to_micros(ts, ts_type)
-
-    # 1. hot keys: size-bounded (<= N / limit rows), computed by one job.  A
-    #    handful comes back as rows; more than HOT_ROWS_TO_DRIVER are
-    #    materialised in the shared checkpoint folder and read from there.
-    stats = (df.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("_seq_n"), F.min(tsu).alias("_seq_lo"),
-                  F.max(tsu).alias("_seq_hi"))
-             .filter(F.col("_seq_n") > limit))
-    found = stats.collect()                       # <= N / limit rows (bounded)
-    if len(found) > HOT_ROWS_TO_DRIVER:
-        hot = stats.checkpoint(eager=True)
-    elif found:
-        hot = df.sparkSession.createDataFrame(found, stats.schema)
-    if not found:
+    order = _order(ts, list(tiebreak), descending)
+
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_seq_n")).filter(F.col("_seq_n") > limit)
+    rows = hot.agg(F.sum("_seq_n")).first()[0]
+    if not rows:
         w = Window.partitionBy(*keys).orderBy(*order)
         res = df.withColumn(out, (F.row_number().over(w) + base_col).cast("long"))
-        return res.drop("_seq_k") if whole else res
-
-    # 2. equal-width time buckets for the hot keys only.
-    nb = F.ceil(F.col("_seq_n") / F.lit(limit))
-    hot = hot.select(*keys, F.col("_seq_lo"), F.col("_seq_hi"), nb.alias("_seq_nb"))
-    hot = hot.withColumn("_seq_w", F.expr("(_seq_hi - _seq_lo) div _seq_nb + 1"))
-    hotb = F.broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys],
-                                  "_seq_lo", "_seq_hi", "_seq_nb", "_seq_w"))
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
-    d = df.join(hotb, cond, "left").drop(*[f"_h_{k}" for k in keys])
-    if descending:
-        idx = F.expr(f"(_seq_hi - {to_micros_sql(ts, ts_type)}) div _seq_w")
-        null_bucket = F.col("_seq_nb")          # nulls last
     else:
-        idx = F.expr(f"({to_micros_sql(ts, ts_type)} - _seq_lo) div _seq_w")
-        null_bucket = F.lit(-1).cast("long")    # nulls first
-    bucket = (F.when(F.col("_seq_nb").isNull(), F.lit(0).cast("long"))
-              .when(F.col(ts).isNull(), null_bucket)
-              .otherwise(idx))
-    d = d.withColumn("_seq_b", bucket).drop("_seq_lo", "_seq_hi", "_seq_w")
-
-    counts = (d.filter(F.col("_seq_nb").isNotNull())
-              .groupBy(*keys, "_seq_b").agg(F.count(F.lit(1)).alias("_seq_c")))
-    run = Window.partitionBy(*keys).orderBy("_seq_b")
-    offs = counts.withColumn(
-        "_seq_off",
-        F.sum("_seq_c").over(run.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_seq_c"))
-    offs = F.broadcast(offs.select(*[F.col(k).alias(f"_o_{k}") for k in keys],
-                                   F.col("_seq_b").alias("_o_b"), "_seq_off"))
-    cond = F.col("_seq_b") == F.col("_o_b")
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    d = d.join(offs, cond, "left").drop(*[f"_o_{k}" for k in keys], "_o_b")
-
-    # 3. one window over (key, bucket); number = row_number + offset + base.
-    w = Window.partitionBy(*keys, "_seq_b").orderBy(*order)
-    num = F.row_number().over(w) + F.coalesce(F.col("_seq_off"), F.lit(0)) + base_col
-    res = d.withColumn(out, num.cast("long")).drop("_seq_b", "_seq_nb", "_seq_off")
+        hot = _written(hot, "hot-keys")
+        cold = _match(df, hot, keys, "left_anti")
+        w = Window.partitionBy(*keys).orderBy(*order)
+        plain = cold.withColumn(out, (F.row_number().over(w) + base_col).cast("long"))
+        res = plain.unionByName(_number_parts(_match(df, hot, keys, "left_semi"), keys, order, out, base_col,
+                                              -(-2 * rows // limit)))
     return res.drop("_seq_k") if whole else res
+
+
+def range_parts(df: DataFrame, keys: list[str], order: list[Column], parts: int) -> DataFrame:
+    """The rows, written, with the number ``_seq_p`` of their part in sort order."""
+    ranged = df.repartitionByRange(int(parts), *[F.col(k) for k in keys], *order)
+    return _written(ranged.withColumn("_seq_p", F.spark_partition_id()), "sequence-parts")
+
+
+def _number_parts(df: DataFrame, keys: list[str], order: list[Column], out: str, base: Column,
+                  parts: int) -> DataFrame:
+    ranged = range_parts(df, keys, order, parts)
+    counts = ranged.groupBy(*keys, "_seq_p").agg(F.count(F.lit(1)).alias("_seq_c"))
+    before = Window.partitionBy(*keys).orderBy("_seq_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "_seq_p", F.coalesce(F.sum("_seq_c").over(before), F.lit(0)).alias("_seq_o"))
+    inside = Window.partitionBy(*keys, "_seq_p").orderBy(*order)
+    numbered = ranged.withColumn(out, F.row_number().over(inside))
+    res = _match(numbered, offsets, [*keys, "_seq_p"], "left")
+    return res.withColumn(out, (F.col(out) + F.col("_seq_o") + base).cast("long")).drop("_seq_p", "_seq_o")
+
+
+def _match(df: DataFrame, side: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Null-safe join on ``keys``; the side's key columns are dropped."""
+    named = side.select(*[F.col(k).alias(f"_m_{k}") for k in keys], *[c for c in side.columns if c not in keys])
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys])
+    return df.join(named, on, how).drop(*[f"_m_{k}" for k in keys])
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

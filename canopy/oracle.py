@@ -21,7 +21,8 @@ def _nf(cols: str) -> str:
 
 
 def rnd(x: str) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(18,6)), 2) AS DOUBLE)"
+    """Half up on the shortest decimal text of a double."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,17)), 2) AS DOUBLE)"
 
 
 def value_name_sql(x: str) -> str:

@@ -37,8 +37,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
-    Read from the session (``spark.checkpoint.dir`` / the context); only when
-    nothing is configured -- local tests -- a folder of our own is set.
+    Read from the session (``spark.checkpoint.dir`` / the context). Only a
+    local session without one gets a folder of our own; on a cluster executors
+    would each write to their own disk, so a missing setting is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -51,6 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # not set at all
             d = None
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="canopy-ckpt-", dir="/tmp")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

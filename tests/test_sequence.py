@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from canopy.operators.sequence import assign_sequence
+from canopy.operators.sequence import _order, assign_sequence, range_parts
 from canopy.sources import testdata as td
 
 from conftest import SF01
@@ -56,3 +56,19 @@ def test_descending_whole_frame(spark):
                                                     descending=True,
                                                     max_rows_per_task=limit).collect()}
         assert out[29] == 1 and out[0] == 30 and out[99] == 31   # nulls last
+
+
+def test_uneven_time_gives_even_parts(spark):
+    """One reading from 1970, a burst, half of all times equal, and missing times."""
+    t, limit = dt.datetime(2024, 1, 1), 100
+    rows = [("p", dt.datetime(1970, 1, 1), 0)]
+    rows += [("p", t + dt.timedelta(microseconds=i), i) for i in range(1, 1200)]
+    rows += [("p", t + dt.timedelta(days=1), i) for i in range(1200, 5000)]
+    rows += [("p", t + dt.timedelta(days=2, hours=i), i) for i in range(5000, 6500)]
+    rows += [("p", None, i) for i in range(6500, 7600)] + [("q", t, i) for i in range(40)]
+    df = spark.createDataFrame(rows, "point string, ts timestamp, k int").repartition(5)
+    hot = df.filter("point = 'p'")
+    parts = range_parts(hot, ["point"], _order("ts", ["k"], False), -(-2 * hot.count() // limit))
+    assert parts.groupBy("point", "_seq_p").count().agg(F.max("count")).first()[0] <= 2 * limit
+    got = _rows(assign_sequence(df, "point", "ts", ["k"], max_rows_per_task=limit), ["point", "k", "unique_id"])
+    assert got == _rows(assign_sequence(df, "point", "ts", ["k"]), ["point", "k", "unique_id"])
