@@ -13,11 +13,15 @@ is missed with probability (1 - 0.8^5)^40, about 1e-7.
 Documents with equal sets are one node from the start (a digest of the set),
 so exact copies cost one row however many there are. Within a band's bucket
 candidates are not expanded into pairs: first every node is compared with one
-center only (the least node it shares a bucket with). Links are confirmed on
+center only, the node of its buckets that meets the most others (the original
+of a group of edited copies meets nearly all of them). Links are confirmed on
 the full sets, and components are formed. Only buckets that still hold more
 than one component need more: there, the nodes outside the bucket's largest
 component are compared with the nodes of the other components, if the set
-sizes allow the similarity at all. Pairs inside one component need no test,
+sizes allow the similarity at all. Small buckets do so by distinct pairs. In
+large ones both sides are dealt into blocks, and a task compares one block of
+the outsiders with one block of the bucket, so no pair is ever written out and
+no group is larger than two blocks. Pairs inside one component need no test,
 so no link between different texts is lost.
 
 Components come from alternating large-star and small-star steps on the
@@ -51,6 +55,8 @@ from .common import quoted, ship, slices, strings, text_or_empty
 SHINGLE_WORDS = 5
 LEAST_PERCENT = 80
 BANDS, ROWS = 40, 5
+PAIRED_BUCKET = 32    # nodes up to which a bucket's open pairs are listed one by one
+BLOCK_NODES = 512     # nodes of a larger bucket that a task has on each side
 # --- end of parameters ---
 
 #: Signature cells that are worked on together.
@@ -182,6 +188,45 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, least_percent: int
     return both.mapInArrow(run, "a binary, b binary")
 
 
+def between_blocks(open_: DataFrame, texts: DataFrame, words: int, least_percent: int) -> DataFrame:
+    """Links ``a, b`` between different components of large buckets, enough to
+    join all components that are linked. Outsiders are dealt into blocks and
+    meet every block of their bucket."""
+    lefts = F.ceil(F.col("outside") / BLOCK_NODES).cast("long")
+    rights = F.ceil(F.col("size") / BLOCK_NODES).cast("long")
+    spot = F.xxhash64("node")
+    sides = open_.select("*", lefts.alias("lefts"), rights.alias("rights"), spot.alias("spot"))
+    left = sides.filter("outsider").select(
+        "band", "node", "component", F.pmod("spot", "lefts").alias("i"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("rights") - 1)).alias("j"), F.lit(True).alias("asks"))
+    right = sides.select(
+        "band", "node", "component", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lefts") - 1)).alias("i"),
+        F.pmod("spot", "rights").alias("j"), F.lit(False).alias("asks"))
+    rows = left.unionByName(right).join(texts, "node")
+
+    def run(table: pa.Table) -> pa.Table:
+        asks = table["asks"].to_numpy()
+        nodes, comps = table["node"].to_pylist(), table["component"].to_pylist()
+        sets = shingle_sets(strings(table["text"]), words)
+        ask, has = np.flatnonzero(asks), np.flatnonzero(~asks)
+        flat = np.concatenate([sets[k] for k in has]) if len(has) else np.zeros(0, np.uint64)
+        size = np.array([len(sets[k]) for k in has], dtype=np.int64)
+        owner = np.repeat(np.arange(len(has)), size)
+        found = []
+        for k in ask:
+            own = sets[k]
+            at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+            common = np.bincount(owner[own[at] == flat], minlength=len(has))
+            done = {comps[k]}  # one link to each other component is enough
+            for m in np.flatnonzero(100 * common >= least_percent * (len(own) + size - common)):
+                if comps[has[m]] not in done:
+                    done.add(comps[has[m]])
+                    found.append((nodes[k], nodes[has[m]]))
+        return pa.table({"a": pa.array([x for x, _ in found], pa.binary()), "b": pa.array([y for _, y in found], pa.binary())})
+
+    return rows.groupBy("band", "i", "j").applyInArrow(run, "a binary, b binary")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The table after a write to the shared scratch folder, without lineage."""
     path = scratch_path(df.sparkSession, name)
@@ -227,16 +272,20 @@ def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str
     nodes = written(rows.filter("n > 0").groupBy("node").agg(
         F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "nodes")
     listed = nodes.select("node", "n", F.explode("bands").alias("band"))
-    shared = listed.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("center")).filter("size > 1")
-    buckets = written(listed.join(shared.select("band", "center"), "band"), "buckets")
+    shared = listed.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    buckets = written(listed.join(shared, "band"), "buckets")
 
     # texts of the nodes that share a bucket, found by the text's own set
     needed = buckets.select("node").distinct()
     keyed = rows.groupBy("node").agg(F.min("text_hash").alias("text_hash")).join(needed, "node", "left_semi")
     texts = written(_texts(df, id_col, text_col, words, keyed), "texts")
 
-    center = buckets.filter("node > center").groupBy("node").agg(F.min("center").alias("center"))
-    first = center.select(F.col("center").alias("a"), F.col("node").alias("b"))
+    met = F.struct("met", "node")
+    ranked = buckets.join(buckets.groupBy("node").agg(F.sum("size").alias("met")), "node").select("band", "node", met.alias("own"))
+    best = ranked.groupBy("band").agg(F.max("own").alias("center"))
+    first = (ranked.join(best, "band").filter("own < center").groupBy("node").agg(F.max("center").alias("center"))
+             .select(F.col("center.node").alias("a"), F.col("node").alias("b")))
+    first = written(first, "stars")
     links = written(confirmed(first, texts, words, least_percent), "confirmed")
     joined = components(links)
 
@@ -244,17 +293,23 @@ def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str
     held = buckets.join(joined, "node", "left").select(
         "band", "node", "n", F.coalesce("component", "node").alias("component"))
     sizes = held.groupBy("band", "component").agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.groupBy("band").agg(F.count(F.lit(1)).alias("components"),
-                                        F.max_by("component", F.struct("size", "component")).alias("main"))
-    open_ = held.join(largest.filter("components > 1").select("band", "main"), "band")
-    others = open_.filter("component <> main").select(
+    largest = sizes.groupBy("band").agg(F.count(F.lit(1)).alias("components"), F.sum("size").alias("size"),
+                                        F.max(F.struct("size", "component")).alias("main"))
+    largest = largest.filter("components > 1").withColumn("outside", F.col("size") - F.col("main.size"))
+    open_ = held.join(largest.select("band", "size", "outside", F.col("main.component").alias("main")), "band")
+    open_ = written(open_.withColumn("outsider", F.col("component") != F.col("main")), "open")
+
+    few = open_.filter(F.col("size") <= PAIRED_BUCKET)
+    others = few.filter("outsider").select(
         "band", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
     fits = ((100 * F.least("nx", "n") >= least_percent * F.greatest("nx", "n")) & (F.col("cx") != F.col("component"))
-            & ((F.col("component") == F.col("main")) | (F.col("x") < F.col("node"))))
-    rest = open_.join(others, "band").filter(fits).select(
+            & (~F.col("outsider") | (F.col("x") < F.col("node"))))
+    rest = few.join(others, "band").filter(fits).select(
         F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-    rest = rest.join(first, ["a", "b"], "left_anti")
-    more = written(confirmed(rest, texts, words, least_percent), "confirmed")
+    tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = confirmed(rest.join(tested, ["a", "b"], "left_anti"), texts, words, least_percent)
+    blocks = between_blocks(open_.filter(F.col("size") > PAIRED_BUCKET), texts, words, least_percent)
+    more = written(pairs.unionByName(blocks), "confirmed")
     if not more.isEmpty():
         joined = components(links.unionByName(more))
 
