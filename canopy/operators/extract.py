@@ -19,9 +19,13 @@ Rows at or before ``max(ts) + buffer`` are never read again (late data is
 dropped, as in the original); :func:`late_rows` audits them.
 
 Plan: the per-point control table (manifest x high-water mark x state) has one
-row per manifest point; its row count is checked before it is broadcast.
-The source is filtered by the global upper bound (pushed to the scan), joined
-to the control row of its point and numbered by ``assign_sequence``.
+row per manifest point. It is written once; its row count is checked before it
+is broadcast, and the least of its lower bounds, together with the upper bound,
+is a literal range that reaches the source's scan, so a run reads what is new
+and not the history. The rows are then joined to the control row of their
+point, cut by the point's own bound and numbered by ``assign_sequence``. With
+``batch_path`` the un-numbered batch is written there first, so a source that
+is still being written to is read once.
 """
 
 from __future__ import annotations
@@ -35,9 +39,10 @@ from pyspark.sql import types as T
 
 from .. import config
 from ..functions.names import normalise_point
-from ..functions.temporal import (lookback_start, plus_seconds, round_reading, run_end,
-                                  ts_literal)
+from ..functions.temporal import (lookback_start, plus_seconds, retention_cutoff, round_reading,
+                                  run_end, ts_literal)
 from ..plans.joins import join_small
+from ..session import written
 from .sequence import assign_sequence
 from .state import Retention, apply_retention, upsert_state
 
@@ -97,7 +102,7 @@ def extract_and_stage(source: DataFrame, points: DataFrame, as_of: dt.date,
                       window_days: int = config.ROLLING_WINDOW_DAYS,
                       points_rows: int | None = None,
                       max_rows_per_task: int | None = None,
-                      marks: DataFrame | None = None) -> ExtractResult:
+                      marks: DataFrame | None = None, batch_path: str | None = None) -> ExtractResult:
     """One incremental run over all manifest points.
 
     ``source``: long source ``(point, ts, value, *tiebreak)`` (JDBC / Parquet).
@@ -107,20 +112,24 @@ def extract_and_stage(source: DataFrame, points: DataFrame, as_of: dt.date,
     (counted here otherwise -- the manifest is small) for the broadcast check.
     ``marks``: per-point ``point, _hwm, _max_id`` known without scanning
     ``staged`` (see ``plans.runner``); then ``staged`` may be ``None``.
+    ``batch_path``: where the un-numbered batch is written first.
     """
     ts_type = source.schema["ts"].dataType
     run_ts = run_ts or dt.datetime.combine(as_of, dt.time(0, 0))
     pts = manifest_points(points)
-    if points_rows is None:
-        points_rows = pts.count()
-    ctl = control_table(pts, as_of, staged, state, buffer_seconds, window_days, ts_type, marks)
+    ctl = written(control_table(pts, as_of, staged, state, buffer_seconds, window_days, ts_type, marks), "control")
+    least, points_rows = ctl.agg(F.min("start").cast("string"), F.count(F.lit(1))).first()
 
     end = ts_literal(run_end(as_of), ts_type)
-    src = (source.withColumn("point", normalise_point("point"))
-           .filter(F.col("ts") < end))                      # pushed to the scan
+    since = F.lit(least).cast(ts_type)                      # null (no rows) without points
+    src = (source.filter((F.col("ts") > since) & (F.col("ts") < end))   # pushed to the scan
+           .withColumn("point", normalise_point("point")))
     new = (join_small(src, ctl, "point", "inner", points_rows)  # manifest restriction
            .filter(F.col("ts") > F.col("start"))
            .withColumn("value", round_reading("value")))
+    if batch_path is not None:
+        new.write.mode("overwrite").parquet(batch_path)
+        new = source.sparkSession.read.schema(new.schema).parquet(batch_path)
     numbered = assign_sequence(new, "point", "ts", tiebreak, base="base_id",
                                max_rows_per_task=max_rows_per_task)
     new_rows = numbered.select(*STAGED_COLUMNS)
@@ -152,17 +161,22 @@ def make_batch_state(ctl: DataFrame, batch_rows: DataFrame, as_of: dt.date,
 def late_rows(source: DataFrame, staged: DataFrame, points: DataFrame, first_as_of: dt.date,
               last_as_of: dt.date, window_days: int = config.ROLLING_WINDOW_DAYS,
               points_rows: int | None = None) -> DataFrame:
-    """Audit of dropped late data: per point, source rows inside the pulled
-    window (after the first run's lookback, before the end of the last run
-    day) that are missing from staging.  Matched on ``(point, ts)``."""
+    """Audit of dropped late data: per point, source rows inside the window that
+    was pulled and is still retained (after the first run's lookback, not before
+    the last run's retention cutoff, before the end of its day) that staging
+    does not hold. Rows of one time are compared by their number, so a late row
+    that shares its time with a staged one is seen."""
     ts_type = source.schema["ts"].dataType
     lo = ts_literal(lookback_start(first_as_of, window_days), ts_type)
+    kept = ts_literal(retention_cutoff(last_as_of, window_days), ts_type)
     hi = ts_literal(run_end(last_as_of), ts_type)
     pts = manifest_points(points)
-    src = join_small(source.withColumn("point", normalise_point("point"))
-                     .filter((F.col("ts") > lo) & (F.col("ts") < hi)),
+    src = join_small(source.filter((F.col("ts") > lo) & (F.col("ts") >= kept) & (F.col("ts") < hi))
+                     .withColumn("point", normalise_point("point")),
                      pts, "point", "left_semi", points_rows)
-    missing = src.join(staged.select("point", "ts"), ["point", "ts"], "left_anti")
-    return missing.groupBy("point").agg(F.count(F.lit(1)).alias("late_rows"),
+    sides = (src.select("point", "ts", F.lit(1).alias("n"))
+             .unionByName(staged.filter(F.col("ts") >= kept).select("point", "ts", F.lit(-1).alias("n"))))
+    missing = sides.groupBy("point", "ts").agg(F.sum("n").alias("n")).filter("n > 0")
+    return missing.groupBy("point").agg(F.sum("n").alias("late_rows"),
                                         F.min("ts").alias("first_late_ts"),
                                         F.max("ts").alias("last_late_ts"))

@@ -57,6 +57,13 @@ def wide_inventory(inv: DataFrame) -> DataFrame:
             .orderBy(F.col("row_count").desc(), "table_name"))
 
 
+def table_counts(inv: DataFrame) -> DataFrame:
+    """One row: the number of ``source_tables`` (all but ``staging_%``, as
+    :func:`source_inventory` lists them) and of ``wide_tables``."""
+    return inv.agg(F.count_if(~F.col("table_name").like("staging_%")).alias("source_tables"),
+                   F.count_if(F.col("table_name").like(f"{config.WIDE_TABLE_PREFIX}%")).alias("wide_tables"))
+
+
 def data_freshness(state: DataFrame, as_of: dt.datetime,
                    hours: int = config.FRESHNESS_HOURS) -> DataFrame:
     """One row: ``fresh_tables`` (runs strictly after ``as_of - hours``) and

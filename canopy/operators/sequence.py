@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
-from ..session import scratch_path
+from ..session import written
 
 
 def _order(ts: str, tiebreak, descending: bool) -> list[Column]:
@@ -66,7 +66,7 @@ def assign_sequence(df: DataFrame, keys, ts: str, tiebreak=(), out: str = "uniqu
         w = Window.partitionBy(*keys).orderBy(*order)
         res = df.withColumn(out, (F.row_number().over(w) + base_col).cast("long"))
     else:
-        hot = _written(hot, "hot-keys")
+        hot = written(hot, "hot-keys")
         cold = _match(df, hot, keys, "left_anti")
         w = Window.partitionBy(*keys).orderBy(*order)
         plain = cold.withColumn(out, (F.row_number().over(w) + base_col).cast("long"))
@@ -78,7 +78,7 @@ def assign_sequence(df: DataFrame, keys, ts: str, tiebreak=(), out: str = "uniqu
 def range_parts(df: DataFrame, keys: list[str], order: list[Column], parts: int) -> DataFrame:
     """The rows, written, with the number ``_seq_p`` of their part in sort order."""
     ranged = df.repartitionByRange(int(parts), *[F.col(k) for k in keys], *order)
-    return _written(ranged.withColumn("_seq_p", F.spark_partition_id()), "sequence-parts")
+    return written(ranged.withColumn("_seq_p", F.spark_partition_id()), "sequence-parts")
 
 
 def _number_parts(df: DataFrame, keys: list[str], order: list[Column], out: str, base: Column,
@@ -99,8 +99,3 @@ def _match(df: DataFrame, side: DataFrame, keys: list[str], how: str) -> DataFra
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys])
     return df.join(named, on, how).drop(*[f"_m_{k}" for k in keys])
 
-
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

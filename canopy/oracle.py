@@ -65,13 +65,16 @@ def spread(source: str, points: list[str], key: str = "point", value: str | None
 
 
 # --- wide tables over the five-point staging ----------------------------------------
-ALIGNED5 = f"""(WITH s AS {S5},
+def aligned5(value: str) -> str:
+    return f"""(WITH s AS {S5},
 ids AS (SELECT unique_id FROM s GROUP BY unique_id
         HAVING count(*) = (SELECT count(DISTINCT point) FROM s)),
 base AS (SELECT unique_id, ts AS "timestamp" FROM s WHERE point = (SELECT min(point) FROM s)),
-pv AS {spread(S5, EVENT_TYPES)}
+pv AS {spread(S5, EVENT_TYPES, value=value)}
 SELECT pv.*, base."timestamp" FROM pv JOIN ids USING (unique_id) JOIN base USING (unique_id))"""
 
+
+ALIGNED5 = aligned5("value")
 RAGGED5 = spread(S5, EVENT_TYPES, ts="ts")
 
 # ragged rows with the base point's time as ``bts`` (the resolved time column)
@@ -88,9 +91,9 @@ COMPLETE5 = f"""(SELECT unique_id FROM {S5} GROUP BY unique_id
 
 
 # --- incremental runs over events -------------------------------------------------------
-def events_runs(buffer_sql: str) -> str:
-    lb1 = _ts(R.FIRST_AS_OF - dt.timedelta(days=30))
-    lb2 = _ts(R.SECOND_AS_OF - dt.timedelta(days=30))
+def events_runs(buffer_sql: str, days: int = 30) -> str:
+    lb1 = _ts(R.FIRST_AS_OF - dt.timedelta(days=days))
+    lb2 = _ts(R.SECOND_AS_OF - dt.timedelta(days=days))
     end1 = _ts(R.FIRST_AS_OF + dt.timedelta(days=1))
     end2 = _ts(R.SECOND_AS_OF + dt.timedelta(days=1))
     return f"""pts AS (SELECT DISTINCT event_type AS point FROM events),
@@ -247,6 +250,12 @@ SELECT point, count(*) AS late_rows, min(ts) AS first_late_ts, max(ts) AS last_l
 FROM src WHERE NOT EXISTS (SELECT 1 FROM staged s WHERE s.point = src.point AND s.ts = src.ts)
 GROUP BY point""",
 
+        "late_rows_purged": f"""WITH {events_runs('INTERVAL 6 HOUR', R.SHORT_WINDOW_DAYS)}
+SELECT event_type AS point, count(*) AS late_rows, min(ts) AS first_late_ts, max(ts) AS last_late_ts
+FROM events e WHERE ts >= {_ts(R.SECOND_AS_OF - dt.timedelta(days=R.SHORT_WINDOW_DAYS))} AND ts < {audit_hi}
+  AND NOT EXISTS (SELECT 1 FROM staged s WHERE s.point = e.event_type AND s.ts = e.ts)
+GROUP BY event_type""",
+
         "high_water_marks": f"""SELECT event_type AS point, max(ts) AS hwm,
   max(ts) + INTERVAL 10 SECOND AS next_start FROM events
 WHERE ts > {_ts(R.FIRST_AS_OF - dt.timedelta(days=30))}
@@ -345,6 +354,20 @@ FROM events""",
 
         "wide_inventory": f"""SELECT * FROM {inventory} i WHERE table_name LIKE 'wide_%'""",
 
+        "table_counts": f"""SELECT count(*) FILTER (WHERE table_name NOT LIKE 'staging_%') AS source_tables,
+  count(*) FILTER (WHERE table_name LIKE 'wide_%') AS wide_tables FROM {inventory} i""",
+
+        "wide_missing_point": spread(S5, EVENT_TYPES, value=rnd("value"), ts="ts")[1:-1],
+
+        "stored_wide_page": f"""SELECT * FROM {aligned5(rnd('value'))} a
+WHERE CAST("timestamp" AS DATE) >= DATE '{page_lo}' AND CAST("timestamp" AS DATE) <= DATE '{page_hi}'
+ORDER BY "timestamp" DESC NULLS LAST, unique_id ASC LIMIT {R.PAGE_LIMIT} OFFSET {R.PAGE_OFFSET}""",
+
+        "stored_wide_total": f"""SELECT {R.TOTAL_LIMIT} AS "limit", {R.TOTAL_OFFSET} AS "offset",
+  count(*) AS total_count, ({R.TOTAL_LIMIT + R.TOTAL_OFFSET} < count(*)) AS has_more
+FROM {ALIGNED5} a
+WHERE CAST("timestamp" AS DATE) >= DATE '{page_lo}' AND CAST("timestamp" AS DATE) <= DATE '{page_hi}'""",
+
         "data_freshness": f"""SELECT count(*) FILTER (WHERE m > {since}) AS fresh_tables,
   count(*) FILTER (WHERE m > {since}) > 0 AS is_fresh
 FROM (SELECT user_id, max(ts) AS m FROM events GROUP BY user_id)""",

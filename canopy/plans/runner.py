@@ -25,12 +25,14 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.temporal import retention_cutoff, ts_literal
-from ..operators.extract import extract_and_stage, make_batch_state, manifest_points
+from ..operators.extract import (control_table, extract_and_stage, make_batch_state,
+                                 manifest_points)
 from ..operators.state import upsert_state
 from ..operators.query import timestamp_column
 from ..operators.wide import build_wide
-from ..sources.store import MarksStore, StagedStore, StateStore, WideStore
-from ..session import scratch_path
+from ..sources.store import (MarksStore, PendingStore, RunIds, StagedStore, StateStore,
+                             WideStore)
+from ..session import written as stored
 from .inspect import explain_text
 
 
@@ -40,11 +42,25 @@ class Stores:
     state: StateStore
     wide: WideStore
     marks: MarksStore
+    ids: RunIds
+    pending: PendingStore
 
 
 def open_stores(spark: SparkSession, root: str) -> Stores:
     return Stores(StagedStore(spark, root), StateStore(spark, root), WideStore(spark, root),
-                  MarksStore(spark, root))
+                  MarksStore(spark, root), RunIds(spark, root), PendingStore(spark, root))
+
+
+def point_starts(stores: Stores, points: DataFrame, as_of: dt.date, run_id: int,
+                 buffer_seconds: float = config.TIMESTAMP_BUFFER_SECONDS,
+                 window_days: int = config.ROLLING_WINDOW_DAYS) -> dict[str, dt.datetime]:
+    """The lower bound of every manifest point, for sources that are read point
+    by point (``jdbc_source(starts=...)``); manifest-sized."""
+    marks = _start_marks(stores, run_id)
+    staged = stores.staged.read(before_run=run_id) if marks is None else None
+    ctl = control_table(manifest_points(points), as_of, staged, stores.state.read(before_run=run_id),
+                        buffer_seconds, window_days, marks=marks)
+    return {r["point"]: r["start"] for r in ctl.select("point", "start").collect()}
 
 
 def _start_marks(stores: Stores, run_id: int):
@@ -73,10 +89,20 @@ def run_extract(spark: SparkSession, source: DataFrame, points: DataFrame, store
                 as_of: dt.date, run_id: int, run_ts: dt.datetime | None = None, tiebreak=(),
                 buffer_seconds: float = config.TIMESTAMP_BUFFER_SECONDS,
                 window_days: int = config.ROLLING_WINDOW_DAYS,
-                max_rows_per_task: int | None = None, dry_run: bool = False):
+                max_rows_per_task: int | None = None, dry_run: bool = False,
+                failed: dict[str, str] | None = None, writer: str = "batch"):
     """One extract run; returns a per-point status frame
-    ``point, new_rows, last_used_id`` (or the plan text when ``dry_run``)."""
+    ``point, new_rows, last_used_id, error`` (or the plan text when
+    ``dry_run``). ``failed`` names the points whose source could not be read
+    (see ``jdbc_source``) with the reason: they take no part in the run -- their
+    state, marks and rows stay as they are -- and are reported as errors."""
     run_ts = run_ts or dt.datetime.combine(as_of, dt.time(0, 0))
+    bad = spark.createDataFrame([(k.strip().lower(), v) for k, v in (failed or {}).items()],
+                                "point string, error string")
+    if failed:
+        points = manifest_points(points).join(bad, "point", "left_anti")
+    if not dry_run and writer == "batch":
+        stores.ids.claim(writer, str(run_id), run_id)
     state = stores.state.read(before_run=run_id)
     marks = _start_marks(stores, run_id)
     staged = stores.staged.read(before_run=run_id) if marks is None else None
@@ -85,7 +111,8 @@ def run_extract(spark: SparkSession, source: DataFrame, points: DataFrame, store
                                             F.max("unique_id").alias("_max_id"))
     res = extract_and_stage(source, points, as_of, None, state, run_ts, tiebreak,
                             buffer_seconds, window_days, max_rows_per_task=max_rows_per_task,
-                            marks=marks)
+                            marks=marks,
+                            batch_path=None if dry_run else (batch := stores.staged.scratch("batch")))
     if dry_run:
         return explain_text(res.new_rows)
     stores.staged.write_run(res.new_rows, run_id)                     # 1. data
@@ -96,11 +123,14 @@ def run_extract(spark: SparkSession, source: DataFrame, points: DataFrame, store
     cutoff = retention_cutoff(as_of, window_days)
     pts = manifest_points(points)
     _write_marks(stores, marks, written, cutoff, run_id, pts)         # 3. marks
-    stores.staged.purge_before(cutoff.date(), pts,                    # 4. retention
-                               scratch=scratch_path(spark, "purge"))  #    (run's points only)
     counts = written.groupBy("point").agg(F.count(F.lit(1)).alias("new_rows"))
-    return (batch_state.join(counts, "point", "left")
-            .select("point", F.coalesce("new_rows", F.lit(0)).alias("new_rows"), "last_used_id"))
+    status = stored(batch_state.join(counts, "point", "left")
+                    .select("point", F.coalesce("new_rows", F.lit(0)).alias("new_rows"), "last_used_id",
+                            F.lit(None).cast("string").alias("error")), "status")
+    stores.staged.purge_before(cutoff.date(), pts)                    # 4. retention (run's points only)
+    stores.staged.fs.delete(batch)
+    return status.unionByName(bad.select("point", F.lit(0).cast("long").alias("new_rows"),
+                                         F.lit(None).cast("long").alias("last_used_id"), "error"))
 
 
 def _write_marks(stores: Stores, marks, written: DataFrame, cutoff: dt.datetime,
@@ -139,9 +169,12 @@ def run_transform(spark: SparkSession, stores: Stores, manifest: DataFrame, run_
                   categories=None, export_root: str | None = None,
                   when: dt.datetime | None = None, dry_run: bool = False):
     """Build and store the wide table of every category; returns a status
-    frame ``category, table_name, rows_written, skipped_points``."""
+    frame ``category, table_name, rows_written, skipped_points``. A manifest
+    point that never staged a reading is skipped and listed; one whose rows
+    were all purged is resolved, and empty."""
     telemetry = stores.staged.read()
-    state = stores.state.read()
+    # known: points that ever staged a reading (also if all were purged since)
+    marks, _ = stores.marks.latest()
     rows = []
     plans = {}
     for cat in categories or config.CATEGORIES:
@@ -149,7 +182,7 @@ def run_transform(spark: SparkSession, stores: Stores, manifest: DataFrame, run_
         if telemetry is None:
             rows.append((cat, name, 0, ""))
             continue
-        known = None if state is None else state.select("point")
+        known = None if marks is None else marks.filter("last_ts IS NOT NULL").select("point")
         w = build_wide(telemetry, manifest, cat, known_points=known)
         if dry_run:
             plans[cat] = None if w is None else explain_text(w.df)

@@ -24,7 +24,7 @@ from .operators.sequence import assign_sequence
 from .operators.state import (apply_retention, high_water_marks, last_ids,
                               state_from_staged)
 from .operators.wide import build_wide
-from .plans.runner import open_stores
+from .plans.runner import open_stores, run_extract, run_transform
 from .session import scratch_path
 from .sources import testdata as td
 from .streaming.extract_stream import start_extract_stream
@@ -49,6 +49,10 @@ TOTAL_LIMIT, TOTAL_OFFSET = 100, 100
 ID_LIMIT = 1000
 FRESH_AS_OF = dt.datetime(2024, 1, 30, 12, 0, 0)
 STREAM_AS_OF = dt.date(2024, 1, 31)
+STORE_AS_OF = dt.date(2024, 1, 30)       # one stored run over all of events
+STORE_WINDOW_DAYS = 60
+GHOST = "a_ghost"                        # a manifest point that never reports, first in order
+SHORT_WINDOW_DAYS = 10                   # the second run purges rows of the first
 STREAM_SLICES = ["2024-01-11", "2024-01-21"]   # file arrivals split by time
 # --- end of fixed values ---
 
@@ -184,6 +188,17 @@ def q_late_rows_audit(spark, sf):
     return late_rows(src, r2.staged, pts, FIRST_AS_OF, SECOND_AS_OF)
 
 
+def q_late_rows_purged(spark, sf):
+    """The second run purges rows that the first staged in time."""
+    src = td.events_five(spark, sf)
+    pts = src.select("point").distinct()
+    runs = dict(tiebreak=["event_id"], buffer_seconds=AUDIT_BUFFER_SECONDS, window_days=SHORT_WINDOW_DAYS)
+    r1 = extract_and_stage(src, pts, FIRST_AS_OF, run_ts=_run_ts(FIRST_AS_OF), **runs)
+    r2 = extract_and_stage(src, pts, SECOND_AS_OF, staged=_written(r1.staged), state=_written(r1.state),
+                           run_ts=_run_ts(SECOND_AS_OF), **runs)
+    return late_rows(src, r2.staged, pts, FIRST_AS_OF, SECOND_AS_OF, SHORT_WINDOW_DAYS)
+
+
 # ---------------------------------------------------------------- step 4
 def q_high_water_marks(spark, sf):
     src = td.events_five(spark, sf)
@@ -346,10 +361,47 @@ def q_wide_inventory(spark, sf):
     return M.wide_inventory(_inventory(spark, sf))
 
 
+def q_table_counts(spark, sf):
+    return M.table_counts(_inventory(spark, sf))
+
+
 def q_data_freshness(spark, sf):
     return M.data_freshness(_many_state(spark, sf), FRESH_AS_OF)
 
 
+# ---------------------------------------------------------------- stored wide tables
+def _stored_wide(spark, sf):
+    """A stored run over all of ``events`` with a manifest point that never
+    reports, the wide tables built from it, and a rebuild that comes out empty."""
+    stores = open_stores(spark, scratch_path(spark, "stored-wide"))
+    src = td.events_five(spark, sf)
+    every = src.select("point").distinct()
+    ghost = spark.createDataFrame([(GHOST,)], "point string")
+    run_extract(spark, src, every.unionByName(ghost), stores, STORE_AS_OF, 1, _run_ts(STORE_AS_OF),
+                ["event_id"], window_days=STORE_WINDOW_DAYS)
+    cats = ["type1", "other"]
+    manifest = td.ordered_manifest(every.unionByName(ghost), cats)
+    run_transform(spark, stores, manifest, 1, cats)
+    for cat in cats:
+        name = config.wide_table_name(cat)
+        stores.wide.replace(name, stores.wide.read(name).limit(0), 2)
+    return stores.wide
+
+
+def q_wide_missing_point(spark, sf):
+    return _stored_wide(spark, sf).read(config.wide_table_name("other"))
+
+
+def q_stored_wide_page(spark, sf):
+    df = _stored_wide(spark, sf).read(config.wide_table_name("type1"))
+    return Q.page(df, "type1", PAGE_LIMIT, PAGE_OFFSET, PAGE_START, PAGE_END)
+
+
+def q_stored_wide_total(spark, sf):
+    df = _stored_wide(spark, sf).read(config.wide_table_name("type1"))
+    return Q.page_total(df, "type1", TOTAL_LIMIT, TOTAL_OFFSET, PAGE_START, PAGE_END)
+
+
 # ---------------------------------------------------------------- step 8
 def q_stream_extract(spark, sf):
     """Events arrive as three time-ordered file drops; after each drop the
@@ -382,6 +434,7 @@ QUERIES = {
     "extract_first_run": q_extract_first_run,
     "extract_incremental": q_extract_incremental,
     "late_rows_audit": q_late_rows_audit,
+    "late_rows_purged": q_late_rows_purged,
     "high_water_marks": q_high_water_marks,
     "last_ids": q_last_ids,
     "staged_append": q_staged_append,
@@ -405,6 +458,10 @@ QUERIES = {
     "run_summary": q_run_summary,
     "table_inventory": q_table_inventory,
     "wide_inventory": q_wide_inventory,
+    "table_counts": q_table_counts,
     "data_freshness": q_data_freshness,
+    "wide_missing_point": q_wide_missing_point,
+    "stored_wide_page": q_stored_wide_page,
+    "stored_wide_total": q_stored_wide_total,
     "stream_extract": q_stream_extract,
 }

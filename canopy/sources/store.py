@@ -19,6 +19,13 @@ Layouts (all below one root folder):
 * ``wide/<table>/run=<id>/`` -- one version per transform run; versions that
   came out empty are removed again, so the previous table stays current
   (skip-on-empty).
+* ``writers/<writer>/<key>/run=<id>`` -- empty folders that hold which writer
+  was given which run id. A writer that repeats a key gets the id it had; a new
+  id is always newer than every other, so no two writers share one.
+* ``pending/run=<id>/`` -- source rows that a stream has read but that lie
+  after its run's upper bound; the next micro-batch takes them up.
+* ``_scratch/`` -- tables that are moved in place by a rename; below the root,
+  so that the rename stays on one file system.
 * CSV exports: ``<export>/<table>_<yyyymmdd_HHMMSS>/`` (a folder of parts,
   header row, never overwritten).
 
@@ -29,6 +36,8 @@ the same code runs on HDFS, object stores or a local disk.
 from __future__ import annotations
 
 import datetime as dt
+import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +62,14 @@ class _FS:
             return []
         return [s.getPath().getName() for s in self.fs.listStatus(p) if s.isDirectory()]
 
+    def found(self, pattern: str) -> list[str]:
+        """Paths that match a glob pattern, by one call."""
+        got = self.fs.globStatus(self._Path(pattern))
+        return [] if got is None else [s.getPath().toString() for s in got]
+
+    def make(self, path: str) -> None:
+        self.fs.mkdirs(self._Path(path))
+
     def delete(self, path: str) -> None:
         self.fs.delete(self._Path(path), True)
 
@@ -75,15 +92,75 @@ def _runs(fs: _FS, path: str) -> list[int]:
     return sorted(out)
 
 
+class RunIds:
+    """Run ids given out to the writers of one store (one job at a time writes
+    to a store, as the numbering of ids already asks)."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.root = root.rstrip("/")
+        self.path = self.root + "/writers"
+        self.fs = _FS(spark, root)
+
+    def _given(self) -> dict[int, str]:
+        out = {}
+        for p in self.fs.found(f"{self.path}/*/*/run=*"):
+            writer, key, run = p.rsplit("/", 3)[1:]
+            out[int(run[4:])] = f"{writer}/{key}"
+        return out
+
+    def claim(self, writer: str, key: str, wanted: int | None = None) -> int:
+        """The run id of ``key`` of ``writer``: the one it already has, else
+        ``wanted`` or the next free one. A wanted id that another writer has, or
+        that is older than an id in use, is refused."""
+        name = f"{re.sub('[^A-Za-z0-9_.-]', '_', writer)}/{re.sub('[^A-Za-z0-9_.-]', '_', key)}"
+        given = self._given()
+        for run, owner in given.items():
+            if owner == name:
+                return run
+        used = set(given)
+        for kind in ("staged", "state", "marks"):
+            used.update(_runs(self.fs, f"{self.root}/{kind}"))
+        newest = max(used, default=-1)
+        run = newest + 1 if wanted is None else wanted
+        if run <= newest:
+            raise ValueError(f"run id {run} of {name} is not newer than {newest}, "
+                             f"which {given.get(newest, 'an earlier version')} has written")
+        self.fs.make(f"{self.path}/{name}/run={run}")
+        return run
+
+
 class StagedStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.path = spark, root.rstrip("/") + "/staged"
+        self.root = root.rstrip("/")
         self.fs = _FS(spark, root)
+        self.recover()
+
+    def scratch(self, name: str) -> str:
+        """A fresh folder below the store's root."""
+        return f"{self.root}/_scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+    def recover(self) -> None:
+        """End a purge that broke off between its two renames: a day that was
+        moved aside goes back unless its new version is already in place."""
+        for aside in self.fs.found(f"{self.path}/run=*/_purging_day=*"):
+            target = aside.replace("/_purging_day=", "/day=")
+            if self.fs.exists(target):
+                self.fs.delete(aside)
+            else:
+                self.fs.rename(aside, target)
+
+    def days(self) -> list[tuple[int, str]]:
+        """``(run, day)`` of every day partition, listed by one call."""
+        out = []
+        for p in self.fs.found(f"{self.path}/run=*/day=*"):
+            run, day = p.rsplit("/", 2)[1:]
+            out.append((int(run[4:]), day[4:]))
+        return sorted(out)
 
     def runs(self) -> list[int]:
         """Runs that still hold at least one day partition."""
-        return [r for r in _runs(self.fs, self.path)
-                if any(n.startswith("day=") for n in self.fs.children(f"{self.path}/run={r}"))]
+        return sorted({r for r, _ in self.days()})
 
     def read(self, before_run: int | None = None) -> DataFrame | None:
         """Staged rows (of runs ``< before_run`` if given); ``None`` if empty."""
@@ -109,44 +186,41 @@ class StagedStore:
                 .filter(F.col("run") == F.lit(run_id)).select(*STAGED_COLUMNS))
 
     def write_run(self, rows: DataFrame, run_id: int) -> None:
-        """Write one run's rows (no extra shuffle: each task writes the days it
-        holds, rows sorted by point and time inside the files)."""
+        """Write one run's rows in place of what the run wrote before (a replay
+        may hold fewer days). Rows are dealt by day into files of the advisory
+        size, so their number follows the days and the size, not the tasks."""
         out = (rows.select(*STAGED_COLUMNS)
                .withColumn("run", F.lit(run_id).cast("long"))
                .withColumn("day", F.to_date("ts"))
+               .hint("rebalance", "day")
                .sortWithinPartitions("day", "point", "ts"))
+        self.fs.delete(f"{self.path}/run={run_id}")
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("run", "day").parquet(self.path))
 
-    def purge_before(self, cutoff: dt.date, points: DataFrame | None = None,
-                     scratch: str | None = None) -> int:
-        """Retention: remove rows with ``day < cutoff``.  Without ``points``
-        every old ``day`` folder is dropped (metadata only).  With ``points``
-        (the run's manifest) only those points are purged: an old folder that
-        holds nothing else is dropped; one that also holds other points is
-        rewritten with just their rows (written to ``scratch`` by one Spark
-        job, then moved in place; the old folder is moved aside first, so a
-        failure loses nothing).  Returns the number of folders removed or
-        rewritten."""
-        old = []
-        for r in self.runs():
-            run_dir = f"{self.path}/run={r}"
-            old += [(r, d[4:]) for d in self.fs.children(run_dir)
-                    if d.startswith("day=") and d[4:] < cutoff.isoformat()]
+    def purge_before(self, cutoff: dt.date, points: DataFrame | None = None) -> int:
+        """Retention: remove rows with ``day < cutoff``. Without ``points`` every
+        old ``day`` folder is dropped (metadata only). With ``points`` (the run's
+        manifest) only those points are purged: an old folder that holds nothing
+        else is dropped; one that also holds other points is rewritten with just
+        their rows (by one Spark job below the store's root, then moved in
+        place; the old folder is moved aside first and :meth:`recover` moves it
+        back if the job ends in between). Returns the number of folders removed
+        or rewritten."""
+        old = [(r, d) for r, d in self.days() if d < cutoff.isoformat()]
         if not old:
             return 0
         keep_parts: set[tuple[int, str]] = set()
+        scratch = self.scratch("purge")
         if points is not None:
             rows = (self.spark.read.option("basePath", self.path).parquet(self.path)
                     .filter(F.col("day") < F.lit(cutoff)))
             keep = rows.join(points.select("point").distinct(), "point", "left_anti")
-            found = keep.groupBy("run", "day").count().collect()   # <= number of old folders
-            keep_parts = {(int(x["run"]), x["day"].isoformat()) for x in found}
-            if keep_parts:
-                if scratch is None:
-                    raise ValueError("a scratch folder is needed to rewrite partitions")
-                (keep.select(*STAGED_COLUMNS, "run", "day").sortWithinPartitions("day", "point", "ts")
-                 .write.partitionBy("run", "day").parquet(scratch))
+            (keep.select(*STAGED_COLUMNS, "run", "day").hint("rebalance", "run", "day")
+             .sortWithinPartitions("day", "point", "ts").write.partitionBy("run", "day").parquet(scratch))
+            for p in self.fs.found(f"{scratch}/run=*/day=*"):
+                run, day = p.rsplit("/", 2)[1:]
+                keep_parts.add((int(run[4:]), day[4:]))
         for r, d in old:
             target = f"{self.path}/run={r}/day={d}"
             if (r, d) in keep_parts:
@@ -156,13 +230,31 @@ class StagedStore:
                 self.fs.delete(aside)
             else:
                 self.fs.delete(target)
-        for r in _runs(self.fs, self.path):              # runs with nothing left
-            run_dir = f"{self.path}/run={r}"
-            if not any(n.startswith("day=") for n in self.fs.children(run_dir)):
-                self.fs.delete(run_dir)
+        self.fs.delete(scratch)
+        for r in set(_runs(self.fs, self.path)) - set(self.runs()):   # runs with nothing left
+            self.fs.delete(f"{self.path}/run={r}")
         return len(old)
 
 
+class PendingStore:
+    """Source rows that wait for a later run: everything that was still pending
+    after a run, so a replayed run finds what it found before."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.path = spark, root.rstrip("/") + "/pending"
+        self.fs = _FS(spark, root)
+
+    def read(self, before_run: int) -> DataFrame | None:
+        vs = [r for r in _runs(self.fs, self.path)
+              if r < before_run and self.fs.exists(f"{self.path}/run={r}/_SUCCESS")]
+        return self.spark.read.parquet(f"{self.path}/run={vs[-1]}") if vs else None
+
+    def write(self, rows: DataFrame, run_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/run={run_id}")
+        for r in _runs(self.fs, self.path)[:-3]:   # a replay needs the one before it
+            self.fs.delete(f"{self.path}/run={r}")
+
+
 class StateStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.path = spark, root.rstrip("/") + "/state"
@@ -193,8 +285,8 @@ class MarksStore(StateStore):
         super().__init__(spark, root)
         self.path = root.rstrip("/") + "/marks"
 
-    def latest(self, before_run: int) -> tuple[DataFrame | None, int | None]:
-        vs = [v for v in self.versions() if v < before_run]
+    def latest(self, before_run: int | None = None) -> tuple[DataFrame | None, int | None]:
+        vs = [v for v in self.versions() if before_run is None or v < before_run]
         if not vs:
             return None, None
         return self.spark.read.parquet(f"{self.path}/run={vs[-1]}"), vs[-1]

@@ -31,35 +31,57 @@ def long_source(df: DataFrame, point: str = "point", ts: str = "ts", value: str
 def jdbc_source(spark: SparkSession, url: str, tables: list[str], schema: str | None = None,
                 ts_col: str = "timestamp", value_col: str = "value",
                 lower: dt.datetime | None = None, upper: dt.datetime | None = None,
-                num_partitions: int = 1, properties: dict | None = None) -> DataFrame:
+                num_partitions: int = 8, properties: dict | None = None,
+                starts: dict[str, dt.datetime] | None = None,
+                failures: dict[str, str] | None = None) -> DataFrame:
     """Union of per-point JDBC tables as ``(point, ts, value)``.
 
-    With ``lower``/``upper`` and ``num_partitions > 1`` every table is read by
-    that many parallel range queries on ``ts_col``.  Connection options come
-    from the caller (``properties``: user, password, driver ...).
+    With ``lower``/``upper`` every table is read by ``num_partitions`` parallel
+    range queries on ``ts_col``.  Connection options come from the caller
+    (``properties``: user, password, driver, fetchsize ...).  ``starts``
+    (``plans.runner.point_starts``) gives each table its own strict lower
+    bound, pushed to the database.  With ``failures`` a table that cannot be
+    resolved, or lacks a column, is left out and named there with the reason
+    (for ``run_extract(failed=...)``); without it the error is raised.
     """
-    props = dict(properties or {})
+    props = {"fetchsize": "10000", **(properties or {})}
     frames = []
     for t in tables:
-        name = f"{schema}.{t}" if schema else t
-        reader = spark.read.format("jdbc").option("url", url).option("dbtable", name)
-        for k, v in props.items():
-            reader = reader.option(k, v)
-        if num_partitions > 1 and lower is not None and upper is not None:
-            reader = (reader.option("partitionColumn", ts_col)
-                      .option("lowerBound", lower.isoformat(sep=" "))
-                      .option("upperBound", upper.isoformat(sep=" "))
-                      .option("numPartitions", str(num_partitions)))
-        df = reader.load()
-        cols = {c.lower(): c for c in df.columns}
-        frames.append(df.select(F.lit(t).alias("point"),
-                                F.col(cols[ts_col.lower()]).alias("ts"),
-                                F.col(cols[value_col.lower()]).cast("double").alias("value")))
+        try:
+            df = _one_table(spark, url, t, schema, ts_col, value_col, lower, upper, num_partitions, props)
+        except Exception as error:  # whatever the driver of the database raises
+            if failures is None:
+                raise
+            failures[t] = str(error).split("\n")[0][:500]
+            continue
+        start = (starts or {}).get(t.strip().lower())
+        if start is not None:
+            df = df.filter(F.col("ts") > F.lit(start.isoformat(sep=" ")).cast(df.schema["ts"].dataType))
+        frames.append(df)
     if not frames:
         return spark.createDataFrame([], "point string, ts timestamp, value double")
     return reduce(DataFrame.unionByName, frames)
 
 
+def _one_table(spark, url, t, schema, ts_col, value_col, lower, upper, num_partitions, props) -> DataFrame:
+    name = f"{schema}.{t}" if schema else t
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", name)
+    for k, v in props.items():
+        reader = reader.option(k, v)
+    if num_partitions > 1 and lower is not None and upper is not None:
+        reader = (reader.option("partitionColumn", ts_col)
+                  .option("lowerBound", lower.isoformat(sep=" "))
+                  .option("upperBound", upper.isoformat(sep=" "))
+                  .option("numPartitions", str(num_partitions)))
+    df = reader.load()
+    cols = {c.lower(): c for c in df.columns}
+    for needed in (ts_col, value_col):
+        if needed.lower() not in cols:
+            raise ValueError(f"table {name} has no column {needed}")
+    return df.select(F.lit(t).alias("point"), F.col(cols[ts_col.lower()]).alias("ts"),
+                     F.col(cols[value_col.lower()]).cast("double").alias("value"))
+
+
 EXCLUDED = ("timestamp", "unique_id")
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from canopy.operators.extract import extract_and_stage, late_rows
 from canopy.operators.state import apply_retention, last_ids, upsert_state
 
+from conftest import SF001
+
 AS_OF = dt.date(2024, 1, 31)
 LOOKBACK = dt.datetime(2024, 1, 1)          # midnight of as_of - 30 days
 END = dt.datetime(2024, 2, 1)
@@ -156,3 +158,29 @@ def test_two_runs_equal_one_run_minus_late_rows(spark):
                                          F.max("unique_id").alias("hi"),
                                          F.count("*").alias("n")).collect()
     assert all(r.lo == 1 and r.hi == r.n for r in per)
+
+
+def test_second_run_pushes_its_lower_bound(spark):
+    """The scan of a later run is cut to what is new."""
+    from canopy import registry as R
+    from canopy.plans.inspect import plan_summary
+    from canopy.sources import testdata as td
+
+    source = td.events_five(spark, SF001)
+    points = source.select("point").distinct()
+    r1 = extract_and_stage(source, points, R.FIRST_AS_OF, tiebreak=["event_id"])
+    r2 = extract_and_stage(source, points, R.SECOND_AS_OF, staged=R._written(r1.staged),
+                           state=R._written(r1.state), tiebreak=["event_id"])
+    pushed = " ".join(plan_summary(r2.new_rows)["pushed_filters"])
+    newest = min(r["m"] for r in r1.staged.groupBy("point").agg(F.max("ts").alias("m")).collect())
+    assert f"GreaterThan(ts,{newest.date().isoformat()}" in pushed and "LessThan(ts,2024-01-31" in pushed
+
+
+def test_late_rows_share_a_time_and_outlive_a_purge(spark):
+    t = dt.datetime(2024, 1, 20, 12)
+    rows = [("p", t, 1.0), ("p", t, 2.0), ("p", t - dt.timedelta(days=1), 3.0), ("p", dt.datetime(2024, 1, 1), 4.0)]
+    source = spark.createDataFrame(rows, "point string, ts timestamp, value double")
+    staged = spark.createDataFrame([("p", 1, t, 1.0)], "point string, unique_id long, ts timestamp, value double")
+    points = spark.createDataFrame([("p",)], "point string")
+    got = late_rows(source, staged, points, dt.date(2024, 1, 5), dt.date(2024, 1, 25), window_days=10).collect()
+    assert [(r.late_rows, r.first_late_ts) for r in got] == [(2, t - dt.timedelta(days=1))]

@@ -65,3 +65,25 @@ def test_staged_tables_over_jdbc_to_long(spark, derby):
                    ("stg_b_rh", 1), ("stg_b_rh", 2)]
     assert value_column(["UNIQUE_ID", "TimeStamp", "x", "y"]) == "x"
     assert value_column(["unique_id", "timestamp"]) is None
+
+
+def test_bad_tables_are_left_out_and_named(spark, derby):
+    url, props = derby
+    failed = {}
+    src = jdbc_source(spark, url, ["SX_AIR_TEMP", "NO_SUCH_TABLE"], properties=props, failures=failed)
+    assert src.select("point").distinct().count() == 1
+    assert list(failed) == ["NO_SUCH_TABLE"] and failed["NO_SUCH_TABLE"]
+    with pytest.raises(Exception):
+        jdbc_source(spark, url, ["NO_SUCH_TABLE"], properties=props)
+    failed = {}
+    jdbc_source(spark, url, ["SX_AIR_TEMP"], value_col="reading", properties=props, failures=failed)
+    assert "reading" in failed["SX_AIR_TEMP"]
+
+
+def test_each_table_has_its_own_lower_bound(spark, derby):
+    url, props = derby
+    src = jdbc_source(spark, url, ["SX_AIR_TEMP", "SX_SOIL_1"], properties=props,
+                      starts={"sx_air_temp": dt.datetime(2024, 1, 2)})
+    got = {r.point: r.n for r in src.groupBy("point").agg(F.count("*").alias("n")).collect()}
+    assert got == {"SX_AIR_TEMP": 15, "SX_SOIL_1": 25}
+    assert any("GreaterThan(" in p for p in plan_summary(src)["pushed_filters"])

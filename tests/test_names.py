@@ -46,3 +46,12 @@ def test_collisions_keep_every_point(kind):
 def test_reserved_names_are_renamed():
     names = resolve_names(["x_timestamp", "y_unique_id"], ["timestamp", "unique_id"], "aligned")
     assert names == ["timestamp__x_timestamp", "unique_id__y_unique_id"]
+
+
+@pytest.mark.parametrize("value, rounded", [(2e12, 2e12), (0.0049999996, 0.0), (0.285, 0.29), (-0.125, -0.13),
+                                            (1.005, 1.01), (123456789012345.675, 123456789012345.67), (1e300, 1e300),
+                                            (float("inf"), float("inf")), (None, None)])
+def test_rounding_of_any_double(spark, value, rounded):
+    """Half up on the shortest decimal digits (123456789012345.675 reads ...45.67)."""
+    df = spark.createDataFrame([(value,)], "v double")
+    assert df.select(round_reading("v").alias("r")).first()["r"] == rounded

@@ -3,7 +3,9 @@ a replayed run is idempotent; retention drops day partitions; wide tables
 skip empty results; CSV export."""
 import datetime as dt
 import os
+import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
 from canopy import registry as R
@@ -155,3 +157,94 @@ def test_purge_only_the_runs_points(spark, tmp_root):
     # a later run over every point continues ids and purges everyone
     run_extract(spark, src, every, st, dt.date(2024, 2, 12), run_id=3, tiebreak=["event_id"])
     assert st.staged.read().agg(F.min("ts")).first()[0] >= dt.datetime(2024, 1, 13)
+
+
+# ---------------------------------------------------------------- run ids, replay, recovery
+def one_point(spark, rows):
+    return spark.createDataFrame([(p, t, float(k)) for k, (p, t) in enumerate(rows)], "point string, ts timestamp, value double")
+
+
+def points_of(spark, *names):
+    return spark.createDataFrame([(n,) for n in names], "point string")
+
+
+def test_never_reporting_point_is_skipped(spark, tmp_root):
+    t = dt.datetime(2024, 1, 29)
+    src = one_point(spark, [("a_t", t), ("a_t", t + dt.timedelta(hours=1)), ("b_h", t)])
+    st = open_stores(spark, tmp_root)
+    names = ["a_ghost", "a_t", "b_h"]
+    run_extract(spark, src, points_of(spark, *names), st, dt.date(2024, 1, 30), 1)
+    man = manifest_from_rows(spark, [(c, n, k) for c in ("type1", "other") for k, n in enumerate(names)])
+    got = {r.category: r for r in run_transform(spark, st, man, 1, ["type1", "other"]).collect()}
+    assert got["type1"].rows_written == 1 and got["other"].rows_written == 2
+    assert got["type1"].skipped_points == got["other"].skipped_points == "a_ghost"
+    assert st.wide.read("wide_other").columns[1] == "timestamp_t"
+    # rows purged since: the point stays resolved, and empty
+    run_extract(spark, src.limit(0), points_of(spark, *names), st, dt.date(2024, 6, 1), 2)
+    src2 = one_point(spark, [("a_t", dt.datetime(2024, 6, 2))])
+    run_extract(spark, src2, points_of(spark, *names), st, dt.date(2024, 6, 2), 3)
+    got = {r.category: r for r in run_transform(spark, st, man, 4, ["type1", "other"]).collect()}
+    assert got["type1"].rows_written == 0 and got["other"].rows_written == 1
+    assert got["other"].skipped_points == "a_ghost"
+
+
+def test_run_ids_of_other_writers_are_refused(spark, tmp_root):
+    t = dt.datetime(2024, 1, 29)
+    src = one_point(spark, [("p", t)])
+    st = open_stores(spark, tmp_root)
+    run_extract(spark, src, points_of(spark, "p"), st, dt.date(2024, 1, 30), 20240130)
+    with pytest.raises(ValueError, match="not newer"):
+        run_extract(spark, src, points_of(spark, "p"), st, dt.date(2024, 1, 30), 5)
+    assert st.ids.claim("stream-x", "0") == 20240131 == st.ids.claim("stream-x", "0")
+    with pytest.raises(ValueError, match="not newer"):
+        st.ids.claim("batch", "20240131", 20240131)
+
+
+def test_replay_with_fewer_days_leaves_nothing_behind(spark, tmp_root):
+    t = dt.datetime(2024, 1, 20)
+    src = one_point(spark, [("p", t + dt.timedelta(days=k)) for k in range(4)])
+    st = open_stores(spark, tmp_root)
+    pts = points_of(spark, "p")
+    run_extract(spark, src, pts, st, dt.date(2024, 1, 30), 1)
+    assert len(st.staged.days()) == 4
+    run_extract(spark, src.filter("value < 2"), pts, st, dt.date(2024, 1, 30), 1)
+    assert [d for _, d in st.staged.days()] == ["2024-01-20", "2024-01-21"]
+    run_extract(spark, src.limit(0), pts, st, dt.date(2024, 1, 30), 1)
+    assert st.staged.read() is None
+
+
+@pytest.mark.parametrize("second_rename_done", [False, True])
+def test_broken_purge_is_recovered(spark, tmp_root, second_rename_done):
+    t = dt.datetime(2024, 1, 20)
+    st = open_stores(spark, tmp_root)
+    run_extract(spark, one_point(spark, [("p", t), ("q", t)]), points_of(spark, "p", "q"), st, dt.date(2024, 1, 30), 1)
+    run_dir = os.path.join(tmp_root, "staged", "run=1")
+    day, aside = os.path.join(run_dir, "day=2024-01-20"), os.path.join(run_dir, "_purging_day=2024-01-20")
+    if second_rename_done:
+        shutil.copytree(day, aside)
+    else:
+        os.rename(day, aside)
+    st = open_stores(spark, tmp_root)
+    assert st.staged.read().count() == 2 and not os.path.exists(aside)
+
+
+def test_files_follow_days_not_tasks(spark, tmp_root):
+    t = dt.datetime(2024, 1, 1)
+    rows = [(f"p{k % 7}", t + dt.timedelta(minutes=4 * k)) for k in range(10000)]
+    src = one_point(spark, rows).repartition(32)
+    st = open_stores(spark, tmp_root)
+    run_extract(spark, src, src.select("point").distinct(), st, dt.date(2024, 1, 30), 1)
+    days = st.staged.days()
+    files = [f for _, d in days for f in os.listdir(os.path.join(tmp_root, "staged", "run=1", f"day={d}"))
+             if f.endswith(".parquet")]
+    assert len(days) == 28 and len(files) <= 2 * len(days)
+
+
+def test_failed_points_are_reported_and_left_alone(spark, tmp_root):
+    t = dt.datetime(2024, 1, 29)
+    st = open_stores(spark, tmp_root)
+    got = run_extract(spark, one_point(spark, [("p", t)]), points_of(spark, "P", "Q"), st, dt.date(2024, 1, 30), 1,
+                      failed={"Q": "table Q not found"}).collect()
+    assert sorted((r.point, r.new_rows, r.last_used_id, r.error) for r in got) == [
+        ("p", 1, 1, None), ("q", 0, None, "table Q not found")]
+    assert [r.point for r in st.state.read().collect()] == ["p"]
