@@ -42,7 +42,9 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 _ODD_SPACE = re.compile(r" (?=\s|\Z)")
 NO_MERGE = np.int64(1) << 62
 #: Words kept per worker; the store is emptied when it is full.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 500_000
+#: Text that is cut into words at a time; a larger slice repeats fewer words.
+SLICE = 8 << 20
 #: Tree cells that advance together.
 BATCH_CELLS = 1 << 20
 
@@ -82,6 +84,8 @@ class ByteBPE:
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks = keys[order], order.astype(np.int64)
         self.made = np.array(made, dtype=np.int64)
+        # ranks of the pairs of single bytes, with which every word begins
+        self.first_rank = self._rank(np.repeat(self.byte_id, 256), np.tile(self.byte_id, 256))
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         size = max([*vocab.values(), *self.special.values()]) + 1
         pieces = [b""] * size
@@ -103,16 +107,17 @@ class ByteBPE:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at], -1)
 
-    def _merge(self, sym: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``sym`` (words x width, width a power of two) with ``n`` symbols in
+    def _merge(self, raw: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``raw`` (words x width, width a power of two) with ``n`` bytes in
         each row: the ids left after all merges, row after row, and their counts."""
-        rows, width = sym.shape
+        rows, width = raw.shape
+        sym = self.byte_id[raw]
         col = np.arange(width)
         nxt = np.tile(col + 1, (rows, 1))
         prv = np.tile(col - 1, (rows, 1))
         alive = col[None, :] < n[:, None]
         tree = np.full((rows, 2 * width), NO_MERGE, dtype=np.int64)
-        rank = self._rank(sym[:, :-1], sym[:, 1:])
+        rank = self.first_rank[raw[:, :-1].astype(np.int64) * 256 + raw[:, 1:]]
         leaf = np.where((rank >= 0) & alive[:, 1:], rank * width + col[:-1], NO_MERGE)
         tree[:, width:2 * width - 1] = leaf
         k = width // 2
@@ -153,25 +158,23 @@ class ByteBPE:
 
     def learn(self, words: list[str]) -> None:
         """Encode the given distinct words and keep their ids."""
-        by_width: dict[int, list[tuple[str, bytes]]] = {}
-        for w in words:
-            raw = w.encode()
-            if len(raw) == 1:
-                self.words[w] = np.uint32(self.byte_id[raw[0]]).tobytes()
-            else:
-                by_width.setdefault(1 << (len(raw) - 1).bit_length(), []).append((w, raw))
-        for width, group in by_width.items():
+        raws = [w.encode() for w in words]
+        size = np.fromiter(map(len, raws), dtype=np.int64, count=len(raws))
+        start = np.cumsum(size) - size
+        flat = np.frombuffer(b"".join(raws), dtype=np.uint8)
+        level = np.ceil(np.log2(np.maximum(size, 2))).astype(np.int64)
+        for k in np.unique(level).tolist():
+            width, group = 1 << k, np.flatnonzero(level == k)
             step = max(1, BATCH_CELLS // width)
+            col = np.arange(width)
             for at in range(0, len(group), step):
                 part = group[at:at + step]
-                n = np.array([len(raw) for _, raw in part], dtype=np.int64)
-                flat = np.frombuffer(b"".join(raw.ljust(width, b"\0") for _, raw in part), dtype=np.uint8)
-                ids, counts = self._merge(self.byte_id[flat].reshape(len(part), width), n)
-                ids = ids.astype("<u4").tobytes()
-                end = 0
-                for (w, _), c in zip(part, counts.tolist()):
-                    self.words[w] = ids[end:end + 4 * c]
-                    end += 4 * c
+                n = size[part]
+                cells = np.where(col < n[:, None], flat[np.minimum(start[part, None] + col, len(flat) - 1)], 0)
+                ids, counts = self._merge(cells.astype(np.uint8), n)
+                own, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+                self.words.update(zip([words[i] for i in part.tolist()],
+                                      [own[i:j] for i, j in zip([0, *ends], ends)]))
 
     def _ids_of(self, cut: list[list[str]]) -> list[bytes]:
         """The ids of word lists, each as little-endian unsigned 32-bit integers."""
@@ -203,32 +206,36 @@ class ByteBPE:
         without changing its words, so the distinct cuts of a slice are
         encoded once. Other texts are split whole.
         """
-        return joined((self._encode_slice(texts.slice(a, b - a)) for a, b in slices(texts)), pa.binary())
+        return joined((self._encode_slice(texts.slice(a, b - a)) for a, b in slices(texts, SLICE)), pa.binary())
+
+    def _words_of(self, piece: str) -> tuple[str, ...] | list[str]:
+        """The words of a space and a piece without spaces."""
+        if piece.isalpha():
+            return (" " + piece,)
+        if piece[-1:] in (".", ",") and piece[:-1].isalpha():
+            return (" " + piece[:-1], piece[-1])
+        return self.word.findall(" " + piece) if piece else ()
 
     def _encode_slice(self, texts: pa.Array) -> pa.Array:
         plain = texts.to_pylist()
-        whole = {k for k, t in enumerate(plain) if _ODD_SPACE.search(t) or any(s in t for s in self.special)}
-        odd = {k: self._whole(plain[k]) for k in whole}
-        firsts = [("" if k in whole else t.split(" ", 1)[0]) for k, t in enumerate(plain)]
-        first = self._ids_of([self.word.findall(t) for t in firsts])
-        rest = pa.array(["" if k in whole else t[len(firsts[k]):] for k, t in enumerate(plain)], pa.string())
-        cut = pc.split_pattern(rest, " ")
+        odd = {k: self._whole(t) for k, t in enumerate(plain)
+               if _ODD_SPACE.search(t) or any(s in t for s in self.special)}
+        cut = pc.split_pattern(texts, " ")
         at = cut.offsets.to_numpy()
         code = cut.values.dictionary_encode()
-        codes = code.indices.to_numpy(zero_copy_only=False)[at[0]:at[-1]]
-        at = at - at[0]
-        ids = self._ids_of([self.word.findall(" " + w) if w else [] for w in code.dictionary.to_pylist()])
+        codes, pieces = code.indices.to_numpy(zero_copy_only=False), code.dictionary.to_pylist()
+        # the first piece of a text has no space before it
+        first = self._ids_of([() if k in odd else self.word.findall(pieces[c])
+                              for k, c in enumerate(codes[at[:-1]].tolist())])
+        ids = self._ids_of([self._words_of(p) for p in pieces])
         flat = np.frombuffer(b"".join(ids), dtype="<u4")
-        size = np.array([len(x) // 4 for x in ids] or [0], dtype=np.int64)
-        start = np.concatenate([[0], np.cumsum(size)[:-1]])
-        out = []
-        for k in range(len(plain)):
-            if k in odd:
-                out.append(odd[k])
-                continue
-            mine = codes[at[k]:at[k + 1]]
-            out.append(first[k] + gather(flat, start[mine], size[mine]).tobytes())
-        return pa.array(out, pa.binary())
+        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        own = size[codes]
+        own[at[:-1]] = 0
+        tokens = gather(flat, (np.cumsum(size) - size)[codes], own).tobytes()
+        ends = (4 * np.concatenate([[0], np.cumsum(own)])[at]).tolist()
+        return pa.array([odd[k] if k in odd else first[k] + tokens[ends[k]:ends[k + 1]] for k in range(len(plain))],
+                        pa.binary())
 
     def decode_bytes(self, ids: bytes) -> bytes:
         own = np.frombuffer(ids, dtype="<u4").astype(np.int64)
@@ -241,12 +248,14 @@ class ByteBPE:
 
 
 def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The concatenation of ``flat[start : start + size]`` for each range."""
+    """The concatenation of ``flat[start : start + size]`` for each range (of
+    fewer than 2^31 items)."""
     total = int(size.sum())
     if not total:
         return flat[:0]
-    begin = np.cumsum(size) - size
-    return flat[np.repeat(start - begin, size) + np.arange(total)]
+    at = np.repeat((start - (np.cumsum(size) - size)).astype(np.int32), size)
+    at += np.arange(total, dtype=np.int32)
+    return flat[at]
 
 
 @lru_cache(maxsize=4)
