@@ -1,6 +1,105 @@
-"""DuckDB statements of the queries that SQL can express."""
+"""DuckDB statements of the queries that SQL can express, over whole tables."""
+
+from . import quality as Q
+
+WORD = r"[^\x20\x09-\x0D]+"
+_CLASS_PATTERNS = {"lower": "[a-z]", "upper": "[A-Z]", "digit": "[0-9]", "space": r"[\x20\x09-\x0D]",
+                   "stop": "[.,;:!?]", "mark": "[''\"()/-]", "control": r"[\x00-\x08\x0E-\x1F\x7F]",
+                   "other": r"[^\x00-\x7F]"}
+
+
+def _quality() -> str:
+    """Base counts by lists and windows; the divergences from their definition."""
+    count = {c: f"length(t) - length(regexp_replace(t, '{p}', '', 'g'))" for c, p in _CLASS_PATTERNS.items()}
+    count["symbol"] = "length(t) - " + " - ".join(f"({count[c]})" for c in _CLASS_PATTERNS)
+    classes = " UNION ALL ".join(f"SELECT doc_id, ref, '{c}' AS bin, {count[c]} AS n FROM d" for c in Q.CLASSES)
+
+    def distance(name: str, doc_bins: str, ref_bins: str, guard: str) -> str:
+        return f"""{name}_p AS (SELECT doc_id, ref, bin, n / sum(n) OVER (PARTITION BY doc_id) AS p FROM {doc_bins}
+  WHERE doc_id IN (SELECT doc_id FROM {doc_bins} GROUP BY doc_id HAVING {guard})),
+{name}_q AS (SELECT ref, bin, n / sum(n) OVER (PARTITION BY ref) AS q FROM {ref_bins}),
+{name} AS (SELECT doc_id, sqrt(greatest(0, least(1, sum(
+    CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2))) AS distance
+  FROM {name}_p JOIN {name}_q USING (ref, bin) GROUP BY doc_id)"""
+
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS lang FROM documents),
+own AS (SELECT lang FROM docs WHERE lang <> '' GROUP BY lang
+        HAVING count(*) >= {Q.LANGUAGE_SHARE!r} * (SELECT count(*) FROM docs)),
+d AS (SELECT doc_id, t, CASE WHEN lang IN (SELECT lang FROM own) THEN lang ELSE '' END AS ref,
+             regexp_extract_all(t, '{WORD}') AS w FROM docs),
+lines AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS l FROM d),
+win AS (SELECT doc_id, k, w[k] || ' ' || w[k + 1] || ' ' || w[k + 2] AS g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS k FROM d)),
+twice AS (SELECT doc_id, k FROM (SELECT doc_id, k, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) WHERE c > 1),
+rep AS (SELECT doc_id, count(DISTINCT k + s) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS s) GROUP BY doc_id),
+class_bins AS ({classes}),
+class_ref AS (SELECT ref, bin, sum(n) AS n FROM (
+    SELECT ref, bin, n FROM class_bins WHERE ref <> '' UNION ALL SELECT '', bin, n FROM class_bins) GROUP BY ref, bin),
+tokens AS (SELECT doc_id, ref, unnest(w) AS word FROM d),
+counted AS (SELECT doc_id, ref, word, count(*) AS n FROM tokens GROUP BY ALL),
+by_ref AS (SELECT ref, word, sum(n) AS n FROM (
+    SELECT ref, word, n FROM counted WHERE ref <> '' UNION ALL SELECT '', word, n FROM counted) GROUP BY ref, word),
+common AS (SELECT ref, word, n FROM (SELECT ref, word, n, sum(n) OVER (PARTITION BY ref) AS total FROM by_ref)
+           WHERE n >= {Q.COMMON_SHARE!r} * total),
+word_ref AS (SELECT ref, 'w' || word AS bin, n FROM common UNION ALL
+    SELECT ref, 'other', sum(n) FILTER (WHERE (ref, word) NOT IN (SELECT ref, word FROM common)) FROM by_ref GROUP BY ref),
+word_bins AS (SELECT d.doc_id, d.ref, 'w' || c.word AS bin, coalesce(n.n, 0) AS n
+    FROM d JOIN common c USING (ref) LEFT JOIN counted n ON n.doc_id = d.doc_id AND n.word = c.word
+  UNION ALL SELECT d.doc_id, d.ref, 'other', len(d.w) - coalesce(sum(n.n), 0)
+    FROM d LEFT JOIN (SELECT counted.doc_id, counted.n FROM counted JOIN common USING (ref, word)) n ON n.doc_id = d.doc_id
+    GROUP BY d.doc_id, d.ref, len(d.w)),
+{distance("class_js", "class_bins", "class_ref", f"sum(n) >= {Q.MIN_CHARS}")},
+{distance("word_js", "word_bins", "word_ref", f"sum(n) >= {Q.MIN_WORDS}")},
+base AS (SELECT d.doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words
+  FROM d JOIN lines USING (doc_id) LEFT JOIN rep USING (doc_id)),
+judged AS (SELECT *, n_words < {Q.LEAST_WORDS} OR 100 * n_repeat_words > {Q.REPEAT_PERCENT} * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(c.distance <= {Q.MAX_CLASS_DISTANCE}, TRUE)
+    AND coalesce(v.distance <= {Q.MAX_WORD_DISTANCE}, TRUE) AS kept
+FROM judged LEFT JOIN class_js c USING (doc_id) LEFT JOIN word_js v USING (doc_id)
+"""
+
 
 ORACLE_SQL = {
+    "op2_quality": _quality(),
+    "op6_minhash": rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, w[k] || ' ' || w[k + 1] AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS k FROM d WHERE len(w) >= 2)
+      UNION ALL SELECT doc_id, w[1] FROM d WHERE len(w) = 1),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id
+           GROUP BY ALL),
+links AS (SELECT x, y FROM common JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+          WHERE 100 * c >= 80 * (p.n + q.n - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM d
+  UNION SELECT reach.doc_id, edges.y FROM reach JOIN edges ON edges.x = reach.other)
+SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.other) AS component_id, r.doc_id = min(r.other) AS kept
+FROM reach r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+""",
+    "op10_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s
+      FROM (SELECT doc_id, h, unnest(range(greatest(0, length(h) // 2 - 49))) AS i FROM d)),
+f AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+c AS (SELECT w.doc_id, w.i FROM w JOIN f USING (s) WHERE f.least < w.doc_id),
+e AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS first FROM c),
+g AS (SELECT doc_id, i, sum(first) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM e),
+r AS (SELECT doc_id, k, min(i) AS a, max(i) + 50 AS b FROM g GROUP BY doc_id, k),
+p AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM r),
+left_over AS (SELECT d.doc_id, any_value(length(h) // 2) AS n_bytes, coalesce(sum(b - a), 0) AS n_removed, count(a) AS n_spans,
+    coalesce(string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a), '')
+      || substr(any_value(h), 2 * coalesce(max(b), 0) + 1) AS kept
+  FROM d LEFT JOIN p USING (doc_id) GROUP BY d.doc_id)
+SELECT doc_id, n_bytes, CAST(n_removed AS BIGINT) AS n_removed, n_spans, sha256(unhex(kept)) AS kept_sha256 FROM left_over
+""",
     "op4_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
