@@ -31,9 +31,10 @@ WIDE_TABLE_PREFIX = "wide_"
 MAX_ROWS_PER_SEQUENCE_TASK = 8_000_000
 # Largest small side (rows) we broadcast when its row count is known.
 MAX_BROADCAST_ROWS = 2_000_000
-# Up to this many points a wide table's checks are per-point counts inside
-# the pivot; beyond it they run on the narrow long rows (generated code for a
-# per-row expression over thousands of columns exceeds the JVM method limit).
+# Up to this many points a wide table's checks are per-point counts inside the
+# pivot; beyond it they run before the pivot on the rows of one id (generated
+# code for a per-row expression over thousands of columns exceeds the JVM
+# method limit). Both give the same rows.
 WIDE_BLOCK_POINTS = 64
 # offset + limit above which a page is cut by a distributed rank instead of a
 # per-task top-k buffer.

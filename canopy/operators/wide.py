@@ -30,7 +30,7 @@ from collections import Counter
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
@@ -132,8 +132,8 @@ def pivot_points(telemetry: DataFrame, points: list[str], names: list[str], kind
                  block_points: int = config.WIDE_BLOCK_POINTS) -> DataFrame:
     """W-AGG: rows hash-partitioned on ``unique_id`` and pivoted over the given
     points.  Up to ``block_points`` points the checks ride in the same
-    aggregate (per-point counts); beyond that they move to a narrow side
-    aggregate (see ``_pivot_many``) so that generated code stays small."""
+    aggregate (per-point counts); beyond that they run on the rows of one id
+    before the pivot (see ``_pivot_many``) so that generated code stays small."""
     if len(points) > block_points:
         return _pivot_many(telemetry, points, names, kind, check_unique)
     ts_type = telemetry.schema["ts"].dataType
@@ -173,30 +173,28 @@ def _wide_columns(points, names, kind, vcol, tcol, ts_type) -> list[Column]:
 
 
 def _pivot_many(telemetry, points, names, kind, check_unique) -> DataFrame:
-    """Many points: the pivot carries only values and times; the uniqueness
-    guard and the inner-kind completeness are computed on the narrow long
-    rows (per ``unique_id``) and applied to them as a semi join before the
-    pivot, so no per-row expression or join spans all points.  Everything
-    reads the same ``unique_id`` shuffle (one exchange, reused)."""
+    """Many points: the rows are first reduced to one per ``(unique_id,
+    point)``; the uniqueness guard and the inner-kind completeness are windows
+    over those of one ``unique_id`` (at most one per point), so no per-row
+    expression spans all points. Reduction, windows and pivot all keep the one
+    partitioning by ``unique_id``: one exchange, one scan."""
     ts_type = telemetry.schema["ts"].dataType
     long = (telemetry.filter(F.col("point").isin(points))
             .select("point", "unique_id", "value", to_micros("ts", ts_type).alias("_t"))
             .repartition("unique_id"))
-    if check_unique or kind == "aligned":
-        per = long.groupBy("unique_id", "point").agg(F.count(F.lit(1)).alias("_c"))
-        ids = per.groupBy("unique_id").agg(F.count(F.lit(1)).alias("_n"),
-                                           F.max("_c").alias("_m"))
-        conds: list[Column] = []
-        if check_unique:
-            conds.append(F.when(F.col("_m") > 1, F.raise_error(F.lit(_DUP)))
-                         .otherwise(F.lit(True)))
-        if kind == "aligned":
-            conds.append(F.col("_n") == F.lit(len(points)))
-        ids = ids.filter(reduce(lambda a, b: a & b, conds)).select("unique_id")
-        # the semi join runs on the narrow long rows (not on thousands of
-        # pivoted columns); both sides keep the unique_id partitioning
-        long = long.join(ids, "unique_id", "left_semi")
-    g = (long.groupBy("unique_id").pivot("point", points)
+    per = long.groupBy("unique_id", "point").agg(F.first("value").alias("value"), F.first("_t").alias("_t"),
+                                                 F.count(F.lit(1)).alias("_c"))
+    of_id = Window.partitionBy("unique_id")
+    conds: list[Column] = []
+    if check_unique:
+        per = per.withColumn("_m", F.max("_c").over(of_id))
+        conds.append(F.when(F.col("_m") > 1, F.raise_error(F.lit(_DUP))).otherwise(F.lit(True)))
+    if kind == "aligned":
+        per = per.withColumn("_n", F.count(F.lit(1)).over(of_id))
+        conds.append(F.col("_n") == F.lit(len(points)))
+    if conds:
+        per = per.filter(reduce(lambda a, b: a & b, conds))
+    g = (per.groupBy("unique_id").pivot("point", points)
          .agg(F.first("value").alias("v"), F.first("_t").alias("t")))
     # thousands of columns: one selectExpr call (parsed JVM-side) instead of
     # several py4j round trips per Column object

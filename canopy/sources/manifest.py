@@ -1,8 +1,8 @@
 """Manifests: which points to pull (by biome) and which points form each
 wide-table category (row order = alignment order).
 
-Both are small configuration files; they are read with an explicit schema
-(no inference) and stay DataFrames.  A missing or unreadable point manifest
+Both are small configuration files; their header row names the columns, all
+are read as text (no inference), and they stay DataFrames.  A missing or unreadable point manifest
 yields an empty frame -- the run then has nothing to do.
 """
 

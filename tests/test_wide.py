@@ -119,3 +119,14 @@ def test_many_point_path_guard(spark):
     with pytest.raises(Exception, match="not unique"):
         pivot_points(st, ["a_t", "b_h", "c_x"], ["t", "h", "x"], "ragged",
                      block_points=1).collect()
+
+
+@pytest.mark.parametrize("kind", ["aligned", "ragged"])
+def test_many_point_path_is_one_exchange(spark, kind, tmp_root):
+    from canopy.operators.wide import pivot_points
+    from canopy.plans.inspect import plan_summary
+    path = tmp_root + "/staged"
+    td.staged(td.events_five(spark, SF01)).write.parquet(path)
+    pts = ["click", "error", "purchase", "signup", "view"]
+    shape = plan_summary(pivot_points(spark.read.parquet(path), pts, pts, kind, block_points=2))
+    assert shape["hash_exchanges"] == 1 and shape["scans"] == 1
