@@ -10,7 +10,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from canopy import registry  # noqa: E402
 from canopy.plans.inspect import plan_summary  # noqa: E402
 from canopy.session import local_session  # noqa: E402
 
@@ -23,7 +23,7 @@ def main():
           "builds before adaptive re-planning; broadcasts of size-checked sides included.\n")
     print("| query | hash exchanges | reused | broadcasts | scans | window | top-k | pushed filters |")
     print("|---|---|---|---|---|---|---|---|")
-    for k, fn in E.queries().items():
+    for k, fn in registry.QUERIES.items():
         s = plan_summary(fn(spark, sf))
         pushed = "; ".join(sorted({p.strip() for p in s["pushed_filters"] if p.strip()}))
         pushed = (pushed[:90] + "…") if len(pushed) > 90 else pushed
