@@ -159,8 +159,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     w = F.lit(window).cast("long")
     placed = (rows.filter(F.col("n") > 0).join(bases, "part")
               .select("doc", "n", "ids", "total", at.alias("at")))
-    first = F.floor(F.col("at") / w).cast("long")
-    last = F.floor((F.col("at") + F.col("n") - 1) / w).cast("long")
+    first, last = F.expr(f"at DIV {int(window)}"), F.expr(f"(at + n - 1) DIV {int(window)}")
     cut = placed.select("*", F.explode(F.sequence(first, last)).alias("sequence_id"))
     begin = F.greatest(F.col("at"), F.col("sequence_id") * w)
     stop = F.least(F.col("at") + F.col("n"), (F.col("sequence_id") + 1) * w)

@@ -5,12 +5,12 @@ with a smaller id. That asks, for every suffix, which suffixes agree with it in
 their first ``length`` bytes. Suffixes are sorted to that depth, one bucket at
 a time.
 
-*Sorting a bucket* (:func:`least_owner`). Suffixes are ranked by their first 12
-bytes; ties by the 12 bytes before the depth; long ties by the ranks of cover
-samples. ``{0, 1, 3, 9}`` is a difference cover of 13: for any two positions
-there is an offset below 13 that takes both to sample positions. The samples
-of a bucket are ranked once, to 38 bytes, so two suffixes that tie in head and
-tail are equal exactly if at the common offset their samples have one rank.
+*Sorting a bucket* (:func:`least_owner`). Suffixes are ranked by their first 8
+bytes; ties by the 8 bytes before the depth; long ties by the ranks of cover
+samples. ``{0, 1, 3}`` is a difference cover of 7: for any two positions there
+is an offset below 7 that takes both to sample positions. The samples of a
+bucket are ranked once, to 44 bytes, so two suffixes that tie in head and tail
+are equal exactly if at their common offset their samples have one rank.
 Memory is a few integers per suffix, not its 50 bytes, and a bucket above
 ``BUCKET`` suffixes is cut by its first bytes and sorted in parts.
 
@@ -20,8 +20,9 @@ sends each task's distinct (gram, id) pairs, packed, to the gram's bucket and
 keeps the grams that several ids hold. Step two sorts, inside each task, the
 suffixes of shared grams; what a smaller id in the same task covers is settled.
 The others travel with their bytes to the bucket of their gram, neighbours
-together as one fragment, and are sorted there. Step three removes the covered
-bytes.
+together as one fragment and the fragments of a bucket packed, and are sorted
+there. Step three removes the covered bytes; it reads the texts as step two
+dealt them out.
 
 *Skew.* A gram that several ids of one task hold is known to be shared; it
 sends one pair per task. Equal suffixes of one task send one. So a passage that
@@ -50,6 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .bpe import gather
 from .common import quoted, ship, slices, strings, text_or_empty
 from .minhash import mix64
 
@@ -62,12 +64,11 @@ HOT_SHARE = 1 / 256
 # --- end of parameters ---
 
 # --- fixed values: a difference cover ---
-PERIOD, COVER = 13, (0, 1, 3, 9)
+PERIOD, COVER = 7, (0, 1, 3)
 # --- end of fixed values ---
-EDGE = 12              # bytes compared directly at head and tail
+EDGE = 8               # bytes compared directly at head and tail
 _BASE = 0x9E3779B97F4A7C15
 _BLOCK = 1 << 15
-_BIG = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 # ------------------------------------------------------------------ one bucket
@@ -87,22 +88,28 @@ def tied(rank: np.ndarray) -> np.ndarray:
     return np.bincount(rank)[rank] > 1
 
 
-class Words:
-    """Big-endian words at any position of a buffer."""
+def packed(ranks: list[np.ndarray]) -> np.ndarray:
+    """One rank for several: equal where all are equal."""
+    acc, used = ranks[0].astype(np.uint64), int(ranks[0].max()).bit_length()
+    for r in ranks[1:]:
+        bits = int(r.max()).bit_length()
+        if used + bits > 64:
+            acc = dense(acc).astype(np.uint64)
+            used = int(acc.max()).bit_length()
+        acc = (acc << np.uint64(bits)) | r.astype(np.uint64)
+        used += bits
+    return dense(acc)
 
-    def __init__(self, buf: np.ndarray):
-        padded = np.concatenate([buf, np.zeros(8, np.uint8)])
-        self.windows = np.lib.stride_tricks.sliding_window_view(padded, 8)
 
-    def at(self, pos: np.ndarray, size: int) -> np.ndarray:
-        own = np.ascontiguousarray(self.windows[pos]).view(">u8").ravel().astype(np.uint64)
-        return own >> np.uint64(64 - 8 * size)
+def words_at(buf: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """The big-endian 8-byte word at each position."""
+    windows = np.lib.stride_tricks.sliding_window_view(buf, EDGE)
+    return np.ascontiguousarray(windows[pos]).view(">u8").ravel().astype(np.uint64)
 
 
-def rank_edges(words: Words, pos: np.ndarray) -> np.ndarray:
-    """Ranks of the 12 bytes at each position."""
-    first = dense(words.at(pos, 8))
-    return dense((first.astype(np.uint64) << np.uint64(32)) | words.at(pos + 8, 4))
+#: For two positions modulo the period, the offset that takes both to samples.
+MEET = np.array([[min(o for o in range(PERIOD) if {(a + o) % PERIOD, (b + o) % PERIOD} <= set(COVER))
+                  for b in range(PERIOD)] for a in range(PERIOD)])
 
 
 def least_owner(buf: np.ndarray, pos: np.ndarray, owner: np.ndarray, length: int = LENGTH) -> np.ndarray:
@@ -111,54 +118,69 @@ def least_owner(buf: np.ndarray, pos: np.ndarray, owner: np.ndarray, length: int
     least = owner.copy()
     if len(pos) < 2:
         return least
-    words = Words(buf)
+    head = words_at(buf, pos)
     if len(pos) > BUCKET:  # one part at a time, by the first bytes
-        part = mix64(words.at(pos, 8)) % np.uint64(len(pos) // BUCKET + 1)
+        part = mix64(head) % np.uint64(len(pos) // BUCKET + 1)
         for k in range(len(pos) // BUCKET + 1):
             mine = np.flatnonzero(part == k)
-            least[mine] = _sorted_bucket(words, pos[mine], owner[mine], length)
+            if len(mine) > 1:
+                least[mine] = _sorted_bucket(buf, pos[mine], head[mine], owner[mine], length)
         return least
-    return _sorted_bucket(words, pos, owner, length)
+    return _sorted_bucket(buf, pos, head, owner, length)
 
 
-def _sorted_bucket(words: Words, pos: np.ndarray, owner: np.ndarray, length: int) -> np.ndarray:
+def _sorted_bucket(buf: np.ndarray, pos: np.ndarray, head: np.ndarray, owner: np.ndarray, length: int) -> np.ndarray:
     least = owner.copy()
-    live = np.arange(len(pos))
-    rank = rank_edges(words, pos)
-    keep = tied(rank)
-    live, rank = live[keep], rank[keep]
+    rank = dense(head)
+    live = np.flatnonzero(tied(rank))
     if not len(live):
         return least
-    tail = rank_edges(words, pos[live] + (length - EDGE))
-    rank = dense((rank.astype(np.uint64) << np.uint64(32)) | tail.astype(np.uint64))
+    rank = packed([rank[live], dense(words_at(buf, pos[live] + (length - EDGE)))])
     keep = tied(rank)
     live, rank = live[keep], rank[keep]
     if not len(live):
         return least
-    # cover samples: every live suffix meets one for each member of the cover
-    start = pos[live]
-    offsets = [(d - start) % PERIOD for d in COVER]
-    sample = np.unique(np.concatenate([start + o for o in offsets]))
-    depth = length - (PERIOD - 1)
-    parts = [sample + k for k in range(0, depth - EDGE, EDGE)] + [sample + depth - EDGE]
-    every = np.unique(np.concatenate(parts))
-    edge = rank_edges(words, every)
-    ranked = np.zeros(len(sample), dtype=np.int64)
-    for p in parts:
-        ranked = dense((ranked.astype(np.uint64) << np.uint64(32)) | edge[np.searchsorted(every, p)].astype(np.uint64))
-    # equal suffixes agree at some common offset, whichever sample that is for each of them
-    group = np.concatenate([
-        (rank.astype(np.uint64) << np.uint64(34)) | (ranked[np.searchsorted(sample, start + o)].astype(np.uint64) << np.uint64(4))
-        | o.astype(np.uint64) for o in offsets])
-    own = np.tile(owner[live], len(COVER))
-    order = np.argsort(group)
-    g = group[order]
-    first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-    low = np.minimum.reduceat(own[order], first)
-    found = np.empty(len(group), own.dtype)
-    found[order] = np.repeat(low, np.diff(np.append(first, len(g))))
-    found = found.reshape(len(COVER), -1).min(axis=0)
-    least[live] = found
+    # cover samples at or after every suffix, ranked to the depth they vouch for
+    start, depth = pos[live], length - (PERIOD - 1)
+    is_sample = np.zeros(len(buf), dtype=bool)
+    for d in COVER:
+        is_sample[start + (d - start) % PERIOD] = True
+    sample = np.flatnonzero(is_sample)
+    steps = [*range(0, depth - EDGE, EDGE), depth - EDGE]
+    needed = np.zeros(len(buf), dtype=bool)
+    for k in steps:
+        needed[sample + k] = True
+    every = np.flatnonzero(needed)
+    at = np.empty(len(buf), dtype=np.int64)
+    at[every] = dense(words_at(buf, every))
+    at[sample] = packed([at[sample + k] for k in steps])
+    # ties against the first of their group, by the samples at the common offset
+    order = np.argsort(rank, kind="stable")
+    start, rank, own = start[order], rank[order], owner[live][order]
+    first = np.flatnonzero(np.concatenate([[True], rank[1:] != rank[:-1]]))
+    size = np.diff(np.append(first, len(rank)))
+    lead = np.repeat(start[first], size)
+    offset = MEET[start % PERIOD, lead % PERIOD]
+    same = at[start + offset] == at[lead + offset]
+    whole = np.logical_and.reduceat(same, first)
+    found = own.copy()
+    if whole.any():
+        pick = np.repeat(whole, size)
+        low = np.minimum.reduceat(own, first)
+        found[pick] = np.repeat(low, size)[pick]
+    if not whole.all():  # several strings share head and tail
+        pick = np.flatnonzero(np.repeat(~whole, size))
+        s, r, o = start[pick], rank[pick], own[pick]
+        # equal suffixes agree at some common offset, whichever sample that is for each of them
+        offsets = [(d - s) % PERIOD for d in COVER]
+        group = packed([np.tile(r, len(COVER)), np.concatenate([at[s + k] for k in offsets]), np.concatenate(offsets)])
+        by = np.argsort(group, kind="stable")
+        g = group[by]
+        cut = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+        low = np.empty(len(g), own.dtype)
+        low[by] = np.repeat(np.minimum.reduceat(np.tile(o, len(COVER))[by], cut), np.diff(np.append(cut, len(g))))
+        found[pick] = low.reshape(len(COVER), -1).min(axis=0)
+    least[live[order]] = found
     return least
 
 
@@ -202,14 +224,28 @@ def least_grams(buf: np.ndarray, hot: np.ndarray, length: int) -> tuple[np.ndarr
     for a in range(0, n, _BLOCK):
         b = min(n, a + _BLOCK)
         h = gram_hashes(buf[a:b + length - 1])
-        plain[a:b] = sliding_min(h, width)
-        if cold is not None:
-            at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
-            late = (h >> np.uint64(1)) | np.where(hot[at] == h, np.uint64(1 << 63), np.uint64(0))
-            cold[a:b] = sliding_min(late, width)
+        low = plain[a:b] = sliding_min(h, width)
+        if cold is None:
+            continue
+        new = np.concatenate([[True], low[1:] != low[:-1]])
+        first, last = runs_of(new)
+        held = np.repeat(_among(low[first], hot), last - first)
+        late = h >> np.uint64(1)
+        if held.any():  # only under a hot least gram does it matter which others are hot
+            near = np.zeros(len(h) + 1, np.int32)
+            np.add.at(near, np.flatnonzero(held), 1)
+            np.add.at(near, np.flatnonzero(held) + width, -1)
+            ask = np.flatnonzero(np.cumsum(near[:-1]) > 0)
+            late[ask[_among(h[ask], hot)]] |= np.uint64(1 << 63)
+        cold[a:b] = sliding_min(late, width)
     return plain, plain if cold is None else cold
 
 
+def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether each value is in a sorted, nonempty array."""
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
+
+
 class Chunk:
     """Rows that a task looks at together, as one buffer."""
 
@@ -356,11 +392,7 @@ def _shared_grams(least_hot: float):
 
 
 # ------------------------------------------------------------------ step two
-_FOUND = "key long, id long, text_hash long, at int, body binary, settled boolean"
-
-
-def _pairs_column(lists: list[np.ndarray]) -> pa.Array:
-    return pa.array([x.astype("<i4").tobytes() for x in lists], pa.binary())
+_FOUND = "bucket int, settled boolean, bodies binary, sizes binary, places binary, ids binary, text_hashes binary"
 
 
 def covered_runs(pos: np.ndarray, row: np.ndarray, start: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -376,8 +408,9 @@ def covered_runs(pos: np.ndarray, row: np.ndarray, start: np.ndarray, length: in
         yield int(r[i]), np.stack([a[i:j], b[i:j]], axis=1).ravel()
 
 
-def _fragments(length: int, hot: np.ndarray):
+def _fragments(length: int, hot: np.ndarray, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = TaskContext.get().partitionId()
         for one, texts in chunks(batches, 2):
             own = Chunk(one.column(0).to_numpy(), texts.cast(pa.binary()).to_pylist(), length)
             text_hash = one.column(1).to_numpy()
@@ -392,85 +425,77 @@ def _fragments(length: int, hot: np.ndarray):
             new = np.ones(len(asked), bool)
             new[1:] = asked[1:] != asked[:-1]
             first, last = runs_of(new)
-            at = np.minimum(np.searchsorted(known, asked[first]), len(known) - 1)
-            pos = pos[np.repeat(known[at] == asked[first], last - first)]
+            pos = pos[np.repeat(_among(asked[first], known), last - first)]
             if not len(pos):
                 continue
             row = own.row[pos]
             ids = own.ids[row]
             settled = least_owner(own.buf, pos, ids, length) < ids
             out: list[tuple] = []
-            for r, pairs in covered_runs(pos[settled], row[settled], own.start, length):
-                out.append((int(own.ids[r]) * 2654435761 % (1 << 40), int(own.ids[r]), int(text_hash[r]), 0,
-                            pairs.astype("<i4").tobytes(), True))
+            done = list(covered_runs(pos[settled], row[settled], own.start, length))
+            if done:
+                r = np.array([k for k, _ in done])
+                turn += 1
+                out.append((turn % buckets, True, _pack(np.concatenate([p for _, p in done]).astype("<i4")),
+                            _pack(np.array([len(p) for _, p in done], dtype="<i4")), b"", _pack(own.ids[r]),
+                            _pack(text_hash[r])))
             pos, row = pos[~settled], row[~settled]
             if len(pos):
                 key = cold[pos]
                 new = np.ones(len(pos), bool)
                 new[1:] = (row[1:] != row[:-1]) | (pos[1:] != pos[:-1] + 1) | (key[1:] != key[:-1])
                 first, last = runs_of(new)
-                whole = own.buf.tobytes()
-                r = row[first]
-                out.extend(zip(key[first].view(np.int64).tolist(), own.ids[r].tolist(), text_hash[r].tolist(),
-                               (pos[first] - own.start[r]).tolist(),
-                               [whole[a:b + length] for a, b in zip(pos[first].tolist(), pos[last - 1].tolist())],
-                               [False] * len(first)))
-            for a in range(0, len(out), 20_000):
-                cols = list(zip(*out[a:a + 20_000]))
+                bucket = (mix64(key[first]) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                r, a, size = row[first][order], pos[first][order], (pos[last - 1] + length - pos[first])[order]
+                kinds, edges = np.unique(bucket[order], return_index=True)
+                for k, i, j in zip(kinds.tolist(), edges, np.append(edges[1:], len(order))):
+                    out.append((k, False, _pack(gather(own.buf, a[i:j], size[i:j])), _pack(size[i:j].astype("<i4")),
+                                _pack((a[i:j] - own.start[r[i:j]]).astype("<i4")), _pack(own.ids[r[i:j]]),
+                                _pack(text_hash[r[i:j]])))
+            if out:
+                cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.int32()),
-                     pa.array(cols[4], pa.binary()), pa.array(cols[5], pa.bool_())],
-                    names=["key", "id", "text_hash", "at", "body", "settled"])
+                    [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.bool_()), *(pa.array(c, pa.binary()) for c in cols[2:])],
+                    names=["bucket", "settled", "bodies", "sizes", "places", "ids", "text_hashes"])
     return run
 
 
 def _bucket_runs(length: int):
-    """Sorts the fragments of whole keys, about ``BUCKET`` suffixes at a time."""
-
-    def solve(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = pa.Table.from_batches(parts).combine_chunks()
-        raws = one["body"].to_pylist()
-        ids, text_hash = one["id"].to_numpy(), one["text_hash"].to_numpy()
-        at = one["at"].to_numpy().astype(np.int64)
-        size = np.array([len(x) for x in raws], dtype=np.int64)
-        start = np.cumsum(size) - size
-        buf = np.frombuffer(b"".join(raws), dtype=np.uint8)
-        count = size - length + 1
-        row = np.repeat(np.arange(len(raws)), count)
+    """Sorts one bucket's fragments at a time."""
+
+    def ranges(ids: np.ndarray, text_hash: np.ndarray, pairs: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids), pa.array(text_hash), pa.array([p.astype("<i4").tobytes() for p in pairs], pa.binary())],
+            names=["id", "text_hash", "pairs"])
+
+    def solve(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+        buf = np.frombuffer(b"".join(zstandard.ZstdDecompressor().decompress(r["bodies"]) for r in rows), dtype=np.uint8)
+        size, at, ids, text_hash = (np.concatenate([_unpack(r[c], kind) for r in rows]).astype(np.int64) for c, kind in (
+            ("sizes", "<i4"), ("places", "<i4"), ("ids", "<i8"), ("text_hashes", "<i8")))
+        start, count = np.cumsum(size) - size, size - length + 1
+        row = np.repeat(np.arange(len(size)), count)
         pos = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + start[row]
         own = ids[row]
         hit = least_owner(buf, pos, own, length) < own
         found = list(covered_runs(pos[hit], row[hit], start - at, length))
         if found:
             r = [k for k, _ in found]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[r]), pa.array(text_hash[r]), _pairs_column([p for _, p in found])],
-                names=["id", "text_hash", "pairs"])
+            yield ranges(ids[r], text_hash[r], [p for _, p in found])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        load, last = 0, None
+        held: list[dict] = []
         for batch in batches:
-            settled = batch.column(5)
-            done = batch.filter(settled)
-            if done.num_rows:
-                yield pa.RecordBatch.from_arrays([done.column(1), done.column(2), done.column(4)],
-                                                 names=["id", "text_hash", "pairs"])
-            batch = batch.filter(pc.invert(settled))
-            if not batch.num_rows:
-                continue
-            key = batch.column(0).to_numpy()
-            first, end = runs_of(np.concatenate([[True], key[1:] != key[:-1]]))
-            weight = np.add.reduceat(pc.binary_length(batch.column(4)).to_numpy().astype(np.int64), first)
-            begin = 0
-            for a, b, w in zip(first.tolist(), end.tolist(), weight.tolist()):
-                if load and load + w > BUCKET and key[a] != last:
-                    if a > begin:
-                        held.append(batch.slice(begin, a - begin))
+            for row in batch.to_pylist():
+                if row["settled"]:
+                    ends = np.cumsum(_unpack(row["sizes"], "<i4"))[:-1]
+                    yield ranges(_unpack(row["ids"], "<i8"), _unpack(row["text_hashes"], "<i8"),
+                                 np.split(_unpack(row["bodies"], "<i4"), ends))
+                    continue
+                if held and held[0]["bucket"] != row["bucket"]:
                     yield from solve(held)
-                    held, load, begin = [], 0, a
-                load, last = load + w, key[a]
-            held.append(batch.slice(begin))
+                    held = []
+                held.append(row)
         if held:
             yield from solve(held)
     return run
@@ -484,10 +509,10 @@ def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         raise ValueError(f"length must be at least {GRAM + EDGE}")
     spark = df.sparkSession
     ship(spark)
-    docs = _docs(df, id_col, text_col).filter(F.col("id").isNotNull() & (F.octet_length("text") >= length))
+    docs = long_rows(df, id_col, text_col, length)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows, size = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
     buckets = 1 << max(4, (2 * parts - 1).bit_length())
-    rows = docs.count()
     sent = docs.select("id", "text").mapInArrow(_send_grams(length, buckets), _SENT)
     told = (sent.repartition(parts, "bucket").sortWithinPartitions("bucket", "known")
             .mapInArrow(_shared_grams(max(3.0, HOT_SHARE * rows)), "id long, grams binary, hot boolean"))
@@ -499,11 +524,17 @@ def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     hot = np.unique(np.frombuffer(b"".join(hot), dtype="<u8").astype(np.uint64))
     by_id = told.filter("not hot").groupBy("id").agg(F.collect_list("grams").alias("grams"))
     asked = docs.join(by_id, "id").select("id", "text_hash", "text", "grams")
-    found = asked.mapInArrow(_fragments(length, hot), _FOUND)
-    return (found.repartition(parts, "key").sortWithinPartitions("key")
+    buckets = 1 << max(4, ((size or 0) // (4 * BUCKET)).bit_length())
+    found = asked.mapInArrow(_fragments(length, hot, buckets), _FOUND)
+    return (found.repartition(parts, "bucket").sortWithinPartitions("bucket")
             .mapInArrow(_bucket_runs(length), "id long, text_hash long, pairs binary"))
 
 
+def long_rows(df: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
+    """The rows that take part."""
+    return _docs(df, id_col, text_col).filter(F.col("id").isNotNull() & (F.octet_length("text") >= length))
+
+
 def _docs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return (df.select(F.col(quoted(id_col)).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
             .select("id", F.xxhash64("text").alias("text_hash"), "text"))
@@ -513,7 +544,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``id, n_bytes, n_removed, n_spans, kept`` per row; ``kept`` is the bytes
     that stay (binary, as a cut may fall inside a character)."""
     ranges = (repeated_ranges(df, id_col, text_col, length)
-              .groupBy("id", "text_hash").agg(F.collect_list("pairs").alias("pairs")))
+              .groupBy("id").agg(F.collect_list(F.struct("text_hash", "pairs")).alias("ranges")))
 
     @F.arrow_udf("struct<n_removed:long,n_spans:long,kept:binary>")
     def without(texts: pa.Array, pairs: pa.Array) -> pa.Array:
@@ -526,9 +557,16 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return pa.StructArray.from_arrays([pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
                                            pa.array(kept, pa.binary())], names=["n_removed", "n_spans", "kept"])
 
-    return (_docs(df, id_col, text_col).join(ranges, ["id", "text_hash"], "left")
-            .select("id", F.octet_length("text").cast("long").alias("n_bytes"), without("text", "pairs").alias("r"))
+    size = F.octet_length("text").cast("long").alias("n_bytes")
+    own = F.transform(F.filter("ranges", lambda r: r["text_hash"] == F.col("text_hash")), lambda r: r["pairs"])
+    # dealt out by id alone, as the join with the grams is, so that exchange is used again
+    long = (long_rows(df, id_col, text_col, length).join(ranges, "id", "left")
+            .select("id", size, without(F.col("text"), own).alias("r"))
             .select("id", "n_bytes", "r.n_removed", "r.n_spans", "r.kept"))
+    none = F.lit(0).cast("long")
+    rest = (_docs(df, id_col, text_col).filter(F.col("id").isNull() | (F.octet_length("text") < length))
+            .select("id", size, none.alias("n_removed"), none.alias("n_spans"), F.col("text").cast("binary").alias("kept")))
+    return long.unionByName(rest)
 
 
 def cut_out(raw: bytes, pairs: list[bytes]) -> tuple[int, int, bytes]:
