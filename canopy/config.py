@@ -29,8 +29,10 @@ WIDE_TABLE_PREFIX = "wide_"
 # Largest number of rows one window task numbers before a point is split into
 # time buckets (see operators.sequence).
 MAX_ROWS_PER_SEQUENCE_TASK = 8_000_000
-# Largest small side (rows) we broadcast when its row count is known.
-MAX_BROADCAST_ROWS = 2_000_000
+# Largest small side (bytes) we broadcast when its row count is known, and what
+# a point name or other text in it is counted as.
+MAX_BROADCAST_BYTES = 64 << 20
+NAME_BYTES = 256
 # Up to this many points a wide table's checks are per-point counts inside the
 # pivot; beyond it they run before the pivot on the rows of one id (generated
 # code for a per-row expression over thousands of columns exceeds the JVM
