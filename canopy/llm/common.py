@@ -3,6 +3,7 @@ Arrow batches by bytes, and free column names."""
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -77,6 +78,17 @@ def strings(arr: pa.Array) -> pa.Array:
     return pc.fill_null(arr.cast(pa.string()), "")
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # a GNU C library call; others need none
+
+
+def release() -> None:
+    """Hand memory that a worker no longer uses back to the machine; workers
+    live on between stages."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def joined(parts: Iterable[pa.Array], kind: pa.DataType) -> pa.Array:
     """One array of ``parts`` (possibly none) of type ``kind``."""
     parts = list(parts)

@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import quoted, ship, slices, strings, text_or_empty
+from .common import quoted, release, ship, slices, strings, text_or_empty
 
 # --- production parameters ---
 SHINGLE_WORDS = 5
@@ -148,6 +148,7 @@ def signatures(df: DataFrame, id_col: str, text_col: str, words: int) -> DataFra
                      pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                      pa.array([bands(signature(s)) if len(s) else [] for s in sets], pa.list_(pa.int64()))],
                     names=["id", "text_hash", "n", "node", "bands"])
+            release()
 
     return (_docs(df, id_col, text_col)
             .mapInArrow(run, f"id {kind}, text_hash long, n long, node binary, bands array<long>"))
@@ -184,6 +185,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, least_percent: int
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i).filter(keep), batch.column(1).slice(i, j - i).filter(keep)],
                     names=["a", "b"])
+            release()
 
     return both.mapInArrow(run, "a binary, b binary")
 
@@ -331,6 +333,7 @@ def _texts(df: DataFrame, id_col: str, text_col: str, words: int, keyed: DataFra
         for a, b in slices(texts):
             out += [hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                     for s in shingle_sets(texts.slice(a, b - a), words)]
+        release()
         return pa.array(out, pa.binary())
 
     # the hash only finds the rows; the text's own node decides

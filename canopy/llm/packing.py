@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .bpe import byte_letters, gather, vocabulary_path
-from .common import quoted, ship, slices, strings, text_or_empty
+from .common import quoted, release, ship, slices, strings, text_or_empty
 
 VOCABULARY = "word_bpe_49k.json"
 WINDOW = 4096
@@ -39,7 +39,7 @@ END_ID = 2
 #: Partition totals are broadcast up to this many partitions (24 bytes each).
 BROADCAST_PARTITIONS = 200_000
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 #: Pieces of these characters (after composition) split and lower-case alike
 #: in every library; all others are left to the tokenizer itself.
 _LETTERS = "a-zß-öø-ÿ"
@@ -128,6 +128,7 @@ def encoded(df: DataFrame, id_col: str, text_col: str, vocabulary: str = VOCABUL
                     [batch.column(0).slice(a, b - a), pa.array(np.full(b - a, part, np.int32)),
                      pa.array(ahead), pa.array(n), pa.array(ids, pa.binary())],
                     names=["doc", "part", "before", "n", "ids"])
+            release()
 
     return (df.select(F.col(quoted(id_col)).alias("doc"), text_or_empty(text_col).alias("text"))
             .mapInArrow(run, f"doc {id_type}, part int, before long, n long, ids binary"))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, quoted, ship, slices, strings
+from .common import free_name, quoted, release, ship, slices, strings
 
 # --- fixed values: the base rules ---
 SYMBOLS = b"#*$%&|<>"
@@ -57,7 +57,7 @@ MAX_WORD_DISTANCE = 0.45
 POOLED = ""
 CLASSES = ("lower", "upper", "digit", "space", "stop", "mark", "symbol", "control", "other")
 #: Distinct words a task holds before it hands on its sums.
-TASK_WORDS = 500_000
+TASK_WORDS = 300_000
 
 
 def class_table() -> np.ndarray:
@@ -138,13 +138,16 @@ def corpus_counts(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """``lang, kind, item, n``: documents, character classes and words of every language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: Counter = Counter()
+        sums: dict[str, dict[str, Counter]] = {}  # by language and kind
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in sums], pa.string()), pa.array([k[1] for k in sums], pa.string()),
-                 pa.array([k[2] for k in sums], pa.binary()), pa.array(list(sums.values()), pa.int64())],
-                names=["lang", "kind", "item", "n"])
+        def out() -> Iterator[pa.RecordBatch]:
+            for lang, kinds in sums.items():
+                for kind, counter in kinds.items():
+                    n = len(counter)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * n, pa.string()), pa.array([kind] * n, pa.string()),
+                         pa.array(list(counter), pa.binary()), pa.array(list(counter.values()), pa.int64())],
+                        names=["lang", "kind", "item", "n"])
 
         for batch in batches:
             langs, texts = strings(batch.column(0)), strings(batch.column(1))
@@ -154,18 +157,21 @@ def corpus_counts(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                                      texts.slice(a, b - a).cast(pa.binary()).to_pylist()):
                     by_lang.setdefault(lang, []).append(raw)
                 for lang, raws in by_lang.items():
+                    kinds = sums.setdefault(lang, {k: Counter() for k in ("documents", "class", "words", "word")})
                     whole = b"\n".join(raws)
-                    sums[lang, "documents", b""] += len(raws)
+                    kinds["documents"][b""] += len(raws)
                     for name, n in zip(CLASSES, (byte_counts(whole) @ _TO_CLASS).tolist()):
-                        sums[lang, "class", name.encode()] += n
-                    words = Counter(whole.split())
-                    sums[lang, "words", b""] += words.total()
-                    for w, n in words.items():
-                        sums[lang, "word", w] += n
-                if len(sums) > TASK_WORDS:
-                    yield out()
+                        kinds["class"][name.encode()] += n
+                    words = whole.split()
+                    kinds["words"][b""] += len(words)
+                    kinds["word"].update(words)
+                if sum(len(kinds["word"]) for kinds in sums.values()) > TASK_WORDS:
+                    yield from out()
                     sums.clear()
-        yield out()
+                    release()
+        yield from out()
+        sums.clear()
+        release()
 
     rows = df.select(F.coalesce(F.col(quoted(lang_col)).cast("string"), F.lit(POOLED)).alias("lang"),
                      F.col(quoted(text_col)).cast("string").alias("text"))
@@ -234,6 +240,7 @@ def verdict(text: Column, lang: Column, refs: dict[str, Reference], max_class: f
             for raw, own in zip(texts.slice(a, b - a).cast(pa.binary()).to_pylist(), langs.slice(a, b - a).to_pylist()):
                 rows.append(judge_text(raw, refs.get(own, refs[POOLED]), max_class, max_word))
         columns = list(zip(*rows)) if rows else [()] * len(_RESULT)
+        release()
         return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _RESULT)], fields=list(_RESULT))
 
     return judge(text, lang)
