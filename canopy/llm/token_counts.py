@@ -32,10 +32,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import VOCABULARY, byte_bpe
-from .common import joined, quoted, ship, slices, strings, text_or_empty
+from .common import joined, quoted, release, ship, slices, strings, text_or_empty
 
 RULES = ("first", "last", "most")
-_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("tokens", pa.int64())]))
+#: Text whose tokens are attributed together.
+TEXT_SLICE = 4 << 20
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("tokens", pa.int64()), ("all", pa.int64())]))
+_DDL = "array<struct<start:long,end:long,tokens:long,all:long>>"
 
 
 def token_spans(raw: bytes, ids: np.ndarray, piece_len: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -81,7 +84,7 @@ def line_edges(text: str) -> np.ndarray:
 
 def _counted(texts: pa.Array, edges: list[np.ndarray], vocabulary: str, rule: str) -> pa.Array:
     bpe = byte_bpe(vocabulary)
-    starts, ends, counts, sizes = [], [], [], []
+    starts, ends, counts, totals, sizes = [], [], [], [], []
     for raw, ids, edge in zip(texts.cast(pa.binary()).to_pylist(), bpe.encode_arrow(texts).to_pylist(), edges):
         own = np.frombuffer(ids, dtype="<u4").astype(np.int64)
         sizes.append(len(edge) - 1)
@@ -90,28 +93,31 @@ def _counted(texts: pa.Array, edges: list[np.ndarray], vocabulary: str, rule: st
         else:
             first, end = token_spans(raw, own, bpe.piece_len)
             counts.append(attribute(first, end, edge, rule))
+        totals.append(np.full(len(edge) - 1, len(own)))
         starts.append(edge[:-1])
         ends.append(edge[1:])
     offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
     flat = [pa.array(np.concatenate(x).astype(np.int64)) if x else pa.array([], pa.int64())
-            for x in (starts, ends, counts)]
+            for x in (starts, ends, counts, totals)]
     return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(flat, fields=list(_SPANS.value_type))).cast(_SPANS)
 
 
 def sections(columns: Sequence[Column], vocabulary: str = VOCABULARY, rule: str = "first",
              separator: str = "\n") -> Column:
-    """``array<struct<start, end, tokens>>``: the lines of one column, or the
-    fields when several are given."""
+    """``array<struct<start, end, tokens, all>>``: the lines of one column, or the
+    fields when several are given; ``all`` is the document's total."""
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
 
-    @F.arrow_udf("array<struct<start:long,end:long,tokens:long>>")
+    @F.arrow_udf(_DDL)
     def count_lines(texts: pa.Array) -> pa.Array:
         texts = strings(texts)
-        parts = (texts.slice(a, b - a) for a, b in slices(texts))
-        return joined((_counted(p, [line_edges(t) for t in p.to_pylist()], vocabulary, rule) for p in parts), _SPANS)
+        parts = (texts.slice(a, b - a) for a, b in slices(texts, TEXT_SLICE))
+        out = joined((_counted(p, [line_edges(t) for t in p.to_pylist()], vocabulary, rule) for p in parts), _SPANS)
+        release()
+        return out
 
-    @F.arrow_udf("array<struct<start:long,end:long,tokens:long>>")
+    @F.arrow_udf(_DDL)
     def count_fields(text: pa.Array, lengths: pa.Array) -> pa.Array:
         text, parts = strings(text), []
         for a, b in slices(text):
@@ -129,9 +135,7 @@ def token_counts(df: DataFrame, id_col: str = "doc_id", fields: Sequence[str] =
                  vocabulary: str = VOCABULARY, rule: str = "first", separator: str = "\n") -> DataFrame:
     """``id, section, start, end, n_tokens, doc_tokens``: one row per section."""
     ship(df.sparkSession)
-    counted = df.select(F.col(quoted(id_col)).alias("id"),
-                        sections([text_or_empty(f) for f in fields], vocabulary, rule, separator).alias("s"))
-    total = F.aggregate("s", F.lit(0).cast("long"), lambda all_, x: all_ + x["tokens"])
-    return (counted.select("id", total.alias("doc_tokens"), F.posexplode("s").alias("section", "x"))
+    own = sections([text_or_empty(f) for f in fields], vocabulary, rule, separator)
+    return (df.select(F.col(quoted(id_col)).alias("id"), F.posexplode(own).alias("section", "x"))
             .select("id", F.col("section").cast("long").alias("section"), F.col("x.start").alias("start"),
-                    F.col("x.end").alias("end"), F.col("x.tokens").alias("n_tokens"), "doc_tokens"))
+                    F.col("x.end").alias("end"), F.col("x.tokens").alias("n_tokens"), F.col("x.all").alias("doc_tokens")))
