@@ -17,15 +17,15 @@ Memory is a few integers per suffix, not its 50 bytes, and a bucket above
 *Which suffixes are sorted.* The least hash among the 20-byte grams of a
 suffix depends on its first 50 bytes only, so equal suffixes share it. Step one
 sends each task's distinct (gram, id) pairs, packed, to the gram's bucket and
-keeps the grams that several ids hold. Step two sorts, inside each task, the
-suffixes of shared grams; what a smaller id in the same task covers is settled.
-The others travel with their bytes to the bucket of their gram, neighbours
-together as one fragment and the fragments of a bucket packed, and are sorted
-there. Step three removes the covered bytes; it reads the texts as step two
-dealt them out.
+keeps the grams that several ids hold. Step two takes the suffixes of shared
+grams, neighbours with one gram together as a fragment; of equal fragments in a
+task all but the least id's are settled. The others travel, packed, to the
+bucket of their gram. There equal fragments are again taken once, and the
+suffixes of the distinct ones are sorted. Step three removes the covered bytes;
+it reads the texts as step two dealt them out.
 
 *Skew.* A gram that several ids of one task hold is known to be shared; it
-sends one pair per task. Equal suffixes of one task send one. So a passage that
+sends one pair per task. Equal fragments of one task send one. So a passage that
 a third of all rows hold costs its bucket one entry per task. Grams in at least
 ``HOT_SHARE`` of the rows (a bounded number, as rows have a bounded mean of
 grams) come last in the choice of a fragment's bucket, so the unequal suffixes
@@ -52,14 +52,14 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .bpe import gather
-from .common import quoted, ship, slices, strings, text_or_empty
+from .common import quoted, release, ship, slices, strings, text_or_empty
 from .minhash import mix64
 
 # --- production parameters ---
 LENGTH = 50
 GRAM = 20
-BUCKET = 1 << 20       # suffixes that are sorted at a time
-TASK_BYTES = 6 << 20   # text that a task looks at together
+BUCKET = 1 << 19       # suffixes that are sorted at a time
+TASK_BYTES = 3 << 20   # text that a task looks at together
 HOT_SHARE = 1 / 256
 # --- end of parameters ---
 
@@ -254,7 +254,7 @@ class Chunk:
         self.start = np.cumsum(self.size) - self.size
         self.buf = np.frombuffer(b"".join(raws), dtype=np.uint8)
         n = max(0, len(self.buf) - length + 1)
-        self.row = np.repeat(np.arange(len(raws)), self.size)[:n]  # the row of each suffix
+        self.row = np.repeat(np.arange(len(raws), dtype=np.int32), self.size)[:n]  # the row of each suffix
         self.valid = (np.arange(n) + length <= (self.start + self.size)[self.row]) if n else np.zeros(0, bool)
 
 
@@ -338,6 +338,7 @@ def _send_grams(length: int, buckets: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.bool_()), *(pa.array(c, pa.binary()) for c in cols[2:])],
                 names=["bucket", "known", "hashes", "ids", "counts"])
+            release()
     return run
 
 
@@ -395,6 +396,22 @@ def _shared_grams(least_hot: float):
 _FOUND = "bucket int, settled boolean, bodies binary, sizes binary, places binary, ids binary, text_hashes binary"
 
 
+def same_bodies(raw: bytes, start: np.ndarray, size: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The class of each fragment among equal ones, in order of appearance,
+    and the least id of each class."""
+    seen: dict[bytes, int] = {}
+    same = np.fromiter((seen.setdefault(raw[a:b], len(seen)) for a, b in zip(start.tolist(), (start + size).tolist())),
+                       dtype=np.int64, count=len(start))
+    least = np.full(len(seen), np.iinfo(np.int64).max)
+    np.minimum.at(least, same, ids)
+    return same, least
+
+
+def packed_columns(body, size: np.ndarray, at: np.ndarray, ids: np.ndarray, text_hash: np.ndarray, pick) -> tuple:
+    return (_pack(np.frombuffer(body, np.uint8) if isinstance(body, bytes) else body), _pack(size[pick].astype("<i4")),
+            _pack(at[pick].astype("<i4")), _pack(ids[pick]), _pack(text_hash[pick]))
+
+
 def covered_runs(pos: np.ndarray, row: np.ndarray, start: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray]]:
     """Per row, the byte ranges under sorted suffix starts, as a flat array."""
     if not len(pos):
@@ -428,36 +445,32 @@ def _fragments(length: int, hot: np.ndarray, buckets: int):
             pos = pos[np.repeat(_among(asked[first], known), last - first)]
             if not len(pos):
                 continue
-            row = own.row[pos]
-            ids = own.ids[row]
-            settled = least_owner(own.buf, pos, ids, length) < ids
+            row, key = own.row[pos], cold[pos]
+            new = np.ones(len(pos), bool)
+            new[1:] = (row[1:] != row[:-1]) | (pos[1:] != pos[:-1] + 1) | (key[1:] != key[:-1])
+            first, last = runs_of(new)
+            row, at, size, key = row[first], pos[first], pos[last - 1] + length - pos[first], key[first]
+            same, least = same_bodies(own.buf.tobytes(), at, size, own.ids[row])
+            settled, at = own.ids[row] > least[same], at - own.start[row]
             out: list[tuple] = []
-            done = list(covered_runs(pos[settled], row[settled], own.start, length))
-            if done:
-                r = np.array([k for k, _ in done])
+            if settled.any():
                 turn += 1
-                out.append((turn % buckets, True, _pack(np.concatenate([p for _, p in done]).astype("<i4")),
-                            _pack(np.array([len(p) for _, p in done], dtype="<i4")), b"", _pack(own.ids[r]),
-                            _pack(text_hash[r])))
-            pos, row = pos[~settled], row[~settled]
-            if len(pos):
-                key = cold[pos]
-                new = np.ones(len(pos), bool)
-                new[1:] = (row[1:] != row[:-1]) | (pos[1:] != pos[:-1] + 1) | (key[1:] != key[:-1])
-                first, last = runs_of(new)
-                bucket = (mix64(key[first]) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                r, a, size = row[first][order], pos[first][order], (pos[last - 1] + length - pos[first])[order]
-                kinds, edges = np.unique(bucket[order], return_index=True)
-                for k, i, j in zip(kinds.tolist(), edges, np.append(edges[1:], len(order))):
-                    out.append((k, False, _pack(gather(own.buf, a[i:j], size[i:j])), _pack(size[i:j].astype("<i4")),
-                                _pack((a[i:j] - own.start[r[i:j]]).astype("<i4")), _pack(own.ids[r[i:j]]),
-                                _pack(text_hash[r[i:j]])))
+                out.append((turn % buckets, True, *packed_columns(b"", size, at, own.ids[row], text_hash[row], settled)))
+            bucket = (mix64(key) % np.uint64(buckets)).astype(np.int64)
+            order = np.flatnonzero(~settled)
+            order = order[np.argsort(bucket[order], kind="stable")]
+            kinds, edges = np.unique(bucket[order], return_index=True)
+            for k, i, j in zip(kinds.tolist(), edges, np.append(edges[1:], len(order))):
+                mine = order[i:j]
+                body = gather(own.buf, at[mine] + own.start[row[mine]], size[mine])
+                out.append((k, False, *packed_columns(body, size, at, own.ids[row], text_hash[row], mine)))
             if out:
                 cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.bool_()), *(pa.array(c, pa.binary()) for c in cols[2:])],
                     names=["bucket", "settled", "bodies", "sizes", "places", "ids", "text_hashes"])
+            del own, plain, cold, pos
+            release()
     return run
 
 
@@ -465,32 +478,55 @@ def _bucket_runs(length: int):
     """Sorts one bucket's fragments at a time."""
 
     def ranges(ids: np.ndarray, text_hash: np.ndarray, pairs: list[np.ndarray]) -> pa.RecordBatch:
+        """One row per id and text."""
+        order = np.lexsort((text_hash, ids))
+        ids, text_hash = ids[order], text_hash[order]
+        new = np.ones(len(ids), bool)
+        new[1:] = (ids[1:] != ids[:-1]) | (text_hash[1:] != text_hash[:-1])
+        first, last = runs_of(new)
+        raw = [pairs[k].astype("<i4").tobytes() for k in order.tolist()]
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids), pa.array(text_hash), pa.array([p.astype("<i4").tobytes() for p in pairs], pa.binary())],
+            [pa.array(ids[first]), pa.array(text_hash[first]),
+             pa.array([b"".join(raw[i:j]) for i, j in zip(first.tolist(), last.tolist())], pa.binary())],
             names=["id", "text_hash", "pairs"])
 
+    def columns(rows: list[dict]) -> list[np.ndarray]:
+        return [np.concatenate([_unpack(r[c], kind) for r in rows]).astype(np.int64) for c, kind in (
+            ("sizes", "<i4"), ("places", "<i4"), ("ids", "<i8"), ("text_hashes", "<i8"))]
+
     def solve(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-        buf = np.frombuffer(b"".join(zstandard.ZstdDecompressor().decompress(r["bodies"]) for r in rows), dtype=np.uint8)
-        size, at, ids, text_hash = (np.concatenate([_unpack(r[c], kind) for r in rows]).astype(np.int64) for c, kind in (
-            ("sizes", "<i4"), ("places", "<i4"), ("ids", "<i8"), ("text_hashes", "<i8")))
-        start, count = np.cumsum(size) - size, size - length + 1
-        row = np.repeat(np.arange(len(size)), count)
-        pos = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + start[row]
-        own = ids[row]
+        raw = b"".join(zstandard.ZstdDecompressor().decompress(r["bodies"]) for r in rows)
+        size, at, ids, text_hash = columns(rows)
+        start = np.cumsum(size) - size
+        same, least = same_bodies(raw, start, size, ids)
+        # the distinct fragments, each with the least id that holds it
+        one = np.unique(same, return_index=True)[1]
+        buf = gather(np.frombuffer(raw, dtype=np.uint8), start[one], size[one])
+        begin, count = np.cumsum(size[one]) - size[one], size[one] - length + 1
+        row = np.repeat(np.arange(len(one)), count)
+        pos = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + begin[row]
+        own = least[row]
         hit = least_owner(buf, pos, own, length) < own
-        found = list(covered_runs(pos[hit], row[hit], start - at, length))
+        covered = dict(covered_runs(pos[hit], row[hit], begin, length))
+        found, pairs = [], []
+        for k, (c, a, n, later) in enumerate(zip(same.tolist(), at.tolist(), size.tolist(), (ids > least[same]).tolist())):
+            if later:
+                found.append(k)
+                pairs.append(np.array([a, a + n]))
+            elif c in covered:
+                found.append(k)
+                pairs.append(covered[c] + a)
         if found:
-            r = [k for k, _ in found]
-            yield ranges(ids[r], text_hash[r], [p for _, p in found])
+            yield ranges(ids[found], text_hash[found], pairs)
+        release()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         for batch in batches:
             for row in batch.to_pylist():
                 if row["settled"]:
-                    ends = np.cumsum(_unpack(row["sizes"], "<i4"))[:-1]
-                    yield ranges(_unpack(row["ids"], "<i8"), _unpack(row["text_hashes"], "<i8"),
-                                 np.split(_unpack(row["bodies"], "<i4"), ends))
+                    size, at, ids, text_hash = columns([row])
+                    yield ranges(ids, text_hash, list(np.stack([at, at + size], axis=1)))
                     continue
                 if held and held[0]["bucket"] != row["bucket"]:
                     yield from solve(held)

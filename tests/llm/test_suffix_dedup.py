@@ -37,7 +37,7 @@ def test_query_against_all_strings(spark):
     assert got == [(*r[:4], hashlib.sha256(r[4]).hexdigest()) for r in brute(docs)]
 
 
-@pytest.mark.parametrize("bucket, task", [(1 << 20, 6 << 20), (200, 3000)])
+@pytest.mark.parametrize("bucket, task", [(1 << 19, 3 << 20), (200, 3000)])
 def test_passages_copies_and_periods(spark, monkeypatch, bucket, task):
     """Shared passages at every offset, copies, periodic texts; small buckets and tasks too."""
     monkeypatch.setattr(suffix_dedup, "BUCKET", bucket)
