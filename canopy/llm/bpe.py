@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .common import joined, slices, strings
+from .common import joined, release, slices, strings
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -269,7 +269,9 @@ def encode(text: Column, vocabulary: str = VOCABULARY) -> Column:
 
     @F.arrow_udf("binary")
     def bpe_encode(texts: pa.Array) -> pa.Array:
-        return byte_bpe(vocabulary).encode_arrow(strings(texts))
+        ids = byte_bpe(vocabulary).encode_arrow(strings(texts))
+        release()
+        return ids
 
     return bpe_encode(text)
 
@@ -282,3 +284,19 @@ def decode(ids: Column, vocabulary: str = VOCABULARY) -> Column:
         return byte_bpe(vocabulary).decode_arrow(ids.cast(pa.binary()))
 
     return bpe_decode(ids)
+
+
+def round_trip(text: Column, vocabulary: str = VOCABULARY) -> Column:
+    """``struct<ids, text>``: the ids of a text and the text decoded from them.
+    (A column of :func:`decode` over :func:`encode` beside the ids themselves
+    would be planned as two encodings.)"""
+
+    @F.arrow_udf("struct<ids:binary,text:string>")
+    def bpe_round_trip(texts: pa.Array) -> pa.Array:
+        own = byte_bpe(vocabulary)
+        ids = own.encode_arrow(strings(texts))
+        back = own.decode_arrow(ids)
+        release()
+        return pa.StructArray.from_arrays([ids, back], names=["ids", "text"])
+
+    return bpe_round_trip(text)

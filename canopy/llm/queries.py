@@ -33,10 +33,9 @@ def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
 def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
     ship(spark)
     docs = read_table(spark, sf, "documents")
-    ids = docs.select("doc_id", bpe.encode(text_or_empty("text")).alias("ids"))
-    both = ids.select("doc_id", "ids", bpe.decode(F.col("ids")).alias("decoded"))
-    return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    both = docs.select("doc_id", bpe.round_trip(text_or_empty("text")).alias("b"))
+    return both.select("doc_id", (F.octet_length("b.ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("b.ids", 256).alias("ids_sha256"), F.sha2("b.text", 256).alias("decoded_sha256"))
 
 
 def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
