@@ -95,5 +95,13 @@ def joined(parts: Iterable[pa.Array], kind: pa.DataType) -> pa.Array:
     return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
 
+def hash_share(h: Column, wanted: int, rows: int) -> Column:
+    """A condition that holds for about ``wanted`` of ``rows`` rows, by their
+    64-bit hash alone: with it a bounded sample is cut where the rows are, and
+    only what is left is ordered for the exact bound."""
+    parts = 1 << 40
+    return F.pmod(h, F.lit(parts)) < F.lit(parts if rows <= wanted else parts * wanted * 5 // (rows * 4))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

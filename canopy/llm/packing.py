@@ -39,7 +39,7 @@ END_ID = 2
 #: Partition totals are broadcast up to this many partitions (24 bytes each).
 BROADCAST_PARTITIONS = 200_000
 
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 #: Pieces of these characters (after composition) split and lower-case alike
 #: in every library; all others are left to the tokenizer itself.
 _LETTERS = "a-zß-öø-ÿ"

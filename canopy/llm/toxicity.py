@@ -10,8 +10,8 @@ less, than its two parts, which additive weights cannot express. The pair sum
 is taken as half of ``|sum v|^2 - sum |v|^2``, in time linear in the terms.
 
 Training takes a bounded sample of labelled rows (``SAMPLE_TOXIC`` and
-``SAMPLE_CLEAN``, the smallest hashes of their text ids; each class is weighted
-back to its share of all labelled rows). Its ids are picked from the label
+``SAMPLE_CLEAN``, chosen by the hash of their ids; each class is weighted back
+to its share of all labelled rows). Its ids are picked from the label
 table alone and, being bounded, are sent to the documents, so no text is
 shuffled. Terms enter the machine when their rates in the two classes differ
 clearly; the others have weight zero. A quarter of the sample, by hash of the
@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import quoted, ship, slices, strings, text_or_empty
+from .common import hash_share, quoted, ship, slices, strings, text_or_empty
 
 # --- production parameters ---
 HASH_BITS = 30
@@ -189,7 +189,8 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if len(size) < 2:
         return Machine(constant=1.0 if 1 in size else 0.0)
     limit = {1: sample_toxic, 0: sample_clean}
-    picked = [marked.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(n) for y, n in limit.items()]
+    picked = [marked.filter((F.col("y") == y) & hash_share(F.xxhash64("id"), n, size[y]))
+              .orderBy(F.xxhash64("id"), "id").limit(n) for y, n in limit.items()]
     sample = picked[0].unionByName(picked[1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
