@@ -52,7 +52,7 @@ STREAM_AS_OF = dt.date(2024, 1, 31)
 STORE_AS_OF = dt.date(2024, 1, 30)       # one stored run over all of events
 STORE_WINDOW_DAYS = 60
 GHOST = "a_ghost"                        # a manifest point that never reports, first in order
-SHORT_WINDOW_DAYS = 10                   # the second run purges rows of the first
+SHORT_WINDOW_DAYS = 14                   # the second run purges rows of the first
 STREAM_SLICES = ["2024-01-11", "2024-01-21"]   # file arrivals split by time
 # --- end of fixed values ---
 
