@@ -8,11 +8,12 @@ the Jensen-Shannon distance (square root of the divergence in bits, 0 to 1).
 References come from all documents of the table: a task adds up the counts of
 its documents, and the sums are combined per language. A word is common when
 it makes up at least ``COMMON_SHARE`` of a language's words, so a language has
-at most ``1 / COMMON_SHARE`` of them; a language has a reference of its own
-when it holds at least ``LANGUAGE_SHARE`` of the documents, so there are at
-most ``1 / LANGUAGE_SHARE`` of those, and all other documents (null language
-too) take the pooled one. This bounds what is brought to the tasks, whatever
-the size of the corpus.
+at most ``1 / COMMON_SHARE`` of them. A language has a reference when it holds
+``MIN_DOCUMENTS`` documents with ``MIN_DOCUMENTS * MIN_WORDS`` words, whatever its
+share of the table. The ``1 / LANGUAGE_SHARE`` largest languages are brought to the
+tasks; the references of all others stay a table that is joined by language. A
+document without a language, or of one with too little for a reference, is not
+rejected for its distribution.
 
 Guards: a histogram is judged only when the document is long enough for it
 (``MIN_CHARS`` characters, ``MIN_WORDS`` words); a shorter one is not rejected
@@ -48,13 +49,14 @@ REPEAT_PERCENT = 50
 # --- production parameters of the divergence verdict ---
 COMMON_SHARE = 1 / 400
 LANGUAGE_SHARE = 1 / 500
+MIN_DOCUMENTS = 10
 MIN_CHARS = 250
 MIN_WORDS = 50
 MAX_CLASS_DISTANCE = 0.3
 MAX_WORD_DISTANCE = 0.45
 # --- end of parameters ---
 
-POOLED = ""
+NO_LANGUAGE = ""
 CLASSES = ("lower", "upper", "digit", "space", "stop", "mark", "symbol", "control", "other")
 #: Distinct words a task holds before it hands on its sums.
 TASK_WORDS = 300_000
@@ -173,41 +175,60 @@ def corpus_counts(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
         sums.clear()
         release()
 
-    rows = df.select(F.coalesce(F.col(quoted(lang_col)).cast("string"), F.lit(POOLED)).alias("lang"),
+    rows = df.select(F.coalesce(F.col(quoted(lang_col)).cast("string"), F.lit(NO_LANGUAGE)).alias("lang"),
                      F.col(quoted(text_col)).cast("string").alias("text"))
     return (rows.mapInArrow(run, "lang string, kind string, item binary, n long")
             .groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")))
 
 
+class References(dict[str, Reference]):
+    """The references of the largest languages; ``rest`` is a table of the others, if any."""
+    rest: DataFrame | None = None
+
+
+def _reference(total: int, parts: list[dict]) -> Reference:
+    by_name = {bytes(r["item"]).decode(): r["n"] for r in parts if r["kind"] == "class"}
+    listed = sorted((bytes(r["item"]), r["n"]) for r in parts if r["kind"] == "word")
+    shares = np.array([n for _, n in listed] + [total - sum(n for _, n in listed)], dtype=float)
+    return Reference(np.array([by_name.get(c, 0) for c in CLASSES], dtype=float),
+                     {w: k for k, (w, _) in enumerate(listed)}, shares)
+
+
+#: Without counts nothing is far from it.
+NO_REFERENCE = Reference(np.zeros(len(CLASSES)))
+
+
 def references(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
-               common_share: float = COMMON_SHARE, language_share: float = LANGUAGE_SHARE) -> dict[str, Reference]:
-    """The reference of every language with enough documents, and the pooled one."""
+               common_share: float = COMMON_SHARE, language_share: float = LANGUAGE_SHARE) -> References:
+    """The reference of every language with enough documents."""
     spark = df.sparkSession
     ship(spark)
     from ..session import scratch_path
     path = scratch_path(spark, "quality-counts")
     corpus_counts(df, text_col, lang_col).write.parquet(path)
-    counts = spark.read.parquet(path)
-    documents = counts.filter("kind = 'documents'")
-    total = documents.agg(F.sum("n")).first()[0] or 0
-    own = [r["lang"] for r in documents.filter(F.col("n") >= language_share * total).select("lang").collect()
-           if r["lang"] != POOLED]
-    pooled = (counts.groupBy("kind", "item").agg(F.sum("n").alias("n"))
-              .select(F.lit(POOLED).alias("lang"), "kind", "item", "n"))
-    both = counts.filter(F.col("lang").isin(own)).unionByName(pooled)
-    words = both.filter("kind = 'words'").select("lang", F.col("n").alias("total"))
-    common = (both.filter("kind = 'word'").join(F.broadcast(words), "lang")  # a row per language, bounded above
-              .filter(F.col("n") >= common_share * F.col("total")).select("lang", "kind", "item", "n"))
-    small = both.filter("kind in ('class', 'words')").unionByName(common).collect()
-    out: dict[str, Reference] = {}
-    for lang in [*own, POOLED]:
-        mine = [r for r in small if r["lang"] == lang]
-        by_name = {bytes(r["item"]).decode(): r["n"] for r in mine if r["kind"] == "class"}
-        listed = sorted((bytes(r["item"]), r["n"]) for r in mine if r["kind"] == "word")
-        every = sum(r["n"] for r in mine if r["kind"] == "words")
-        shares = np.array([n for _, n in listed] + [every - sum(n for _, n in listed)], dtype=float)
-        out[lang] = Reference(np.array([by_name.get(c, 0) for c in CLASSES], dtype=float),
-                              {w: k for k, (w, _) in enumerate(listed)}, shares)
+    counts = spark.read.parquet(path).filter(F.col("lang") != NO_LANGUAGE)
+
+    def of(kind: str) -> Column:
+        return F.sum(F.when(F.col("kind") == kind, F.col("n")))
+
+    able = (counts.filter("kind in ('documents', 'words')").groupBy("lang")
+            .agg(of("documents").alias("documents"), of("words").alias("total"))
+            .filter((F.col("documents") >= MIN_DOCUMENTS) & (F.col("total") >= MIN_DOCUMENTS * MIN_WORDS)))
+    most = round(1 / language_share)
+    largest = able.orderBy(F.desc("documents"), "lang").limit(most + 1).collect()
+    own = spark.createDataFrame([(r["lang"], r["total"]) for r in largest[:most]], "lang string, total long")
+    counted = counts.filter("kind in ('class', 'word')")
+
+    def parts(rows: DataFrame) -> DataFrame:
+        kept = rows.filter((F.col("kind") == "class") | (F.col("n") >= common_share * F.col("total")))
+        return kept.groupBy("lang", "total").agg(F.collect_list(F.struct("kind", "item", "n")).alias("parts"))
+
+    out = References((r["lang"], _reference(r["total"], r["parts"]))
+                     for r in parts(counted.join(F.broadcast(own), "lang")).collect())
+    if len(largest) > most:  # none of these is large
+        path = scratch_path(spark, "quality-references")
+        parts(counted.join(F.broadcast(own), "lang", "left_anti").join(able, "lang")).write.parquet(path)
+        out.rest = spark.read.parquet(path)
     return out
 
 
@@ -229,39 +250,73 @@ def judge_text(raw: bytes, reference: Reference, max_class: float = MAX_CLASS_DI
     return (*base, failed, of_class, of_words, not failed and not far)
 
 
+def _structs(rows: list[tuple]) -> pa.StructArray:
+    columns = list(zip(*rows)) if rows else [()] * len(_RESULT)
+    release()
+    return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _RESULT)], fields=list(_RESULT))
+
+
 def verdict(text: Column, lang: Column, refs: dict[str, Reference], max_class: float = MAX_CLASS_DISTANCE,
             max_word: float = MAX_WORD_DISTANCE) -> Column:
     """The struct of all results for a text column, against given references."""
+    refs = dict(refs)
 
     @F.arrow_udf(RESULT_DDL)
     def judge(texts: pa.Array, langs: pa.Array) -> pa.Array:
         texts, langs, rows = strings(texts), strings(langs), []
         for a, b in slices(texts):
             for raw, own in zip(texts.slice(a, b - a).cast(pa.binary()).to_pylist(), langs.slice(a, b - a).to_pylist()):
-                rows.append(judge_text(raw, refs.get(own, refs[POOLED]), max_class, max_word))
-        columns = list(zip(*rows)) if rows else [()] * len(_RESULT)
-        release()
-        return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _RESULT)], fields=list(_RESULT))
+                rows.append(judge_text(raw, refs.get(own, NO_REFERENCE), max_class, max_word))
+        return _structs(rows)
 
     return judge(text, lang)
 
 
-def _judged(df: DataFrame, text_col: str, lang_col: str, refs: dict[str, Reference] | None) -> Column:
+def joined_verdict(text: Column, lang: Column, total: Column, parts: Column) -> Column:
+    """The struct of all results, against the reference that each row brings (null: none)."""
+
+    @F.arrow_udf(RESULT_DDL)
+    def judge_joined(texts: pa.Array, langs: pa.Array, totals: pa.Array, own: pa.Array) -> pa.Array:
+        texts, langs, rows = strings(texts), strings(langs), []
+        last, reference = None, NO_REFERENCE  # joined rows of a language follow each other
+        for a, b in slices(texts):
+            for k, raw in enumerate(texts.slice(a, b - a).cast(pa.binary()).to_pylist(), a):
+                if (lang := langs[k].as_py()) != last:
+                    last = lang
+                    reference = _reference(totals[k].as_py(), own[k].as_py()) if own[k].is_valid else NO_REFERENCE
+                rows.append(judge_text(raw, reference))
+        return _structs(rows)
+
+    return judge_joined(text, lang, total, parts)
+
+
+def _judged(df: DataFrame, text_col: str, lang_col: str, refs: dict[str, Reference] | None) -> tuple[DataFrame, str]:
+    """``df`` with all results in one more column, and its name."""
     ship(df.sparkSession)
     refs = references(df, text_col, lang_col) if refs is None else refs
-    return verdict(F.col(quoted(text_col)).cast("string"),
-                   F.coalesce(F.col(quoted(lang_col)).cast("string"), F.lit(POOLED)), refs)
+    q = free_name(df, "quality")
+    text = F.col(quoted(text_col)).cast("string")
+    lang = F.coalesce(F.col(quoted(lang_col)).cast("string"), F.lit(NO_LANGUAGE))
+    rest = getattr(refs, "rest", None)
+    if rest is None:
+        return df.withColumn(q, verdict(text, lang, refs)), q
+    known, key, total, parts = lang.isin(*refs, NO_LANGUAGE), *(free_name(df, f"{q}_{c}") for c in ("lang", "total", "parts"))
+    table = rest.select(F.col("lang").alias(key), F.col("total").alias(total), F.col("parts").alias(parts))
+    others = df.filter(~known).withColumn(key, lang).join(table, key, "left")
+    others = others.withColumn(q, joined_verdict(text, F.col(key), F.col(total), F.col(parts)))
+    own = df.filter(known).withColumn(q, verdict(text, lang, refs))
+    return own.unionByName(others.select(*map(quoted, df.columns), q)), q
 
 
 def assess(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
            refs: dict[str, Reference] | None = None) -> DataFrame:
     """``id`` and all results for every row."""
-    return df.select(F.col(quoted(id_col)).alias("id"), _judged(df, text_col, lang_col, refs).alias("q")).select("id", "q.*")
+    judged, q = _judged(df, text_col, lang_col, refs)
+    return judged.select(F.col(quoted(id_col)).alias("id"), F.col(q)).select("id", f"{q}.*")
 
 
 def keep_good(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
               refs: dict[str, Reference] | None = None) -> DataFrame:
     """The rows of ``df`` that are kept, with their columns unchanged."""
-    q = free_name(df, "quality")
-    judged = df.withColumn(q, _judged(df, text_col, lang_col, refs))
+    judged, q = _judged(df, text_col, lang_col, refs)
     return judged.filter(F.col(q)["kept"]).drop(q)

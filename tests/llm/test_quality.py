@@ -79,3 +79,29 @@ def test_odd_rows(spark, odd, odd_rows, none):
     left = quality.keep_good(odd)
     assert left.columns == odd.columns
     assert quality.assess(none).count() == 0 and quality.keep_good(none).count() == 0
+
+
+CYRILLIC = str.maketrans("abcdefghijklmnopqrstuvwxyz", "абцдефгхийклмнопярстувшхыз")
+
+
+def test_rare_languages_are_kept(spark):
+    """Clean texts in a language, script or label that few documents have stay."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    own = quality.keep_good(docs).select("doc_id", "text", "lang")
+    clean = [r["text"].lower().translate(CYRILLIC) for r in own.join(labels.filter("quality = 1"), "doc_id")
+             .filter("lang = 'en' and char_length(text) > 400").orderBy("doc_id").limit(15).collect()]
+    rare = [(-k, t, lang) for lang, n in (("uk", 15), ("bg", 3), (None, 4)) for k, t in enumerate(clean[:n], 1)]
+    both = docs.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(rare, "doc_id long, text string, lang string"))
+    left = Counter(r["lang"] for r in quality.keep_good(both).filter("doc_id < 0").collect())
+    assert left == {"uk": 15, "bg": 3, None: 4}
+
+
+def test_joined_references_judge_alike(spark):
+    """Languages beyond those that are brought to the tasks are judged by the same references."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    one = quality.references(df, language_share=1.0)
+    assert list(one) == ["en"] and one.rest.count() == 3
+    rows = {r["id"]: r for r in quality.assess(df, refs=one).collect()}
+    assert rows == {r["id"]: r for r in quality.assess(df).collect()}
+    assert quality.keep_good(df, refs=one).columns == df.columns
