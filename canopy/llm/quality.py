@@ -200,7 +200,7 @@ NO_REFERENCE = Reference(np.zeros(len(CLASSES)))
 
 def references(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
                common_share: float = COMMON_SHARE, language_share: float = LANGUAGE_SHARE) -> References:
-    """The reference of every language with enough documents."""
+    """The reference of every language with enough documents, and the empty one of no language."""
     spark = df.sparkSession
     ship(spark)
     from ..session import scratch_path
@@ -225,6 +225,7 @@ def references(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
     out = References((r["lang"], _reference(r["total"], r["parts"]))
                      for r in parts(counted.join(F.broadcast(own), "lang")).collect())
+    out[NO_LANGUAGE] = NO_REFERENCE
     if len(largest) > most:  # none of these is large
         path = scratch_path(spark, "quality-references")
         parts(counted.join(F.broadcast(own), "lang", "left_anti").join(able, "lang")).write.parquet(path)
