@@ -64,7 +64,63 @@ FROM judged LEFT JOIN class_js c USING (doc_id) LEFT JOIN word_js v USING (doc_i
 """
 
 
+_UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _lexical() -> str:
+    def terms(key: str, table: str) -> str:
+        return (f"SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), "
+                rf"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM {table}")
+
+    return f"""
+WITH d AS ({terms("doc_id", "documents")}), q AS ({terms("item_id", "benchmark")}),
+c AS (SELECT count(*) FILTER (len(w) > 0) AS docs, CAST(sum(len(w)) AS BIGINT) AS total FROM d),
+lengths AS (SELECT doc_id, 25 + (75 * len(w) * docs) // total AS m FROM d, c WHERE len(w) > 0),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS t FROM d) GROUP BY ALL),
+wt AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+       FROM tf, c GROUP BY t),
+k AS (SELECT item_id, t, count(*) AS k FROM (SELECT item_id, unnest(w) AS t FROM q) GROUP BY ALL),
+s AS (SELECT item_id, doc_id, CAST(sum(k * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM k JOIN wt USING (t) JOIN tf USING (t) JOIN lengths USING (doc_id) GROUP BY ALL HAVING score > 0),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM s)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+
+def _spelling() -> str:
+    """The checksum byte by byte; near words by the patterns that leave a code point out."""
+    crc_step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END"
+    return f"""
+WITH RECURSIVE codes AS (SELECT list_transform(range(256), lambda i: list_reduce(
+    list_transform(range(9), lambda k: CAST(CASE WHEN k = 0 THEN i ELSE 0 END AS UBIGINT)), lambda c, z: {crc_step})) AS code),
+runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, {_UPPER}, {_LOWER}), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+pairs AS (SELECT run, count(*) AS k, hex(encode(doc_id || ':' || run)) AS x FROM runs GROUP BY doc_id, run),
+hashed AS (SELECT run, k, xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT),
+    list_transform(range(length(x) // 2), lambda i: CAST(('0x' || substr(x, 2 * i + 1, 2)) AS UBIGINT))),
+    lambda c, b: xor(c >> 8, code[CAST(xor(c, b) & 255 AS BIGINT) + 1])), CAST(4294967295 AS UBIGINT)) AS h FROM pairs, codes),
+slips AS (SELECT k, CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT))
+    || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word FROM hashed),
+words AS MATERIALIZED (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM slips WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+cuts AS (SELECT word, n, i, substr(word, 1, i) AS a, substr(word, i + 2) AS b FROM
+    (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (SELECT x.word, y.word AS other, y.n AS other_n FROM cuts x JOIN cuts y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM cuts x JOIN words y ON x.a || x.b = y.word
+  UNION SELECT y.word, x.word, x.n FROM cuts x JOIN words y ON x.a || x.b = y.word),
+best AS (SELECT word, count(*) AS n_near, max(other_n) AS form_n FROM near GROUP BY word),
+firsts AS (SELECT word, min(other) AS form FROM near JOIN best USING (word) WHERE other_n = form_n GROUP BY word),
+formed AS MATERIALIZED (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * n THEN form END AS form,
+    CASE WHEN form_n >= 2 * n THEN form_n END AS form_n
+  FROM words LEFT JOIN best USING (word) LEFT JOIN firsts USING (word)),
+path(word, root) AS (SELECT word, word FROM formed
+  UNION ALL SELECT path.word, formed.form FROM path JOIN formed ON formed.word = path.root WHERE formed.form IS NOT NULL),
+ends AS (SELECT path.word, path.root FROM path JOIN formed ON formed.word = path.root WHERE formed.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
+
+
 ORACLE_SQL = {
+    "op11_lexical_search": _lexical(),
+    "op13_spelling": _spelling(),
     "op2_quality": _quality(),
     "op6_minhash": rf"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(

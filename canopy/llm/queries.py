@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from corpus_pipeline import run as pipeline
 
-from . import (bpe, exact_dedup, minhash, packing, pii, quality, suffix_dedup, token_counts, toxicity,
-               url_filters)
+from ..session import scratch_path
+from . import (bpe, exact_dedup, lexical, minhash, packing, pii, quality, spelling, suffix_dedup, token_counts,
+               token_files, toxicity, url_filters)
 from .common import read_table, ship, text_or_empty
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -76,6 +77,22 @@ def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
                        F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    found = lexical.search(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
+def op12_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write(read_table(spark, sf, "documents"), path)
+    return token_files.read(spark, path).select(
+        F.col("doc").alias("doc_id"), "start", "n_tokens", token_files.checksum(F.col("ids")).alias("ids_crc32"))
+
+
+def op13_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf, "documents"), slip_one_in=spelling.SLIP_ONE_IN)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
@@ -87,5 +104,8 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_url_filters": op9_url_filters,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_token_files": op12_token_files,
+    "op13_spelling": op13_spelling,
     "pipeline": pipeline,
 }
