@@ -38,6 +38,14 @@ NAME_BYTES = 256
 # code for a per-row expression over thousands of columns exceeds the JVM
 # method limit). Both give the same rows.
 WIDE_BLOCK_POINTS = 64
+# Ids per block of a wide table that is kept up to date (sources.wide_blocks):
+# a block is what is rebuilt when one of its ids changes.
+WIDE_ID_BLOCK = 1_000_000
+# Ranges of changed ids that are written into a filter one by one; more are
+# pushed down as one range and matched exactly by a join.
+MAX_ID_RANGES = 32
+# Changed blocks that are listed on the driver (a number each).
+MAX_LISTED_BLOCKS = 100_000
 # offset + limit above which a page is cut by a distributed rank instead of a
 # per-task top-k buffer.
 MAX_TOPK_ROWS = 200_000

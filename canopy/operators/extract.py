@@ -6,8 +6,8 @@ For every manifest point (the original loops over tables; we key by point):
   else -- first run, nothing staged -- midnight of ``as_of - 30 days``;
 * upper bound (strict): midnight after ``as_of``;
 * readings rounded to 2 decimals (decimal rounding);
-* numbered 1..n per point by time (total order: ts, then tie-break columns)
-  continuing from the point's durable counter
+* numbered 1..n per point by time (total order: ts, then tie-break columns,
+  then value and every other source column) continuing from the point's durable counter
   ``greatest(metadata.last_used_id, max(staged unique_id))``, else 0;
 * the state row of every manifest point is rewritten each run (also with no
   new rows): ``last_run_date, last_run_timestamp, last_used_id + n``;
@@ -97,7 +97,7 @@ def control_table(points: DataFrame, as_of: dt.date, staged: DataFrame | None,
 
 def extract_and_stage(source: DataFrame, points: DataFrame, as_of: dt.date,
                       staged: DataFrame | None = None, state: DataFrame | None = None,
-                      run_ts: dt.datetime | None = None, tiebreak=(),
+                      run_ts: dt.datetime | None = None, tiebreak=None,
                       buffer_seconds: float = config.TIMESTAMP_BUFFER_SECONDS,
                       window_days: int = config.ROLLING_WINDOW_DAYS,
                       points_rows: int | None = None,
@@ -113,6 +113,8 @@ def extract_and_stage(source: DataFrame, points: DataFrame, as_of: dt.date,
     ``marks``: per-point ``point, _hwm, _max_id`` known without scanning
     ``staged`` (see ``plans.runner``); then ``staged`` may be ``None``.
     ``batch_path``: where the un-numbered batch is written first.
+    ``tiebreak``: columns that order readings of one time first; value and all
+    other source columns follow, so ids never depend on the order of the input.
     """
     ts_type = source.schema["ts"].dataType
     run_ts = run_ts or dt.datetime.combine(as_of, dt.time(0, 0))
@@ -130,7 +132,8 @@ def extract_and_stage(source: DataFrame, points: DataFrame, as_of: dt.date,
     if batch_path is not None:
         new.write.mode("overwrite").parquet(batch_path)
         new = source.sparkSession.read.schema(new.schema).parquet(batch_path)
-    numbered = assign_sequence(new, "point", "ts", tiebreak, base="base_id",
+    order = total_order(new, tiebreak, ctl.columns)
+    numbered = assign_sequence(new, "point", "ts", order, base="base_id",
                                max_rows_per_task=max_rows_per_task)
     new_rows = numbered.select(*STAGED_COLUMNS)
 
@@ -142,6 +145,23 @@ def extract_and_stage(source: DataFrame, points: DataFrame, as_of: dt.date,
     return ExtractResult(new_rows, batch_state, state_out, ret.kept, ret.purged, ctl)
 
 
+def total_order(rows: DataFrame, tiebreak, without) -> list[str]:
+    """``tiebreak``, then ``value``, then every other column that can be
+    ordered (by name, so that the order of columns does not matter either)."""
+    first = [*(tiebreak or ()), "value"]
+    rest = sorted(f.name for f in rows.schema.fields
+                  if f.name not in {*first, *without, "ts"} and _orderable(f.dataType))
+    return list(dict.fromkeys([*first, *rest]))
+
+
+def _orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _orderable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def make_batch_state(ctl: DataFrame, batch_rows: DataFrame, as_of: dt.date,
                      run_ts: dt.datetime) -> DataFrame:
     """One state row per manifest point (also without new rows):

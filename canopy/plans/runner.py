@@ -2,8 +2,8 @@
 tables, CSV export), against the stores of one root folder.
 
 Write order per extract run: the batch's rows first, then the state computed
-from the rows as written, then the high-water marks, then the retention drop
--- so a failure in between never lets a later run reuse committed ids (the
+from the rows as written, then the high-water marks, the kept statistics and
+the log of changed ids, then the retention drop -- so a failure in between never lets a later run reuse committed ids (the
 durable counter also takes ``max(unique_id)`` of the data into account), and
 a later run reads the rows of a run whose marks are missing.  High-water
 marks come from the marks snapshot, not from a scan of the staged table, so
@@ -24,14 +24,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
+from ..functions.names import normalise_point
 from ..functions.temporal import retention_cutoff, ts_literal
 from ..operators.extract import (control_table, extract_and_stage, make_batch_state,
                                  manifest_points)
+from ..operators.partials import day_partials, folded
 from ..operators.state import upsert_state
 from ..operators.query import timestamp_column
 from ..operators.wide import build_wide
-from ..sources.store import (MarksStore, PendingStore, RunIds, StagedStore, StateStore,
-                             WideStore)
+from ..sources.store import (ChangeLog, MarksStore, PartialsStore, PendingStore, RunIds, StagedStore,
+                             StateStore, WideStore)
+from ..sources.wide_blocks import BlockedWide, id_ranges
 from ..session import written as stored
 from .inspect import explain_text
 
@@ -44,11 +47,15 @@ class Stores:
     marks: MarksStore
     ids: RunIds
     pending: PendingStore
+    partials: PartialsStore
+    changes: ChangeLog
+    blocks: BlockedWide
 
 
 def open_stores(spark: SparkSession, root: str) -> Stores:
     return Stores(StagedStore(spark, root), StateStore(spark, root), WideStore(spark, root),
-                  MarksStore(spark, root), RunIds(spark, root), PendingStore(spark, root))
+                  MarksStore(spark, root), RunIds(spark, root), PendingStore(spark, root),
+                  PartialsStore(spark, root), ChangeLog(spark, root), BlockedWide(spark, root))
 
 
 def point_starts(stores: Stores, points: DataFrame, as_of: dt.date, run_id: int,
@@ -86,21 +93,31 @@ def _start_marks(stores: Stores, run_id: int):
 
 
 def run_extract(spark: SparkSession, source: DataFrame, points: DataFrame, stores: Stores,
-                as_of: dt.date, run_id: int, run_ts: dt.datetime | None = None, tiebreak=(),
+                as_of: dt.date, run_id: int, run_ts: dt.datetime | None = None, tiebreak=None,
                 buffer_seconds: float = config.TIMESTAMP_BUFFER_SECONDS,
                 window_days: int = config.ROLLING_WINDOW_DAYS,
                 max_rows_per_task: int | None = None, dry_run: bool = False,
-                failed: dict[str, str] | None = None, writer: str = "batch"):
+                failed: dict[str, str] | DataFrame | None = None, writer: str = "batch"):
     """One extract run; returns a per-point status frame
     ``point, new_rows, last_used_id, error`` (or the plan text when
     ``dry_run``). ``failed`` names the points whose source could not be read
-    (see ``jdbc_source``) with the reason: they take no part in the run -- their
-    state, marks and rows stay as they are -- and are reported as errors."""
+    with the reason (``jdbc_source(failures=...)``, or the errors frame of
+    ``point_scan.scan_points``). Such a point brings no rows, also none that
+    were read before it failed, and is neither purged nor marked, but its state
+    row is written as for a point without news."""
     run_ts = run_ts or dt.datetime.combine(as_of, dt.time(0, 0))
-    bad = spark.createDataFrame([(k.strip().lower(), v) for k, v in (failed or {}).items()],
-                                "point string, error string")
-    if failed:
-        points = manifest_points(points).join(bad, "point", "left_anti")
+    if isinstance(failed, DataFrame):
+        bad = failed.select(normalise_point("point").alias("point"), "error")
+    else:
+        bad = spark.createDataFrame(list((failed or {}).items()), "point string, error string").select(
+            normalise_point("point").alias("point"), "error")
+    healthy = points
+    if failed is not None:
+        bad = bad.groupBy("point").agg(F.min("error").alias("error"))
+        if not dry_run:
+            bad = stored(bad, "failed-points")
+        healthy = manifest_points(points).join(bad, "point", "left_anti")
+        source = source.withColumn("point", normalise_point("point")).join(bad.select("point"), "point", "left_anti")
     if not dry_run and writer == "batch":
         stores.ids.claim(writer, str(run_id), run_id)
     state = stores.state.read(before_run=run_id)
@@ -121,16 +138,17 @@ def run_extract(spark: SparkSession, source: DataFrame, points: DataFrame, store
     batch_state = make_batch_state(res.control, written, as_of, run_ts)
     stores.state.write(upsert_state(state, batch_state), run_id)      # 2. state
     cutoff = retention_cutoff(as_of, window_days)
-    pts = manifest_points(points)
+    pts = manifest_points(healthy)
     _write_marks(stores, marks, written, cutoff, run_id, pts)         # 3. marks
+    _write_partials(stores, written, run_id)                          # 4. kept statistics, changed ids
+    _write_changes(stores, written, cutoff, run_id, pts)
     counts = written.groupBy("point").agg(F.count(F.lit(1)).alias("new_rows"))
-    status = stored(batch_state.join(counts, "point", "left")
-                    .select("point", F.coalesce("new_rows", F.lit(0)).alias("new_rows"), "last_used_id",
-                            F.lit(None).cast("string").alias("error")), "status")
-    stores.staged.purge_before(cutoff.date(), pts)                    # 4. retention (run's points only)
+    status = stored(batch_state.join(counts, "point", "left").join(bad, "point", "left")
+                    .select("point", F.coalesce("new_rows", F.lit(0)).alias("new_rows"), "last_used_id", "error"),
+                    "status")
+    stores.staged.purge_before(cutoff.date(), pts)                    # 5. retention (run's healthy points only)
     stores.staged.fs.delete(batch)
-    return status.unionByName(bad.select("point", F.lit(0).cast("long").alias("new_rows"),
-                                         F.lit(None).cast("long").alias("last_used_id"), "error"))
+    return status
 
 
 def _write_marks(stores: Stores, marks, written: DataFrame, cutoff: dt.datetime,
@@ -165,6 +183,36 @@ def _write_marks(stores: Stores, marks, written: DataFrame, cutoff: dt.datetime,
     stores.marks.write(snap, run_id)
 
 
+def _write_partials(stores: Stores, written: DataFrame, run_id: int) -> None:
+    """The snapshot before, folded with this run's rows and those of runs whose
+    snapshot is missing (a crash), without the days that are purged by now."""
+    prev, version = stores.partials.latest(run_id)
+    parts = [day_partials(written)]
+    if prev is not None:
+        parts.append(prev)
+    missed = (stores.staged.read(before_run=run_id) if version is None
+              else stores.staged.read_runs_between(version, run_id))
+    if missed is not None:
+        parts.append(day_partials(missed))
+    marks, _ = stores.marks.latest()
+    stores.partials.write(folded(parts, marks), run_id)
+
+
+def _write_changes(stores: Stores, written: DataFrame, cutoff: dt.datetime, run_id: int, pts: DataFrame) -> None:
+    """The ids that this run added and those that its purge is about to take:
+    one range per point each, as ids follow time. Only days to be purged are
+    read, and runs before this one that broke off without a log."""
+    ranges = id_ranges(written)
+    _, version = stores.changes.latest(run_id)
+    missed = None if version is None else stores.staged.read_runs_between(version, run_id)
+    if missed is not None:
+        ranges = ranges.unionByName(id_ranges(missed))
+    old = stores.staged.read(before_day=cutoff.date())
+    if old is not None:
+        ranges = ranges.unionByName(id_ranges(old.join(pts.select("point"), "point", "left_semi")))
+    stores.changes.write(ranges, run_id)
+
+
 def run_transform(spark: SparkSession, stores: Stores, manifest: DataFrame, run_id: int,
                   categories=None, export_root: str | None = None,
                   when: dt.datetime | None = None, dry_run: bool = False):

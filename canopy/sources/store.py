@@ -12,13 +12,18 @@ Layouts (all below one root folder):
   day folder that also holds points outside the run's manifest is rewritten.
 * ``state/run=<id>/`` -- one full snapshot of the per-point run state per
   run; the newest complete snapshot is current.  A new snapshot never
-  overwrites the folder it was computed from.
+  overwrites the folder it was computed from; the newest few are kept, so that
+  a replayed run finds the one before it.
 * ``marks/run=<id>/`` -- per-point ``last_ts`` (newest reading ever staged)
   and ``retained_from`` (retention cutoff honoured by the store), so a run
   knows every point's high-water mark without scanning the staged table.
+* ``partials/run=<id>/`` -- per point and day the counts, bounds and exact sum
+  of what is retained (``operators.partials``), folded on with every run.
+* ``changes/run=<id>/`` -- per point the ids that a run added and that its purge
+  took away, for tables that are kept up to date (``sources.wide_blocks``).
 * ``wide/<table>/run=<id>/`` -- one version per transform run; versions that
   came out empty are removed again, so the previous table stays current
-  (skip-on-empty).
+  (skip-on-empty); the newest few are kept for readers that have begun.
 * ``writers/<writer>/<key>/run=<id>`` -- empty folders that hold which writer
   was given which run id. A writer that repeats a key gets the id it had; a new
   id is always newer than every other, so no two writers share one.
@@ -81,6 +86,24 @@ class _FS:
             raise OSError(f"rename failed: {src} -> {dst}")
 
 
+#: Versions of a snapshot that are kept, versions of a wide table, run ids per
+#: writer, and change logs.
+KEEP_SNAPSHOTS = 8
+KEEP_WIDE = 3
+KEEP_CLAIMS = 8
+KEEP_CHANGES = 400
+
+
+def complete_runs(fs: _FS, path: str) -> list[int]:
+    """Runs whose folder below ``path`` was written to the end, by one call."""
+    return sorted(int(p.rsplit("/", 2)[1][4:]) for p in fs.found(f"{path}/run=*/_SUCCESS"))
+
+
+def prune(fs: _FS, path: str, keep: int) -> None:
+    for run in _runs(fs, path)[:-keep]:
+        fs.delete(f"{path}/run={run}")
+
+
 def _runs(fs: _FS, path: str) -> list[int]:
     out = []
     for name in fs.children(path):
@@ -126,6 +149,9 @@ class RunIds:
             raise ValueError(f"run id {run} of {name} is not newer than {newest}, "
                              f"which {given.get(newest, 'an earlier version')} has written")
         self.fs.make(f"{self.path}/{name}/run={run}")
+        mine = name.split("/")[0] + "/"   # older ids of this writer are replayed no more
+        for old in sorted(r for r, owner in given.items() if owner.startswith(mine))[:-(KEEP_CLAIMS - 1)]:
+            self.fs.delete(f"{self.path}/{given[old]}")
         return run
 
 
@@ -162,14 +188,20 @@ class StagedStore:
         """Runs that still hold at least one day partition."""
         return sorted({r for r, _ in self.days()})
 
-    def read(self, before_run: int | None = None) -> DataFrame | None:
-        """Staged rows (of runs ``< before_run`` if given); ``None`` if empty."""
+    def read(self, before_run: int | None = None, days: list[dt.date] | None = None,
+             before_day: dt.date | None = None) -> DataFrame | None:
+        """Staged rows (of runs ``< before_run``, of the listed days, of days
+        before one, if given: folders of others are not opened); ``None`` if empty."""
         runs = [r for r in self.runs() if before_run is None or r < before_run]
         if not runs:
             return None
         df = self.spark.read.option("basePath", self.path).parquet(self.path)
         if before_run is not None:
             df = df.filter(F.col("run") < F.lit(before_run))
+        if days is not None:
+            df = df.filter(F.col("day").isin(days))
+        if before_day is not None:
+            df = df.filter(F.col("day") < F.lit(before_day))
         return df.select(*STAGED_COLUMNS)
 
     def read_runs_between(self, after: int, before: int) -> DataFrame | None:
@@ -244,15 +276,17 @@ class PendingStore:
         self.spark, self.path = spark, root.rstrip("/") + "/pending"
         self.fs = _FS(spark, root)
 
-    def read(self, before_run: int) -> DataFrame | None:
-        vs = [r for r in _runs(self.fs, self.path)
-              if r < before_run and self.fs.exists(f"{self.path}/run={r}/_SUCCESS")]
-        return self.spark.read.parquet(f"{self.path}/run={vs[-1]}") if vs else None
+    def version(self, before_run: int | None = None) -> int | None:
+        vs = [r for r in complete_runs(self.fs, self.path) if before_run is None or r < before_run]
+        return vs[-1] if vs else None
+
+    def read(self, before_run: int | None = None) -> DataFrame | None:
+        v = self.version(before_run)
+        return None if v is None else self.spark.read.parquet(f"{self.path}/run={v}")
 
     def write(self, rows: DataFrame, run_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path}/run={run_id}")
-        for r in _runs(self.fs, self.path)[:-3]:   # a replay needs the one before it
-            self.fs.delete(f"{self.path}/run={r}")
+        prune(self.fs, self.path, 3)   # a replay needs the one before it
 
 
 class StateStore:
@@ -261,8 +295,7 @@ class StateStore:
         self.fs = _FS(spark, root)
 
     def versions(self) -> list[int]:
-        return [r for r in _runs(self.fs, self.path)
-                if self.fs.exists(f"{self.path}/run={r}/_SUCCESS")]
+        return complete_runs(self.fs, self.path)
 
     def read(self, before_run: int | None = None) -> DataFrame | None:
         vs = [v for v in self.versions() if before_run is None or v < before_run]
@@ -270,8 +303,44 @@ class StateStore:
             return None
         return self.spark.read.parquet(f"{self.path}/run={vs[-1]}")
 
+    def latest(self, before_run: int | None = None) -> tuple[DataFrame | None, int | None]:
+        """The newest snapshot (before a run) and the run that wrote it."""
+        vs = [v for v in self.versions() if before_run is None or v < before_run]
+        if not vs:
+            return None, None
+        return self.spark.read.parquet(f"{self.path}/run={vs[-1]}"), vs[-1]
+
     def write(self, state: DataFrame, run_id: int) -> None:
         state.write.mode("overwrite").parquet(f"{self.path}/run={run_id}")
+        prune(self.fs, self.path, KEEP_SNAPSHOTS)
+
+
+class PartialsStore(StateStore):
+    """Kept statistics per point and day (``operators.partials``)."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        super().__init__(spark, root)
+        self.path = root.rstrip("/") + "/partials"
+
+
+class ChangeLog(StateStore):
+    """``point, first_id, last_id, stamp`` per run: ids that it added or purged.
+    A replayed run writes its log anew, under another stamp."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        super().__init__(spark, root)
+        self.path = root.rstrip("/") + "/changes"
+
+    def write(self, ranges: DataFrame, run_id: int) -> None:
+        stamped = ranges.withColumn("stamp", F.lit(f"{run_id}:{uuid.uuid4().hex[:12]}"))
+        stamped.write.mode("overwrite").parquet(f"{self.path}/run={run_id}")
+        prune(self.fs, self.path, KEEP_CHANGES)
+
+    def logs(self) -> DataFrame | None:
+        """All kept logs, with their ``run``."""
+        if not self.versions():
+            return None
+        return self.spark.read.option("basePath", self.path).parquet(f"{self.path}/run=*")
 
 
 class MarksStore(StateStore):
@@ -285,12 +354,6 @@ class MarksStore(StateStore):
         super().__init__(spark, root)
         self.path = root.rstrip("/") + "/marks"
 
-    def latest(self, before_run: int | None = None) -> tuple[DataFrame | None, int | None]:
-        vs = [v for v in self.versions() if before_run is None or v < before_run]
-        if not vs:
-            return None, None
-        return self.spark.read.parquet(f"{self.path}/run={vs[-1]}"), vs[-1]
-
 
 class WideStore:
     def __init__(self, spark: SparkSession, root: str):
@@ -301,8 +364,7 @@ class WideStore:
         return sorted(self.fs.children(self.path))
 
     def read(self, table: str) -> DataFrame | None:
-        vs = [v for v in _runs(self.fs, f"{self.path}/{table}")
-              if self.fs.exists(f"{self.path}/{table}/run={v}/_SUCCESS")]
+        vs = complete_runs(self.fs, f"{self.path}/{table}")
         if not vs:
             return None
         return self.spark.read.parquet(f"{self.path}/{table}/run={vs[-1]}")
@@ -317,6 +379,8 @@ class WideStore:
         n = self.spark.read.parquet(target).count()
         if n == 0:
             self.fs.delete(target)
+        else:
+            prune(self.fs, f"{self.path}/{table}", KEEP_WIDE)
         return n
 
     def export_csv(self, table: str, export_root: str, when: dt.datetime) -> str | None:

@@ -40,7 +40,7 @@ def start_extract_stream(spark: SparkSession, source_dir: str, schema, stores: S
                          points: DataFrame, as_of: dt.date | Callable[[], dt.date],
                          checkpoint_location: str,
                          point_col: str = "point", ts_col: str = "ts", value_col: str = "value",
-                         tiebreak=(), buffer_seconds: float = config.TIMESTAMP_BUFFER_SECONDS,
+                         tiebreak=None, buffer_seconds: float = config.TIMESTAMP_BUFFER_SECONDS,
                          window_days: int = config.ROLLING_WINDOW_DAYS,
                          max_files_per_trigger: int | None = None,
                          available_now: bool = True) -> StreamingQuery:
@@ -52,7 +52,8 @@ def start_extract_stream(spark: SparkSession, source_dir: str, schema, stores: S
     def stage_batch(batch: DataFrame, batch_id: int) -> None:
         day = as_of() if callable(as_of) else as_of
         run_id = stores.ids.claim(f"stream-{checkpoint_location}", str(batch_id))
-        src = long_source(batch, point_col, ts_col, value_col, tuple(tiebreak))
+        extra = [c for c in batch.columns if c not in (point_col, ts_col, value_col)]
+        src = long_source(batch, point_col, ts_col, value_col, tuple(extra if tiebreak is None else tiebreak))
         _stage(spark, src, points, stores, day, run_id, tiebreak, buffer_seconds, window_days)
 
     writer = (stream.writeStream.foreachBatch(stage_batch)
@@ -67,18 +68,22 @@ def _stage(spark: SparkSession, src: DataFrame, points: DataFrame, stores: Store
     if held is not None:
         src = src.unionByName(held.select(*src.columns))
     end = ts_literal(run_end(as_of), src.schema["ts"].dataType)
-    stores.pending.write(src.filter(F.col("ts") >= end), run_id)
     run_extract(spark, src, points, stores, as_of, run_id, dt.datetime.combine(as_of, dt.time(0, 0)),
                 tiebreak, buffer_seconds, window_days, writer="stream")
+    # last: until then a run that broke off finds what it found before
+    stores.pending.write(src.filter(F.col("ts") >= end), run_id)
 
 
-def stage_pending(spark: SparkSession, stores: Stores, points: DataFrame, as_of: dt.date, tiebreak=(),
+def stage_pending(spark: SparkSession, stores: Stores, points: DataFrame, as_of: dt.date, tiebreak=None,
                   buffer_seconds: float = config.TIMESTAMP_BUFFER_SECONDS,
                   window_days: int = config.ROLLING_WINDOW_DAYS) -> int | None:
-    """One run over the pending rows alone; its run id, or ``None`` without any."""
-    run_id = stores.ids.claim("pending", as_of.isoformat())
-    held = stores.pending.read(before_run=run_id)
-    if held is None:
+    """One run over the pending rows whose day has come; its run id, or ``None``
+    without any. Its id belongs to the day and the version of the pending rows:
+    a call that broke off gets its id again, one that finds other rows a new one."""
+    version = stores.pending.version()
+    held = stores.pending.read()
+    if held is None or held.filter(F.col("ts") < ts_literal(run_end(as_of), held.schema["ts"].dataType)).isEmpty():
         return None
+    run_id = stores.ids.claim("pending", f"{as_of.isoformat()}-{version}")
     _stage(spark, held.limit(0), points, stores, as_of, run_id, tiebreak, buffer_seconds, window_days)
     return run_id

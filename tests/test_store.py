@@ -240,11 +240,64 @@ def test_files_follow_days_not_tasks(spark, tmp_root):
     assert len(days) == 28 and len(files) <= 2 * len(days)
 
 
-def test_failed_points_are_reported_and_left_alone(spark, tmp_root):
+def test_failed_points_are_reported_and_keep_their_rows(spark, tmp_root):
+    """A failed point brings no rows and is not purged; its state row moves as
+    for a point without news, and a new one has a row, too."""
     t = dt.datetime(2024, 1, 29)
     st = open_stores(spark, tmp_root)
-    got = run_extract(spark, one_point(spark, [("p", t)]), points_of(spark, "P", "Q"), st, dt.date(2024, 1, 30), 1,
-                      failed={"Q": "table Q not found"}).collect()
+    first = one_point(spark, [("p", t), ("q", t)])
+    run_extract(spark, first, points_of(spark, "P", "Q"), st, dt.date(2024, 1, 30), 1)
+    later = one_point(spark, [("p", t + dt.timedelta(days=40)), ("q", t + dt.timedelta(days=40))])
+    day = dt.date(2024, 3, 10)
+    got = run_extract(spark, later, points_of(spark, "P", "Q", "R"), st, day, 2,
+                      failed={" Q ": "table Q not found", "R": "gone"}).collect()
     assert sorted((r.point, r.new_rows, r.last_used_id, r.error) for r in got) == [
-        ("p", 1, 1, None), ("q", 0, None, "table Q not found")]
-    assert [r.point for r in st.state.read().collect()] == ["p"]
+        ("p", 1, 2, None), ("q", 0, 1, "table Q not found"), ("r", 0, 0, "gone")]
+    state = {r.point: (r.last_used_id, r.last_run_date) for r in st.state.read().collect()}
+    assert state == {"p": (2, day), "q": (1, day), "r": (0, day)}
+    assert sorted((r.point, r.ts) for r in st.staged.read().collect()) == [
+        ("p", t + dt.timedelta(days=40)), ("q", t)]
+
+
+def test_errors_frame_marks_failed_points(spark, tmp_root):
+    t = dt.datetime(2024, 1, 29)
+    st = open_stores(spark, tmp_root)
+    errors = spark.createDataFrame([("Q", "b"), ("q", "a")], "point string, error string")
+    got = run_extract(spark, one_point(spark, [("p", t), ("q", t)]), points_of(spark, "p", "q"), st,
+                      dt.date(2024, 1, 30), 1, failed=errors).collect()
+    assert sorted((r.point, r.new_rows, r.error) for r in got) == [("p", 1, None), ("q", 0, "a")]
+
+
+def test_ids_do_not_depend_on_the_order_of_the_input(spark, tmp_root):
+    """Readings of one time without any tie-break are numbered by value and the other columns."""
+    t = dt.datetime(2024, 1, 29)
+    rows = [("p", t, float(k % 3), f"s{k}", {"a": k}) for k in range(8)]
+    schema = "point string, ts timestamp_ntz, value double, sensor string, tags map<string,int>"
+    got = []
+    for k, order in enumerate((rows, rows[::-1])):
+        st = open_stores(spark, os.path.join(tmp_root, str(k)))
+        run_extract(spark, spark.createDataFrame(order, schema).coalesce(1), points_of(spark, "p"), st,
+                    dt.date(2024, 1, 30), 1)
+        got.append(sorted((r.unique_id, r.value) for r in st.staged.read().collect()))
+    assert got[0] == got[1] == [(k + 1, v) for k, v in enumerate(sorted(float(k % 3) for k in range(8)))]
+
+
+def test_snapshots_and_claims_are_pruned(spark, tmp_root):
+    from canopy.sources import store as S
+    pts, t = points_of(spark, "p"), dt.datetime(2024, 1, 1)
+    st = open_stores(spark, tmp_root)
+    runs = S.KEEP_SNAPSHOTS + 4
+    for k in range(runs):
+        run_extract(spark, one_point(spark, [("p", t + dt.timedelta(days=k))]), pts, st,
+                    dt.date(2024, 1, 1) + dt.timedelta(days=k), k)
+    for name in ("state", "marks", "partials"):
+        assert len([d for d in os.listdir(os.path.join(tmp_root, name)) if d.startswith("run=")]) == S.KEEP_SNAPSHOTS
+    assert len(os.listdir(os.path.join(tmp_root, "writers", "batch"))) == S.KEEP_CLAIMS
+    assert st.state.read().first().last_used_id == runs
+    man = manifest_from_rows(spark, [("other", "p", 1)])
+    for k in range(S.KEEP_WIDE + 3):
+        run_transform(spark, st, man, runs + k, ["other"])
+    assert len(os.listdir(os.path.join(tmp_root, "wide", "wide_other"))) == S.KEEP_WIDE
+    assert st.wide.read("wide_other").count() == runs
+    with pytest.raises(ValueError, match="not newer"):
+        st.ids.claim("batch", "0", 0)       # an id that was given, and forgotten, is not given again
