@@ -5,7 +5,8 @@ from __future__ import annotations
 import datetime as dt
 
 from . import registry_stored as S
-from .oracle import EVENT_TYPES, _nf, _ts, rnd, spread
+from .oracle import ALIGNED5, EVENT_TYPES, S5, _nf, _ts, rnd, spread
+from .oracle import ORACLE_SQL as OTHER_SQL
 
 
 def runs_sql(as_of: list[dt.date], days: int, skipped: dict[int, list[str]] | None = None,
@@ -33,7 +34,44 @@ def _sql() -> dict[str, str]:
     kept = f"WITH {runs_sql(S.KEPT_AS_OF, S.KEPT_WINDOW_DAYS)},\nkept AS (SELECT * FROM staged WHERE ts >= {cut})"
     failed = f"('{S.BROKEN}', '{S.ABSENT}')"
     scans = runs_sql(S.SCAN_AS_OF, 30, {2: [S.BROKEN, S.ABSENT]})
+    deep = f"""CAST("timestamp" AS DATE) >= DATE '{S.DEEP_START}' AND CAST("timestamp" AS DATE) <= DATE '{S.DEEP_END}'"""
+    page = f'ORDER BY "timestamp" DESC NULLS LAST, unique_id ASC LIMIT {S.DEEP_LIMIT} OFFSET {S.DEEP_OFFSET}'
+    listed = f"""WITH m AS (SELECT s_suppkey AS key, n_name AS biome, s_suppkey % {S.SHORT_EVERY} = 0 AS few,
+    s_suppkey % {S.LONG_EVERY} = 0 AS many FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
+    good = "NOT few AND NOT many"
     return {
+        "deep_page": f"SELECT * FROM {ALIGNED5} a {page}",
+
+        "deep_page_dates": f"SELECT * FROM {ALIGNED5} a WHERE {deep} {page}",
+
+        "deep_page_total": f"""SELECT {S.DEEP_LIMIT} AS "limit", {S.DEEP_OFFSET} AS "offset", count(*) AS total_count,
+  {S.DEEP_LIMIT + S.DEEP_OFFSET} < count(*) AS has_more FROM {ALIGNED5} a WHERE {deep}""",
+
+        "bitmap_id_counts": f"""SELECT point, count(DISTINCT unique_id) AS unique_ids_count FROM {S5} s GROUP BY point
+UNION ALL SELECT 'all', count(DISTINCT unique_id) FROM {S5} s""",
+
+        "bitmap_first_ids": f"SELECT DISTINCT unique_id FROM {S5} s ORDER BY unique_id LIMIT {S.BITMAP_LIMIT}",
+
+        "late_rows_tree": OTHER_SQL["late_rows_audit"],
+
+        "manifest_points": f"""{listed}
+SELECT ' P_' || key || ' ' AS point, biome FROM m WHERE {good} AND biome = '{S.MANIFEST_BIOME}'""",
+
+        "manifest_rejects": f"""{listed}
+SELECT CASE WHEN few THEN biome ELSE biome || ',' || key || ',x,y' END AS record,
+  CAST(CASE WHEN few THEN 1 ELSE 4 END AS INTEGER) AS fields, 3 AS expected FROM m WHERE few OR many""",
+
+        "manifest_order": f"""{listed}
+SELECT biome AS category, 'p_' || key AS point, CAST(row_number() OVER (PARTITION BY biome
+  ORDER BY key % {S.MANIFEST_FILES}, key) AS INTEGER) AS ord FROM m WHERE {good}""",
+
+        "normalised_points": OTHER_SQL["extract_first_run"],
+
+        "exported_csv": f"""WITH {runs_sql(S.KEPT_AS_OF[1:], 30)}
+SELECT * FROM {spread('staged', EVENT_TYPES, ts='ts')}""",
+
+        "existing_tables": f"SELECT * FROM {S5} s WHERE point <> '{S.ABSENT}'",
+
         "blocks_aligned": f"""{kept},
 ids AS (SELECT unique_id FROM kept GROUP BY unique_id HAVING count(*) = (SELECT count(*) FROM pts)),
 base AS (SELECT unique_id, ts AS "timestamp" FROM kept WHERE point = (SELECT min(point) FROM pts))

@@ -11,18 +11,32 @@ from pyspark.sql import functions as F
 
 from . import config
 from .functions.temporal import run_end
+from .operators import bitmaps as B
 from .operators import partials as P
-from .plans.runner import Stores, open_stores, point_starts, run_extract
-from .registry import RUN_HOUR
-from .session import scratch_path
+from .operators.extract import extract_and_stage
+from .operators.reconcile import audit_late_rows
+from .plans.runner import Stores, open_stores, point_starts, run_extract, run_transform
+from .registry import (AUDIT_BUFFER_SECONDS, FIRST_AS_OF, RUN_HOUR, SECOND_AS_OF, _events_runs, five_staged,
+                       five_wide)
+from .session import scratch_path, written
 from .sources import testdata as td
+from .sources.manifest import category_manifest_rows, point_manifest_rows
+from .sources.ordinal import OrdinalTable, write_ordinal
 from .sources.point_scan import scan_points
+from .sources.store import CSV_TIME
+from .sources.telemetry import staged_tables_to_long
 
 # --- fixed values: query parameters ---
 KEPT_AS_OF = [dt.date(2024, 1, 15), dt.date(2024, 1, 30)]   # two runs over events
 KEPT_WINDOW_DAYS = 20                     # the second run purges days of the first
 ID_BLOCK = 128                            # ids per block of the wide tables
 BLOCK_ID = 900                            # an id that both tables hold at sf0.01
+DEEP_LIMIT, DEEP_OFFSET, DEEP_ROWS_PER_PART = 40, 700, 150   # a page far down, parts far smaller than the table
+DEEP_START, DEEP_END = "2024-01-05", "2024-01-21"
+BITMAP_LIMIT = 1000
+MANIFEST_FILES = 4
+MANIFEST_BIOME = "NATION_9"
+SHORT_EVERY, LONG_EVERY = 7, 11           # suppliers whose manifest row lacks a field, or has one too many
 SCAN_AS_OF = [dt.date(2024, 1, 12), dt.date(2024, 1, 22), dt.date(2024, 1, 30)]
 BROKEN, ABSENT = "view", "purchase"       # points that fail in the second run
 # --- end of fixed values ---
@@ -110,6 +124,118 @@ def q_scan_failed_rows(spark, sf) -> DataFrame:
     return scanned_runs(spark, sf)[0].staged.read()
 
 
+# ---------------------------------------------------------------- stored tables in page order
+def ordinal_table(spark, sf) -> OrdinalTable:
+    path = scratch_path(spark, "ordinal")
+    write_ordinal(five_wide(spark, sf, "type1").df, "type1", path, DEEP_ROWS_PER_PART)
+    return OrdinalTable(spark, path, "type1")
+
+
+def q_deep_page(spark, sf) -> DataFrame:
+    """A page far down is found by the index; only its parts are read."""
+    return ordinal_table(spark, sf).page(DEEP_LIMIT, DEEP_OFFSET).rows
+
+
+def q_deep_page_dates(spark, sf) -> DataFrame:
+    return ordinal_table(spark, sf).page(DEEP_LIMIT, DEEP_OFFSET, DEEP_START, DEEP_END).rows
+
+
+def q_deep_page_total(spark, sf) -> DataFrame:
+    return ordinal_table(spark, sf).page_total(DEEP_LIMIT, DEEP_OFFSET, DEEP_START, DEEP_END)
+
+
+# ---------------------------------------------------------------- distinct ids by bitmaps
+def id_bitmaps_by_point(spark, sf) -> DataFrame:
+    """Bitmaps of the ids of every point, written once as kept versions would be."""
+    return written(B.id_bitmaps(five_staged(spark, sf), "point"), "id-bitmaps")
+
+
+def q_bitmap_id_counts(spark, sf) -> DataFrame:
+    """Distinct ids per point, and of all points together (by OR, no row read again)."""
+    bitmaps = id_bitmaps_by_point(spark, sf)
+    whole = B.distinct_ids(bitmaps).select(F.lit("all").alias("point"), "unique_ids_count")
+    return B.distinct_ids(bitmaps, "point").unionByName(whole)
+
+
+def q_bitmap_first_ids(spark, sf) -> DataFrame:
+    return B.first_ids(id_bitmaps_by_point(spark, sf), BITMAP_LIMIT)
+
+
+# ---------------------------------------------------------------- late rows by a tree
+def q_late_rows_tree(spark, sf) -> DataFrame:
+    src, pts, _, r2 = _events_runs(spark, sf, AUDIT_BUFFER_SECONDS)
+    return audit_late_rows(src, written(r2.staged, "staged"), pts, FIRST_AS_OF, SECOND_AS_OF).late
+
+
+# ---------------------------------------------------------------- manifests with rejects
+def manifest_folder(spark, sf) -> str:
+    """``supplier`` x ``nation`` written as manifest files: a header each, rows
+    in order of their key, some with a field too few or too many."""
+    m = td.nation_points(spark, sf).withColumn("key", F.col("point").cast("long"))
+    row = (F.when(F.col("key") % SHORT_EVERY == 0, F.col("biome"))
+           .when(F.col("key") % LONG_EVERY == 0, F.concat_ws(",", "biome", "point", F.lit("x"), F.lit("y")))
+           .otherwise(F.concat_ws(",", "biome", F.concat(F.lit('" P_'), "point", F.lit(' "')), F.lit("x"))))
+    part = F.col("key") % MANIFEST_FILES
+    lines = m.select(part.alias("part"), "key", row.alias("line"))
+    heads = lines.select("part").distinct().select("part", F.lit(-1).cast("long").alias("key"),
+                                                   F.lit("BIOMNAME,TABLE_NAME,OTHER").alias("line"))
+    path = scratch_path(spark, "manifest")
+    (lines.unionByName(heads).repartition(MANIFEST_FILES, "part").sortWithinPartitions("part", "key")
+     .select("part", "line").write.partitionBy("part").text(path))
+    return path
+
+
+def q_manifest_points(spark, sf) -> DataFrame:
+    return point_manifest_rows(spark, manifest_folder(spark, sf), MANIFEST_BIOME)[0]
+
+
+def q_manifest_rejects(spark, sf) -> DataFrame:
+    rejects = point_manifest_rows(spark, manifest_folder(spark, sf), MANIFEST_BIOME)[1]
+    return rejects.select("record", "fields", "expected")
+
+
+def q_manifest_order(spark, sf) -> DataFrame:
+    """The same files as a category manifest: names normalised, rows counted in file order."""
+    return category_manifest_rows(spark, manifest_folder(spark, sf), "BIOMNAME", "TABLE_NAME")[0]
+
+
+# ---------------------------------------------------------------- names, exports, existing staging tables
+def q_normalised_points(spark, sf) -> DataFrame:
+    """Padded and upper-case names in the source and, otherwise padded, in the manifest."""
+    src = td.events_five(spark, sf).withColumn("point", F.concat(F.lit("  "), F.upper("point"), F.lit("\t")))
+    pts = td.events_five(spark, sf).select(F.concat(F.initcap("point"), F.lit(" ")).alias("point")).distinct()
+    return extract_and_stage(src, pts, FIRST_AS_OF, run_ts=at_noon(FIRST_AS_OF), tiebreak=["event_id"]).new_rows
+
+
+def q_exported_csv(spark, sf) -> DataFrame:
+    """A stored wide table, exported as CSV and read back."""
+    stores = open_stores(spark, scratch_path(spark, "exported"))
+    src = td.events_five(spark, sf)
+    pts = src.select("point").distinct()
+    run_extract(spark, src, pts, stores, KEPT_AS_OF[1], 1, at_noon(KEPT_AS_OF[1]), ["event_id"])
+    manifest, out = td.ordered_manifest(pts, ["other"]), scratch_path(spark, "exports")
+    run_transform(spark, stores, manifest, 1, ["other"], export_root=out, when=at_noon(KEPT_AS_OF[1]))
+    name = config.wide_table_name("other")
+    schema = stores.wide.read(name).schema
+    return (spark.read.schema(schema).option("header", True).option("timestampNTZFormat", CSV_TIME)
+            .option("mode", "FAILFAST").csv(f"{out}/{name}_*"))
+
+
+def q_existing_tables(spark, sf) -> DataFrame:
+    """Staging tables in the original layout (one per point, the value column
+    named after it), stored and read back into the long form. One lacks a value
+    column and is skipped."""
+    st = five_staged(spark, sf)
+    root = scratch_path(spark, "existing")
+    frames = {}
+    for point in (r["point"] for r in st.select("point").distinct().collect()):   # manifest-sized
+        one = st.filter(F.col("point") == point)
+        cols = [F.col("unique_id").alias("UNIQUE_ID"), F.col("ts").alias("Timestamp"), F.col("value").alias(f"{point}_value")]
+        one.select(*(cols[:2] if point == ABSENT else cols)).write.parquet(f"{root}/{point}")
+        frames[f" {point.upper()} "] = spark.read.parquet(f"{root}/{point}")
+    return staged_tables_to_long(frames)[0]
+
+
 QUERIES = {
     "blocks_aligned": q_blocks_aligned,
     "blocks_ragged": q_blocks_ragged,
@@ -119,4 +245,16 @@ QUERIES = {
     "kept_inventory": q_kept_inventory,
     "scan_failed_status": q_scan_failed_status,
     "scan_failed_rows": q_scan_failed_rows,
+    "deep_page": q_deep_page,
+    "deep_page_dates": q_deep_page_dates,
+    "deep_page_total": q_deep_page_total,
+    "bitmap_id_counts": q_bitmap_id_counts,
+    "bitmap_first_ids": q_bitmap_first_ids,
+    "late_rows_tree": q_late_rows_tree,
+    "manifest_points": q_manifest_points,
+    "manifest_rejects": q_manifest_rejects,
+    "manifest_order": q_manifest_order,
+    "normalised_points": q_normalised_points,
+    "exported_csv": q_exported_csv,
+    "existing_tables": q_existing_tables,
 }

@@ -86,6 +86,8 @@ class _FS:
             raise OSError(f"rename failed: {src} -> {dst}")
 
 
+#: Times in CSV exports.
+CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 #: Versions of a snapshot that are kept, versions of a wide table, run ids per
 #: writer, and change logs.
 KEEP_SNAPSHOTS = 8
@@ -371,11 +373,15 @@ class WideStore:
 
     def replace(self, table: str, df: DataFrame | None, run_id: int) -> int:
         """Write a new version; an empty (or absent) result is dropped again
-        and the previous version stays current.  Returns the rows written."""
+        and the previous version stays current.  Returns the rows written.
+        Files are sorted by time, and the ids of a ragged table are spread over
+        them, so ids have Bloom filters: a look-up by id skips the row groups
+        that its bounds cannot exclude."""
         if df is None:
             return 0
         target = f"{self.path}/{table}/run={run_id}"
-        df.write.mode("overwrite").parquet(target)
+        (df.write.mode("overwrite").option("parquet.bloom.filter.enabled#unique_id", "true")
+         .option("parquet.bloom.filter.adaptive.enabled", "true").parquet(target))
         n = self.spark.read.parquet(target).count()
         if n == 0:
             self.fs.delete(target)
@@ -384,10 +390,12 @@ class WideStore:
         return n
 
     def export_csv(self, table: str, export_root: str, when: dt.datetime) -> str | None:
-        """CSV copy of the current version, header row, timestamped folder."""
+        """CSV copy of the current version, header row, timestamped folder; times
+        with all their digits."""
         df = self.read(table)
         if df is None:
             return None
         target = f"{export_root.rstrip('/')}/{table}_{when.strftime('%Y%m%d_%H%M%S')}"
-        df.write.mode("errorifexists").option("header", True).csv(target)
+        (df.write.mode("errorifexists").option("header", True)
+         .option("timestampNTZFormat", CSV_TIME).option("timestampFormat", CSV_TIME).csv(target))
         return target

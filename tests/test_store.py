@@ -301,3 +301,34 @@ def test_snapshots_and_claims_are_pruned(spark, tmp_root):
     assert st.wide.read("wide_other").count() == runs
     with pytest.raises(ValueError, match="not newer"):
         st.ids.claim("batch", "0", 0)       # an id that was given, and forgotten, is not given again
+
+
+def test_ids_of_a_wide_table_have_bloom_filters(spark, tmp_root):
+    """A look-up by id reads no page of the files that do not hold the id,
+    though their bounds would let it in."""
+    st = open_stores(spark, tmp_root)
+    ids = spark.range(0, 40000).select(F.col("id").alias("unique_id"), F.rand(3).alias("v"))
+    spread = ids.repartition(4).sortWithinPartitions("v")
+    st.wide.replace("wide_other", spread, 1)
+    top = os.path.join(tmp_root, "wide", "wide_other", "run=1")
+    files = sorted(f for f in os.listdir(top) if f.endswith(".parquet"))
+    assert len(files) == 4
+    holds = [f for f in files if spark.read.parquet(f"{top}/{f}").filter("unique_id = 777").count()]
+    import pyarrow.parquet as pq
+    for f in set(files) - set(holds):
+        meta = pq.ParquetFile(f"{top}/{f}").metadata
+        assert meta.row_group(0).column(0).statistics.min < 777 < meta.row_group(0).column(0).statistics.max
+        end = sum(meta.row_group(g).column(c).total_compressed_size for g in range(meta.num_row_groups) for c in range(2))
+        data = open(f"{top}/{f}", "rb").read()
+        open(f"{top}/{f}", "wb").write(data[:4] + b"\xff" * end + data[4 + end:])
+        os.remove(f"{top}/.{f}.crc")
+    got = st.wide.read("wide_other").filter("unique_id = 777").collect()
+    assert [r.unique_id for r in got] == [777]
+
+
+def test_export_keeps_all_digits_of_times(spark, tmp_root):
+    st = open_stores(spark, tmp_root)
+    t = dt.datetime(2024, 1, 29, 1, 2, 3, 456789)
+    st.wide.replace("wide_other", spark.createDataFrame([(1, t, t)], "unique_id long, a timestamp_ntz, b timestamp"), 1)
+    out = st.wide.export_csv("wide_other", os.path.join(tmp_root, "exports"), dt.datetime(2024, 1, 30))
+    assert [r.value for r in spark.read.text(out).collect()][1] == "1,2024-01-29 01:02:03.456789,2024-01-29 01:02:03.456789"
