@@ -30,9 +30,10 @@ an empty table gives no rows; other columns are not read by :func:`find` and car
 
 from __future__ import annotations
 
+import bisect
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from itertools import islice
 
@@ -41,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, hash_share, quoted, ship, strings, text_or_empty
+from .common import free_name, hash_share, joined, quoted, ship, slices, strings, text_or_empty
 
 # --- fixed values: kinds in their order, and the base patterns ---
 KINDS = ("email", "ip", "card", "phone")
@@ -62,6 +63,9 @@ THRESHOLDS = (0.8, 0.9, 0.95, 0.98, 0.99, 0.995, 0.999)
 TREES, DEPTH, RATE, BINS = 60, 3, 0.2, 32
 # --- end of parameters ---
 
+#: Proposals that are taken up at a time, in training and in a text.
+TASK_PROPOSALS = 4096
+
 Span = tuple[int, int, str]
 _LOCAL_RUN = re.compile(rf"[{EMAIL_LOCAL}]+")
 _NEEDS = re.compile(r"[0-9@]")
@@ -140,13 +144,17 @@ def _may_hold(text: str) -> bool:
 
 def proposals(text: str) -> list[Span]:
     """Overlapping candidate spans of every kind."""
-    out: list[Span] = []
+    return list(propose(text))
+
+
+def propose(text: str) -> Iterator[Span]:
+    """The same one by one, so that a text need not hold them all."""
     if _has_at(text):
         for m in _AT.finditer(text):
             left = _LEFT.search(text, max(0, m.start() - 64), m.start())
             right = _RIGHT.match(text, m.end())
             if left and right and (m.group() != " at " or re.search(r"dot|\.", right.group())):
-                out.append((left.start(), right.end(), "email"))
+                yield left.start(), right.end(), "email"
     for run in _RUN.finditer(text):
         groups = [g.span() for g in _GROUP.finditer(text, *run.span())]
         for i, (start, _) in enumerate(groups):
@@ -157,12 +165,52 @@ def proposals(text: str) -> list[Span]:
                     break
                 end = groups[j][1]
                 if total >= CARD_DIGITS[0]:
-                    out.append((start, end, "card"))
+                    yield start, end, "card"
                 if 7 <= total <= PHONE_DIGITS[1]:
-                    out.append((start, end, "phone"))
+                    yield start, end, "phone"
                 if j - i == 3 and total <= 12:
-                    out.append((start, end, "ip"))
-    return out
+                    yield start, end, "ip"
+
+
+def chains(likely: list[tuple[float, Span]]) -> Iterator[list[tuple[float, Span]]]:
+    """Groups of spans that overlap each other, directly or by others."""
+    group: list[tuple[float, Span]] = []
+    reach = 0
+    for x in sorted(likely, key=lambda x: x[1]):
+        if group and x[1][0] >= reach:
+            yield group
+            group, reach = [], 0
+        group.append(x)
+        reach = max(reach, x[1][1])
+    if group:
+        yield group
+
+
+class Taken:
+    """Places that spans cover, as intervals apart from each other in order, so
+    a look-up is a bisection. With ``among`` they are the union of those spans."""
+
+    def __init__(self, among: list[Span] = ()):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b, _ in sorted(among):
+            if self.ends and a < self.ends[-1]:
+                self.ends[-1] = max(b, self.ends[-1])
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, span: Span) -> bool:
+        """Whether the span overlaps any: the last interval that begins before
+        its end reaches furthest."""
+        k = bisect.bisect_left(self.starts, span[1])
+        return k > 0 and self.ends[k - 1] > span[0]
+
+    def add(self, span: Span) -> None:
+        """A span that meets none."""
+        k = bisect.bisect_left(self.starts, span[0])
+        self.starts.insert(k, span[0])
+        self.ends.insert(k, span[1])
 
 
 def features(text: str, span: Span) -> list[float]:
@@ -257,16 +305,19 @@ class Model:
         """Chosen proposals that overlap neither base spans nor better choices."""
         if self.trees is None or not self.threshold:
             return []
-        open_ = [s for s in proposals(text) if s[2] in self.threshold
-                 and not any(a < s[1] and s[0] < b for a, b, _ in base)]
-        if not open_:
-            return []
-        p = self.probability(np.array([features(text, s) for s in open_]))
-        ranked = sorted(zip(p.tolist(), open_), key=lambda x: (-x[0], x[1][0] - x[1][1], x[1]))
+        of_base = Taken(base)
+        open_ = (s for s in propose(text) if s[2] in self.threshold and not of_base.meets(s))
+        likely: list[tuple[float, Span]] = []  # of a part at a time, what reaches its threshold
+        while part := list(islice(open_, TASK_PROPOSALS)):
+            p = self.probability(np.array([features(text, s) for s in part])).tolist()
+            likely += [(prob, s) for prob, s in zip(p, part) if prob >= self.threshold[s[2]]]
         chosen: list[tuple[Span, float]] = []
-        for prob, s in ranked:
-            if prob >= self.threshold[s[2]] and not any(a < s[1] and s[0] < b for (a, b, _), _ in chosen):
-                chosen.append((s, prob))
+        for group in chains(likely):
+            taken = Taken()
+            for prob, s in sorted(group, key=lambda x: (-x[0], x[1][0] - x[1][1], x[1])):
+                if not taken.meets(s):
+                    taken.add(s)
+                    chosen.append((s, prob))
         return chosen
 
 
@@ -295,10 +346,11 @@ def rewritten(own: str, kind: str) -> tuple[list[str], list[str]]:
 def examples(text: str) -> Iterator[tuple[list[float], int, str]]:
     """Labelled proposals ``(features, 0 or 1, kind)`` of one sample text."""
     base = base_spans(text)
-    for s in proposals(text):
-        if s in base:
+    found, of_base = set(base), Taken(base)
+    for s in propose(text):
+        if s in found:
             yield features(text, s), 1, s[2]
-        elif not any(a < s[1] and s[0] < b for a, b, _ in base):
+        elif not of_base.meets(s):
             yield features(text, s), 0, s[2]
     for a, b, kind in base:
         before, after = text[max(0, a - 40):a], text[b:b + 40]
@@ -339,13 +391,19 @@ def seeds() -> Iterator[str]:
             yield f"{left} {span(kind)}{draw.choice((' ', ', ', '. '))}{right}"
 
 
+def by_slices(texts: pa.Array, kind: pa.DataType, of_text: Callable) -> pa.Array:
+    """``of_text`` of every text; of a batch a bounded part is held as Python objects at a time."""
+    return joined([pa.array(list(map(of_text, texts.slice(a, b - a).to_pylist())), kind) for a, b in slices(texts)], kind)
+
+
 def held_kinds(text: Column) -> Column:
     """The places in ``KINDS`` of a text's base spans, ``len(KINDS)`` alone without any; empty if it has no proposals."""
 
     @F.arrow_udf("array<int>")
     def pii_kinds(texts: pa.Array) -> pa.Array:
-        return pa.array([(sorted({KINDS.index(s[2]) for s in base_spans(t)}) or [len(KINDS)]) if _may_hold(t) else []
-                         for t in strings(texts).to_pylist()], pa.list_(pa.int32()))
+        kind = pa.list_(pa.int32())
+        return by_slices(strings(texts), kind, lambda t: (
+            sorted({KINDS.index(s[2]) for s in base_spans(t)}) or [len(KINDS)]) if _may_hold(t) else [])
 
     return pii_kinds(text)
 
@@ -365,10 +423,6 @@ def sample(df: DataFrame, text_col: str, sample_texts: int) -> DataFrame:
     return able.join(F.broadcast(chosen), "h", "left_semi").select("text", "h").distinct()  # sample_texts hashes at most
 
 
-#: Proposals that a training task hands on at a time.
-TASK_PROPOSALS = 4096
-
-
 def labelled(texts: DataFrame, most: int = SAMPLE_PROPOSALS) -> DataFrame:
     """``x, y, kind, held`` of the proposals of ``text, h``: of each kind and label the ``most`` with the least hashes."""
 
@@ -435,7 +489,7 @@ def spans(text: Column, model: Model) -> Column:
 
     @F.arrow_udf("array<struct<start:long,end:long,kind:string,base:boolean,score:double>>")
     def pii_spans(texts: pa.Array) -> pa.Array:
-        return pa.array([all_spans(t, model) if _may_hold(t) else [] for t in strings(texts).to_pylist()], _SPANS)
+        return by_slices(strings(texts), _SPANS, lambda t: all_spans(t, model) if _may_hold(t) else [])
 
     return pii_spans(text)
 
@@ -456,8 +510,10 @@ def redact(df: DataFrame, text_col: str = "text", model: Model | None = None) ->
 
     @F.arrow_udf("string")
     def pii_redacted(texts: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else redacted(t, all_spans(t, model)) if _may_hold(t) else t
-                         for t in texts.cast(pa.string()).to_pylist()], pa.string())
+        if isinstance(texts, pa.ChunkedArray):
+            texts = texts.combine_chunks()
+        return by_slices(texts.cast(pa.string()), pa.string(), lambda t: (
+            None if t is None else redacted(t, all_spans(t, model)) if _may_hold(t) else t))
 
     new = free_name(df, "redacted")
     out = df.withColumn(new, pii_redacted(F.col(quoted(text_col)).cast("string")))

@@ -1,6 +1,8 @@
 import hashlib
 import re
+import time
 
+import numpy as np
 import pytest
 from canopy.llm import pii
 from canopy.llm.queries import QUERIES
@@ -140,3 +142,49 @@ def test_sampled_proposals_are_bounded(spark):
     for r in rows:
         count[r["kind"], r["y"]] = count.get((r["kind"], r["y"]), 0) + 1
     assert max(count.values()) == 500 and {("email", 1), ("ip", 1)} <= set(count)
+
+
+def chosen_pair_by_pair(model, text, base):
+    """The choice by its definition: every proposal against all base spans and all better choices."""
+    free = [s for s in pii.proposals(text) if s[2] in model.threshold and not any(a < s[1] and s[0] < b for a, b, _ in base)]
+    p = model.probability(np.array([pii.features(text, s) for s in free])) if free else []
+    chosen = []
+    for prob, s in sorted(zip(p, free), key=lambda x: (-x[0], x[1][0] - x[1][1], x[1])):
+        if prob >= model.threshold[s[2]] and not any(a < s[1] and s[0] < b for (a, b, _), _ in chosen):
+            chosen.append((s, prob))
+    return sorted(chosen)
+
+
+def test_choice_equals_its_definition(spark, model):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    texts = [r["text"] for r in rows] + [" 555-234-9876 ".join(f"10[.]{k}[.]2[.]3 4111.1111.1111.1111/{k} a at b dot com" for k in range(40)),
+                                         " ".join(f"{k % 900 + 100}" for k in range(400))]
+    added = 0
+    for text in texts:
+        base = pii.base_spans(text)
+        got = model.added(text, base)
+        assert sorted((s, round(p, 9)) for s, p in got) == [(s, round(p, 9)) for s, p in chosen_pair_by_pair(model, text, base)]
+        added += len(got)
+    assert added > 50
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 60), st.integers(1, 9)), max_size=12), st.integers(0, 60), st.integers(1, 9))
+def test_taken_places(spans, a, n):
+    own = [(x, x + k, "ip") for x, k in spans]
+    assert pii.Taken(own).meets((a, a + n, "ip")) == any(x < a + n and a < y for x, y, _ in own)
+
+
+@pytest.mark.parametrize("line", ["10.{0}.2.3 -> 10.1.{0}.9\n", "10[.]{0}[.]22[.]7 to 555-234-98{0:02d}\n"])
+def test_many_spans_take_time_in_proportion(model, line):
+    """Ten times the addresses take about ten times as long, not a hundred times."""
+    def seconds(n):
+        text = "".join(line.format(k % 100) for k in range(n))
+        began = time.perf_counter()
+        found = pii.all_spans(text, model)
+        return time.perf_counter() - began, len(found)
+
+    seconds(100)
+    few, some = seconds(2_000)
+    many, all_ = seconds(20_000)
+    assert all_ == 10 * some and many < 25 * few
