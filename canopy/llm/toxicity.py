@@ -12,11 +12,24 @@ is taken as half of ``|sum v|^2 - sum |v|^2``, in time linear in the terms.
 Training takes a bounded sample of labelled rows (``SAMPLE_TOXIC`` and
 ``SAMPLE_CLEAN``, chosen by the hash of their ids; each class is weighted back
 to its share of all labelled rows). Its ids are picked from the label
-table alone and, being bounded, are sent to the documents, so no text is
-shuffled. Terms enter the machine when their rates in the two classes differ
-clearly; the others have weight zero. A quarter of the sample, by hash of the
+table alone and, being bounded, are sent to the documents; of an id that
+repeats one text is taken, by hash. A quarter of the sample, by hash of the
 terms, is held back for the calibration of the score.
 
+A term enters the machine for either of two reasons; the others have weight
+zero. Its rates in the two classes differ clearly. Or it is half of a pair that
+tells more than its parts: among the documents that hold both terms the toxic
+share is not the one that the two terms' own shares explain together (their
+log odds added up, as additive weights would). So terms that say nothing alone
+are learned with the terms that give them a meaning. Pairs are counted, term by
+term, in up to ``PAIR_ROWS`` sampled documents of each class (those of more
+than ``PAIR_TERMS`` such terms say little about any one pair and are not among
+them); the clearer a pair must be, the more pairs were looked at.
+
+Terms are counted in Spark. The driver holds the counts of terms in at least
+``MIN_ROWS`` sampled documents, the terms of the pair rows, and of every
+sampled document the chosen terms only.
+
 Defined results: a null or empty text has no terms and gets the score of the
 bias; rows that repeat are each scored; labels that are null are not used and
 a document labelled twice counts as toxic if either label says so; without
@@ -38,6 +51,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
+from .bpe import gather
 from .common import hash_share, quoted, ship, slices, strings, text_or_empty
 
 # --- production parameters ---
@@ -46,6 +61,8 @@ PREFIX = 5            # letters of a word's start that form a term of their own
 SAMPLE_TOXIC, SAMPLE_CLEAN = 5000, 10000
 MIN_ROWS = 4          # sampled documents that must hold a term
 MIN_Z = 3.0           # difference of its rates in the two classes, in standard errors
+PAIR_ROWS, PAIR_TERMS = 2000, 1500  # documents of a class, and terms of one, in which pairs are counted
+PAIR_MIN = 12         # of them that must hold a term, and a pair
 FACTORS, EPOCHS, BATCH, STEP, DECAY, SEED = 8, 15, 256, 0.1, 1e-4, 7
 CACHE_PIECES = 400_000
 # --- end of parameters ---
@@ -144,25 +161,71 @@ class Machine:
         return self
 
 
-def learn(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -> Machine:
-    """A machine from term hashes of labelled documents."""
-    y, weight = np.asarray(y, dtype=float), np.asarray(weight, dtype=float)
-    if len(set(y.tolist())) < 2:
-        return Machine(constant=float(y.mean()) if len(y) else 0.0)
+def telling(toxic: np.ndarray, every: np.ndarray, n1: float, n0: float) -> np.ndarray:
+    """Whether terms' rates in the classes differ: of each the toxic and all
+    documents that hold it, and the documents of both classes."""
+    p1, p0, p = toxic / n1, (every - toxic) / n0, every / (n1 + n0)
+    z = np.abs(p1 - p0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
+    return (every >= MIN_ROWS) & (z >= MIN_Z)
+
+
+def interacting(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """Terms of pairs that tell more than their parts, from documents' term
+    sets: for one term at a time all terms beside it are counted."""
     size = np.array([len(r) for r in rows], dtype=np.int64)
     every = np.concatenate(rows) if size.sum() else np.zeros(0, np.int64)
-    kinds, at = np.unique(every, return_inverse=True)
-    toxic = np.repeat(y, size)
-    in_toxic, in_all = np.bincount(at, toxic, len(kinds)), np.bincount(at, minlength=len(kinds))
-    n1, n0 = y.sum(), (1 - y).sum()
-    p1, p0, p = in_toxic / n1, (in_all - in_toxic) / n0, in_all / len(y)
-    z = np.abs(p1 - p0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
-    chosen = np.flatnonzero((in_all >= MIN_ROWS) & (z >= MIN_Z))
-    machine = Machine(index={int(kinds[k]): i for i, k in enumerate(chosen)})
-    place = np.full(len(kinds), -1)
-    place[chosen] = np.arange(len(chosen))
-    sets = [x[x >= 0] for x in np.split(place[at], np.cumsum(size)[:-1])]
-    held = np.array([int(r.sum() + len(r)) % 4 == 0 for r in rows])
+    kinds, at, n = np.unique(every, return_inverse=True, return_counts=True)
+    able = n >= PAIR_MIN
+    owner = np.repeat(np.arange(len(rows)), size)[able[at]]
+    term = (np.cumsum(able) - 1)[at][able[at]]
+    kinds, n = kinds[able], n[able].astype(float)
+    if len(kinds) < 2:
+        return kinds[:0]
+    begin = np.searchsorted(owner, np.arange(len(rows) + 1))
+    held = owner[np.argsort(term, kind="stable")]                     # documents of each term
+    of_term = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
+    toxic = np.bincount(term, y[owner], len(kinds))
+
+    def odds(t, k):
+        return np.log((t + 0.5) / (k - t + 0.5))
+
+    own, base = odds(toxic, n), odds(y.sum(), len(y))
+    best, tested = np.zeros(len(kinds)), 0
+    for i in range(len(kinds)):
+        docs = held[of_term[i]:of_term[i + 1]]
+        length = begin[docs + 1] - begin[docs]
+        beside = gather(term, begin[docs], length)
+        both = np.bincount(beside, minlength=len(kinds))
+        both[:i + 1] = 0                                              # each pair once
+        j = np.flatnonzero(both >= PAIR_MIN)
+        if not len(j):
+            continue
+        tested += len(j)
+        share = np.bincount(beside, np.repeat(y[docs], length), len(kinds))[j]
+        q = np.clip(1 / (1 + np.exp(-(own[i] + own[j] - base))), 0.05, 0.95)
+        z = np.abs(share - both[j] * q) / np.sqrt(both[j] * q * (1 - q))
+        best[i] = max(best[i], z.max())
+        best[j] = np.maximum(best[j], z)
+    # about the largest that as many pairs reach by chance, and a little over
+    return kinds[best >= 1 + np.sqrt(2 * np.log(2 * max(tested, 1)))]
+
+
+def pair_rows(rows: list[np.ndarray], y: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The first rows of each class, equal ones once."""
+    out: list[tuple[np.ndarray, float]] = []
+    for k in (1, 0):
+        seen: set[bytes] = set()
+        for r, label in zip(rows, y):
+            if label == k and len(seen) < PAIR_ROWS and len(r) <= PAIR_TERMS and r.tobytes() not in seen:
+                seen.add(r.tobytes())
+                out.append((r, label))
+    return [r for r, _ in out], np.array([label for _, label in out])
+
+
+def fitted(chosen: np.ndarray, sets: list[np.ndarray], y: np.ndarray, weight: np.ndarray, held: np.ndarray) -> Machine:
+    """A machine over the ``chosen`` terms (in order), from documents' positions
+    among them; calibrated on the rows that are ``held`` back."""
+    machine = Machine(index={int(t): i for i, t in enumerate(chosen)})
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held = np.zeros(len(y), bool)
     fit, back = np.flatnonzero(~held), np.flatnonzero(held)
@@ -170,6 +233,33 @@ def learn(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -> Machine:
     return machine.calibrate([sets[i] for i in back], y[back], weight[back]) if len(back) else machine
 
 
+def among(terms_: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Positions in the sorted ``chosen`` of those terms that are there."""
+    at = np.searchsorted(chosen, terms_)
+    inside = at < len(chosen)
+    inside[inside] = chosen[at[inside]] == terms_[inside]
+    return at[inside]
+
+
+def is_held(row: np.ndarray) -> bool:
+    return int(row.sum() + len(row)) % 4 == 0
+
+
+def learn(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -> Machine:
+    """A machine from term hashes of labelled documents that fit in memory, by
+    the same steps as :func:`train`."""
+    y, weight = np.asarray(y, dtype=float), np.asarray(weight, dtype=float)
+    if len(set(y.tolist())) < 2:
+        return Machine(constant=float(y.mean()) if len(y) else 0.0)
+    size = np.array([len(r) for r in rows], dtype=np.int64)
+    every = np.concatenate(rows) if size.sum() else np.zeros(0, np.int64)
+    kinds, at = np.unique(every, return_inverse=True)
+    toxic, n = np.bincount(at, np.repeat(y, size), len(kinds)), np.bincount(at, minlength=len(kinds))
+    chosen = np.union1d(kinds[telling(toxic, n, y.sum(), (1 - y).sum())], interacting(*pair_rows(rows, y)))
+    held = np.array([is_held(r) for r in rows])
+    return fitted(chosen, [among(r, chosen) for r in rows], y, weight, held)
+
+
 # ------------------------------------------------------------------ Spark side
 def held_out(id_col: Column) -> Column:
     """The evaluation fold: CRC-32 of the id as text leaves 1 when divided by 3."""
@@ -197,23 +287,62 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for batch in batches:
             texts = strings(batch.column(0))
             for a, b in slices(texts):
-                own = [sorted(set(terms(t))) for t in texts.slice(a, b - a).to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.int32())), batch.column(1).slice(a, b - a)],
-                                                 names=["terms", "y"])
+                own = [np.array(sorted(set(terms(t))), dtype=np.int32) for t in texts.slice(a, b - a).to_pylist()]
+                wide = [r.astype(np.int64) for r in own]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own, pa.list_(pa.int32())), batch.column(1).slice(a, b - a),
+                     pa.array([is_held(r) for r in wide], pa.bool_()),
+                     pa.array([[len(r), int(r.sum()), int(r[len(r) // 2]) if len(r) else 0] for r in wide], pa.list_(pa.int64()))],
+                    names=["terms", "y", "held", "key"])
 
     # the sample's ids are bounded by its two parameters, so they go to the texts
     docs = df.select(F.col(quoted(id_col)).alias("id"), text_or_empty(text_col).alias("text"))
-    got = docs.join(F.broadcast(sample), "id").select("text", "y").mapInArrow(run, "terms array<int>, y int").toArrow()
-    y = got["y"].to_numpy()
-    lists = got["terms"].combine_chunks()
+    one = docs.join(F.broadcast(sample), "id").groupBy("id", "y").agg(
+        F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))     # a text per id, chosen where the rows are
+    found = written(one.select("t.text", "y").mapInArrow(run, "terms array<int>, y int, held boolean, key array<long>"),
+                    "toxicity-sample")
+    seen = {r["y"]: r["n"] for r in found.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not seen:
+        return Machine(constant=0.0)
+    n1, n0 = max(1, seen.get(1, 0)), max(1, seen.get(0, 0))
+    weight = {1: size[1] / n1, 0: size[0] / n0}
+    if len(seen) < 2:
+        return Machine(constant=float(1 in seen))
+    counts = (found.select(F.explode("terms").alias("term"), "y").groupBy("term")
+              .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("toxic")).filter(F.col("n") >= MIN_ROWS).toArrow())
+    kinds, n, toxic = (counts[c].to_numpy().astype(np.int64) for c in ("term", "n", "toxic"))
+    alone = kinds[telling(toxic, n, n1, n0)]
+    able = np.sort(kinds[n >= PAIR_MIN])
+    near = [found.filter(F.col("y") == k).orderBy(F.xxhash64("key", "terms")).limit(PAIR_ROWS) for k in (1, 0)]
+    pairs = sets_of(near[0].unionByName(near[1]), able, PAIR_TERMS)
+    chosen = np.union1d(alone, able[interacting(*pair_rows(*pairs[:2]))])
+    sets, y, held = sets_of(found, chosen)
+    scale = np.where(y == 1, weight[1], weight[0])
+    return fitted(chosen, sets, y, scale / scale.mean(), held)
+
+
+def sets_of(found: DataFrame, chosen: np.ndarray, most: int | None = None) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Of every sampled document the positions of its terms in the sorted
+    ``chosen``, its label and whether it is held back; documents of more than
+    ``most`` such terms are left out where they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [among(np.array(t, dtype=np.int64), chosen).astype(np.int32) for t in batch.column(0).to_pylist()]
+            keep = pa.array([most is None or len(r) <= most for r in own], pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.int32())), *batch.columns[1:]],
+                                             names=["at", "y", "held", "key"]).filter(keep)
+
+    got = found.mapInArrow(run, "at array<int>, y int, held boolean, key array<long>").toArrow()
+    lists, keys = got["at"].combine_chunks(), got["key"].combine_chunks()
+    if isinstance(lists, pa.ChunkedArray):
+        lists, keys = (pa.concat_arrays(x.chunks) if x.num_chunks else pa.array([], x.type) for x in (lists, keys))
     flat, at = lists.values.to_numpy().astype(np.int64), lists.offsets.to_numpy()
     rows = [flat[a:b] for a, b in zip(at[:-1], at[1:])]
-    key = np.array([(len(r), int(r.sum()), int(r[len(r) // 2]) if len(r) else 0) for r in rows]).reshape(-1, 3)
+    y, held = got["y"].to_numpy(), got["held"].to_numpy()
+    key = keys.values.to_numpy()[keys.offsets.to_numpy()[0]:].reshape(-1, 3)
     order = np.lexsort((y, key[:, 2], key[:, 1], key[:, 0]))  # the same machine however Spark ordered the rows
-    rows, y = [rows[i] for i in order], y[order]
-    n = {k: max(1, int((y == k).sum())) for k in (0, 1)}
-    weight = np.where(y == 1, size[1] / n[1], size[0] / n[0])
-    return learn(rows, y, weight / weight.mean()) if len(y) else Machine(constant=0.0)
+    return [rows[i] for i in order], y[order].astype(float), held[order].astype(bool)
 
 
 class Scorer:

@@ -38,6 +38,69 @@ def test_pairs_beyond_additive_weights():
     m = toxicity.Machine(index={k: k for k in range(40)}).fit(rows[:2000], y[:2000], np.ones(2000))
     z = m.margin(rows[2000:])
     assert ((z > 0) == (y[2000:] == 1)).mean() > 0.95
+    own = toxicity.learn(rows[:2000], y[:2000], np.ones(2000))       # it chooses the terms itself
+    assert {1, 2} <= set(own.index) and len(own.index) < 8
+    p = own.score([np.array(sorted(own.index[t] for t in set(r.tolist()) & set(own.index)), dtype=np.int64) for r in rows[2000:]])
+    assert ((p > 0.5) == (y[2000:] == 1)).mean() > 0.95
+
+
+def test_no_terms_are_chosen_by_chance():
+    """Labels that no term and no pair explains: hardly any term is taken."""
+    rng = np.random.default_rng(3)
+    rows = [np.array(sorted(set(rng.integers(0, 300, 25).tolist()))) for _ in range(3000)]
+    y = rng.integers(0, 2, 3000).astype(float)
+    assert len(toxicity.interacting(*toxicity.pair_rows(rows, y))) <= 4
+
+
+def test_planted_pairs_beat_additive_weights(spark):
+    """An insult with the mention of a group is toxic, either alone is not, and
+    neither says anything about the class by itself."""
+    rng = np.random.default_rng(5)
+    filler = [a + b + c for a in "bdfg" for b in "aeiou" for c in "lmn"]
+    docs, labels = [], []
+    for k in range(4000):
+        insult, group = rng.random() < 0.5, rng.random() < 0.5
+        words = list(rng.choice(filler, 12)) + ["grobian"] * insult + ["martians"] * group
+        docs.append((k, " ".join(rng.permutation(words))))
+        labels.append((k, int(insult == group)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    machine = toxicity.train(df, marks)
+    assert toxicity.terms("grobian")[0] in machine.index and toxicity.terms("martians")[0] in machine.index
+    rated = {r["id"]: r for r in toxicity.rate(df, marks, machine=machine).collect()}
+    held = [k for k, _ in labels if rated[k]["held_out"]]
+    right = np.mean([(rated[k]["score"] >= 0.5) == bool(labels[k][1]) for k in held])
+    additive = toxicity.Machine(machine.index, machine.bias, machine.w, np.zeros_like(machine.v))
+    plain = {r["id"]: r["score"] for r in toxicity.rate(df, marks, machine=additive).collect()}
+    guess = np.array([plain[k] for k in held])
+    best = max(np.mean((guess >= t) == np.array([bool(labels[k][1]) for k in held])) for t in np.unique(guess))
+    assert right > 0.95 and best < 0.8
+
+
+def test_score_equals_its_definition(spark, documents):
+    """Every query score from the machine's own numbers, pair by pair."""
+    docs, marks = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    m = toxicity.train(docs, marks)
+    got = {r["id"]: r["score"] for r in toxicity.rate(docs, marks, machine=m).collect()}
+    for i, text in documents:
+        own = sorted({m.index[t] for t in toxicity.terms(text or "") if t in m.index})
+        z = m.bias + sum(m.w[own]) + sum(m.v[a] @ m.v[b] for k, a in enumerate(own) for b in own[k + 1:])
+        assert abs(got[i] - 1 / (1 + np.exp(-(m.scale * z + m.shift)))) < 1e-9
+
+
+def test_one_text_of_an_id_that_repeats(spark):
+    """A labelled id that a third of all rows share gives the sample one row."""
+    docs = spark.createDataFrame([(0, f"bad text {k}") for k in range(3000)] + [(k, f"good text {k}") for k in range(1, 90)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 5 == 0)) for k in range(90)], "doc_id long, toxic int")
+    seen = []
+    real = toxicity.sets_of
+    toxicity.sets_of = lambda found, *a: seen.append(found.count()) or real(found, *a)
+    try:
+        toxicity.train(docs, labels)
+    finally:
+        toxicity.sets_of = real
+    assert seen and max(seen) <= 60
 
 
 def test_margin_equals_pair_sum():
