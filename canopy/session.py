@@ -3,6 +3,7 @@ shared checkpoint folder the cluster names in ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -59,10 +60,36 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/canopy-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/canopy-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Removes, at its end, the scratch folders that were taken inside it: for
+    steps whose result is stored by then. What is left of a step that failed
+    goes as well; its next try takes folders of its own."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            drop_scratch(spark, path)
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder, on whatever file system it is."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
