@@ -16,13 +16,14 @@ id loses to any other, and a group of null ids keeps null; rows that repeat
 both id and text are all marked kept in :func:`exact_duplicates`, and
 :func:`drop_exact_duplicates` leaves one of them; an empty table gives no
 rows. Other columns are not read by the first and carried by the second,
-whatever their names.
+whatever their names and types.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import quoted, text_or_empty
 
@@ -50,6 +51,14 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "id", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
 
 
+def hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(hashable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return hashable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           keep: str = "max") -> DataFrame:
     """One row per distinct text, with all columns of ``df``."""
@@ -57,9 +66,10 @@ def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     row = F.struct(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(df.columns) if c != text_col])
     key = df.select(text_or_empty(text_col).alias("text"), F.col(quoted(text_col)).isNull().alias("none"),
                     F.col(quoted(id_col)).alias("id"), row.alias("row"))
-    # rows that share the id are told apart by a hash of their other columns
-    order = F.struct(F.col("id").isNull() if keep == "min" else F.col("id").isNotNull(), "id",
-                     F.xxhash64("row"), "none")
+    # rows that share the id are told apart by a hash of their other columns; maps and
+    # variants have no hash of their own, so they are hashed as JSON
+    plain = F.xxhash64("row") if hashable(key.schema["row"].dataType) else F.xxhash64(F.to_json("row"))
+    order = F.struct(F.col("id").isNull() if keep == "min" else F.col("id").isNotNull(), "id", plain, "none")
     kept = key.groupBy(F.unhex(F.md5("text")).alias("hash"), "text").agg(
         best(F.struct("row", "none"), order).alias("best"))
     out = []

@@ -25,22 +25,20 @@ def _quality() -> str:
 
     return f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS lang FROM documents),
-own AS (SELECT lang FROM docs WHERE lang <> '' GROUP BY lang
-        HAVING count(*) >= {Q.LANGUAGE_SHARE!r} * (SELECT count(*) FROM docs)),
-d AS (SELECT doc_id, t, CASE WHEN lang IN (SELECT lang FROM own) THEN lang ELSE '' END AS ref,
-             regexp_extract_all(t, '{WORD}') AS w FROM docs),
+split AS (SELECT doc_id, t, lang, regexp_extract_all(t, '{WORD}') AS w FROM docs),
+own AS (SELECT lang FROM split WHERE lang <> '' GROUP BY lang
+        HAVING count(*) >= {Q.MIN_DOCUMENTS} AND sum(len(w)) >= {Q.MIN_DOCUMENTS * Q.MIN_WORDS}),
+d AS (SELECT doc_id, t, CASE WHEN lang IN (SELECT lang FROM own) THEN lang ELSE '' END AS ref, w FROM split),
 lines AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS l FROM d),
 win AS (SELECT doc_id, k, w[k] || ' ' || w[k + 1] || ' ' || w[k + 2] AS g
         FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS k FROM d)),
 twice AS (SELECT doc_id, k FROM (SELECT doc_id, k, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) WHERE c > 1),
 rep AS (SELECT doc_id, count(DISTINCT k + s) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS s) GROUP BY doc_id),
 class_bins AS ({classes}),
-class_ref AS (SELECT ref, bin, sum(n) AS n FROM (
-    SELECT ref, bin, n FROM class_bins WHERE ref <> '' UNION ALL SELECT '', bin, n FROM class_bins) GROUP BY ref, bin),
+class_ref AS (SELECT ref, bin, sum(n) AS n FROM class_bins WHERE ref <> '' GROUP BY ref, bin),
 tokens AS (SELECT doc_id, ref, unnest(w) AS word FROM d),
 counted AS (SELECT doc_id, ref, word, count(*) AS n FROM tokens GROUP BY ALL),
-by_ref AS (SELECT ref, word, sum(n) AS n FROM (
-    SELECT ref, word, n FROM counted WHERE ref <> '' UNION ALL SELECT '', word, n FROM counted) GROUP BY ref, word),
+by_ref AS (SELECT ref, word, sum(n) AS n FROM counted WHERE ref <> '' GROUP BY ref, word),
 common AS (SELECT ref, word, n FROM (SELECT ref, word, n, sum(n) OVER (PARTITION BY ref) AS total FROM by_ref)
            WHERE n >= {Q.COMMON_SHARE!r} * total),
 word_ref AS (SELECT ref, 'w' || word AS bin, n FROM common UNION ALL
@@ -56,10 +54,14 @@ base AS (SELECT d.doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w,
     length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
     len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words
   FROM d JOIN lines USING (doc_id) LEFT JOIN rep USING (doc_id)),
+usual AS (SELECT ref, sum(n) FILTER (bin <> 'other') / sum(n) AS share FROM word_ref GROUP BY ref),
+lack AS (SELECT doc_id FROM (SELECT doc_id, ref, sum(n) AS total, sum(n) FILTER (bin <> 'other') AS held
+    FROM word_bins GROUP BY doc_id, ref HAVING sum(n) >= {Q.MIN_WORDS}) JOIN usual USING (ref)
+  WHERE total * share >= {Q.EXPECTED_COMMON} AND held < {Q.LEAST_COMMON} * total * share),
 judged AS (SELECT *, n_words < {Q.LEAST_WORDS} OR 100 * n_repeat_words > {Q.REPEAT_PERCENT} * n_words AS base_failed FROM base)
 SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND coalesce(c.distance <= {Q.MAX_CLASS_DISTANCE}, TRUE)
-    AND coalesce(v.distance <= {Q.MAX_WORD_DISTANCE}, TRUE) AS kept
+    AND coalesce(v.distance <= {Q.MAX_WORD_DISTANCE}, TRUE) AND doc_id NOT IN (SELECT doc_id FROM lack) AS kept
 FROM judged LEFT JOIN class_js c USING (doc_id) LEFT JOIN word_js v USING (doc_id)
 """
 

@@ -33,3 +33,14 @@ def test_one_row_per_text_with_its_columns(spark, odd, odd_rows, keep):
 def test_empty_table(spark, none):
     assert exact_dedup.exact_duplicates(none).count() == 0
     assert exact_dedup.drop_exact_duplicates(none).count() == 0
+
+
+def test_columns_of_any_type_are_carried(spark):
+    schema = "doc_id long, text string, tags map<string,int>, more array<struct<m:map<string,string>>>"
+    rows = [(1, "a", {"x": 1}, [({"p": "q"},)]), (1, "a", {"x": 2}, None), (2, "a", None, []), (3, None, {}, None)]
+    for order in (rows, rows[::-1]):
+        left = exact_dedup.drop_exact_duplicates(spark.createDataFrame(order, schema), keep="min")
+        got = sorted(left.collect(), key=lambda r: r["doc_id"])
+        assert left.columns == ["doc_id", "text", "tags", "more"] and [r["doc_id"] for r in got] == [1, 3]
+        tags = got[0]["tags"]
+    assert tags in ({"x": 1}, {"x": 2})

@@ -46,3 +46,23 @@ def test_redaction_takes_effect(spark):
                                  "doc_id long, text string, lang string, source string, n_chars long")
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.personal_data(spark, docs, SF).collect()}
     assert got == {1: ("mail [EMAIL] now", 16), 2: (None, 0)}
+
+
+def test_columns_of_any_type_pass_the_stages(spark):
+    text = " ".join(f"word{k} of the {k}" for k in range(40))
+    rows = [(k, text + f" {k}", "en", {"a": k}) for k in range(3)] + [(9, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, tags map<string,int>")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, SF).columns == docs.columns
+        assert stage(spark, docs, SF).count() <= 4
+
+
+def test_stages_leave_nothing_behind_that_is_not_needed(spark):
+    """After a run: the redacted documents and the ids of the last stage."""
+    import glob
+    from canopy.session import checkpoint_dir
+    top = checkpoint_dir(spark).removeprefix("file:") + "/canopy-scratch/*"
+    before = set(glob.glob(top))
+    pieces = corpus_pipeline.run(spark, SF)
+    left = {p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in set(glob.glob(top)) - before}
+    assert left == {"pipeline-pii", "packing"} and pieces.count() > 0

@@ -2,7 +2,7 @@ from collections import Counter
 
 import numpy as np
 from canopy.llm import quality
-from canopy.llm.queries import QUERIES
+from canopy.llm.queries import ORACLE_SQL, QUERIES
 
 from .conftest import SF
 
@@ -105,3 +105,37 @@ def test_joined_references_judge_alike(spark):
     rows = {r["id"]: r for r in quality.assess(df, refs=one).collect()}
     assert rows == {r["id"]: r for r in quality.assess(df).collect()}
     assert quality.keep_good(df, refs=one).columns == df.columns
+
+
+def test_text_without_common_words_goes(spark):
+    """Words of the right letters, none of them common: the word distance lets it pass, its own limit does not."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    refs = quality.references(docs)
+    salad = " ".join(f"{a}{b}{c}{d}" for a in "bdfg" for b in "aeio" for c in "lmnr" for d in ("ente", "ous", "ing"))
+    words = salad.encode().split()
+    of_class, of_words, common = refs["en"].distances(words, quality.byte_counts(salad.encode()))
+    assert common < quality.LEAST_COMMON and of_words < quality.MAX_WORD_DISTANCE
+    assert not quality.judge_text(salad.encode(), refs["en"])[-1]
+    clean = docs.join(spark.read.parquet(f"{sf}/labels.parquet").filter("quality = 1"), "doc_id", "left_semi")
+    ratios = [r["common_ratio"] for r in quality.assess(clean, refs=refs).collect() if r["common_ratio"] is not None]
+    assert len(ratios) > 100 and np.mean(np.array(ratios) < quality.LEAST_COMMON) < 0.01
+
+
+def test_statement_is_the_rule_of_the_operator(spark, tmp_path):
+    """A table with a rare language, one of few documents and null: the SQL says the same."""
+    import duckdb
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    some = [r["text"] for r in docs.filter("lang = 'en' and char_length(text) > 400").orderBy("doc_id").limit(20).collect()]
+    rare = [(10**6 * n + k, t.lower().translate(CYRILLIC) if n < 3 else t, lang)
+            for n, (lang, c) in enumerate([("uk", 12), ("bg", 4), (None, 5), ("xx", 9), ("yy", 11)], 1) for k, t in enumerate(some[:c])]
+    rare += [(9 * 10**6 + k, t, "uk") for k, t in enumerate(some[:3])]     # another script under a rare label
+    both = docs.unionByName(spark.createDataFrame(rare, "doc_id long, text string, lang string"))
+    path = str(tmp_path / "documents.parquet")
+    both.coalesce(1).write.parquet(path)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    want = dict(con.sql(f"SELECT doc_id, kept FROM ({ORACLE_SQL['op2_quality']})").fetchall())
+    got = {r["id"]: r["kept"] for r in quality.assess(spark.read.parquet(path)).collect()}
+    assert got == want and not all(got[9 * 10**6 + k] for k in range(3))
