@@ -52,12 +52,14 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .bpe import gather
-from .common import quoted, release, ship, slices, strings, text_or_empty
+from .common import joined, quoted, release, ship, slices, strings, text_or_empty
 from .minhash import mix64
 
 # --- production parameters ---
 LENGTH = 50
 GRAM = 20
+#: Text bytes whose grams share a bucket of step one (about a 16th as many pairs).
+GRAM_BUCKET = 64 << 20
 BUCKET = 1 << 19       # suffixes that are sorted at a time
 TASK_BYTES = 3 << 20   # text that a task looks at together
 HOT_SHARE = 1 / 256
@@ -548,7 +550,7 @@ def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = long_rows(df, id_col, text_col, length)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows, size = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
-    buckets = 1 << max(4, (2 * parts - 1).bit_length())
+    buckets = 1 << max(4, (2 * parts - 1).bit_length(), ((size or 0) // GRAM_BUCKET).bit_length())
     sent = docs.select("id", "text").mapInArrow(_send_grams(length, buckets), _SENT)
     told = (sent.repartition(parts, "bucket").sortWithinPartitions("bucket", "known")
             .mapInArrow(_shared_grams(max(3.0, HOT_SHARE * rows)), "id long, grams binary, hot boolean"))
@@ -584,14 +586,15 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     @F.arrow_udf("struct<n_removed:long,n_spans:long,kept:binary>")
     def without(texts: pa.Array, pairs: pa.Array) -> pa.Array:
-        removed, spans, kept = [], [], []
-        for raw, own in zip(strings(texts).cast(pa.binary()).to_pylist(), pairs.to_pylist()):
-            n, k, rest = cut_out(raw, own or [])
-            removed.append(n)
-            spans.append(k)
-            kept.append(rest)
+        texts, removed, spans, kept = strings(texts), [], [], []
+        for a, b in slices(texts):
+            own = [cut_out(raw, mine or []) for raw, mine in zip(texts.slice(a, b - a).cast(pa.binary()).to_pylist(),
+                                                                 pairs.slice(a, b - a).to_pylist())]
+            removed += [n for n, _, _ in own]
+            spans += [k for _, k, _ in own]
+            kept.append(pa.array([rest for _, _, rest in own], pa.binary()))
         return pa.StructArray.from_arrays([pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
-                                           pa.array(kept, pa.binary())], names=["n_removed", "n_spans", "kept"])
+                                           joined(kept, pa.binary())], names=["n_removed", "n_spans", "kept"])
 
     size = F.octet_length("text").cast("long").alias("n_bytes")
     own = F.transform(F.filter("ranges", lambda r: r["text_hash"] == F.col("text_hash")), lambda r: r["pairs"])

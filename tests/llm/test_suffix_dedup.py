@@ -70,6 +70,22 @@ def test_hot_passage(spark):
     assert rows_of(suffix_dedup.remove_repeats(df)) == brute(docs)
 
 
+def test_few_partitions_have_buckets_by_size(spark, monkeypatch):
+    """One shuffle partition, buckets of a few kilobytes of text: the same result."""
+    monkeypatch.setattr(suffix_dedup, "GRAM_BUCKET", 1 << 10)
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdé") for _ in range(6)) for _ in range(40)]
+    lines = [" ".join(rng.choices(words, k=14)) for _ in range(30)]
+    docs = [(k, " ".join([rng.choice(lines), *rng.choices(words, k=20), rng.choice(lines)])) for k in range(200)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        assert rows_of(suffix_dedup.remove_repeats(df)) == brute(docs)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def test_odd_rows(spark, odd, odd_rows, none):
     assert rows_of(suffix_dedup.remove_repeats(odd)) == brute([(r[0], r[1]) for r in odd_rows])
     assert suffix_dedup.remove_repeats(none).count() == 0
