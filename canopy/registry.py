@@ -97,11 +97,11 @@ def slots_wide(spark, sf, category: str):
 def _events_runs(spark, sf, buffer_seconds=config.TIMESTAMP_BUFFER_SECONDS):
     src = td.events_five(spark, sf)
     pts = src.select("point").distinct()
-    r1 = extract_and_stage(src, pts, FIRST_AS_OF, run_ts=_run_ts(FIRST_AS_OF),
-                           tiebreak=["event_id"], buffer_seconds=buffer_seconds)
+    r1 = extract_and_stage(src, pts, FIRST_AS_OF, run_ts=_run_ts(FIRST_AS_OF), tiebreak=["event_id"],
+                           buffer_seconds=buffer_seconds, batch_path=scratch_path(spark, "batch"))
     r2 = extract_and_stage(src, pts, SECOND_AS_OF, staged=_written(r1.staged),
-                           state=_written(r1.state), run_ts=_run_ts(SECOND_AS_OF),
-                           tiebreak=["event_id"], buffer_seconds=buffer_seconds)
+                           state=_written(r1.state), run_ts=_run_ts(SECOND_AS_OF), tiebreak=["event_id"],
+                           buffer_seconds=buffer_seconds, batch_path=scratch_path(spark, "batch"))
     return src, pts, r1, r2
 
 
@@ -111,11 +111,11 @@ def _lineitem_runs(spark, sf, first_biomes=None, second_biomes=None):
     man = td.nation_points(spark, sf)
     p1 = man if first_biomes is None else man.filter(F.col("biome").isin(first_biomes))
     p2 = man if second_biomes is None else man.filter(F.col("biome").isin(second_biomes))
+    runs = dict(tiebreak=tb, window_days=LI_WINDOW_DAYS)
     r1 = extract_and_stage(src, p1, LI_FIRST_AS_OF, run_ts=_run_ts(LI_FIRST_AS_OF),
-                           tiebreak=tb, window_days=LI_WINDOW_DAYS)
-    r2 = extract_and_stage(src, p2, LI_SECOND_AS_OF, staged=_written(r1.staged),
-                           state=_written(r1.state), run_ts=_run_ts(LI_SECOND_AS_OF),
-                           tiebreak=tb, window_days=LI_WINDOW_DAYS)
+                           batch_path=scratch_path(spark, "batch"), **runs)
+    r2 = extract_and_stage(src, p2, LI_SECOND_AS_OF, staged=_written(r1.staged), state=_written(r1.state),
+                           run_ts=_run_ts(LI_SECOND_AS_OF), batch_path=scratch_path(spark, "batch"), **runs)
     return r1, r2
 
 
