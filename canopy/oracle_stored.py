@@ -72,6 +72,11 @@ SELECT * FROM {spread('staged', EVENT_TYPES, ts='ts')}""",
 
         "existing_tables": f"SELECT * FROM {S5} s WHERE point <> '{S.ABSENT}'",
 
+        "stateful_stream": OTHER_SQL["stream_extract"],
+
+        "stateful_stream_state": f"""SELECT point, max(ts) AS newest, count(*) AS last_used_id
+FROM ({OTHER_SQL["stream_extract"]}) s GROUP BY point""",
+
         "blocks_aligned": f"""{kept},
 ids AS (SELECT unique_id FROM kept GROUP BY unique_id HAVING count(*) = (SELECT count(*) FROM pts)),
 base AS (SELECT unique_id, ts AS "timestamp" FROM kept WHERE point = (SELECT min(point) FROM pts))

@@ -8,23 +8,25 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import config
-from .functions.temporal import run_end
+from .functions.temporal import from_micros, run_end
 from .operators import bitmaps as B
 from .operators import partials as P
 from .operators.extract import extract_and_stage
 from .operators.reconcile import audit_late_rows
 from .plans.runner import Stores, open_stores, point_starts, run_extract, run_transform
-from .registry import (AUDIT_BUFFER_SECONDS, FIRST_AS_OF, RUN_HOUR, SECOND_AS_OF, _events_runs, five_staged,
-                       five_wide)
+from .registry import (AUDIT_BUFFER_SECONDS, FIRST_AS_OF, RUN_HOUR, SECOND_AS_OF, STREAM_AS_OF, STREAM_SLICES,
+                       _events_runs, five_staged, five_wide)
 from .session import scratch_path, written
 from .sources import testdata as td
 from .sources.manifest import category_manifest_rows, point_manifest_rows
 from .sources.ordinal import OrdinalTable, write_ordinal
 from .sources.point_scan import scan_points
-from .sources.store import CSV_TIME
+from .sources.store import CSV_TIME, StagedStore
 from .sources.telemetry import staged_tables_to_long
+from .streaming.stateful_extract import point_state, start_stateful_extract
 
 # --- fixed values: query parameters ---
 KEPT_AS_OF = [dt.date(2024, 1, 15), dt.date(2024, 1, 30)]   # two runs over events
@@ -236,6 +238,34 @@ def q_existing_tables(spark, sf) -> DataFrame:
     return staged_tables_to_long(frames)[0]
 
 
+# ---------------------------------------------------------------- a stream with state of its own
+def stateful_stream(spark, sf) -> tuple[StagedStore, str]:
+    """The file drops of ``stream_extract``, staged by the stream that keeps
+    counters and marks in the state store; its clock stands in the as-of day."""
+    root = scratch_path(spark, "stateful-extract")
+    ev = td.events_five(spark, sf)
+    pts = ev.select("point").distinct()
+    offset = at_noon(STREAM_AS_OF) - dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    bounds = [None, *STREAM_SLICES, None]
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        sl = ev if lo is None else ev.filter(F.col("ts") >= F.lit(lo).cast(ev.schema["ts"].dataType))
+        sl = sl if hi is None else sl.filter(F.col("ts") < F.lit(hi).cast(ev.schema["ts"].dataType))
+        sl.write.mode("append").parquet(f"{root}/source")
+        start_stateful_extract(spark, f"{root}/source", ev.schema, f"{root}/store", pts, f"{root}/checkpoint",
+                               buffer_seconds=AUDIT_BUFFER_SECONDS, clock_offset=offset).awaitTermination()
+    return StagedStore(spark, f"{root}/store"), f"{root}/checkpoint"
+
+
+def q_stateful_stream(spark, sf) -> DataFrame:
+    return stateful_stream(spark, sf)[0].read()
+
+
+def q_stateful_stream_state(spark, sf) -> DataFrame:
+    """What the state store holds after the last drop."""
+    state = point_state(spark, stateful_stream(spark, sf)[1])
+    return state.select("point", from_micros(F.col("newest"), T.TimestampNTZType()).alias("newest"), "last_used_id")
+
+
 QUERIES = {
     "blocks_aligned": q_blocks_aligned,
     "blocks_ragged": q_blocks_ragged,
@@ -257,4 +287,6 @@ QUERIES = {
     "normalised_points": q_normalised_points,
     "exported_csv": q_exported_csv,
     "existing_tables": q_existing_tables,
+    "stateful_stream": q_stateful_stream,
+    "stateful_stream_state": q_stateful_stream_state,
 }
