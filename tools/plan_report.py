@@ -1,6 +1,6 @@
 """Plan shape of every registered query (pre-AQE physical plan), as Markdown.
 
-    python tools/plan_report.py [sf_dir] > PLANS.md
+    python tools/plan_report.py [sf_dir [key ...]] > PLANS.md
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from canopy import registry  # noqa: E402
+from canopy import registry, registry_stored  # noqa: E402
 from canopy.plans.inspect import plan_summary  # noqa: E402
 from canopy.session import local_session  # noqa: E402
 
@@ -23,7 +23,8 @@ def main():
           "builds before adaptive re-planning; broadcasts of size-checked sides included.\n")
     print("| query | hash exchanges | reused | broadcasts | scans | window | top-k | pushed filters |")
     print("|---|---|---|---|---|---|---|---|")
-    for k, fn in registry.QUERIES.items():
+    every = {**registry.QUERIES, **registry_stored.QUERIES}
+    for k, fn in ((k, every[k]) for k in sys.argv[2:] or every):
         s = plan_summary(fn(spark, sf))
         pushed = "; ".join(sorted({p.strip() for p in s["pushed_filters"] if p.strip()}))
         pushed = (pushed[:90] + "…") if len(pushed) > 90 else pushed
