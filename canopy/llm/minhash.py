@@ -18,11 +18,20 @@ of a group of edited copies meets nearly all of them). Links are confirmed on
 the full sets, and components are formed. Only buckets that still hold more
 than one component need more: there, the nodes outside the bucket's largest
 component are compared with the nodes of the other components, if the set
-sizes allow the similarity at all. Small buckets do so by distinct pairs. In
-large ones both sides are dealt into blocks, and a task compares one block of
-the outsiders with one block of the bucket, so no pair is ever written out and
-no group is larger than two blocks. Pairs inside one component need no test,
-so no link between different texts is lost.
+sizes allow the similarity at all. Small buckets do so by distinct pairs.
+
+Nodes of large buckets are screened first, over all bands at once
+(:func:`screened`): with shingles in one order, rare ones first, two similar
+sets share a shingle of their prefixes, and what follows the first one they
+share must be large enough for both. A node that no other component's sizes
+fit at any of its prefix shingles can have no link and goes; families of one
+template that are not similar enough go whole. What is left meets one more
+center a round, of another component, as long as that links anything, at most
+``STAR_ROUNDS`` times. The rest is dealt into
+blocks, bounded by nodes and by shingles, and a task compares one block of the
+outsiders with one block of the bucket, so no pair is ever written out and no
+group is larger than two blocks. Pairs inside one component need no test, so
+no link between different texts is lost.
 
 Components come from alternating large-star and small-star steps on the
 confirmed links, written to the shared scratch folder between the rounds.
@@ -45,7 +54,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -57,6 +66,11 @@ LEAST_PERCENT = 80
 BANDS, ROWS = 40, 5
 PAIRED_BUCKET = 32    # nodes up to which a bucket's open pairs are listed one by one
 BLOCK_NODES = 512     # nodes of a larger bucket that a task has on each side
+BLOCK_SHINGLES = 1 << 20  # and their shingles, but for a single larger set
+RANK_CELLS = 1 << 20  # counters that order the shingles; all that the driver sees of them
+PART_ROWS = 4096      # prefix rows of one shingle that a task looks up together
+STAR_ROUNDS = 3       # rounds of centers in large buckets before the blocks, which do the rest
+HOT_CELLS, HOT_PARTS = 1 << 14, 1024  # cells that keys are counted in; a key's part has about 1 / HOT_PARTS of all rows
 # --- end of parameters ---
 
 #: Signature cells that are worked on together.
@@ -190,12 +204,152 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, least_percent: int
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def between_blocks(open_: DataFrame, texts: DataFrame, words: int, least_percent: int) -> DataFrame:
+def spread_join(rows: DataFrame, side: DataFrame, key: str, counted: DataFrame | None = None) -> DataFrame:
+    """``rows`` joined with the one row per ``key`` in ``side``, no key in one task.
+
+    The rows (those of ``counted``, if it has the same keys and is cheaper to
+    read) are counted by ``HOT_CELLS`` cells of the key, a table of that size at
+    most; rows of a cell with more than its share are dealt over parts by node."""
+    cell = F.pmod(F.xxhash64(key), F.lit(HOT_CELLS))
+    met = (rows if counted is None else counted).groupBy(cell.alias("_cell")).agg(F.count(F.lit(1)).alias("met"))
+    all_ = F.sum("met").over(Window.partitionBy(F.lit(0)))
+    met = F.broadcast(met.select("_cell", F.floor(F.col("met") * HOT_PARTS / all_).alias("_parts")).filter("_parts > 0"))
+    parts = F.coalesce("_parts", F.lit(0).cast("long")) + 1
+    left = rows.withColumn("_cell", cell).join(met, "_cell", "left").withColumn("_part", F.pmod(F.xxhash64("node"), parts))
+    right = side.withColumn("_cell", cell).join(met, "_cell", "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    return (left.drop("_cell", "_parts").join(right.drop("_cell", "_parts"), [key, "_part"]).drop("_part"))
+
+
+def labelled(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """``band, node, n, component`` of the rows; a node without links is its own component."""
+    return rows.select("band", "node", "n").join(joined, "node", "left").select(
+        "band", "node", "n", F.coalesce("component", "node").alias("component"))
+
+
+def opened(held: DataFrame, counted: DataFrame) -> DataFrame:
+    """The rows ``band, node, n, component`` of buckets with several components,
+    with ``size`` and ``weight`` (shingles) of the bucket and of the part
+    ``outside`` its largest component, and whether the node is an ``outsider``."""
+    sizes = held.groupBy("band", "component").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"))
+    largest = sizes.groupBy("band").agg(
+        F.count(F.lit(1)).alias("components"), F.sum("size").alias("size"), F.sum("weight").alias("weight"),
+        F.max(F.struct("size", "component", "weight")).alias("main")).filter("components > 1")
+    largest = largest.select("band", "size", "weight", (F.col("size") - F.col("main.size")).alias("outside"),
+                             (F.col("weight") - F.col("main.weight")).alias("outside_weight"),
+                             F.col("main.component").alias("main"))
+    return spread_join(held, largest, "band", counted).withColumn("outsider", F.col("component") != F.col("main"))
+
+
+def stars(open_: DataFrame) -> DataFrame:
+    """``a, b``: each node and one center of its buckets, an outsider of another
+    component. The same node is center wherever it is the first by its hash."""
+    center = F.struct(F.xxhash64("node").alias("spot"), "node", "component")
+    best = open_.filter("outsider").groupBy("band").agg(F.max(center).alias("center"))
+    return (spread_join(open_, best, "band").filter("component <> center.component").groupBy("node")
+            .agg(F.max("center").alias("center")).select(F.col("center.node").alias("a"), F.col("node").alias("b")))
+
+
+def stored_sets(open_: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """``node, component, n, shingles`` of the nodes in ``open_``, written once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = strings(batch.column(3))
+            for a, b in slices(whole):
+                sets = [s.view(np.int64) for s in shingle_sets(whole.slice(a, b - a), words)]
+                ends = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(k).slice(a, b - a) for k in range(3)]
+                    + [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))],
+                    names=["node", "component", "n", "shingles"])
+            release()
+
+    asked = open_.select("node", "component", "n").distinct().join(texts, "node").select("node", "component", "n", "text")
+    return written(asked.mapInArrow(run, "node binary, component binary, n long, shingles array<long>"), "sets")
+
+
+def shingle_counts(sets: DataFrame) -> np.ndarray:
+    """How often the shingles of each of ``RANK_CELLS`` cells occur. Cells are
+    shared, so a count is never too small for a shingle; the size is fixed."""
+    met = (sets.select(F.explode("shingles").alias("shingle"))
+           .groupBy(F.pmod("shingle", F.lit(RANK_CELLS)).alias("cell")).agg(F.count(F.lit(1)).alias("met")).toArrow())
+    counts = np.zeros(RANK_CELLS, np.int64)
+    counts[met["cell"].to_numpy()] = met["met"].to_numpy()
+    return counts
+
+
+def prefix(own: np.ndarray, counts: np.ndarray, least_percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The prefix shingles of a set, rare cells first, and for each the largest
+    partner that fits if it is the first shingle they share.
+
+    A partner shares at least ``least_percent`` of the set, so one of these; of
+    sets of ``n`` and ``m`` shingles that share ``c``, ``(100 + p) c >= p (n + m)``,
+    and ``c`` is at most what is left of the order from the first shared one."""
+    n = len(own)
+    order = np.lexsort((own, counts[own % RANK_CELLS]))[:n + (-n * least_percent) // 100 + 1]
+    largest = (100 + least_percent) * (n - np.arange(len(order))) // least_percent - n
+    able = 100 * largest >= least_percent * n
+    return own[order[able]], largest[able]
+
+
+def prefixes(sets: DataFrame, counts: np.ndarray, least_percent: int) -> DataFrame:
+    """``shingle, class, parts, node, c1, c2, n, largest`` per prefix shingle of
+    each set: partners are in the next size class at most, ``parts`` says into
+    how many parts the shingle's rows are dealt, ``c1, c2`` are the component."""
+    span = np.log(1.01 * 100 / least_percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends, flat = batch.column(2).offsets.to_numpy(), batch.column(2).values.to_numpy().view(np.uint64)
+            for k in range(batch.num_rows):
+                own = flat[ends[k]:ends[k + 1]]
+                heads, largest = prefix(own, counts, least_percent)
+                half = np.frombuffer(batch.column(1)[k].as_py(), np.int64)
+                for a in range(0, len(heads), CELLS // 8):
+                    head = heads[a:a + CELLS // 8]
+                    size = len(head)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(head.view(np.int64)), pa.array(np.full(size, int(np.log(len(own)) / span), np.int32)),
+                         pa.array(counts[head % RANK_CELLS] // PART_ROWS + 1),
+                         pa.repeat(batch.column(0)[k], size), pa.array(np.full(size, half[0])), pa.array(np.full(size, half[1])),
+                         pa.array(np.full(size, len(own), np.int64)), pa.array(largest[a:a + CELLS // 8])],
+                        names=["shingle", "class", "parts", "node", "c1", "c2", "n", "largest"])
+            release()
+
+    return sets.select("node", "component", "shingles").mapInArrow(
+        run, "shingle long, class int, parts long, node binary, c1 long, c2 long, n long, largest long")
+
+
+def screened(open_: DataFrame, sets: DataFrame, least_percent: int) -> DataFrame:
+    """The rows of ``open_`` whose node may have a link to another component.
+
+    Of every shingle and size class only bounds are kept (two components or
+    not, least size, largest partner), so a shingle of very many nodes is
+    aggregated before the shuffle; its rows are dealt over parts for the look-up."""
+    rows = prefixes(sets, shingle_counts(sets), least_percent)
+    near = F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)).alias("class")
+    bounds = rows.select("shingle", near, "parts", "c1", "c2", "n", "largest").groupBy("shingle", "class").agg(
+        F.max("parts").alias("parts"), F.min("c1").alias("c1"), F.max("c1").alias("d1"), F.min("c2").alias("c2"),
+        F.max("c2").alias("d2"), F.min("n").alias("least_n"), F.max("largest").alias("most"))
+    bounds = bounds.filter("(c1 <> d1 or c2 <> d2) and most >= least_n").select(
+        "shingle", "class", "least_n", "most", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    asks = rows.select("shingle", "class", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"), "node", "n", "largest")
+    able = (asks.join(bounds, ["shingle", "class", "part"]).filter("largest >= least_n and n <= most")
+            .select("node").distinct())
+    return open_.join(able, "node", "left_semi")
+
+
+def blocks_of(nodes: str, shingles: str) -> Column:
+    """Into how many blocks that many nodes with that many shingles are dealt."""
+    return F.greatest(F.ceil(F.col(nodes) / BLOCK_NODES), F.ceil(F.col(shingles) / BLOCK_SHINGLES)).cast("long")
+
+
+def between_blocks(open_: DataFrame, sets: DataFrame, least_percent: int) -> DataFrame:
     """Links ``a, b`` between different components of large buckets, enough to
     join all components that are linked. Outsiders are dealt into blocks and
     meet every block of their bucket."""
-    lefts = F.ceil(F.col("outside") / BLOCK_NODES).cast("long")
-    rights = F.ceil(F.col("size") / BLOCK_NODES).cast("long")
+    lefts, rights = blocks_of("outside", "outside_weight"), blocks_of("size", "weight")
     spot = F.xxhash64("node")
     sides = open_.select("*", lefts.alias("lefts"), rights.alias("rights"), spot.alias("spot"))
     left = sides.filter("outsider").select(
@@ -204,12 +358,12 @@ def between_blocks(open_: DataFrame, texts: DataFrame, words: int, least_percent
     right = sides.select(
         "band", "node", "component", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lefts") - 1)).alias("i"),
         F.pmod("spot", "rights").alias("j"), F.lit(False).alias("asks"))
-    rows = left.unionByName(right).join(texts, "node")
+    rows = left.unionByName(right).join(sets.select("node", "shingles"), "node")
 
     def run(table: pa.Table) -> pa.Table:
         asks = table["asks"].to_numpy()
         nodes, comps = table["node"].to_pylist(), table["component"].to_pylist()
-        sets = shingle_sets(strings(table["text"]), words)
+        sets = [own.values.to_numpy().view(np.uint64) for own in table["shingles"]]
         ask, has = np.flatnonzero(asks), np.flatnonzero(~asks)
         flat = np.concatenate([sets[k] for k in has]) if len(has) else np.zeros(0, np.uint64)
         size = np.array([len(sets[k]) for k in has], dtype=np.int64)
@@ -285,21 +439,29 @@ def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str
     met = F.struct("met", "node")
     ranked = buckets.join(buckets.groupBy("node").agg(F.sum("size").alias("met")), "node").select("band", "node", met.alias("own"))
     best = ranked.groupBy("band").agg(F.max("own").alias("center"))
-    first = (ranked.join(best, "band").filter("own < center").groupBy("node").agg(F.max("center").alias("center"))
+    first = (spread_join(ranked, best, "band", buckets).filter("own < center").groupBy("node").agg(F.max("center").alias("center"))
              .select(F.col("center.node").alias("a"), F.col("node").alias("b")))
     first = written(first, "stars")
     links = written(confirmed(first, texts, words, least_percent), "confirmed")
     joined = components(links)
 
     # buckets that still hold several components
-    held = buckets.join(joined, "node", "left").select(
-        "band", "node", "n", F.coalesce("component", "node").alias("component"))
-    sizes = held.groupBy("band", "component").agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.groupBy("band").agg(F.count(F.lit(1)).alias("components"), F.sum("size").alias("size"),
-                                        F.max(F.struct("size", "component")).alias("main"))
-    largest = largest.filter("components > 1").withColumn("outside", F.col("size") - F.col("main.size"))
-    open_ = held.join(largest.select("band", "size", "outside", F.col("main.component").alias("main")), "band")
-    open_ = written(open_.withColumn("outsider", F.col("component") != F.col("main")), "open")
+    open_, blocks = written(opened(labelled(buckets, joined), buckets), "open"), None
+    is_large = F.col("size") > PAIRED_BUCKET
+    if not open_.filter(is_large).isEmpty():
+        large = open_.filter(is_large)
+        sets = stored_sets(large, texts, words)
+        left = screened(large, sets, least_percent).select("band", "node", "n", "component")
+        left = written(opened(left, large), "screened")
+        for _ in range(STAR_ROUNDS):
+            fresh = written(confirmed(stars(left.filter(is_large)), texts, words, least_percent), "confirmed")
+            if fresh.isEmpty():
+                break
+            links = links.unionByName(fresh)
+            joined = components(links)
+            left = written(opened(labelled(left, joined), left), "open")
+        blocks = between_blocks(left.filter(is_large), sets, least_percent)
+        open_ = open_.filter(~is_large).unionByName(left)
 
     few = open_.filter(F.col("size") <= PAIRED_BUCKET)
     others = few.filter("outsider").select(
@@ -310,15 +472,14 @@ def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str
         F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = confirmed(rest.join(tested, ["a", "b"], "left_anti"), texts, words, least_percent)
-    blocks = between_blocks(open_.filter(F.col("size") > PAIRED_BUCKET), texts, words, least_percent)
-    more = written(pairs.unionByName(blocks), "confirmed")
+    more = written(pairs.unionByName(blocks) if blocks is not None else pairs, "confirmed")
     if not more.isEmpty():
         joined = components(links.unionByName(more))
 
-    of_node = nodes.select("node", "id").join(joined, "node", "left").select(
-        "node", "id", F.coalesce("component", "node").alias("component"))
+    of_node = written(nodes.select("node", "id").join(joined, "node", "left").select(
+        "node", "id", F.coalesce("component", "node").alias("component")), "named")
     least = of_node.groupBy("component").agg(F.min("id").alias("component_id"))
-    named = of_node.join(least, "component").select("node", "component", "component_id")
+    named = spread_join(of_node, least, "component").select("node", "component", "component_id")
     return rows.join(named, "node", "left").select(
         "id", "text_hash", "n", "component",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))

@@ -73,6 +73,62 @@ def test_near_copies_around_the_threshold(spark, monkeypatch, words, listed, blo
     compare(minhash.near_duplicates(df, words=words).collect(), docs, words)
 
 
+def test_families_that_never_link_are_screened(spark, monkeypatch):
+    """Two families of one template, similar inside (0.9) and less than 0.8 across:
+    many share buckets, the screen leaves none that is not to be linked, and no
+    block is compared; a bridge between two others is."""
+    monkeypatch.setattr(minhash, "PAIRED_BUCKET", 1)
+    monkeypatch.setattr(minhash, "BLOCK_NODES", 4)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 400)
+    monkeypatch.setattr(minhash, "PART_ROWS", 8)
+    seen, compared = [], []
+    plain, blocks = minhash.screened, minhash.between_blocks
+    monkeypatch.setattr(minhash, "screened", lambda open_, *rest: seen.append(
+        (open_, plain(open_, *rest))) or seen[-1][1])
+    monkeypatch.setattr(minhash, "between_blocks", lambda open_, *rest: compared.append(open_) or blocks(open_, *rest))
+
+    def family(name, size, template, own):
+        base = [f"{template}{k}" for k in range(100)] + [f"{name}{k}" for k in range(own)]
+        return [" ".join(base + [f"{name}x{k}y{j}" for j in range(3)]) for k in range(size)]
+
+    apart = family("a", 30, "t", 14) + family("b", 30, "t", 14)
+    docs = list(enumerate(apart))
+    compare(minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), words=2).collect(), docs, 2)
+    assert seen[0][0].select("node").distinct().count() > 40
+    assert seen[0][1].select("node").distinct().count() <= 30  # the family without the center
+    assert compared[0].isEmpty()
+
+    bridge = family("c", 12, "u", 14) + family("d", 12, "u", 14)
+    bridge.append(" ".join([f"u{k}" for k in range(100)]))  # 0.85 to both
+    docs = list(enumerate(apart + bridge))
+    compare(minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), words=2).collect(), docs, 2)
+    assert any(not kept.isEmpty() for _, kept in seen[1:])
+
+
+def test_spread_join_of_a_hot_key(spark):
+    rows = spark.createDataFrame([(k % 7 if k % 3 else 99, b"%05d" % k) for k in range(3000)], "key long, node binary")
+    side = spark.createDataFrame([(k, f"s{k}") for k in (0, 1, 2, 3, 99, 100)], "key long, name string")
+    got = sorted(map(tuple, minhash.spread_join(rows, side, "key").select("key", "node", "name").collect()))
+    assert got == sorted(map(tuple, rows.join(side, "key").select("key", "node", "name").collect()))
+    assert minhash.spread_join(rows.limit(0), side, "key").count() == 0
+
+
+def test_prefix_holds_a_first_common_shingle_that_fits():
+    rng = np.random.default_rng(5)
+    for percent in (50, 80, 95, 100):
+        for _ in range(300):
+            pool = np.unique(rng.integers(0, 2**63, 60).astype(np.uint64))
+            counts = rng.integers(0, 4, minhash.RANK_CELLS)
+            a = np.sort(rng.choice(pool, rng.integers(1, len(pool)), replace=False))
+            b = np.union1d(np.delete(a, rng.integers(0, len(a), len(a) // 5)), pool[:rng.integers(0, 5)])
+            common = len(np.intersect1d(a, b))
+            if 100 * common < percent * (len(a) + len(b) - common):
+                continue
+            (x, fits_x), (y, fits_y) = (minhash.prefix(s, counts, percent) for s in (a, b))
+            _, i, j = np.intersect1d(x, y, return_indices=True)
+            assert ((fits_x[i] >= len(b)) & (fits_y[j] >= len(a))).any()
+
+
 def test_signature_estimates_similarity():
     rng = np.random.default_rng(0)
     pool = rng.integers(0, 2**63, 3000).astype(np.uint64)
