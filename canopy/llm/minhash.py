@@ -26,8 +26,8 @@ sets share a shingle of their prefixes, and what follows the first one they
 share must be large enough for both. A node that no other component's sizes
 fit at any of its prefix shingles can have no link and goes; families of one
 template that are not similar enough go whole. What is left meets one more
-center a round, of another component, as long as that links anything, at most
-``STAR_ROUNDS`` times. The rest is dealt into
+center a round, of another component, as long as that links one node of
+``STAR_GAIN``, at most ``STAR_ROUNDS`` times. The rest is dealt into
 blocks, bounded by nodes and by shingles, and a task compares one block of the
 outsiders with one block of the bucket, so no pair is ever written out and no
 group is larger than two blocks. Pairs inside one component need no test, so
@@ -70,6 +70,7 @@ BLOCK_SHINGLES = 1 << 20  # and their shingles, but for a single larger set
 RANK_CELLS = 1 << 20  # counters that order the shingles; all that the driver sees of them
 PART_ROWS = 4096      # prefix rows of one shingle that a task looks up together
 STAR_ROUNDS = 3       # rounds of centers in large buckets before the blocks, which do the rest
+STAR_GAIN = 10        # a round that links fewer than one node of these is the last
 HOT_CELLS, HOT_PARTS = 1 << 14, 1024  # cells that keys are counted in; a key's part has about 1 / HOT_PARTS of all rows
 # --- end of parameters ---
 
@@ -274,8 +275,8 @@ def shingle_counts(sets: DataFrame) -> np.ndarray:
     shared, so a count is never too small for a shingle; the size is fixed."""
     met = (sets.select(F.explode("shingles").alias("shingle"))
            .groupBy(F.pmod("shingle", F.lit(RANK_CELLS)).alias("cell")).agg(F.count(F.lit(1)).alias("met")).toArrow())
-    counts = np.zeros(RANK_CELLS, np.int64)
-    counts[met["cell"].to_numpy()] = met["met"].to_numpy()
+    counts = np.zeros(RANK_CELLS, np.int32)
+    counts[met["cell"].to_numpy()] = np.minimum(met["met"].to_numpy(), np.iinfo(np.int32).max)
     return counts
 
 
@@ -311,7 +312,7 @@ def prefixes(sets: DataFrame, counts: np.ndarray, least_percent: int) -> DataFra
                     size = len(head)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(head.view(np.int64)), pa.array(np.full(size, int(np.log(len(own)) / span), np.int32)),
-                         pa.array(counts[head % RANK_CELLS] // PART_ROWS + 1),
+                         pa.array(counts[head % RANK_CELLS].astype(np.int64) // PART_ROWS + 1),
                          pa.repeat(batch.column(0)[k], size), pa.array(np.full(size, half[0])), pa.array(np.full(size, half[1])),
                          pa.array(np.full(size, len(own), np.int64)), pa.array(largest[a:a + CELLS // 8])],
                         names=["shingle", "class", "parts", "node", "c1", "c2", "n", "largest"])
@@ -446,7 +447,7 @@ def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str
     joined = components(links)
 
     # buckets that still hold several components
-    open_, blocks = written(opened(labelled(buckets, joined), buckets), "open"), None
+    open_, blocks, stale = written(opened(labelled(buckets, joined), buckets), "open"), None, False
     is_large = F.col("size") > PAIRED_BUCKET
     if not open_.filter(is_large).isEmpty():
         large = open_.filter(is_large)
@@ -454,11 +455,13 @@ def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str
         left = screened(large, sets, least_percent).select("band", "node", "n", "component")
         left = written(opened(left, large), "screened")
         for _ in range(STAR_ROUNDS):
-            fresh = written(confirmed(stars(left.filter(is_large)), texts, words, least_percent), "confirmed")
-            if fresh.isEmpty():
+            asked = written(stars(left.filter(is_large)), "stars")
+            fresh = written(confirmed(asked, texts, words, least_percent), "confirmed")
+            links, gained = links.unionByName(fresh), fresh.count()
+            stale = gained > 0
+            if STAR_GAIN * gained < asked.count() or not gained:
                 break
-            links = links.unionByName(fresh)
-            joined = components(links)
+            joined, stale = components(links), False
             left = written(opened(labelled(left, joined), left), "open")
         blocks = between_blocks(left.filter(is_large), sets, least_percent)
         open_ = open_.filter(~is_large).unionByName(left)
@@ -473,7 +476,7 @@ def near_duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = confirmed(rest.join(tested, ["a", "b"], "left_anti"), texts, words, least_percent)
     more = written(pairs.unionByName(blocks) if blocks is not None else pairs, "confirmed")
-    if not more.isEmpty():
+    if stale or not more.isEmpty():
         joined = components(links.unionByName(more))
 
     of_node = written(nodes.select("node", "id").join(joined, "node", "left").select(
