@@ -54,3 +54,24 @@ def test_equal_times_are_spread(table):
 def test_no_rows(wide, tmp_root):
     with pytest.raises(ValueError):
         write_ordinal(wide.limit(0), "other", tmp_root + "/x")
+
+
+@pytest.mark.parametrize("folder_rows, folders", [(200_000, 1), (250, 4)])
+def test_small_parts_make_no_more_folders(spark, wide, tmp_root, monkeypatch, folder_rows, folders):
+    """Files and tasks follow the size of the table; parts are stretches of a file."""
+    monkeypatch.setattr("canopy.sources.ordinal.FOLDER_ROWS", folder_rows)
+    write_ordinal(wide, "other", tmp_root + "/small", rows_per_part=10)
+    table = OrdinalTable(spark, tmp_root + "/small", "other")
+    index = table.index.orderBy("part").collect()
+    assert len(index) >= 90 and max(r.rows for r in index) <= 10
+    assert [r.before for r in index] == [sum(x.rows for x in index[:k]) for k in range(len(index))]
+    assert len(table.data.inputFiles()) <= folders
+    for limit, offset, start, end in [(20, 777, None, None), (300, 250, None, None), (25, 290, "2024-01-03", "2024-01-20"),
+                                      (20, 30, None, "2024-01-06"), (10, 5000, None, None)]:
+        got = table.page(limit, offset, start, end)
+        assert got.rows.collect() == page(wide, "other", limit, offset, start, end).collect()
+        assert got.total == page_total(wide, "other", limit, offset, start, end).first().total_count
+        assert len(got.parts) <= limit // 10 + 1 + folders
+    from canopy.plans.inspect import explain_text
+    assert "In(part, [" in explain_text(table.page(20, 777).rows).split("PushedFilters")[1]   # the pages of the parts
+    assert table.read().columns == wide.columns
