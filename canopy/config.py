@@ -41,6 +41,9 @@ WIDE_BLOCK_POINTS = 64
 # Ids per block of a wide table that is kept up to date (sources.wide_blocks):
 # a block is what is rebuilt when one of its ids changes.
 WIDE_ID_BLOCK = 1_000_000
+# Block folders of a wide table that a full build aims at; with more blocks a
+# folder holds 2, 4, 8 ... neighbouring ones.
+MAX_BLOCK_FOLDERS = 1024
 # Ranges of changed ids that are written into a filter one by one; more are
 # pushed down as one range and matched exactly by a join.
 MAX_ID_RANGES = 32

@@ -6,11 +6,16 @@ when a run has added or purged rows, only the blocks of those ids are built
 again; all others stay as the files they are. A daily run over a 30-day window
 touches the blocks of its newest and its oldest day, whatever the window holds.
 
-* ``wide_blocks/<table>/data-<generation>/block=<b>/`` -- the rows. A full build
-  writes a new generation; a refresh replaces blocks of the current one by
+A folder is a block as long as there are ``MAX_BLOCK_FOLDERS`` of them at most;
+a full build of more ids makes it twice as wide, or four times, and so on, so
+that folders, files and their listings do not grow with the table. A table
+that has outgrown its folders by more than twice is built anew.
+
+* ``wide_blocks/<table>/data-<generation>/block=<b>/`` -- the rows, sorted by
+  id; ``b`` counts folders of ``folder_ids`` ids. A full build writes a new generation; a refresh replaces blocks of the current one by
   dynamic partition overwrite and then removes those that came out empty.
 * ``wide_blocks/<table>/meta/run=<n>/`` -- one row: the generation, what it was
-  built from (points, names, kind, ids per block) and the stamps of the change
+  built from (points, names, kind, ids per block and folder) and the stamps of the change
   logs it has taken in. It is written last, so a refresh that broke off is done
   again over the same logs, with the same result, and a full build that broke
   off is never seen.
@@ -46,7 +51,7 @@ from ..session import written
 from .store import _FS, KEEP_CHANGES, StateStore
 
 META = ("generation string, points array<string>, names array<string>, kind string, ids_per_block long, "
-        "stamps array<string>")
+        "stamps array<string>, folder_ids long")
 
 
 def id_ranges(rows: DataFrame) -> DataFrame:
@@ -54,6 +59,23 @@ def id_ranges(rows: DataFrame) -> DataFrame:
     return rows.groupBy("point").agg(F.min("unique_id").alias("first_id"), F.max("unique_id").alias("last_id"))
 
 
+def folder_ids(partials: DataFrame | None, points: list[str], ids_per_block: int) -> int:
+    """Ids of a folder: those of a block, doubled until the ids that the kept
+    statistics know of need ``MAX_BLOCK_FOLDERS`` folders at most."""
+    if partials is None:
+        return ids_per_block
+    lo, hi = partials.filter(F.col("point").isin(points)).agg(F.min("first_id"), F.max("last_id")).first()
+    size = ids_per_block
+    while lo is not None and hi // size - lo // size >= config.MAX_BLOCK_FOLDERS:
+        size *= 2
+    return size
+
+
+def _width(meta) -> int:
+    """Ids of a folder of the stored table (of a block, where it was not noted)."""
+    return meta["folder_ids"] if "folder_ids" in meta else meta["ids_per_block"]
+
+
 @dataclass
 class Refresh:
     how: str                  # "full", "blocks" or "none"
@@ -85,7 +107,7 @@ class BlockedWide:
             return None
         df = self.spark.read.parquet(self._data(table, meta["generation"]))
         if unique_id is not None:
-            df = df.filter((F.col("block") == F.lit(unique_id // meta["ids_per_block"]))
+            df = df.filter((F.col("block") == F.lit(unique_id // _width(meta)))
                            & (F.col("unique_id") == F.lit(unique_id)))
         return df.drop("block")
 
@@ -115,18 +137,20 @@ class BlockedWide:
         # one row per kept log: its stamp, which also has the run
         stamps = [] if logs is None else sorted(r["stamp"] for r in logs.select("stamp").distinct().collect())
         built = (points, names, kind, ids_per_block)
-        same = meta is not None and (meta["points"], meta["names"], meta["kind"], meta["ids_per_block"]) == built
+        width = folder_ids(stores.partials.latest()[0], points, ids_per_block)
+        same = (meta is not None and (meta["points"], meta["names"], meta["kind"], meta["ids_per_block"]) == built
+                and width <= 2 * _width(meta))
         out = Refresh("full", skipped=tuple(skipped))
         generation = uuid.uuid4().hex[:12]
         if same and not full and not self._lost(stores, meta["stamps"]):
             due = [s for s in stamps if s not in set(meta["stamps"])]
             late = self._unlogged(stores)
-            out, generation = Refresh("blocks", skipped=tuple(skipped)), meta["generation"]
+            out, generation, width = Refresh("blocks", skipped=tuple(skipped)), meta["generation"], _width(meta)
             if not due and late is None or not self._rebuild(stores, table, meta, logs, due, late, out):
                 return Refresh("none", skipped=tuple(skipped))
-        elif not self._build(stores, table, generation, built):
+        elif not self._build(stores, table, generation, (points, names, kind, width)):
             return Refresh("none", skipped=tuple(skipped))
-        row = (generation, points, names, kind, ids_per_block, stamps)
+        row = (generation, points, names, kind, ids_per_block, stamps, width)
         store.write(self.spark.createDataFrame([row], META), (version or 0) + 1)
         if meta is not None and generation != meta["generation"]:
             self._drop_generations(table, {generation, meta["generation"]})   # readers may still be at the last one
@@ -169,7 +193,7 @@ class BlockedWide:
     def _rebuild(self, stores, table: str, meta, logs: DataFrame | None, due: list[str], late: DataFrame | None,
                  out: Refresh) -> bool:
         """Rebuild the touched blocks; ``False`` when the table would be empty."""
-        size = meta["ids_per_block"]
+        size = _width(meta)
         ranges = [] if logs is None else [logs.filter(F.col("stamp").isin(due)).select("point", "first_id", "last_id")]
         ranges += [] if late is None else [late]
         touched = written(reduce(DataFrame.unionByName, ranges).filter(F.col("point").isin(meta["points"])).select(

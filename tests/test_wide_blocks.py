@@ -147,3 +147,19 @@ def test_other_points_or_block_size_build_anew(spark, tmp_root):
 def test_spans():
     assert spans([3, 1, 2, 7], 10) == [(10, 39), (70, 79)]
     assert spans([], 10) == []
+
+
+def test_folders_do_not_grow_with_the_ids(spark, tmp_root, monkeypatch):
+    """Folders hold several blocks where there would be too many; a table that
+    has outgrown them is built anew."""
+    st, man = open_stores(spark, tmp_root), manifest(spark, ["other"])
+    for k, most, how in ((0, 4, "full"), (1, 4, "blocks"), (2, 1, "full")):
+        monkeypatch.setattr("canopy.config.MAX_BLOCK_FOLDERS", most)
+        extract(spark, st, k)
+        assert st.blocks.refresh(st, man, "other", 4).how == how
+        found = st.blocks.blocks("wide_other")
+        want = rows(build_wide(st.staged.read(), man, "other").df.select(*st.blocks.read("wide_other").columns))
+        assert len(want) // 4 > 16 and 1 <= len(found) <= 2 * most + 1
+        assert rows(st.blocks.read("wide_other")) == want
+        for r in (want[0], want[-1]):
+            assert st.blocks.read("wide_other", r.unique_id).collect() == [r]
