@@ -209,17 +209,27 @@ def spread_join(rows: DataFrame, side: DataFrame, key: str, counted: DataFrame |
     """``rows`` joined with the one row per ``key`` in ``side``, no key in one task.
 
     The rows (those of ``counted``, if it has the same keys and is cheaper to
-    read) are counted by ``HOT_CELLS`` cells of the key, a table of that size at
-    most; rows of a cell with more than its share are dealt over parts by node."""
+    read) are counted by ``HOT_CELLS`` cells of the key; rows of a cell with
+    more than its share are dealt over parts by node. The driver gets those
+    cells only, ``HOT_PARTS`` at most, and puts them into the expression."""
     cell = F.pmod(F.xxhash64(key), F.lit(HOT_CELLS))
     met = (rows if counted is None else counted).groupBy(cell.alias("_cell")).agg(F.count(F.lit(1)).alias("met"))
     all_ = F.sum("met").over(Window.partitionBy(F.lit(0)))
-    met = F.broadcast(met.select("_cell", F.floor(F.col("met") * HOT_PARTS / all_).alias("_parts")).filter("_parts > 0"))
-    parts = F.coalesce("_parts", F.lit(0).cast("long")) + 1
-    left = rows.withColumn("_cell", cell).join(met, "_cell", "left").withColumn("_part", F.pmod(F.xxhash64("node"), parts))
-    right = side.withColumn("_cell", cell).join(met, "_cell", "left").withColumn(
-        "_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
-    return (left.drop("_cell", "_parts").join(right.drop("_cell", "_parts"), [key, "_part"]).drop("_part"))
+    hot = met.select("_cell", F.floor(F.col("met") * HOT_PARTS / all_).alias("_parts")).filter("_parts > 0").collect()
+    parts = parts_of([(r["_cell"], r["_parts"]) for r in hot])
+    left = rows.withColumn("_cell", cell).withColumn("_part", F.pmod(F.xxhash64("node"), parts))
+    right = side.withColumn("_cell", cell).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    return left.drop("_cell").join(right.drop("_cell"), [key, "_part"]).drop("_part")
+
+
+def parts_of(hot: list[tuple[int, int]]) -> Column:
+    """Into how many parts the rows of ``_cell`` are dealt: a power of two above
+    the shares that the cell has, one for the cells that are not in ``hot``."""
+    classes: dict[int, list[str]] = {}
+    for at, shares in sorted(hot):
+        classes.setdefault(1 << int(shares).bit_length(), []).append(str(at))
+    cases = " ".join(f"WHEN _cell IN ({', '.join(cells)}) THEN {n}L" for n, cells in sorted(classes.items()))
+    return F.expr(f"CASE {cases} ELSE 1L END" if cases else "1L")
 
 
 def labelled(rows: DataFrame, joined: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from canopy.llm import minhash
 from canopy.llm.queries import QUERIES
 
@@ -168,3 +169,16 @@ def test_components(spark):
     got = {int(r["node"]): int(r["component"]) for r in minhash.components(df).collect()}
     loops = {a for a, b in links if a == b}
     assert got == {k: find(k) for k in top if k in got} and set(top) - set(got) <= loops
+
+
+def test_spread_join_looks_up_no_parts_by_join(spark):
+    """Rows of hot keys are dealt by an expression: the one join is that with the side."""
+    rows = spark.range(5000).selectExpr("if(id % 10 = 0, id, 7) as key", "cast(cast(id as string) as binary) as node")
+    side = rows.select("key").distinct().withColumn("name", F.col("key") * 2)
+    got = minhash.spread_join(rows, side, "key")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+    assert got.count() == 5000 and got.filter("name <> 2 * key").isEmpty()
+    cells = spark.createDataFrame([(3,), (5,), (9,)], "_cell long")
+    parts = [r[0] for r in cells.orderBy("_cell").select(minhash.parts_of([(3, 1), (9, 700)])).collect()]
+    assert parts == [2, 1, 1024]
