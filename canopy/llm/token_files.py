@@ -54,53 +54,73 @@ BROADCAST_SHARDS = 100_000
 KEPT_WORDS = 400_000
 
 _PLAIN_PIECE = f"^(?:{_PLAIN.pattern})$"
-_NEXT_WORD = rf"[\t\n\r ]*('s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\t\n\r {_LETTERS}0-9]+)"
+_NEXT_WORD = rf"[\t\n\r ]*('s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\t\n\r {_LETTERS}0-9]+)[\t\n\r ]*"
 _CUT = "\x01"
 
 
 class SliceTokens(WordTokens):
     """Ids of a whole slice of texts at once: pieces between spaces, and words
-    within them, are found and made distinct by Arrow; a word is encoded once."""
-
-    def _of_words(self, words: list[str]) -> list[bytes]:
-        if len(self.words) > KEPT_WORDS:
-            self.words.clear()
-        get = self.words.get
-        found = list(map(get, words))
-        for k, ids in enumerate(found):
-            if ids is None:
-                bare = words[k].strip("\t\n\r ")  # white space behind a piece's last word
-                found[k] = self._word(bare) if bare else b""
-        return found
-
-    def _of_plain(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        marked = pc.replace_substring_regex(pc.utf8_lower(pieces), _NEXT_WORD, r"\1" + _CUT)
+    within them, are found, made distinct and looked up by Arrow; a word is
+    encoded once, by the tokenizer's own merge model."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self._keep(pa.array([""]), np.zeros(0, "<u4"), np.zeros(1, np.int64))
+
+    def _keep(self, words: pa.Array, flat: np.ndarray, size: np.ndarray) -> None:
+        """The known words, all their ids one after another, and their number per word."""
+        self.known, self.flat, self.size, self.begin = words, flat, size, np.cumsum(size) - size
+
+    def _of_words(self, words: pa.Array) -> np.ndarray:
+        """The place of each word, distinct but for empty ones, among the known ones."""
+        if len(self.known) > KEPT_WORDS:
+            self._keep(self.known[:1], self.flat[:0], self.size[:1])
+        found = pc.index_in(words, value_set=self.known)
+        fresh = words.filter(pc.is_null(found))
+        at = pc.fill_null(found, -1).to_numpy()
+        if len(fresh):
+            at = np.where(at < 0, len(self.known) - 1 + np.cumsum(at < 0), at)
+            ids, size, tokenize = [], [], self.model.tokenize
+            shown = "\n".join(fresh.to_pylist()).encode().decode("latin-1").translate(self.letters)
+            for word in shown.split(self.letters[ord("\n")]):  # no word has a line break
+                got = tokenize(word)
+                size.append(len(got))
+                ids += [t.id for t in got]
+            self._keep(pa.concat_arrays([self.known, fresh]), np.concatenate([self.flat, np.array(ids, "<u4")]),
+                       np.concatenate([self.size, np.array(size, np.int64)]))
+        return at
+
+    def _of_plain(self, whole: pa.Array, mixed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces that are a word each, then of those to be cut, and their number per piece."""
+        marked = pc.replace_substring_regex(mixed, _NEXT_WORD, r"\1" + _CUT)
         cut = pc.split_pattern(marked, _CUT)
-        code = cut.values.dictionary_encode()
-        return spread(self._of_words(code.dictionary.to_pylist()),
-                      code.indices.to_numpy(zero_copy_only=False), cut.offsets.to_numpy())
+        code = pa.concat_arrays([whole, cut.values]).dictionary_encode()
+        # a piece of white space alone has no word and is left as it is
+        at = self._of_words(pc.utf8_trim(code.dictionary, "\t\n\r "))[code.indices.to_numpy(zero_copy_only=False)]
+        own = self.size[at]
+        size = np.concatenate([own[:len(whole)], sums(own[len(whole):], cut.offsets.to_numpy())])
+        return gather(self.flat, self.begin[at], own), size
 
     def encode_slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in one array, and their number per text."""
         cut = pc.split_pattern(texts, " ")
         code = cut.values.dictionary_encode()
         pieces = code.dictionary
-        plain = pc.match_substring_regex(pieces, _PLAIN_PIECE)
-        flat, size = self._of_plain(pieces.filter(plain))
-        if len(size) < len(pieces):
-            other = [self.piece(p) for p in pieces.filter(pc.invert(plain)).to_pylist()]
+        plain = pc.match_substring_regex(pieces, _PLAIN_PIECE).to_numpy(zero_copy_only=False)
+        low = pc.utf8_lower(pieces)
+        whole = plain & pc.utf8_is_alpha(low).to_numpy(zero_copy_only=False)  # letters alone are one word
+        kinds = [np.flatnonzero(x) for x in (whole, plain & ~whole, ~plain)]
+        flat, size = self._of_plain(low.take(pa.array(kinds[0])), low.take(pa.array(kinds[1])))
+        if len(kinds[2]):
+            other = [self.piece(p) for p in pieces.take(pa.array(kinds[2])).to_pylist()]
             self.pieces.clear()
-            own = np.empty(len(pieces), dtype=np.int64)
-            is_plain = plain.to_numpy(zero_copy_only=False)
-            own[is_plain], own[~is_plain] = size, [len(x) // 4 for x in other]
-            begin = np.empty(len(pieces), dtype=np.int64)
-            begin[is_plain] = np.cumsum(size) - size
-            begin[~is_plain] = len(flat) + np.cumsum(own[~is_plain]) - own[~is_plain]
-            flat, size = np.concatenate([flat, np.frombuffer(b"".join(other), "<u4")]), own
-        else:
-            begin = np.cumsum(size) - size
+            flat = np.concatenate([flat, np.frombuffer(b"".join(other), "<u4")])
+            size = np.concatenate([size, np.array([len(x) // 4 for x in other], dtype=np.int64)])
+        own, begin = np.empty(len(pieces), dtype=np.int64), np.empty(len(pieces), dtype=np.int64)
+        place = np.concatenate(kinds)
+        own[place], begin[place] = size, np.cumsum(size) - size
         codes = code.indices.to_numpy(zero_copy_only=False)
-        return gather(flat, begin[codes], size[codes]), sums(size[codes], cut.offsets.to_numpy())
+        return gather(flat, begin[codes], own[codes]), sums(own[codes], cut.offsets.to_numpy())
 
 
 def sums(size: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -109,14 +129,6 @@ def sums(size: np.ndarray, at: np.ndarray) -> np.ndarray:
     return total[at[1:]] - total[at[:-1]]
 
 
-def spread(ids: list[bytes], codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of lists of codes, one after another, and their number per list."""
-    flat = np.frombuffer(b"".join(ids), dtype="<u4")
-    size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-    own = size[codes]
-    return gather(flat, (np.cumsum(size) - size)[codes], own), sums(own, at)
-
-
 @lru_cache(maxsize=4)
 def slice_tokens(vocabulary: str = VOCABULARY) -> SliceTokens:
     return SliceTokens(vocabulary_path(vocabulary))

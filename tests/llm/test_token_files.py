@@ -113,3 +113,18 @@ def test_slices_equal_tokenizer(texts):
     flat, n = token_files.slice_tokens().encode_slice(pa.array(texts, pa.string()))
     want = [TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
     assert n.tolist() == list(map(len, want)) and flat.tolist() == [i for w in want for i in w]
+
+
+def test_known_words_are_looked_up_by_arrow(monkeypatch):
+    """A slice leaves its distinct words, bare, in one Arrow array; a later one
+    adds new words only, and forgetting them changes no id."""
+    texts = ["The cat\n\n sat, the\tCAT's hat\r\n \n  ", " \n", "", "naïve café\n42 naïve\n", "don't\nstop \t日本 cat"]
+    want = [TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
+    tokens = token_files.SliceTokens(public_tokenizers.path("word_bpe_49k.json"))
+    for most in (token_files.KEPT_WORDS, 0):
+        monkeypatch.setattr(token_files, "KEPT_WORDS", most)
+        for _ in range(2):
+            flat, n = tokens.encode_slice(pa.array(texts, pa.string()))
+            assert n.tolist() == list(map(len, want)) and flat.tolist() == [i for w in want for i in w]
+            known = tokens.known.to_pylist()
+            assert sorted(known) == sorted({"", "the", "cat", "sat", ",", "'s", "hat", "naïve", "café", "4", "2", "don", "'t", "stop"})
